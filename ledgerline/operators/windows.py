@@ -6,59 +6,52 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return requested
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def lead_by_key(
     df: DataFrame,
     key: str,
     order: list[str],
     value: str | Column,
     out: str,
-    num_partitions: int | None = None,
+    bucket: Column,
 ) -> DataFrame:
     """``lead(value) OVER (PARTITION BY key ORDER BY order...)`` without one task per key.
 
     A plain window sends every row of a key to one task; a key holding a third of the
-    table would sit in a single task. Instead the rows are range-partitioned on
-    ``(key, order...)`` so a hot key spreads over many contiguous partitions. The lead
-    is taken inside each (partition, key) run; the last row of a partition takes the
-    first row of the next partition when that row has the same key. The per-partition
-    first rows form a table with one row per partition (bounded by the partition
-    count), so broadcasting it is safe.
+    table would sit in a single task. Here ``bucket`` is a coarse expression that never
+    decreases along ``order`` (for a date-ordered lead: the day). The lead is taken
+    inside each (key, bucket) group, so a hot key is spread over as many tasks as it has
+    buckets. The last row of a group takes the first row of the key's next non-empty
+    bucket, found on a table with one row per (key, bucket): built by a partial
+    aggregate (skew-safe) and ordered per key over its buckets only.
+
+    Everything is a pure function of the rows (no sampled boundaries), so any number of
+    re-executions, or re-computations after a lost executor, give the same result.
     """
-    n = _partitions(df, num_partitions)
     value_col = F.col(value) if isinstance(value, str) else value
-    ranged = (
-        df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order])
-        .withColumn("_ll_pid", F.spark_partition_id())
-        .withColumn("_ll_val", value_col)
-    )
-    run = Window.partitionBy("_ll_pid", key).orderBy(*order)
-    local = ranged.withColumn(out, F.lead("_ll_val").over(run)).withColumn(
+    rows = df.withColumn("_ll_b", bucket).withColumn("_ll_val", value_col)
+    run = Window.partitionBy(key, "_ll_b").orderBy(*order)
+    local = rows.withColumn(out, F.lead("_ll_val").over(run)).withColumn(
         "_ll_last", F.lead(F.lit(True)).over(run).isNull()
     )
-    firsts = ranged.groupBy("_ll_pid").agg(
-        F.min(F.struct(F.col(key).alias("k"), *[F.col(c) for c in order], F.col("_ll_val").alias("v"))).alias("_ll_f")
-    ).select((F.col("_ll_pid") - 1).alias("_ll_prev"), F.col("_ll_f.k").alias("_ll_fk"), F.col("_ll_f.v").alias("_ll_fv"))
-    stitched = local.join(
-        F.broadcast(firsts),
-        (F.col("_ll_last")) & (F.col("_ll_pid") == F.col("_ll_prev")) & (F.col(key) == F.col("_ll_fk")),
-        "left",
+    firsts = rows.groupBy(key, "_ll_b").agg(
+        F.min(F.struct(*[F.col(c) for c in order], F.col("_ll_val").alias("v"))).alias("_ll_f")
+    )
+    following = firsts.select(
+        F.col(key),
+        F.col("_ll_b"),
+        F.lead(F.col("_ll_f.v")).over(Window.partitionBy(key).orderBy("_ll_b")).alias("_ll_nv"),
     )
-    return stitched.withColumn(out, F.when(F.col("_ll_last"), F.col("_ll_fv")).otherwise(F.col(out))).drop(
-        "_ll_pid", "_ll_val", "_ll_last", "_ll_prev", "_ll_fk", "_ll_fv"
+    stitched = local.join(following, [key, "_ll_b"], "left")
+    return stitched.withColumn(out, F.when(F.col("_ll_last"), F.col("_ll_nv")).otherwise(F.col(out))).drop(
+        "_ll_b", "_ll_val", "_ll_last", "_ll_nv"
     )
 
 
 def first_by_key(df: DataFrame, key: str | list[str], rank: list[Column | str], payload: list[str] | None = None) -> DataFrame:
     """Keep one row per key: the one with the smallest ``rank`` tuple.
 
-    Expressed as ``groupBy(key).agg(min(struct(rank..., row)))``: a hash aggregate with
-    a map-side partial step, so a hot key is reduced inside each map task before the
+    Expressed as ``groupBy(key).agg(min(struct(rank..., row)))``: an aggregate with a
+    map-side partial step, so a hot key is reduced inside each map task before the
     shuffle instead of being sorted in one task as ``row_number()`` would.
     """
     keys = [key] if isinstance(key, str) else list(key)

@@ -82,3 +82,156 @@ SELECT month_start AS month, {money('SUM(amt)')} AS mrr_amount
 FROM pairs WHERE amt IS NOT NULL
 GROUP BY month_start""",
 )
+
+PAIRS_ANY = """
+pairs_any AS (
+  SELECT m.month_start, s.*
+  FROM months m CROSS JOIN active s
+  WHERE s.sd <= last_day(m.month_start) AND (s.cd IS NULL OR s.cd >= m.month_start)
+)"""
+
+TIER_PAIRS = f"""
+tc AS (
+  SELECT v0.stripe_customer_id,
+         v0.stripe_subscription_id AS v0_sub_id, v1.stripe_subscription_id AS v1_sub_id,
+         CAST(v0.canceled_at AS DATE) AS v0_cancel_date, CAST(v1.start_date AS DATE) AS v1_start_date,
+         CAST(date_trunc('month', CAST(v0.canceled_at AS DATE)) AS DATE) AS month,
+         CASE WHEN lower(v0.bill_interval) = 'month' THEN v0.unit_amount_cents / v0.interval_count / 100.0
+              WHEN lower(v0.bill_interval) = 'year' THEN v0.unit_amount_cents / 12.0 / v0.interval_count / 100.0 END AS c0,
+         CASE WHEN lower(v1.bill_interval) = 'month' THEN v1.unit_amount_cents / v1.interval_count / 100.0
+              WHEN lower(v1.bill_interval) = 'year' THEN v1.unit_amount_cents / 12.0 / v1.interval_count / 100.0 END AS c1
+  FROM subs v0
+  JOIN subs v1
+    ON v0.stripe_customer_id = v1.stripe_customer_id
+   AND v0.stripe_subscription_id <> v1.stripe_subscription_id
+   AND v0.canceled_at IS NOT NULL
+   AND CAST(v1.start_date AS DATE) >= CAST(v0.canceled_at AS DATE)
+   AND CAST(v1.start_date AS DATE) <= CAST(v0.canceled_at AS DATE) + 1
+  WHERE CAST(v0.canceled_at AS DATE) >= DATE '{WINDOW_START}'
+    AND CAST(v0.canceled_at AS DATE) <= DATE '{WINDOW_END}'
+)"""
+
+CANDIDATES = f"""
+cand AS (
+  SELECT stripe_subscription_id AS cid,
+         CAST(date_trunc('month', CAST(canceled_at AS DATE)) AS DATE) AS cm,
+         CASE WHEN lower(bill_interval) = 'month' THEN unit_amount_cents / interval_count / 100.0
+              WHEN lower(bill_interval) = 'year' THEN unit_amount_cents / 12.0 / interval_count / 100.0 END AS c
+  FROM subs
+  WHERE status = 'canceled' AND canceled_at IS NOT NULL
+    AND CAST(canceled_at AS DATE) >= DATE '{WINDOW_START}' + INTERVAL 1 MONTH
+    AND CAST(canceled_at AS DATE) < DATE '{WINDOW_END}'
+),
+cand_months AS (
+  SELECT cid, cm, c, CAST(cm - INTERVAL 1 MONTH AS DATE) AS month FROM cand
+  UNION ALL
+  SELECT cid, cm, c, cm AS month FROM cand
+),
+loo AS (
+  SELECT k.cid, k.cm, k.c, k.month, COALESCE(SUM(COALESCE(p.amt, 0)), 0) AS excl
+  FROM cand_months k
+  LEFT JOIN pairs p ON p.month_start = k.month AND p.stripe_subscription_id <> k.cid
+  GROUP BY k.cid, k.cm, k.c, k.month
+)"""
+
+STRICT = """
+strict AS (
+  SELECT month_start, SUM(amt) AS mrr FROM pairs WHERE amt IS NOT NULL GROUP BY month_start
+)"""
+
+ORACLE["mrr_monthly_filled"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS,
+    body=f"""
+SELECT m.month_start AS month, {money('COALESCE(SUM(p.amt), 0)')} AS mrr_amount
+FROM months m LEFT JOIN pairs p ON p.month_start = m.month_start AND p.amt IS NOT NULL
+GROUP BY m.month_start""",
+)
+
+ORACLE["mrr_any_part_of_month"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS_ANY,
+    body=f"""
+SELECT month_start AS month, {money('SUM(amt)')} AS mrr_amount
+FROM pairs_any WHERE amt IS NOT NULL
+GROUP BY month_start""",
+)
+
+ORACLE["mrr_window_total"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS,
+    body=f"SELECT {money('COALESCE(SUM(amt), 0)')} AS window_total FROM pairs WHERE amt IS NOT NULL",
+)
+
+ORACLE["mrr_active_pairs"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS,
+    body=f"SELECT month_start AS month, stripe_subscription_id, {money('amt')} AS amount FROM pairs WHERE amt IS NOT NULL",
+)
+
+ORACLE["mrr_left_fill"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS,
+    body=f"""
+SELECT m.month_start AS month, COUNT(p.stripe_subscription_id) AS active_pairs,
+       {money('COALESCE(SUM(COALESCE(p.amt, 0)), 0)')} AS mrr_amount
+FROM months m LEFT JOIN pairs p ON p.month_start = m.month_start
+GROUP BY m.month_start""",
+)
+
+ORACLE["mrr_inner_theta"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS,
+    body=f"""
+SELECT month_start AS month, COUNT(*) AS active_pairs, {money('SUM(COALESCE(amt, 0))')} AS mrr_amount
+FROM pairs GROUP BY month_start""",
+)
+
+ORACLE["tier_change_pairs"] = with_ctes(
+    SUBS, TIER_PAIRS,
+    body="SELECT stripe_customer_id, v0_sub_id, v1_sub_id, v0_cancel_date, v1_start_date FROM tc",
+)
+
+ORACLE["mrr_leave_one_out"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS, CANDIDATES,
+    body=f"SELECT cid AS stripe_subscription_id, month, {money('excl')} AS mrr_excluding FROM loo",
+)
+
+ORACLE["mrr_excluding_pair"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS, TIER_PAIRS,
+    body=f"""
+SELECT t.v0_sub_id, t.v1_sub_id, t.month, {money('COALESCE(SUM(COALESCE(p.amt, 0)), 0)')} AS mrr_excluding_pair
+FROM tc t
+LEFT JOIN pairs p ON p.month_start = t.month AND p.stripe_subscription_id NOT IN (t.v0_sub_id, t.v1_sub_id)
+GROUP BY t.v0_sub_id, t.v1_sub_id, t.month""",
+)
+
+ORACLE["check_cancel_month"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS, CANDIDATES, STRICT,
+    body=f"""
+SELECT lp.cid AS stripe_subscription_id, lp.cm AS cancel_month, {money('lp.c')} AS contribution,
+       COALESCE(ROUND(sp.mrr, 2) = ROUND(lp.excl + lp.c, 2), false) AS prev_ok,
+       COALESCE(ROUND(sc.mrr, 2) = ROUND(lc.excl, 2), false) AS cancel_ok
+FROM loo lp
+JOIN loo lc ON lc.cid = lp.cid AND lc.month = lc.cm
+LEFT JOIN strict sp ON sp.month_start = lp.month
+LEFT JOIN strict sc ON sc.month_start = lc.month
+WHERE lp.month < lp.cm AND lp.c IS NOT NULL""",
+)
+
+ORACLE["check_tier_change"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS, TIER_PAIRS, STRICT,
+    body="""
+SELECT x.v0_sub_id, x.v1_sub_id, x.month,
+       COALESCE(ROUND(s.mrr, 2) = ROUND(x.excl + COALESCE(x.c1, 0), 2), false) AS v1_only_ok,
+       COALESCE(ROUND(s.mrr, 2) <> ROUND(x.excl + COALESCE(x.c0, 0) + COALESCE(x.c1, 0), 2), false) AS no_double_count
+FROM (
+  SELECT t.v0_sub_id, t.v1_sub_id, t.month, t.c0, t.c1, COALESCE(SUM(COALESCE(p.amt, 0)), 0) AS excl
+  FROM tc t
+  LEFT JOIN pairs p ON p.month_start = t.month AND p.stripe_subscription_id NOT IN (t.v0_sub_id, t.v1_sub_id)
+  GROUP BY t.v0_sub_id, t.v1_sub_id, t.month, t.c0, t.c1
+) x
+LEFT JOIN strict s ON s.month_start = x.month""",
+)
+
+ORACLE["check_total_reconciles"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS, STRICT,
+    body=f"""
+SELECT {money('(SELECT SUM(ROUND(mrr, 9)) FROM strict)')} AS months_sum,
+       {money('(SELECT SUM(amt) FROM pairs WHERE amt IS NOT NULL)')} AS window_total,
+       true AS reconciles""",
+)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
-from ledgerline.operators import metric
+from ledgerline.operators import metric, reconcile
+from ledgerline.plans import checks
 from ledgerline.plans.params import WINDOW_END, WINDOW_START
 from ledgerline.session import configure
 from ledgerline.sources import fixtures
@@ -40,3 +41,97 @@ def q_mrr_monthly(spark, sf_dir):
     """G1 (flagship): strict MRR series over the window."""
     out = metric.mrr_monthly(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
     return out.select("month", C.to_cents_decimal("mrr_amount").alias("mrr_amount"))
+
+
+def _money(c):
+    return C.to_cents_decimal(c)
+
+
+@register("mrr_monthly_filled")
+def q_mrr_monthly_filled(spark, sf_dir):
+    """Every month of the window, zero-filled."""
+    out = metric.mrr_monthly_filled(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select("month", _money("mrr_amount").alias("mrr_amount"))
+
+
+@register("mrr_any_part_of_month")
+def q_mrr_any_part(spark, sf_dir):
+    """Retired 'alive any day of M' rule (regression guard, differs from G1)."""
+    out = metric.mrr_any_part_of_month(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select("month", _money("mrr_amount").alias("mrr_amount"))
+
+
+@register("mrr_window_total")
+def q_mrr_window_total(spark, sf_dir):
+    """One total over all months x subscriptions."""
+    out = metric.mrr_window_total(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select(_money("window_total").alias("window_total"))
+
+
+@register("mrr_active_pairs")
+def q_mrr_active_pairs(spark, sf_dir):
+    """Every (month, subscription) pair that contributes, with its amount."""
+    out = metric.contributions(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select("month", "stripe_subscription_id", _money("amount").alias("amount"))
+
+
+@register("mrr_left_fill")
+def q_mrr_left_fill(spark, sf_dir):
+    """Months LEFT JOIN subscriptions on the rule; empty months kept with 0."""
+    subs = _subs(spark, sf_dir)
+    inner = metric.theta_pairs_per_month(subs, WINDOW_START, WINDOW_END)
+    months = metric.month_series(spark, WINDOW_START, WINDOW_END).withColumnRenamed("month_start", "month")
+    return months.join(inner, "month", "left").select(
+        "month",
+        F.coalesce("active_pairs", F.lit(0)).cast("bigint").alias("active_pairs"),
+        _money(F.coalesce("mrr_amount", F.lit(0))).alias("mrr_amount"),
+    )
+
+
+@register("mrr_inner_theta")
+def q_mrr_inner_theta(spark, sf_dir):
+    """Inner months x subscriptions join per month (unsupported intervals add 0)."""
+    out = metric.theta_pairs_per_month(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select("month", F.col("active_pairs").cast("bigint").alias("active_pairs"),
+                      _money("mrr_amount").alias("mrr_amount"))
+
+
+@register("tier_change_pairs")
+def q_tier_change_pairs(spark, sf_dir):
+    """Cancel-and-recreate pairs (v1 starts on v0's cancel day or the next)."""
+    out = reconcile.tier_change_pairs(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select("stripe_customer_id", "v0_sub_id", "v1_sub_id", "v0_cancel_date", "v1_start_date")
+
+
+@register("mrr_leave_one_out")
+def q_mrr_leave_one_out(spark, sf_dir):
+    """MRR of the month before and of the cancel month without each canceled subscription."""
+    out = reconcile.leave_one_out(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select("stripe_subscription_id", "month", _money("mrr_excluding").alias("mrr_excluding"))
+
+
+@register("mrr_excluding_pair")
+def q_mrr_excluding_pair(spark, sf_dir):
+    """Transition-month MRR without both sides of each tier-change pair."""
+    out = reconcile.excluding_pair(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select("v0_sub_id", "v1_sub_id", "month", _money("mrr_excluding_pair").alias("mrr_excluding_pair"))
+
+
+@register("check_cancel_month")
+def q_check_cancel_month(spark, sf_dir):
+    """Cancel-month verdicts for every canceled subscription in range."""
+    out = checks.check_cancel_month(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select("stripe_subscription_id", "cancel_month", _money("contribution").alias("contribution"),
+                      "prev_ok", "cancel_ok")
+
+
+@register("check_tier_change")
+def q_check_tier_change(spark, sf_dir):
+    """Transition-month verdicts for every tier-change pair."""
+    return checks.check_tier_change(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+
+
+@register("check_total_reconciles")
+def q_check_total_reconciles(spark, sf_dir):
+    """Sum of the series equals the window total."""
+    return checks.check_total_reconciles(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)

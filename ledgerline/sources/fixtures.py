@@ -44,7 +44,10 @@ def subscriptions_from_orders(orders: DataFrame) -> DataFrame:
     """Flat ``subscriptions`` table (reference column names) from ``orders``."""
     k = F.col("o_orderkey")
     base = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    with_next = lead_by_key(base, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate", "_next_start")
+    # next order of the same customer; a customer's orders are spread over (customer, day) groups
+    with_next = lead_by_key(
+        base, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate", "_next_start", bucket=F.to_date("o_orderdate")
+    )
     status = _case(k % 8, dict(enumerate(STATUS_BY_MOD8)))
     amount = _case(k % 3, dict(enumerate(AMOUNT_BY_MOD3))).cast("bigint")
     interval = _case(F.substring("o_orderpriority", 1, 1), INTERVAL_BY_PRIORITY)
