@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def lead_by_key(
@@ -47,15 +48,31 @@ def lead_by_key(
     )
 
 
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return False
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    return True
+
+
 def first_by_key(df: DataFrame, key: str | list[str], rank: list[Column | str], payload: list[str] | None = None) -> DataFrame:
     """Keep one row per key: the one with the smallest ``rank`` tuple.
 
-    Expressed as ``groupBy(key).agg(min(struct(rank..., row)))``: an aggregate with a
-    map-side partial step, so a hot key is reduced inside each map task before the
-    shuffle instead of being sorted in one task as ``row_number()`` would.
+    Expressed as ``groupBy(key).agg(min_by(row, rank))``: an aggregate with a map-side
+    partial step, so a hot key is reduced inside each map task before the shuffle
+    instead of being sorted in one task as ``row_number()`` would. Every orderable
+    payload column is appended to the rank, so ties resolve the same way on every run.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = payload or [c for c in df.columns if c not in keys]
+    types = {f.name: f.dataType for f in df.schema.fields}
     rank_cols = [F.col(r) if isinstance(r, str) else r for r in rank]
-    packed = F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(rank_cols)], *[F.col(c) for c in cols])
-    return df.groupBy(*keys).agg(F.min(packed).alias("_fk")).select(*keys, *[F.col(f"_fk.{c}").alias(c) for c in cols])
+    tie = [F.col(c) for c in cols if _orderable(types[c])]
+    order = F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(rank_cols + tie)])
+    packed = F.struct(*[F.col(c) for c in cols])
+    return df.groupBy(*keys).agg(F.min_by(packed, order).alias("_fk")).select(
+        *keys, *[F.col(f"_fk.{c}").alias(c) for c in cols]
+    )

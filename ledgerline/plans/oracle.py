@@ -235,3 +235,203 @@ SELECT {money('(SELECT SUM(ROUND(mrr, 9)) FROM strict)')} AS months_sum,
        {money('(SELECT SUM(amt) FROM pairs WHERE amt IS NOT NULL)')} AS window_total,
        true AS reconciles""",
 )
+
+# ---------------------------------------------------------------------------------------
+# Raw objects and flatten: the same corruption rules applied to the base rows
+# (r = numeric id % 101: 3 ISO created, 5 junk created, 7 no items, 11 unknown status,
+#  13 live mode, 17 not JSON, 19 no metadata, 23 no recurring; every 4th id listed twice)
+# ---------------------------------------------------------------------------------------
+
+RUN_TS = "TIMESTAMP '2026-01-01 00:00:00'"
+
+RSUBS = """
+rsubs AS (
+  SELECT s.*, CAST(substr(stripe_subscription_id, 5) AS BIGINT) AS n,
+         CAST(substr(stripe_subscription_id, 5) AS BIGINT) % 101 AS r
+  FROM subs s
+),
+lsubs AS (
+  SELECT *,
+         CASE WHEN r = 11 THEN 'unknown_status' ELSE status END AS raw_status,
+         CASE WHEN r = 3 THEN strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') WHEN r = 5 THEN 'not-a-time'
+              ELSE CAST(CAST(epoch(created_at) AS BIGINT) AS VARCHAR) END AS created_raw,
+         'seed-sub-' || stripe_customer_id || '-' || stripe_subscription_id AS idem
+  FROM rsubs
+  WHERE r NOT IN (13, 7, 17)
+)"""
+
+RCUST = """
+rcust AS (
+  SELECT c_custkey AS ck, c_custkey % 101 AS r, 'cus_' || c_custkey AS id,
+         lower(c_name) || '@example.com' AS email, c_name AS name,
+         make_timestamp(CAST(770000000 + c_custkey * 60 AS BIGINT) * 1000000) AS created_ts,
+         'clock_' || CAST(floor(c_custkey / 3) AS BIGINT) AS clock,
+         (c_custkey % 10 = 0 OR c_custkey % 101 = 13) AS live
+  FROM customer
+),
+lcust AS (
+  SELECT *,
+         CASE WHEN r = 3 THEN strftime(created_ts, '%Y-%m-%dT%H:%M:%SZ') WHEN r = 5 THEN 'not-a-time'
+              ELSE CAST(770000000 + ck * 60 AS VARCHAR) END AS created_raw
+  FROM rcust WHERE NOT live AND r <> 17
+)"""
+
+RINV = """
+inv AS (
+  SELECT 'in_' || l_orderkey || '_' || l_linenumber || '_' || l_partkey AS id,
+         l_orderkey % 101 AS r,
+         'cus_' || o_custkey AS customer,
+         CASE WHEN l_linenumber = 1 THEN NULL ELSE 'sub_' || l_orderkey END AS subscription,
+         l_shipdate AS period_start,
+         CASE l_returnflag WHEN 'R' THEN 'void' WHEN 'A' THEN 'paid' ELSE 'open' END AS status,
+         CAST(round(l_extendedprice * 100) AS BIGINT) AS total,
+         l_returnflag = 'A' AS paid,
+         CASE WHEN l_returnflag = 'A' THEN l_shipdate END AS paid_at,
+         o_orderdate AS created_at
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+),
+linv AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY period_start, total, status) AS rn
+    FROM inv WHERE r <> 17
+  ) WHERE rn = 1
+)"""
+
+ORACLE["load_customers"] = with_ctes(
+    RCUST, body="SELECT id, email, name, created_raw AS created, false AS livemode FROM lcust",
+)
+
+ORACLE["load_subscriptions"] = with_ctes(
+    SUBS, RSUBS,
+    body="""SELECT stripe_subscription_id AS id, stripe_customer_id AS customer, raw_status AS status,
+       created_raw AS created, CAST(1 AS BIGINT) AS n_items FROM lsubs""",
+)
+
+ORACLE["load_invoices"] = with_ctes(
+    RINV, body="SELECT id, customer, subscription, status, total FROM linv",
+)
+
+ORACLE["scope_union"] = with_ctes(
+    RCUST,
+    body="""SELECT id, CASE WHEN r = 13 AND false THEN '' ELSE 'default' END AS scope, name,
+       CASE WHEN ck % 4 = 0 THEN 2 ELSE 1 END AS listings
+FROM rcust WHERE r <> 17""",
+)
+
+ORACLE["union_distinct_by_id"] = with_ctes(
+    SUBS, RSUBS, RCUST, RINV,
+    body="""SELECT 'customers' AS entity, id FROM lcust
+UNION ALL SELECT 'subscriptions', stripe_subscription_id FROM lsubs
+UNION ALL SELECT 'invoices', id FROM linv""",
+)
+
+ORACLE["epoch_to_ts"] = with_ctes(
+    SUBS, RSUBS,
+    body="""SELECT stripe_subscription_id AS id, created_raw,
+       CASE WHEN r = 5 THEN NULL ELSE created_at END AS created_at FROM lsubs""",
+)
+
+ORACLE["flatten_price"] = with_ctes(
+    SUBS, RSUBS,
+    body="""SELECT stripe_subscription_id AS id, current_price_id, unit_amount_cents, 'usd' AS currency,
+       CASE WHEN r = 23 THEN NULL ELSE bill_interval END AS bill_interval,
+       CASE WHEN r = 23 THEN NULL ELSE interval_count END AS interval_count
+FROM lsubs""",
+)
+
+ORACLE["metadata_json"] = with_ctes(
+    SUBS, RSUBS,
+    body="""SELECT stripe_subscription_id AS id,
+       CASE WHEN r = 19 THEN NULL ELSE '{"idempotency_key":"' || idem || '"}' END AS metadata
+FROM lsubs""",
+)
+
+ORACLE["metadata_get"] = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
+
+ORACLE["nested_field"] = with_ctes(
+    RCUST,
+    body="SELECT id AS stripe_customer_id, CASE WHEN ck % 2 = 0 THEN 'usd' END AS default_currency FROM lcust",
+)
+
+ORACLE["stamp_synced_at"] = with_ctes(
+    RCUST, body=f"SELECT id AS stripe_customer_id, {RUN_TS} AS synced_at FROM lcust WHERE r <> 5",
+)
+
+ORACLE["flatten_customer"] = with_ctes(
+    RCUST,
+    body=f"""SELECT id AS stripe_customer_id, email, name, created_ts AS created_at,
+       CASE WHEN ck % 2 = 0 THEN 'usd' END AS default_currency, false AS livemode,
+       CASE WHEN r = 19 THEN NULL ELSE clock END AS test_clock_id,
+       CASE WHEN r = 19 THEN NULL ELSE '{{"test_clock_id":"' || clock || '"}}' END AS metadata,
+       {RUN_TS} AS synced_at
+FROM lcust WHERE r <> 5""",
+)
+
+ORACLE["flatten_subscription"] = with_ctes(
+    SUBS, RSUBS,
+    body=f"""SELECT stripe_subscription_id, stripe_customer_id, status, current_price_id, unit_amount_cents,
+       'usd' AS currency,
+       CASE WHEN r = 23 THEN NULL ELSE bill_interval END AS bill_interval,
+       CASE WHEN r = 23 THEN NULL ELSE interval_count END AS interval_count,
+       start_date AS billing_cycle_anchor, start_date AS current_period_start, start_date AS current_period_end,
+       start_date, canceled_at, canceled_at AS ended_at, created_at, false AS livemode,
+       CASE WHEN r = 19 THEN NULL ELSE idem END AS idempotency_key,
+       CASE WHEN r = 19 THEN NULL ELSE '{{"idempotency_key":"' || idem || '"}}' END AS metadata,
+       {RUN_TS} AS synced_at
+FROM lsubs
+WHERE r <> 5 AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')""",
+)
+
+ORACLE["flatten_invoice"] = with_ctes(
+    RINV,
+    body=f"""SELECT id AS stripe_invoice_id, customer AS stripe_customer_id, subscription AS stripe_subscription_id,
+       period_start, period_start AS period_end, status, total AS total_cents,
+       CASE WHEN paid THEN total ELSE 0 END AS amount_paid_cents,
+       CASE WHEN paid THEN 0 ELSE total END AS amount_due_cents,
+       'usd' AS currency, paid_at, created_at, false AS livemode, CAST(NULL AS VARCHAR) AS metadata,
+       {RUN_TS} AS synced_at
+FROM linv WHERE r <> 5""",
+)
+
+ORACLE["valid_status"] = with_ctes(
+    SUBS, RSUBS,
+    body="""SELECT raw_status AS status,
+       raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete') AS admitted,
+       COUNT(*) AS rows
+FROM lsubs GROUP BY raw_status""",
+)
+
+ORACLE["skip_livemode"] = "SELECT 'cus_' || c_custkey AS stripe_customer_id FROM customer WHERE c_custkey % 10 <> 0"
+
+ORACLE["skip_no_items"] = with_ctes(
+    SUBS, RSUBS, body="SELECT stripe_subscription_id AS id FROM rsubs WHERE r = 7",
+)
+
+ORACLE["skip_malformed"] = with_ctes(
+    SUBS, RSUBS, RCUST, RINV,
+    body="""SELECT entity, reason, rows FROM (
+  SELECT 'customers' AS entity, 'not_json' AS reason,
+         SUM(CASE WHEN ck % 4 = 0 THEN 2 ELSE 1 END) AS rows
+  FROM rcust WHERE r = 17
+  UNION ALL
+  SELECT 'customers', 'bad_created', COUNT(*) FROM lcust WHERE r = 5
+  UNION ALL
+  SELECT 'subscriptions', 'not_json', SUM(CASE WHEN n % 4 = 0 THEN 2 ELSE 1 END) FROM rsubs WHERE r = 17
+  UNION ALL
+  SELECT 'subscriptions', 'invalid_status', COUNT(*) FROM lsubs
+  WHERE raw_status NOT IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')
+  UNION ALL
+  SELECT 'subscriptions', 'bad_created', COUNT(*) FROM lsubs
+  WHERE r = 5 AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')
+  UNION ALL
+  SELECT 'invoices', 'not_json', COUNT(*) FROM inv WHERE r = 17
+  UNION ALL
+  SELECT 'invoices', 'bad_created', COUNT(*) FROM linv WHERE r = 5
+) WHERE rows > 0""",
+)
+
+ORACLE["invoices_of_known_customers"] = with_ctes(
+    RCUST, RINV,
+    body="""SELECT id AS stripe_invoice_id, customer AS stripe_customer_id FROM linv
+WHERE r <> 5 AND customer IN (SELECT id FROM lcust WHERE r <> 5)""",
+)

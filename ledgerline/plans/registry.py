@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
-from ledgerline.operators import metric, reconcile
+from ledgerline.operators import flatten, joins, metric, reconcile
 from ledgerline.plans import checks
 from ledgerline.plans.params import WINDOW_END, WINDOW_START
 from ledgerline.session import configure
-from ledgerline.sources import fixtures
+from ledgerline.sources import fixtures, raw
+from ledgerline.sources.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,3 +136,195 @@ def q_check_tier_change(spark, sf_dir):
 def q_check_total_reconciles(spark, sf_dir):
     """Sum of the series equals the window total."""
     return checks.check_total_reconciles(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+
+
+# ---------------------------------------------------------------------------------------
+# Raw objects and flatten
+# ---------------------------------------------------------------------------------------
+
+RUN_TS = "2026-01-01 00:00:00"
+
+
+def _ntz(c):
+    return F.col(c).cast("timestamp_ntz").alias(c)
+
+
+def _loaded_subs(spark, sf_dir):
+    return raw.load_subscriptions(raw.subscription_listing(spark, sf_dir))
+
+
+def _loaded_customers(spark, sf_dir):
+    return raw.load_customers(raw.customer_listing(spark, sf_dir))
+
+
+def _loaded_invoices(spark, sf_dir):
+    return raw.load_invoices(raw.invoice_listing(spark, sf_dir))
+
+
+def _flat(df, columns):
+    return df.select(*[_ntz(c) if c in TS_COLUMNS else F.col(c) for c in columns])
+
+
+TS_COLUMNS = {
+    "created_at", "synced_at", "billing_cycle_anchor", "current_period_start", "current_period_end", "start_date",
+    "canceled_at", "ended_at", "period_start", "period_end", "paid_at",
+}
+
+
+@register("load_customers")
+def q_load_customers(spark, sf_dir):
+    """A1: raw customers as fetched (live mode skipped, one row per id, first listing wins)."""
+    c = _loaded_customers(spark, sf_dir).where(F.col("id").isNotNull())
+    return c.select("id", "email", "name", "created", "livemode")
+
+
+@register("load_subscriptions")
+def q_load_subscriptions(spark, sf_dir):
+    """A2: raw subscriptions as fetched (all statuses, >= 1 item, live mode skipped, de-duplicated)."""
+    s = _loaded_subs(spark, sf_dir).where(F.col("id").isNotNull())
+    return s.select("id", "customer", "status", "created", F.size("items.data").cast("bigint").alias("n_items"))
+
+
+@register("load_invoices")
+def q_load_invoices(spark, sf_dir):
+    """A3: raw invoices as fetched, de-duplicated by id."""
+    i = _loaded_invoices(spark, sf_dir).where(F.col("id").isNotNull())
+    return i.select("id", "customer", "subscription", "status", "total")
+
+
+@register("scope_union")
+def q_scope_union(spark, sf_dir):
+    """A4: default listing union clock listings: winning scope and number of listings per customer id."""
+    listed = raw.parse(raw.customer_listing(spark, sf_dir), raw.RAW_CUSTOMER).where(F.col("id").isNotNull())
+    return listed.groupBy("id").agg(
+        F.min_by("scope", F.struct("scope_rank", "scope")).alias("scope"),
+        F.min_by("name", F.struct("scope_rank", "scope")).alias("name"),
+        F.count(F.lit(1)).alias("listings"),
+    )
+
+
+@register("union_distinct_by_id")
+def q_union_distinct_by_id(spark, sf_dir):
+    """Ids of all three entities after the cross-listing de-duplication."""
+    parts = [
+        _loaded_customers(spark, sf_dir).select(F.lit("customers").alias("entity"), "id"),
+        _loaded_subs(spark, sf_dir).select(F.lit("subscriptions").alias("entity"), "id"),
+        _loaded_invoices(spark, sf_dir).select(F.lit("invoices").alias("entity"), "id"),
+    ]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.where(F.col("id").isNotNull())
+
+
+@register("epoch_to_ts")
+def q_epoch_to_ts(spark, sf_dir):
+    """Created (epoch number, ISO text or junk) -> timestamp or NULL."""
+    s = _loaded_subs(spark, sf_dir).where(F.col("id").isNotNull())
+    return s.select("id", F.col("created").alias("created_raw"),
+                    C.epoch_to_ts("created").cast("timestamp_ntz").alias("created_at"))
+
+
+@register("flatten_price")
+def q_flatten_price(spark, sf_dir):
+    """First item's price fields; any missing level gives NULL."""
+    s = _loaded_subs(spark, sf_dir).where(F.col("id").isNotNull())
+    p = C.first_item_price("items")
+    return s.select(
+        "id",
+        p.getField("id").alias("current_price_id"),
+        p.getField("unit_amount").alias("unit_amount_cents"),
+        p.getField("currency").alias("currency"),
+        p.getField("recurring").getField("interval").alias("bill_interval"),
+        p.getField("recurring").getField("interval_count").alias("interval_count"),
+    )
+
+
+@register("metadata_json")
+def q_metadata_json(spark, sf_dir):
+    """Metadata map as JSON text; absent -> NULL."""
+    s = _loaded_subs(spark, sf_dir).where(F.col("id").isNotNull())
+    return s.select("id", C.metadata_json("metadata").alias("metadata"))
+
+
+@register("metadata_get")
+def q_metadata_get(spark, sf_dir):
+    """Key lookup in JSON text (events.props, key k)."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", C.json_get("props", "k").alias("k"))
+
+
+@register("nested_field")
+def q_nested_field(spark, sf_dir):
+    """default_source.currency with a NULL parent struct."""
+    c = _loaded_customers(spark, sf_dir).where(F.col("id").isNotNull())
+    return c.select(F.col("id").alias("stripe_customer_id"), F.col("default_source.currency").alias("default_currency"))
+
+
+@register("stamp_synced_at")
+def q_stamp_synced_at(spark, sf_dir):
+    """One run timestamp on every row."""
+    c = flatten.accepted(flatten.flatten_customers(_loaded_customers(spark, sf_dir), RUN_TS))
+    return c.select("stripe_customer_id", _ntz("synced_at"))
+
+
+@register("flatten_customer")
+def q_flatten_customer(spark, sf_dir):
+    """Whole customer rows."""
+    c = flatten.accepted(flatten.flatten_customers(_loaded_customers(spark, sf_dir), RUN_TS))
+    return _flat(c, flatten.CUSTOMER_COLUMNS)
+
+
+@register("flatten_subscription")
+def q_flatten_subscription(spark, sf_dir):
+    """P20: whole subscription rows (unknown statuses and bad created skipped)."""
+    s = flatten.accepted(flatten.flatten_subscriptions(_loaded_subs(spark, sf_dir), RUN_TS))
+    return _flat(s, flatten.SUBSCRIPTION_COLUMNS).withColumnRenamed("interval", "bill_interval")
+
+
+@register("flatten_invoice")
+def q_flatten_invoice(spark, sf_dir):
+    """Whole invoice rows."""
+    i = flatten.accepted(flatten.flatten_invoices(_loaded_invoices(spark, sf_dir), RUN_TS))
+    return _flat(i, flatten.INVOICE_COLUMNS)
+
+
+@register("valid_status")
+def q_valid_status(spark, sf_dir):
+    """admitted vs skipped statuses among loaded subscriptions."""
+    s = _loaded_subs(spark, sf_dir).where(F.col("id").isNotNull())
+    return s.groupBy("status").agg(F.count(F.lit(1)).alias("rows")).select(
+        "status", F.col("status").isin(*C.VALID_STATUSES).alias("admitted"), "rows"
+    )
+
+
+@register("skip_livemode")
+def q_skip_livemode(spark, sf_dir):
+    """test-mode customers only."""
+    c = raw.skip_livemode(fixtures.customers(spark, sf_dir))
+    return c.select("stripe_customer_id")
+
+
+@register("skip_no_items")
+def q_skip_no_items(spark, sf_dir):
+    """subscriptions dropped at load because they carry no item."""
+    p = raw.skip_livemode(raw.parse(raw.subscription_listing(spark, sf_dir), raw.RAW_SUBSCRIPTION))
+    empty = p.where(F.col("id").isNotNull() & (F.coalesce(F.size("items.data"), F.lit(0)) == 0))
+    return empty.select("id").distinct()
+
+
+@register("skip_malformed")
+def q_skip_malformed(spark, sf_dir):
+    """F8: rejected rows per entity and reason."""
+    parts = [
+        flatten.reject_counts(flatten.flatten_customers(_loaded_customers(spark, sf_dir), RUN_TS), "customers"),
+        flatten.reject_counts(flatten.flatten_subscriptions(_loaded_subs(spark, sf_dir), RUN_TS), "subscriptions"),
+        flatten.reject_counts(flatten.flatten_invoices(_loaded_invoices(spark, sf_dir), RUN_TS), "invoices"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("invoices_of_known_customers")
+def q_invoices_of_known_customers(spark, sf_dir):
+    """Accepted invoices whose customer was collected (left semi join)."""
+    cust = flatten.accepted(flatten.flatten_customers(_loaded_customers(spark, sf_dir), RUN_TS))
+    inv = flatten.accepted(flatten.flatten_invoices(_loaded_invoices(spark, sf_dir), RUN_TS))
+    return joins.restrict_to_known(inv, cust, "stripe_customer_id").select("stripe_invoice_id", "stripe_customer_id")
