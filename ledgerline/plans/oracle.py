@@ -435,3 +435,93 @@ ORACLE["invoices_of_known_customers"] = with_ctes(
     body="""SELECT id AS stripe_invoice_id, customer AS stripe_customer_id FROM linv
 WHERE r <> 5 AND customer IN (SELECT id FROM lcust WHERE r <> 5)""",
 )
+
+# ---------------------------------------------------------------------------------------
+# Tables: two loads by key parity, sync counts, bookmarks, incremental load
+# ---------------------------------------------------------------------------------------
+
+LOADS = """
+loads AS (
+  SELECT stripe_subscription_id, status, unit_amount_cents, CAST(substr(stripe_subscription_id, 5) AS BIGINT) AS n
+  FROM subs
+)"""
+
+ORACLE["staged_append"] = with_ctes(
+    SUBS,
+    body="""SELECT stripe_subscription_id, status, unit_amount_cents, CAST(NULL AS VARCHAR) AS current_price_id,
+       created_at, CAST(NULL AS TIMESTAMP) AS ended_at FROM subs""",
+)
+
+ORACLE["upsert_by_key"] = with_ctes(
+    SUBS, LOADS,
+    body="""SELECT stripe_subscription_id, status,
+       CASE WHEN n % 3 = 0 THEN unit_amount_cents + 100 ELSE unit_amount_cents END AS unit_amount_cents
+FROM loads WHERE n % 2 = 0 OR n % 3 = 0""",
+)
+
+ORACLE["upsert_counts"] = with_ctes(
+    SUBS, LOADS,
+    body="""SELECT COUNT(*) FILTER (WHERE n % 3 = 0 AND n % 2 <> 0) AS inserted,
+       COUNT(*) FILTER (WHERE n % 6 = 0) AS updated FROM loads""",
+)
+
+ORACLE["upsert_match"] = with_ctes(
+    SUBS, LOADS,
+    body="""SELECT stripe_subscription_id,
+       CASE WHEN n % 6 = 0 THEN 'matched' WHEN n % 3 = 0 THEN 'source_only' ELSE 'target_only' END AS side
+FROM loads WHERE n % 2 = 0 OR n % 3 = 0""",
+)
+
+ENTITY_COUNTS = """
+ecounts AS (
+  SELECT 'customers' AS entity,
+         (SELECT COUNT(*) FROM lcust) + (SELECT SUM(CASE WHEN ck % 4 = 0 THEN 2 ELSE 1 END) FROM rcust WHERE r = 17) AS fetched,
+         (SELECT COUNT(*) FROM lcust WHERE r <> 5) AS accepted,
+         (SELECT SUM(CASE WHEN ck % 4 = 0 THEN 2 ELSE 1 END) FROM rcust WHERE r = 17)
+           + (SELECT COUNT(*) FROM lcust WHERE r = 5) AS rejected
+  UNION ALL
+  SELECT 'subscriptions',
+         (SELECT COUNT(*) FROM lsubs) + (SELECT SUM(CASE WHEN n % 4 = 0 THEN 2 ELSE 1 END) FROM rsubs WHERE r = 17),
+         (SELECT COUNT(*) FROM lsubs WHERE r <> 5
+            AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')),
+         (SELECT SUM(CASE WHEN n % 4 = 0 THEN 2 ELSE 1 END) FROM rsubs WHERE r = 17)
+           + (SELECT COUNT(*) FROM lsubs
+              WHERE r = 5 OR raw_status NOT IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete'))
+  UNION ALL
+  SELECT 'invoices',
+         (SELECT COUNT(*) FROM linv) + (SELECT COUNT(*) FROM inv WHERE r = 17),
+         (SELECT COUNT(*) FROM linv WHERE r <> 5),
+         (SELECT COUNT(*) FROM inv WHERE r = 17) + (SELECT COUNT(*) FROM linv WHERE r = 5)
+)"""
+
+ORACLE["dry_run"] = with_ctes(
+    SUBS, RSUBS, RCUST, RINV, ENTITY_COUNTS,
+    body="""SELECT entity, fetched, 0 AS inserted, 0 AS updated, rejected FROM ecounts
+UNION ALL SELECT 'total', SUM(fetched), 0, 0, SUM(rejected) FROM ecounts""",
+)
+
+ORACLE["sync_summary"] = with_ctes(
+    SUBS, RSUBS, RCUST, RINV, ENTITY_COUNTS,
+    body="""SELECT entity, fetched, accepted AS inserted, 0 AS updated, rejected, 0 AS errors FROM ecounts
+UNION ALL SELECT 'total', SUM(fetched), SUM(accepted), 0, SUM(rejected), 0 FROM ecounts""",
+)
+
+ORACLE["watermark_read"] = f"""SELECT 'customers' AS sync_key, {RUN_TS} AS last_synced_at
+UNION ALL SELECT 'invoices', CAST(NULL AS TIMESTAMP)"""
+
+ORACLE["incremental_upsert"] = with_ctes(
+    SUBS, RSUBS,
+    body="""SELECT stripe_subscription_id, status,
+       CASE WHEN n % 3 = 0 THEN CAST('1' || unit_amount_cents AS BIGINT) ELSE unit_amount_cents END AS unit_amount_cents
+FROM lsubs
+WHERE (n % 2 = 0 OR n % 3 = 0) AND r <> 5
+  AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')""",
+)
+
+ORACLE["check_resync_idempotent"] = with_ctes(
+    SUBS, RSUBS,
+    body="""SELECT stripe_customer_id, COUNT(*) AS subs_before, COUNT(*) AS subs_after, true AS unchanged
+FROM lsubs
+WHERE r <> 5 AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')
+GROUP BY stripe_customer_id""",
+)

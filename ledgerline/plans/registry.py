@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
 from ledgerline.operators import flatten, joins, metric, reconcile
-from ledgerline.plans import checks
+from ledgerline.operators import upsert as upsert_ops
+from ledgerline.plans import checks, sync
 from ledgerline.plans.params import WINDOW_END, WINDOW_START
-from ledgerline.session import configure
+from ledgerline.schemas import SUBSCRIPTIONS_DDL
+from ledgerline.session import checkpoint_dir, configure
+from ledgerline.sinks import tables
+from ledgerline.streaming import incremental
 from ledgerline.sources import fixtures, raw
 from ledgerline.sources.base import table
 
@@ -328,3 +333,139 @@ def q_invoices_of_known_customers(spark, sf_dir):
     cust = flatten.accepted(flatten.flatten_customers(_loaded_customers(spark, sf_dir), RUN_TS))
     inv = flatten.accepted(flatten.flatten_invoices(_loaded_invoices(spark, sf_dir), RUN_TS))
     return joins.restrict_to_known(inv, cust, "stripe_customer_id").select("stripe_invoice_id", "stripe_customer_id")
+
+
+# ---------------------------------------------------------------------------------------
+# Tables: staging, upsert, counts, sync, bookmarks, incremental load
+# ---------------------------------------------------------------------------------------
+
+
+def _batches(spark, sf_dir):
+    """Two loads cut from the derived subscriptions by key parity.
+
+    First load: even ids. Second load: ids divisible by 3 with a price 100 cents higher
+    (ids divisible by 6 are in both, so they update; odd multiples of 3 insert).
+    """
+    subs = _subs(spark, sf_dir)
+    n = raw.numeric_id(F.col("stripe_subscription_id"))
+    first = subs.where(n % 2 == 0)
+    second = subs.where(n % 3 == 0).withColumn("unit_amount_cents", F.col("unit_amount_cents") + 100)
+    return first, second
+
+
+def _scratch(spark, tag: str) -> tables.Warehouse:
+    import uuid
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-scratch/{tag}-{uuid.uuid4().hex[:10]}"
+    return tables.Warehouse(f"ll_{tag}_{uuid.uuid4().hex[:8]}", root)
+
+
+@register("staged_append")
+def q_staged_append(spark, sf_dir):
+    """A partial batch cast to the full subscriptions schema (missing columns NULL)."""
+    subs = _subs(spark, sf_dir).select("stripe_subscription_id", "status", "unit_amount_cents", "created_at")
+    schema = spark.createDataFrame([], SUBSCRIPTIONS_DDL.replace(" NOT NULL", "")).schema
+    out = tables.align_to_schema(subs, schema)
+    return out.select("stripe_subscription_id", "status", "unit_amount_cents", "current_price_id",
+                      _ntz("created_at"), _ntz("ended_at"))
+
+
+@register("upsert_by_key")
+def q_upsert_by_key(spark, sf_dir):
+    """Table content after merging the second load into the first, by key."""
+    first, second = _batches(spark, sf_dir)
+    out = upsert_ops.upsert_state(first, second, "stripe_subscription_id")
+    return out.select("stripe_subscription_id", "status", "unit_amount_cents")
+
+
+@register("upsert_counts")
+def q_upsert_counts(spark, sf_dir):
+    """Inserted / updated counts of that merge."""
+    first, second = _batches(spark, sf_dir)
+    return upsert_ops.upsert_counts(first, second, "stripe_subscription_id")
+
+
+@register("upsert_match")
+def q_upsert_match(spark, sf_dir):
+    """Key match between target and source: matched / source_only / target_only."""
+    first, second = _batches(spark, sf_dir)
+    return upsert_ops.match_sides(first, second, "stripe_subscription_id")
+
+
+def _listings(spark, sf_dir):
+    return {
+        "customers": raw.customer_listing(spark, sf_dir),
+        "subscriptions": raw.subscription_listing(spark, sf_dir),
+        "invoices": raw.invoice_listing(spark, sf_dir),
+    }
+
+
+@register("dry_run")
+def q_dry_run(spark, sf_dir):
+    """Fetched and rejected counts of a sync that writes nothing."""
+    wh = _scratch(spark, "dry")
+    summary = sync.sync(spark, wh, _listings(spark, sf_dir), dt.datetime.fromisoformat(RUN_TS), dry_run=True)
+    return summary.select("entity", "fetched", "inserted", "updated", "rejected")
+
+
+@register("sync_summary")
+def q_sync_summary(spark, sf_dir):
+    """G16 (with B1, B2, B6, B4, B7): full-refresh sync into fresh tables, per-entity summary."""
+    wh = _scratch(spark, "sync")
+    summary = sync.sync(spark, wh, _listings(spark, sf_dir), dt.datetime.fromisoformat(RUN_TS), full_refresh=True)
+    return summary.select("entity", "fetched", "inserted", "updated", "rejected", "errors")
+
+
+@register("watermark_read")
+def q_watermark_read(spark, sf_dir):
+    """A9 (after B7): the bookmarks a completed sync left, read back per key."""
+    wh = _scratch(spark, "wm")
+    listings = {"customers": raw.customer_listing(spark, sf_dir)}
+    sync.sync(spark, wh, listings, dt.datetime.fromisoformat(RUN_TS))
+    got = tables.watermark_read(spark, wh, "customers")
+    missing = tables.watermark_read(spark, wh, "invoices")
+    return spark.createDataFrame(
+        [("customers", got), ("invoices", missing)], "sync_key string, last_synced_at timestamp_ntz"
+    )
+
+
+@register("incremental_upsert")
+def q_incremental_upsert(spark, sf_dir):
+    """Two arrivals of raw subscriptions streamed in (availableNow) plus an empty re-run."""
+    wh = _scratch(spark, "inc")
+    raw_root = f"{wh.root}/raw/subscriptions"
+    listing = raw.subscription_listing(spark, sf_dir)
+    n = raw.numeric_id(F.get_json_object("value", "$.id"))
+    first = listing.where(n % 2 == 0)
+    # second arrival: multiples of 3 with a changed price (text edit of the JSON line)
+    second = listing.where(n % 3 == 0).withColumn(
+        "value", F.regexp_replace("value", r'"unit_amount":(\d+)', '"unit_amount":1$1')
+    )
+    incremental.write_arrival(first, raw_root)
+    incremental.incremental_upsert(spark, wh, "subscriptions", raw_root)
+    incremental.write_arrival(second, raw_root)
+    incremental.incremental_upsert(spark, wh, "subscriptions", raw_root)
+    incremental.incremental_upsert(spark, wh, "subscriptions", raw_root)
+    return spark.table(wh.table("subscriptions")).select("stripe_subscription_id", "status", "unit_amount_cents")
+
+
+@register("check_resync_idempotent")
+def q_check_resync_idempotent(spark, sf_dir):
+    """C4: subscriptions per customer are unchanged by a second sync of the same objects."""
+    wh = _scratch(spark, "resync")
+    listings = {"subscriptions": raw.subscription_listing(spark, sf_dir)}
+    sync.sync(spark, wh, listings, dt.datetime.fromisoformat(RUN_TS), full_refresh=True)
+    before = checkpoint_table(spark, wh, "subscriptions").groupBy("stripe_customer_id").agg(
+        F.count(F.lit(1)).alias("subs_before"))
+    sync.sync(spark, wh, listings, dt.datetime.fromisoformat(RUN_TS))
+    after = spark.table(wh.table("subscriptions")).groupBy("stripe_customer_id").agg(F.count(F.lit(1)).alias("subs_after"))
+    return before.join(after, "stripe_customer_id", "full_outer").select(
+        "stripe_customer_id", "subs_before", "subs_after",
+        F.coalesce(F.col("subs_before") == F.col("subs_after"), F.lit(False)).alias("unchanged"),
+    )
+
+
+def checkpoint_table(spark, wh, name):
+    """Snapshot of a table that survives its later overwrite (reliable checkpoint, not local)."""
+    checkpoint_dir(spark)
+    return spark.table(wh.table(name)).checkpoint(eager=True)
