@@ -118,7 +118,8 @@ def metadata_get(m: str | Column, key: str) -> Column:
 
 def json_get(text: str | Column, key: str) -> Column:
     """Key lookup in JSON text (metadata after encoding, event props)."""
-    return F.get_json_object(_c(text), f"$.{key}")
+    path = f"$.{key}" if key.isidentifier() else f"$['{key}']"
+    return F.get_json_object(_c(text), path)
 
 
 def first_item_price(items: str | Column) -> Column:

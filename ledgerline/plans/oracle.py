@@ -525,3 +525,314 @@ FROM lsubs
 WHERE r <> 5 AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')
 GROUP BY stripe_customer_id""",
 )
+
+# ---------------------------------------------------------------------------------------
+# Scans, scalar functions, filters, aggregates, ordering, generator, series
+# ---------------------------------------------------------------------------------------
+
+AMT = """CASE WHEN lower(bill_interval) = 'month' THEN unit_amount_cents / interval_count / 100.0
+              WHEN lower(bill_interval) = 'year' THEN unit_amount_cents / 12.0 / interval_count / 100.0 END"""
+
+ORACLE["scan_subscriptions"] = with_ctes(
+    SUBS, ACTIVE,
+    body="""SELECT stripe_subscription_id, sd AS sub_start_date, cd AS sub_canceled_date, status, unit_amount_cents,
+       it AS interval_type, interval_count FROM active""",
+)
+ORACLE["dataset_param"] = ORACLE["mrr_monthly"]
+ORACLE["month_series"] = with_ctes(MONTHS, body="SELECT month_start FROM months")
+
+ORACLE["unnest_literal_dates"] = with_ctes(
+    SUBS,
+    body="""SELECT stripe_subscription_id, CAST(m AS DATE) AS month_start FROM (
+  SELECT stripe_subscription_id,
+         unnest([date_trunc('month', CAST(canceled_at AS DATE)) - INTERVAL 1 MONTH,
+                 date_trunc('month', CAST(canceled_at AS DATE))]) AS m
+  FROM subs
+  WHERE status = 'canceled' AND canceled_at IS NOT NULL
+    AND CAST(canceled_at AS DATE) >= DATE '1995-01-01' AND CAST(canceled_at AS DATE) < DATE '2002-01-01')""",
+)
+
+_SUB_TYPES = {
+    "unit_amount_cents": "bigint", "interval_count": "bigint", "livemode": "boolean",
+    **{c: "timestamp" for c in ["billing_cycle_anchor", "current_period_start", "current_period_end", "start_date",
+                                "canceled_at", "ended_at", "created_at", "synced_at"]},
+}
+_SUB_COLUMNS = [
+    "stripe_subscription_id", "stripe_customer_id", "status", "current_price_id", "unit_amount_cents", "currency",
+    "interval", "interval_count", "billing_cycle_anchor", "current_period_start", "current_period_end", "start_date",
+    "canceled_at", "ended_at", "created_at", "livemode", "idempotency_key", "metadata", "synced_at",
+]
+ORACLE["table_schema"] = "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{c}', '{_SUB_TYPES.get(c, 'string')}')" for i, c in enumerate(_SUB_COLUMNS)
+) + ") AS t(ordinal, column_name, data_type)"
+
+ORACLE["ts_to_date"] = with_ctes(SUBS, body="SELECT stripe_subscription_id, CAST(start_date AS DATE) AS sub_start_date FROM subs")
+ORACLE["nullable_ts_to_date"] = with_ctes(
+    SUBS, body="SELECT stripe_subscription_id, CAST(canceled_at AS DATE) AS sub_canceled_date FROM subs")
+ORACLE["lower_interval"] = with_ctes(SUBS, body="SELECT stripe_subscription_id, lower(bill_interval) AS interval_type FROM subs")
+ORACLE["normalize_monthly"] = with_ctes(SUBS, body=f"SELECT stripe_subscription_id, {money(AMT)} AS monthly_amount FROM subs")
+ORACLE["last_day"] = with_ctes(SUBS, body="SELECT stripe_subscription_id, last_day(CAST(start_date AS DATE)) AS month_end FROM subs")
+ORACLE["coalesce_zero"] = with_ctes(
+    SUBS, body=f"SELECT stripe_subscription_id, {money('COALESCE(' + AMT + ', 0)')} AS monthly_amount FROM subs")
+ORACLE["cast_numeric"] = with_ctes(
+    SUBS, body=f"SELECT stripe_subscription_id, CAST({AMT} AS DECIMAL(38,9)) AS monthly_numeric FROM subs")
+ORACLE["round_cents"] = with_ctes(SUBS, body=f"SELECT stripe_subscription_id, ROUND({AMT}, 2) AS monthly_rounded FROM subs")
+ORACLE["date_add_day"] = with_ctes(
+    SUBS, body="SELECT stripe_subscription_id, CAST(canceled_at AS DATE) + 1 AS day_after_cancel FROM subs")
+ORACLE["month_floor"] = with_ctes(
+    SUBS, body="SELECT stripe_subscription_id, CAST(date_trunc('month', CAST(start_date AS DATE)) AS DATE) AS start_month FROM subs")
+ORACLE["prev_month"] = with_ctes(
+    SUBS,
+    body="""SELECT stripe_subscription_id,
+       CAST(date_trunc('month', CAST(canceled_at AS DATE)) - INTERVAL 1 MONTH AS DATE) AS month_before_cancel FROM subs""",
+)
+ORACLE["cast_int"] = with_ctes(SUBS, body="SELECT stripe_subscription_id, CAST(unit_amount_cents AS BIGINT) AS cents FROM subs")
+
+PLANS = """
+draws AS (
+  SELECT c_custkey - 1 AS cust_idx,
+         1 + CAST(('0x' || substr(md5('42:status:' || (c_custkey - 1)), 1, 8)) AS BIGINT) % 100 AS d_status,
+         CAST(('0x' || substr(md5('42:start_month:' || (c_custkey - 1)), 1, 8)) AS BIGINT) % 5 AS start_month,
+         CAST(('0x' || substr(md5('42:tier:' || (c_custkey - 1)), 1, 8)) AS BIGINT) % 3 AS tier_pos,
+         CAST(('0x' || substr(md5('42:tier_change_roll:' || (c_custkey - 1)), 1, 8)) AS BIGINT) / 4294967296.0 AS roll,
+         1 + CAST(('0x' || substr(md5('42:tier_change_delta:' || (c_custkey - 1)), 1, 8)) AS BIGINT) % 2 AS delta,
+         1 + CAST(('0x' || substr(md5('42:new_tier:' || (c_custkey - 1)), 1, 8)) AS BIGINT) % 2 AS new_pos,
+         3 + CAST(('0x' || substr(md5('42:cancel_month:' || (c_custkey - 1)), 1, 8)) AS BIGINT) % 2 AS cancel_draw
+  FROM customer
+),
+p1 AS (
+  SELECT *,
+         CASE WHEN d_status <= 70 THEN 'active' WHEN d_status <= 90 THEN 'canceled' ELSE 'past_due' END AS status,
+         ['basic', 'pro', 'enterprise'][tier_pos + 1] AS initial_tier,
+         start_month + delta AS change_m
+  FROM draws
+),
+p2 AS (
+  SELECT *,
+         (status <> 'past_due' AND roll < 0.3 AND change_m <= 4) AS has_change,
+         list_filter(['basic', 'pro', 'enterprise'], lambda t: t <> initial_tier)[new_pos] AS pick
+  FROM p1
+),
+plans AS (
+  SELECT cust_idx, status, start_month, initial_tier,
+         CASE WHEN has_change THEN change_m END AS tier_change_month,
+         CASE WHEN has_change THEN pick END AS new_tier,
+         CASE WHEN status = 'canceled' THEN
+              CASE WHEN has_change AND cancel_draw <= change_m THEN least(change_m + 1, 5) ELSE cancel_draw END
+         END AS cancel_month
+  FROM p2
+)"""
+
+ORACLE["format_id"] = with_ctes(
+    PLANS,
+    body="""SELECT cust_idx, printf('mrr-seed-%03d@example.com', cust_idx + 1) AS email,
+       printf('Test Customer %03d', cust_idx + 1) AS name,
+       'seed-sub-cus_seed_' || cust_idx || '-v0' AS idempotency_key FROM plans""",
+)
+ORACLE["batch_index"] = with_ctes(
+    PLANS, body="SELECT cust_idx, CAST(floor(cust_idx / 3) AS BIGINT) AS batch, (COUNT(*) OVER () + 2) // 3 AS batches FROM plans")
+
+ORACLE["ever_activated"] = with_ctes(
+    SUBS, body="SELECT stripe_subscription_id, status FROM subs WHERE status NOT IN ('incomplete', 'incomplete_expired')")
+ORACLE["start_boundary"] = with_ctes(
+    SUBS, MONTHS, ACTIVE,
+    body="""SELECT m.month_start, COUNT(a.sd) AS started
+FROM months m LEFT JOIN active a ON a.sd <= last_day(m.month_start) GROUP BY m.month_start""",
+)
+ORACLE["cancel_boundary"] = with_ctes(
+    SUBS, MONTHS, ACTIVE,
+    body="""SELECT m.month_start, COUNT(a.cd) AS canceled
+FROM months m LEFT JOIN active a ON a.cd <= last_day(m.month_start) GROUP BY m.month_start""",
+)
+ORACLE["supported_interval"] = with_ctes(
+    SUBS, body=f"SELECT stripe_subscription_id, lower(bill_interval) AS interval_type FROM subs WHERE {AMT} IS NOT NULL")
+
+CANCELED_RANGE = f"""
+cr AS (
+  SELECT stripe_subscription_id, CAST(canceled_at AS DATE) AS cancel_date FROM subs
+  WHERE status = 'canceled' AND canceled_at IS NOT NULL
+    AND CAST(canceled_at AS DATE) >= DATE '1994-11-01' AND CAST(canceled_at AS DATE) < DATE '{WINDOW_END}'
+)"""
+ORACLE["canceled_in_range"] = with_ctes(SUBS, CANCELED_RANGE, body="SELECT * FROM cr")
+ORACLE["exclude_ids"] = with_ctes(
+    SUBS, TIER_PAIRS,
+    body="""SELECT stripe_subscription_id FROM subs
+WHERE stripe_subscription_id NOT IN (SELECT v0_sub_id FROM tc UNION SELECT v1_sub_id FROM tc)""",
+)
+ORACLE["name_pattern"] = with_ctes(
+    PLANS,
+    body="""SELECT email FROM (
+  SELECT printf('mrr-seed-%03d@example.com', cust_idx + 1) AS email FROM plans
+  UNION ALL SELECT lower(c_name) || '@example.com' FROM customer
+) WHERE contains(email, 'mrr-seed-') OR contains(email, 'smoke-test-')""",
+)
+ORACLE["metadata_predicate"] = """SELECT event_id, user_id FROM events
+WHERE json_extract_string(props, '$.k') = '7' AND event_type = 'purchase'"""
+
+TIER_PRICES = """
+tp AS (
+  SELECT ['basic', 'pro', 'enterprise'][p_partkey % 3 + 1] AS tier,
+         arg_min('price_' || p_partkey, p_partkey) AS price_id,
+         arg_min(CAST(round(p_retailprice * 100) AS BIGINT), p_partkey) AS unit_amount,
+         COUNT(*) AS candidates
+  FROM part
+  WHERE p_partkey % 7 = 0 AND p_partkey % 4 <> 0 AND p_partkey % 5 <> 0 AND p_partkey % 6 <> 0 AND p_partkey % 11 <> 0
+  GROUP BY 1
+)"""
+ORACLE["price_catalog_filter"] = with_ctes(TIER_PRICES, body="SELECT tier, price_id, unit_amount, candidates FROM tp")
+ORACLE["price_resolution_count"] = with_ctes(
+    TIER_PRICES, body="SELECT COUNT(tier) AS tiers_resolved, COUNT(DISTINCT price_id) AS distinct_prices FROM tp")
+
+ORACLE["sensitive_token_scan"] = """SELECT doc_id, array_to_string(m, ',') AS markers FROM (
+  SELECT doc_id, list_filter([
+    CASE WHEN contains(text, 'sk_test_') THEN 'sk_test_' END,
+    CASE WHEN contains(text, 'sk_live_') THEN 'sk_live_' END,
+    CASE WHEN contains(text, 'GOOGLE_APPLICATION_CREDENTIALS') THEN 'GOOGLE_APPLICATION_CREDENTIALS' END,
+    CASE WHEN contains(text, 'service_account') THEN 'service_account' END,
+    CASE WHEN contains(text, 'client_secret') THEN 'client_secret' END], lambda x: x IS NOT NULL) AS m
+  FROM documents
+) WHERE len(m) > 0"""
+
+ORACLE["new_customers_only"] = """SELECT 'cus_' || c_custkey AS stripe_customer_id, lower(c_name) || '@example.com' AS email
+FROM customer
+WHERE lower(c_name) || '@example.com' NOT IN (
+  SELECT lower(c_name) || '@example.com' FROM customer WHERE CAST(floor(c_custkey / 3) AS BIGINT) % 2 = 0)"""
+
+ORACLE["tier_price_lookup"] = with_ctes(
+    PLANS,
+    body="""SELECT p.initial_tier AS tier, p.cust_idx, d.amount_cents FROM plans p
+LEFT JOIN (VALUES ('basic', 5000), ('pro', 10000), ('enterprise', 25000)) AS d(tier, amount_cents)
+  ON d.tier = p.initial_tier""",
+)
+
+ORACLE["status_count_and_sum"] = with_ctes(
+    SUBS, body="SELECT status, COUNT(*) AS cnt, COALESCE(SUM(unit_amount_cents), 0) AS total_cents FROM subs GROUP BY status")
+ORACLE["distinct_customers"] = with_ctes(SUBS, body="SELECT COUNT(DISTINCT stripe_customer_id) AS customers FROM subs")
+ORACLE["multi_sub_customers"] = with_ctes(
+    SUBS,
+    body="SELECT COUNT(*) AS customers FROM (SELECT stripe_customer_id FROM subs GROUP BY 1 HAVING COUNT(*) >= 2)",
+)
+ORACLE["customer_sub_count"] = with_ctes(
+    SUBS, body="SELECT stripe_customer_id, COUNT(*) AS subscriptions FROM subs GROUP BY stripe_customer_id")
+ORACLE["table_row_counts"] = """SELECT 'customers' AS table_name, COUNT(*) AS rows FROM customer
+UNION ALL SELECT 'subscriptions', COUNT(*) FROM orders
+UNION ALL SELECT 'invoices', COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+ORACLE["status_distribution"] = with_ctes(
+    PLANS,
+    body="""SELECT status, n AS customers, pct,
+       CASE status WHEN 'active' THEN pct BETWEEN 65 AND 75 WHEN 'canceled' THEN pct BETWEEN 15 AND 25
+                   ELSE pct BETWEEN 8 AND 12 END AS in_band
+FROM (SELECT status, COUNT(*) AS n, COUNT(*) * 100 // SUM(COUNT(*)) OVER () AS pct FROM plans GROUP BY status)""",
+)
+ORACLE["distinct_start_months"] = with_ctes(PLANS, body="SELECT COUNT(DISTINCT start_month) AS start_months FROM plans")
+ORACLE["tier_change_rate"] = with_ctes(
+    PLANS,
+    body="""SELECT eligible, changed, changed >= eligible * 0.2 AND changed <= eligible * 0.35 AS in_band FROM (
+  SELECT COUNT(*) AS eligible, COUNT(tier_change_month) AS changed FROM plans WHERE status <> 'past_due')""",
+)
+
+ORACLE["order_by_month"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS,
+    body=f"""SELECT month, mrr_amount, row_number() OVER (ORDER BY month) AS ordinal FROM (
+  SELECT month_start AS month, {money('SUM(amt)')} AS mrr_amount FROM pairs WHERE amt IS NOT NULL GROUP BY month_start)""",
+)
+ORACLE["first_by_key"] = with_ctes(
+    SUBS, CANCELED_RANGE, body="SELECT stripe_subscription_id FROM cr ORDER BY stripe_subscription_id LIMIT 1")
+ORACLE["limit_one"] = with_ctes(
+    SUBS,
+    body="""SELECT stripe_customer_id, COUNT(*) AS subscriptions FROM subs GROUP BY 1 HAVING COUNT(*) >= 2
+ORDER BY stripe_customer_id LIMIT 1""",
+)
+ORACLE["row_limit"] = with_ctes(
+    SUBS, body="SELECT stripe_subscription_id FROM subs ORDER BY stripe_subscription_id LIMIT 1000")
+ORACLE["monotone_months"] = with_ctes(
+    MONTHS,
+    body="""SELECT COUNT(*) AS points, MIN(month_start) AS first_month, MAX(month_start) AS last_month,
+       true AS contiguous FROM months""",
+)
+ORACLE["other_tiers"] = with_ctes(
+    PLANS,
+    body="""SELECT cust_idx, array_to_string(list_filter(['basic', 'pro', 'enterprise'], lambda t: t <> initial_tier), ',')
+       AS other_tiers FROM plans""",
+)
+
+ORACLE["lifecycle_plan"] = with_ctes(
+    PLANS, body="SELECT cust_idx, status, start_month, initial_tier, tier_change_month, new_tier, cancel_month FROM plans")
+
+GEN_SUBS = """
+gen AS (
+  SELECT 'sub_seed_' || cust_idx || '_v0' AS stripe_subscription_id, 'cus_seed_' || cust_idx AS stripe_customer_id,
+         status AS plan_status, initial_tier AS tier,
+         TIMESTAMP '2025-11-03 00:00:00' + to_days(CAST(30 * start_month AS INTEGER)) AS start_date,
+         CASE WHEN tier_change_month IS NOT NULL
+                THEN TIMESTAMP '2025-11-03 00:00:00' + to_days(CAST(30 * tier_change_month AS INTEGER))
+              WHEN cancel_month IS NOT NULL AND cancel_month >= start_month
+                THEN TIMESTAMP '2025-11-03 00:00:00' + to_days(CAST(30 * cancel_month AS INTEGER)) END AS canceled_at
+  FROM plans
+  UNION ALL
+  SELECT 'sub_seed_' || cust_idx || '_v1', 'cus_seed_' || cust_idx, status, new_tier,
+         TIMESTAMP '2025-11-03 00:00:00' + to_days(CAST(30 * tier_change_month AS INTEGER)),
+         CASE WHEN cancel_month IS NOT NULL AND cancel_month >= start_month
+                THEN TIMESTAMP '2025-11-03 00:00:00' + to_days(CAST(30 * cancel_month AS INTEGER)) END
+  FROM plans WHERE tier_change_month IS NOT NULL
+),
+gsubs AS (
+  SELECT stripe_subscription_id, stripe_customer_id,
+         CASE WHEN canceled_at IS NOT NULL THEN 'canceled' WHEN plan_status = 'past_due' THEN 'past_due' ELSE 'active' END AS status,
+         CAST(CASE tier WHEN 'basic' THEN 5000 WHEN 'pro' THEN 10000 ELSE 25000 END AS BIGINT) AS unit_amount_cents,
+         start_date, canceled_at
+  FROM gen
+)"""
+ORACLE["lifecycle_to_subscriptions"] = with_ctes(PLANS, GEN_SUBS, body="SELECT * FROM gsubs")
+ORACLE["lifecycle_mrr"] = with_ctes(
+    PLANS, GEN_SUBS,
+    body=f"""SELECT m.month_start AS month,
+       {money('COALESCE(SUM(CASE WHEN g.stripe_subscription_id IS NOT NULL THEN g.unit_amount_cents / 100.0 END), 0)')} AS mrr_amount
+FROM (SELECT CAST(unnest(generate_series(DATE '2025-11-01', DATE '2026-05-01', INTERVAL 1 MONTH)) AS DATE) AS month_start) m
+LEFT JOIN gsubs g
+  ON CAST(g.start_date AS DATE) <= last_day(m.month_start)
+ AND (g.canceled_at IS NULL OR CAST(g.canceled_at AS DATE) > last_day(m.month_start))
+GROUP BY m.month_start""",
+)
+ORACLE["check_plan_invariants"] = with_ctes(
+    PLANS,
+    body="""SELECT
+  COUNT(*) FILTER (WHERE tier_change_month IS NOT NULL AND tier_change_month <= start_month) AS change_not_after_start,
+  COUNT(*) FILTER (WHERE tier_change_month IS NOT NULL AND cancel_month IS NOT NULL AND cancel_month <= tier_change_month)
+    AS cancel_not_after_change,
+  COUNT(*) FILTER (WHERE tier_change_month IS NOT NULL AND new_tier = initial_tier) AS same_tier_change,
+  COUNT(*) FILTER (WHERE status = 'past_due' AND tier_change_month IS NOT NULL) AS past_due_changed,
+  COUNT(*) FILTER (WHERE start_month < 0 OR start_month > 4) AS start_out_of_range,
+  COUNT(*) FILTER (WHERE status <> 'past_due') AS eligible,
+  COUNT(*) FILTER (WHERE status <> 'past_due' AND tier_change_month IS NOT NULL) AS changed
+FROM plans""",
+)
+
+FILLED = """
+filled AS (
+  SELECT m.month_start AS month, CAST(ROUND(COALESCE(SUM(p.amt), 0), 2) AS DECIMAL(18,2)) AS mrr_amount
+  FROM months m LEFT JOIN pairs p ON p.month_start = m.month_start AND p.amt IS NOT NULL
+  GROUP BY m.month_start
+)"""
+ORACLE["json_series_write"] = with_ctes(
+    MONTHS,
+    body="""SELECT COUNT(*) AS points, strftime(MIN(month_start), '%Y-%m-%d') AS first_month,
+       strftime(MAX(month_start), '%Y-%m-%d') AS last_month FROM months""",
+)
+ORACLE["json_series_read"] = with_ctes(SUBS, MONTHS, ACTIVE, PAIRS, FILLED, body="SELECT month, mrr_amount FROM filled")
+ORACLE["month_label"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS, FILLED, body="SELECT month, strftime(month, '%b %Y') AS month_label FROM filled")
+ORACLE["currency_label"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS, FILLED,
+    body="""SELECT month, '$' || format('{:,.2f}', CAST(mrr_amount AS DOUBLE)) AS amount_label,
+       '$' || format('{:,.0f}', CAST(mrr_amount AS DOUBLE)) AS axis_label FROM filled""",
+)
+ORACLE["iso_month"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS, FILLED, body="SELECT strftime(month, '%Y-%m-%d') AS month_iso, month FROM filled")
+ORACLE["series_min_max"] = with_ctes(
+    SUBS, MONTHS, ACTIVE, PAIRS, FILLED,
+    body="""SELECT MIN(mrr_amount) AS min_amount, MAX(mrr_amount) AS max_amount,
+       arg_min(mrr_amount, month) AS first_amount, arg_max(mrr_amount, month) AS last_amount,
+       MIN(month) AS first_month, MAX(month) AS last_month FROM filled""",
+)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
 from ledgerline.operators import flatten, joins, metric, reconcile
+from ledgerline.operators import relational, sqlform
 from ledgerline.operators import upsert as upsert_ops
-from ledgerline.plans import checks, sync
+from ledgerline.plans import checks, series, synth, sync
 from ledgerline.plans.params import WINDOW_END, WINDOW_START
 from ledgerline.schemas import SUBSCRIPTIONS_DDL
 from ledgerline.session import checkpoint_dir, configure
@@ -469,3 +470,443 @@ def checkpoint_table(spark, wh, name):
     """Snapshot of a table that survives its later overwrite (reliable checkpoint, not local)."""
     checkpoint_dir(spark)
     return spark.table(wh.table(name)).checkpoint(eager=True)
+
+
+# ---------------------------------------------------------------------------------------
+# Scans and scalar projections
+# ---------------------------------------------------------------------------------------
+
+
+@register("scan_subscriptions")
+def q_scan_subscriptions(spark, sf_dir):
+    """A5 (+F1): the six-column projection the metric scans, never-activated statuses removed."""
+    out = metric.active_subscriptions(_subs(spark, sf_dir))
+    return out.select("stripe_subscription_id", "sub_start_date", "sub_canceled_date", "status",
+                      "unit_amount_cents", "interval_type", "interval_count")
+
+
+@register("dataset_param")
+def q_dataset_param(spark, sf_dir):
+    """The metric as SQL over a table name passed as a parameter (IDENTIFIER(:tbl))."""
+    import uuid
+
+    view = f"ll_subscriptions_{uuid.uuid4().hex[:8]}"
+    _subs(spark, sf_dir).createOrReplaceTempView(view)
+    out = sqlform.mrr_monthly_sql(spark, view, WINDOW_START, WINDOW_END)
+    return out.select("month", _money("mrr_amount").alias("mrr_amount"))
+
+
+@register("month_series")
+def q_month_series(spark, sf_dir):
+    """First-of-month dates of the window, inclusive."""
+    return metric.month_series(spark, WINDOW_START, WINDOW_END)
+
+
+@register("unnest_literal_dates")
+def q_unnest_literal_dates(spark, sf_dir):
+    """A two-date array (previous month, cancel month) to rows, per canceled subscription."""
+    c = relational.canceled_in_range(_subs(spark, sf_dir), "1995-01-01", "2002-01-01")
+    cm = C.month_floor(C.nullable_ts_to_date("canceled_at"))
+    return c.select("stripe_subscription_id", F.explode(F.array(C.prev_month(cm), cm)).alias("month_start"))
+
+
+@register("table_schema")
+def q_table_schema(spark, sf_dir):
+    """Column list and types of the flattened subscriptions, as rows."""
+    flat = flatten.flatten_subscriptions(_loaded_subs(spark, sf_dir), RUN_TS).drop("reject_reason")
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(flat.schema.fields)]
+    return spark.createDataFrame(rows, "ordinal int, column_name string, data_type string")
+
+
+def _projection(spark, sf_dir, *cols):
+    return _subs(spark, sf_dir).select("stripe_subscription_id", *cols)
+
+
+@register("ts_to_date")
+def q_ts_to_date(spark, sf_dir):
+    """UTC date of the start instant."""
+    return _projection(spark, sf_dir, C.ts_to_date("start_date").alias("sub_start_date"))
+
+
+@register("nullable_ts_to_date")
+def q_nullable_ts_to_date(spark, sf_dir):
+    """UTC date of the cancel instant, NULL kept."""
+    return _projection(spark, sf_dir, C.nullable_ts_to_date("canceled_at").alias("sub_canceled_date"))
+
+
+@register("lower_interval")
+def q_lower_interval(spark, sf_dir):
+    """Case-folded billing interval."""
+    return _projection(spark, sf_dir, C.lower_interval("interval").alias("interval_type"))
+
+
+@register("normalize_monthly")
+def q_normalize_monthly(spark, sf_dir):
+    """Monthly dollars (NULL for day/week/unknown intervals)."""
+    amt = C.normalize_monthly("unit_amount_cents", "interval", "interval_count")
+    return _projection(spark, sf_dir, _money(amt).alias("monthly_amount"))
+
+
+@register("last_day")
+def q_last_day(spark, sf_dir):
+    """P5: last day of the start month."""
+    return _projection(spark, sf_dir, C.last_day(C.ts_to_date("start_date")).alias("month_end"))
+
+
+@register("coalesce_zero")
+def q_coalesce_zero(spark, sf_dir):
+    """Monthly amount with NULL -> 0."""
+    amt = C.coalesce_zero(C.normalize_monthly("unit_amount_cents", "interval", "interval_count"))
+    return _projection(spark, sf_dir, _money(amt).alias("monthly_amount"))
+
+
+@register("cast_numeric")
+def q_cast_numeric(spark, sf_dir):
+    """Monthly amount (double) as NUMERIC(38,9)."""
+    amt = C.normalize_monthly("unit_amount_cents", "interval", "interval_count")
+    return _projection(spark, sf_dir, C.cast_numeric(amt).alias("monthly_numeric"))
+
+
+@register("round_cents")
+def q_round_cents(spark, sf_dir):
+    """ROUND(amount, 2) as a double."""
+    amt = C.normalize_monthly("unit_amount_cents", "interval", "interval_count")
+    return _projection(spark, sf_dir, C.round_cents(amt).alias("monthly_rounded"))
+
+
+@register("date_add_day")
+def q_date_add_day(spark, sf_dir):
+    """The day after the cancel date."""
+    return _projection(spark, sf_dir, C.date_add_day(C.nullable_ts_to_date("canceled_at")).alias("day_after_cancel"))
+
+
+@register("month_floor")
+def q_month_floor(spark, sf_dir):
+    """P10: first of the start month."""
+    return _projection(spark, sf_dir, C.month_floor(C.ts_to_date("start_date")).alias("start_month"))
+
+
+@register("prev_month")
+def q_prev_month(spark, sf_dir):
+    """The month before the cancel month (January rolls to December)."""
+    return _projection(spark, sf_dir, C.prev_month(C.nullable_ts_to_date("canceled_at")).alias("month_before_cancel"))
+
+
+@register("cast_int")
+def q_cast_int(spark, sf_dir):
+    """Cents as INT64."""
+    return _projection(spark, sf_dir, C.cast_int("unit_amount_cents").alias("cents"))
+
+
+def _plans(spark, sf_dir):
+    return synth.plans_for_customers(table(spark, sf_dir, "customer"))
+
+
+@register("format_id")
+def q_format_id(spark, sf_dir):
+    """P25: zero-padded seed e-mails, names and idempotency keys."""
+    p = _plans(spark, sf_dir)
+    cus = F.concat(F.lit("cus_seed_"), F.col("cust_idx").cast("string"))
+    return p.select("cust_idx", "email", "name", C.seed_idempotency_key(cus, 0).alias("idempotency_key"))
+
+
+@register("batch_index")
+def q_batch_index(spark, sf_dir):
+    """Batch of three per customer index, and the ceil-div number of batches."""
+    p = _plans(spark, sf_dir).select("cust_idx")
+    total = F.count(F.lit(1)).over(Window.partitionBy())
+    return p.select("cust_idx", C.batch_index("cust_idx").alias("batch"), C.batch_count(total).alias("batches"))
+
+
+# ---------------------------------------------------------------------------------------
+# Filters, joins, aggregates, ordering, set operations
+# ---------------------------------------------------------------------------------------
+
+
+@register("ever_activated")
+def q_ever_activated(spark, sf_dir):
+    """never-activated statuses removed (NULL status dropped, as SQL NOT IN does)."""
+    s = _subs(spark, sf_dir)
+    return s.where(~F.col("status").isin(*C.NEVER_ACTIVATED)).select("stripe_subscription_id", "status")
+
+
+@register("start_boundary")
+def q_start_boundary(spark, sf_dir):
+    """per month of the window, activated subscriptions started on or before its last day."""
+    s = _subs(spark, sf_dir).where(~F.col("status").isin(*C.NEVER_ACTIVATED)).where(F.col("start_date").isNotNull())
+    sd = C.ts_to_date("start_date")
+    first = F.greatest(C.month_floor(sd), F.lit(WINDOW_START).cast("date"))
+    per_month = s.groupBy(first.alias("month_start")).agg(F.count(F.lit(1)).alias("n"))
+    return _running(spark, per_month, "started")
+
+
+def _running(spark, per_month, name):
+    """Running total over the window's months (one row per month: a bounded, single-partition window)."""
+    months = metric.month_series(spark, WINDOW_START, WINDOW_END)
+    w = Window.orderBy("month_start").rowsBetween(Window.unboundedPreceding, 0)
+    return months.join(per_month, "month_start", "left").fillna(0, ["n"]).select(
+        "month_start", F.sum("n").over(w).cast("bigint").alias(name))
+
+
+@register("cancel_boundary")
+def q_cancel_boundary(spark, sf_dir):
+    """per month, activated subscriptions canceled on or before its last day (cumulative)."""
+    s = _subs(spark, sf_dir).where(~F.col("status").isin(*C.NEVER_ACTIVATED)).where(F.col("canceled_at").isNotNull())
+    first = F.greatest(C.month_floor(C.nullable_ts_to_date("canceled_at")), F.lit(WINDOW_START).cast("date"))
+    per_month = s.groupBy(first.alias("month_start")).agg(F.count(F.lit(1)).alias("n"))
+    return _running(spark, per_month, "canceled")
+
+
+@register("supported_interval")
+def q_supported_interval(spark, sf_dir):
+    """subscriptions whose monthly amount is defined (month/year intervals)."""
+    amt = C.normalize_monthly("unit_amount_cents", "interval", "interval_count")
+    return _subs(spark, sf_dir).where(amt.isNotNull()).select("stripe_subscription_id", C.lower_interval("interval").alias("interval_type"))
+
+
+@register("canceled_in_range")
+def q_canceled_in_range(spark, sf_dir):
+    """canceled with a cancel date in [window start + 1 month, window end)."""
+    s = relational.canceled_in_range(_subs(spark, sf_dir), "1994-11-01", WINDOW_END)
+    return s.select("stripe_subscription_id", C.nullable_ts_to_date("canceled_at").alias("cancel_date"))
+
+
+@register("exclude_ids")
+def q_exclude_ids(spark, sf_dir):
+    """subscriptions outside every tier-change pair (anti join on a data-sized id set)."""
+    subs = _subs(spark, sf_dir)
+    pairs = reconcile.tier_change_pairs(subs, WINDOW_START, WINDOW_END)
+    ids = pairs.select(F.explode(F.array("v0_sub_id", "v1_sub_id")).alias("id"))
+    return relational.exclude_ids(subs, "stripe_subscription_id", ids).select("stripe_subscription_id")
+
+
+@register("name_pattern")
+def q_name_pattern(spark, sf_dir):
+    """seed customers by e-mail marker, among plan e-mails and derived customers."""
+    plans = _plans(spark, sf_dir).select(F.col("email"))
+    cust = fixtures.customers(spark, sf_dir).select("email")
+    return relational.seed_customers(plans.unionByName(cust)).select("email")
+
+
+@register("metadata_predicate")
+def q_metadata_predicate(spark, sf_dir):
+    """events whose props k = '7' and whose type is 'purchase'."""
+    ev = table(spark, sf_dir, "events")
+    out = relational.metadata_predicate(ev, "props", "k", "7", F.col("event_type") == "purchase")
+    return out.select("event_id", "user_id")
+
+
+@register("price_catalog_filter")
+def q_price_catalog_filter(spark, sf_dir):
+    """first matching price per tier on the seed product."""
+    t = relational.tier_prices(relational.price_catalog(spark, sf_dir))
+    return t.select("tier", "price_id", "unit_amount", "candidates")
+
+
+@register("sensitive_token_scan")
+def q_sensitive_token_scan(spark, sf_dir):
+    """documents containing any credential marker (whole texts)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = relational.sensitive_token_scan(docs, "text")
+    return out.select("doc_id", F.array_join("markers", ",").alias("markers"))
+
+
+@register("new_customers_only")
+def q_new_customers_only(spark, sf_dir):
+    """Candidate customers whose e-mail does not exist yet (existing = even clocks)."""
+    c = fixtures.customers(spark, sf_dir)
+    clock_no = raw.numeric_id(F.col("test_clock_id"))
+    existing = c.where(clock_no % 2 == 0).select("email")
+    return joins.new_only(c.select("stripe_customer_id", "email"), existing, "email").select("stripe_customer_id", "email")
+
+
+@register("tier_price_lookup")
+def q_tier_price_lookup(spark, sf_dir):
+    """Plan tier -> monthly price, through the three-row tier dimension."""
+    plans = _plans(spark, sf_dir).select("cust_idx", F.col("initial_tier").alias("tier"))
+    dim = relational.tier_dimension(spark)
+    return joins.lookup_small_dimension(plans, dim, "tier", max_rows=len(relational.TIER_ORDER))
+
+
+@register("status_count_and_sum")
+def q_status_count_and_sum(spark, sf_dir):
+    """COUNT(*) and SUM(cents) per status."""
+    return relational.status_count_and_sum(_subs(spark, sf_dir))
+
+
+@register("distinct_customers")
+def q_distinct_customers(spark, sf_dir):
+    """Exact distinct customers."""
+    return relational.distinct_customers(_subs(spark, sf_dir))
+
+
+@register("multi_sub_customers")
+def q_multi_sub_customers(spark, sf_dir):
+    """Customers with two or more subscriptions."""
+    return relational.multi_sub_customers(_subs(spark, sf_dir))
+
+
+@register("customer_sub_count")
+def q_customer_sub_count(spark, sf_dir):
+    """Subscriptions per customer."""
+    return relational.customer_sub_count(_subs(spark, sf_dir))
+
+
+@register("table_row_counts")
+def q_table_row_counts(spark, sf_dir):
+    """Rows per derived table."""
+    return relational.table_row_counts({
+        "customers": fixtures.customers(spark, sf_dir),
+        "subscriptions": _subs(spark, sf_dir),
+        "invoices": fixtures.invoices(spark, sf_dir),
+    })
+
+
+@register("status_distribution")
+def q_status_distribution(spark, sf_dir):
+    """G11 (+P27): plan statuses, floor percentages, inside the bands."""
+    return synth.status_distribution(_plans(spark, sf_dir))
+
+
+@register("distinct_start_months")
+def q_distinct_start_months(spark, sf_dir):
+    """G14."""
+    return synth.distinct_start_months(_plans(spark, sf_dir))
+
+
+@register("tier_change_rate")
+def q_tier_change_rate(spark, sf_dir):
+    """Changed / eligible and the 20-35 % band."""
+    return synth.tier_change_rate(_plans(spark, sf_dir))
+
+
+@register("price_resolution_count")
+def q_price_resolution_count(spark, sf_dir):
+    """Three tiers resolved to three distinct prices."""
+    return relational.price_resolution_count(relational.price_catalog(spark, sf_dir))
+
+
+@register("order_by_month")
+def q_order_by_month(spark, sf_dir):
+    """O1: the strict series in month order, with its ordinal."""
+    out = metric.mrr_monthly(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return relational.with_ordinal(out.select("month", _money("mrr_amount").alias("mrr_amount")), "month")
+
+
+@register("first_by_key")
+def q_first_by_key(spark, sf_dir):
+    """O2: the first canceled-in-range subscription by id (string order)."""
+    s = relational.canceled_in_range(_subs(spark, sf_dir), "1994-11-01", WINDOW_END)
+    return relational.first_by(s.select("stripe_subscription_id"), "stripe_subscription_id")
+
+
+@register("limit_one")
+def q_limit_one(spark, sf_dir):
+    """O3: one customer with two or more subscriptions (ordered, so deterministic)."""
+    per = relational.customer_sub_count(_subs(spark, sf_dir)).where(F.col("subscriptions") >= 2)
+    return relational.first_by(per, "stripe_customer_id")
+
+
+@register("row_limit")
+def q_row_limit(spark, sf_dir):
+    """The per-entity row cap of the sync (first 1000 subscription ids)."""
+    return relational.row_limit(_subs(spark, sf_dir).select("stripe_subscription_id"), "stripe_subscription_id", 1000)
+
+
+@register("monotone_months")
+def q_monotone_months(spark, sf_dir):
+    """The filled series is one ascending contiguous run of months with the window end-points."""
+    out = metric.mrr_monthly_filled(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return relational.monotone_months(out)
+
+
+@register("other_tiers")
+def q_other_tiers(spark, sf_dir):
+    """The two tiers a plan could change to."""
+    p = relational.other_tiers(_plans(spark, sf_dir))
+    return p.select("cust_idx", F.array_join("other_tiers", ",").alias("other_tiers"))
+
+
+# ---------------------------------------------------------------------------------------
+# Generator (D1, D2, C5) and series export
+# ---------------------------------------------------------------------------------------
+
+SEED_T0 = dt.datetime(2025, 11, 3)
+
+
+@register("lifecycle_plan")
+def q_lifecycle_plan(spark, sf_dir):
+    """One lifecycle plan per supplied customer."""
+    return _plans(spark, sf_dir).drop("email", "name")
+
+
+@register("lifecycle_to_subscriptions")
+def q_lifecycle_to_subscriptions(spark, sf_dir):
+    """The subscription rows the plans produce."""
+    s = synth.lifecycle_to_subscriptions(_plans(spark, sf_dir), SEED_T0)
+    return s.select("stripe_subscription_id", "stripe_customer_id", "status", "unit_amount_cents",
+                    _ntz("start_date"), _ntz("canceled_at"))
+
+
+@register("lifecycle_mrr")
+def q_lifecycle_mrr(spark, sf_dir):
+    """D2 -> G1: the metric over generated lifecycles, seed window Nov 2025 .. May 2026."""
+    s = synth.lifecycle_to_subscriptions(_plans(spark, sf_dir), SEED_T0)
+    out = metric.mrr_monthly_filled(s, "2025-11-01", "2026-05-01")
+    return out.select("month", _money("mrr_amount").alias("mrr_amount"))
+
+
+@register("check_plan_invariants")
+def q_check_plan_invariants(spark, sf_dir):
+    """Invariant violation counts over all plans."""
+    return synth.check_plan_invariants(_plans(spark, sf_dir))
+
+
+def _filled_series(spark, sf_dir):
+    out = metric.mrr_monthly_filled(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
+    return out.select("month", F.col("mrr_amount").cast("decimal(18,2)").alias("mrr_amount"))
+
+
+@register("json_series_write")
+def q_json_series_write(spark, sf_dir):
+    """The series as one JSON document; points and end-points parsed back from the text."""
+    doc = series.series_document(_filled_series(spark, sf_dir))
+    pts = F.from_json("json", "array<struct<month: string, mrr_amount: double>>")
+    return doc.select(
+        F.size(pts).cast("bigint").alias("points"),
+        F.element_at(pts, 1).getField("month").alias("first_month"),
+        F.element_at(pts, -1).getField("month").alias("last_month"),
+    )
+
+
+@register("json_series_read")
+def q_json_series_read(spark, sf_dir):
+    """A10: the written document read back into typed rows."""
+    path = f"{_scratch(spark, 'series').root}/mrr.json"
+    series.write_series(_filled_series(spark, sf_dir), path)
+    back = series.read_series(spark, path)
+    return back.select("month", _money("mrr_amount").alias("mrr_amount"))
+
+
+@register("month_label")
+def q_month_label(spark, sf_dir):
+    """P22: 'Nov 2025'-style labels."""
+    return series.labels(_filled_series(spark, sf_dir)).select("month", "month_label")
+
+
+@register("currency_label")
+def q_currency_label(spark, sf_dir):
+    """P23: '$2,700.00' and '$2,700' labels."""
+    return series.labels(_filled_series(spark, sf_dir)).select("month", "amount_label", "axis_label")
+
+
+@register("iso_month")
+def q_iso_month(spark, sf_dir):
+    """Month as 'YYYY-MM-DD' text next to its value."""
+    return series.labels(_filled_series(spark, sf_dir)).select("month_iso", "month")
+
+
+@register("series_min_max")
+def q_series_min_max(spark, sf_dir):
+    """Min, max, first and last values of the series."""
+    return series.series_min_max(_filled_series(spark, sf_dir))
