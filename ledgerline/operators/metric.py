@@ -70,7 +70,8 @@ def active_subscriptions(subs: DataFrame) -> DataFrame:
 
 
 def _active_range(start_date: Column, cancel_date: Column, w0: dt.date, w1: dt.date, rule: str):
-    lo = F.greatest(F.trunc(start_date, "MM"), F.lit(w0))
+    # greatest() skips NULLs: a NULL start must stay NULL (never active), not become w0
+    lo = F.when(start_date.isNotNull(), F.greatest(F.trunc(start_date, "MM"), F.lit(w0)))
     if rule == END_OF_MONTH:
         # cancel > LAST_DAY(M)  <=>  M < trunc(cancel)  <=>  M <= trunc(cancel) - 1 month
         last = F.add_months(F.trunc(cancel_date, "MM"), -1)

@@ -27,7 +27,7 @@ bounded AS (
          greatest(trunc(sd, 'MM'), :w0) AS lo,
          least(coalesce(add_months(trunc(cd, 'MM'), -1), :w1), :w1) AS hi
   FROM active
-  WHERE divisor IS NOT NULL
+  WHERE divisor IS NOT NULL AND sd IS NOT NULL
 ),
 per_group AS (
   SELECT month, divisor, SUM(cents) AS cents

@@ -1,7 +1,10 @@
 """Incremental load (S1): only new raw files, merged by key, bookmark on success.
 
-Raw objects land as JSON-lines files under ``<raw_root>/scope=<scope>/``. A Structured
-Streaming file source picks up files it has not seen; the stream's checkpoint (in the
+Raw objects land in a landing folder as parquet rows ``(scope, scope_rank, value)``
+where ``value`` is the object's JSON text (a few large files per arrival, however
+many listing scopes there are; a folder per scope would mean thousands of tiny files
+for thousands of test clocks). A Structured Streaming file source picks up files it
+has not seen; the stream's checkpoint (in the
 cluster's shared checkpoint folder) is the bookmark of which files were loaded, and it
 advances only when a micro-batch's ``foreachBatch`` returned. Each micro-batch is
 loaded, flattened and merged exactly like a batch sync, with a stage named after the
@@ -13,6 +16,7 @@ is there and stops, which makes the job schedulable like a batch job.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,28 +26,25 @@ from ledgerline.plans import sync
 from ledgerline.sinks import tables
 from ledgerline.session import checkpoint_dir
 
-LISTING_STREAM_SCHEMA = "value STRING, scope STRING"
+LANDING_SCHEMA = "scope STRING, scope_rank INT, value STRING"
 
 
-def write_arrival(listing: DataFrame, raw_root: str) -> None:
-    """Append one arrival of raw lines, one folder per listing scope."""
-    listing.select("value", "scope").write.mode("append").partitionBy("scope").text(raw_root)
-
-
-def read_listing(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Batch read of everything that arrived (scope from the folder name)."""
-    lines = spark.read.schema(LISTING_STREAM_SCHEMA).text(raw_root)
-    return _ranked(lines)
+def write_arrival(listing: DataFrame, landing: str) -> None:
+    """Append one arrival of raw lines to the landing folder."""
+    listing.select("scope", F.col("scope_rank").cast("int").alias("scope_rank"), "value").write.mode("append").parquet(
+        landing
+    )
 
 
-def _ranked(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        "scope", F.when(F.col("scope") == "default", 0).otherwise(1).alias("scope_rank"), "value"
-    )
+def read_landing(spark: SparkSession, landing: str) -> DataFrame:
+    """Batch read of everything that arrived."""
+    return spark.read.schema(LANDING_SCHEMA).parquet(landing)
 
 
-def stream_checkpoint(spark: SparkSession, wh: tables.Warehouse, entity: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-streams/{wh.database}/{entity}"
+def stream_checkpoint(spark: SparkSession, wh: tables.Warehouse, entity: str, landing: str) -> str:
+    """One checkpoint per (warehouse location, entity, landing folder)."""
+    tag = hashlib.sha1(f"{wh.root}|{landing}".encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-streams/{wh.database}/{entity}-{tag}"
 
 
 def incremental_upsert(
@@ -55,7 +56,7 @@ def incremental_upsert(
 ) -> list[dict]:
     """Drain new files of ``entity`` into its table; returns per-micro-batch stats."""
     tables.ensure_tables(spark, wh)
-    reader = spark.readStream.schema(LISTING_STREAM_SCHEMA).format("text")
+    reader = spark.readStream.schema(LANDING_SCHEMA).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(raw_root)
@@ -69,13 +70,13 @@ def incremental_upsert(
         started.wait()
         run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
         stage_id = f"stream-{holder['id']}-{batch_id}"
-        result = sync.sync_entity(spark, wh, entity, _ranked(batch), run_ts, stage_id)
+        result = sync.sync_entity(spark, wh, entity, batch, run_ts, stage_id)
         tables.watermark_write(spark, wh, entity, run_ts)
         stats.append({"batch_id": batch_id, **result})
 
     query = (
         lines.writeStream.foreachBatch(each_batch)
-        .option("checkpointLocation", stream_checkpoint(spark, wh, entity))
+        .option("checkpointLocation", stream_checkpoint(spark, wh, entity, raw_root))
         .trigger(availableNow=True)
         .start()
     )
