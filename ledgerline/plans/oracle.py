@@ -836,3 +836,27 @@ ORACLE["series_min_max"] = with_ctes(
        arg_min(mrr_amount, month) AS first_amount, arg_max(mrr_amount, month) AS last_amount,
        MIN(month) AS first_month, MAX(month) AS last_month FROM filled""",
 )
+
+ORACLE["ensure_database"] = with_ctes(
+    RCUST, body="SELECT true AS database_exists, COUNT(*) AS customers FROM lcust WHERE r <> 5")
+ORACLE["ensure_tables"] = with_ctes(
+    SUBS, RSUBS, RCUST, RINV, ENTITY_COUNTS,
+    body="""SELECT entity AS table_name, accepted AS rows FROM ecounts
+UNION ALL SELECT '_sync_watermarks', 3""",
+)
+ORACLE["truncate_table"] = with_ctes(
+    RCUST, body="SELECT 'customers' AS table_name, COUNT(*) AS rows_before, 0 AS rows_after FROM lcust WHERE r <> 5")
+ORACLE["watermark_write"] = with_ctes(
+    SUBS, RSUBS, RCUST,
+    body="""SELECT 'customers' AS sync_key, MAX(created_ts) AS last_synced_at FROM lcust WHERE r <> 5
+UNION ALL
+SELECT 'subscriptions', MAX(created_at) FROM lsubs
+WHERE r <> 5 AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')""",
+)
+ORACLE["watermark_reset"] = "SELECT 2 AS written, 0 AS remaining"
+ORACLE["pct_floor"] = with_ctes(
+    PLANS,
+    body="""SELECT CAST(floor(cust_idx / 3) AS BIGINT) AS batch,
+       COUNT(*) FILTER (WHERE status = 'canceled') * 100 // COUNT(*) AS pct_canceled
+FROM plans GROUP BY 1""",
+)

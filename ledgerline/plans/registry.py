@@ -910,3 +910,86 @@ def q_iso_month(spark, sf_dir):
 def q_series_min_max(spark, sf_dir):
     """Min, max, first and last values of the series."""
     return series.series_min_max(_filled_series(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------
+# Table maintenance as registered operations (B1, B2, B6, B7, B8) and P27
+# ---------------------------------------------------------------------------------------
+
+
+def _accepted_customers(spark, sf_dir):
+    return flatten.accepted(flatten.flatten_customers(_loaded_customers(spark, sf_dir), RUN_TS))
+
+
+@register("ensure_database")
+def q_ensure_database(spark, sf_dir):
+    """B1: create the database twice (idempotent), load customers into it, count them back."""
+    wh = _scratch(spark, "db")
+    tables.ensure_database(spark, wh)
+    tables.ensure_database(spark, wh)
+    tables.ensure_tables(spark, wh)
+    tables.upsert(spark, wh, "customers", _accepted_customers(spark, sf_dir), "stripe_customer_id")
+    n = spark.table(wh.table("customers")).count()
+    exists = spark.catalog.databaseExists(wh.database)
+    return spark.createDataFrame([(exists, n)], "database_exists boolean, customers bigint")
+
+
+@register("ensure_tables")
+def q_ensure_tables(spark, sf_dir):
+    """B2: create the four tables twice (idempotent) and load all three entities; rows per table."""
+    wh = _scratch(spark, "tbl")
+    tables.ensure_tables(spark, wh)
+    tables.ensure_tables(spark, wh)
+    sync.sync(spark, wh, _listings(spark, sf_dir), dt.datetime.fromisoformat(RUN_TS))
+    return relational.table_row_counts(
+        {name: spark.table(wh.table(name)) for name in ["customers", "subscriptions", "invoices", "_sync_watermarks"]}
+    )
+
+
+@register("truncate_table")
+def q_truncate_table(spark, sf_dir):
+    """Rows before and after emptying the customers table (other tables untouched)."""
+    wh = _scratch(spark, "trunc")
+    sync.sync(spark, wh, {"customers": raw.customer_listing(spark, sf_dir)}, dt.datetime.fromisoformat(RUN_TS))
+    before = spark.table(wh.table("customers")).count()
+    tables.truncate_table(spark, wh, "customers")
+    after = spark.table(wh.table("customers")).count()
+    return spark.createDataFrame([("customers", before, after)], "table_name string, rows_before bigint, rows_after bigint")
+
+
+def _bookmarks_from_data(spark, sf_dir, wh):
+    """Bookmark per entity = newest creation time among its accepted rows (derived from data)."""
+    tables.ensure_tables(spark, wh)
+    newest = {
+        "customers": _accepted_customers(spark, sf_dir),
+        "subscriptions": flatten.accepted(flatten.flatten_subscriptions(_loaded_subs(spark, sf_dir), RUN_TS)),
+    }
+    for key, df in newest.items():
+        ts = df.agg(F.max("created_at")).first()[0]
+        tables.watermark_write(spark, wh, key, ts)
+    return spark.table(wh.table("_sync_watermarks")).select("sync_key", _ntz("last_synced_at"))
+
+
+@register("watermark_write")
+def q_watermark_write(spark, sf_dir):
+    """One bookmark per entity (newest accepted creation time), written as single-partition overwrites."""
+    return _bookmarks_from_data(spark, sf_dir, _scratch(spark, "wmw"))
+
+
+@register("watermark_reset")
+def q_watermark_reset(spark, sf_dir):
+    """Bookmarks written then cleared; what remains (nothing)."""
+    wh = _scratch(spark, "wmr")
+    written = _bookmarks_from_data(spark, sf_dir, wh).count()
+    tables.watermark_reset(spark, wh)
+    left = spark.table(wh.table("_sync_watermarks")).count()
+    return spark.createDataFrame([(written, left)], "written bigint, remaining bigint")
+
+
+@register("pct_floor")
+def q_pct_floor(spark, sf_dir):
+    """Floor percentage of canceled plans per batch of three (0 when a batch is empty)."""
+    p = _plans(spark, sf_dir).withColumn("batch", C.batch_index("cust_idx"))
+    per = p.groupBy("batch").agg(
+        F.count(F.when(F.col("status") == "canceled", 1)).alias("canceled"), F.count(F.lit(1)).alias("n"))
+    return per.select("batch", C.pct_floor("canceled", "n").alias("pct_canceled"))
