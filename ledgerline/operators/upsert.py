@@ -6,17 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def merge_plan(target: DataFrame, source: DataFrame, pk: str, partition: str | None = None) -> tuple[DataFrame, Column]:
+def merge_plan(
+    target: DataFrame, source: DataFrame, pk: str, partition: str | None = None, touched: list | None = None
+) -> tuple[DataFrame, Column]:
     """Rows of the new state of the partitions ``source`` touches, with an ``_origin`` column.
 
     ``_origin`` is ``kept`` (target row, key absent from source), ``updated`` (source
-    row whose key existed) or ``inserted``. With a ``partition`` column, the target is
-    first restricted to the source's partitions by a semi join on that column, which
-    Spark turns into partition pruning of the scan (dynamic partition pruning).
+    row whose key existed) or ``inserted``. With a ``partition`` column the target is
+    first restricted to the source's partitions: by a static ``IN`` filter when the
+    caller passes the ``touched`` values (guaranteed partition pruning of the scan),
+    otherwise by a semi join on the column.
     """
-    if partition is not None:
-        touched = source.select(partition).distinct()
-        target = target.join(touched, partition, "left_semi")
+    if partition is not None and touched is not None:
+        target = target.where(F.col(partition).isin(*touched))
+    elif partition is not None:
+        target = target.join(source.select(partition).distinct(), partition, "left_semi")
     target_keys = target.select(pk).withColumn("_hit", F.lit(True))
     marked = source.join(target_keys, pk, "left").select(
         *source.columns, F.when(F.col("_hit"), F.lit("updated")).otherwise(F.lit("inserted")).alias("_origin")

@@ -137,6 +137,24 @@ def upsert(
     return counts
 
 
+# Most partition values one upsert lists explicitly (one per touched month: bounded by
+# the table's partition count). Above it, pruning is left to the semi join.
+MAX_TOUCHED_PARTITIONS = 50_000
+
+
+def touched_partitions(source: DataFrame) -> list | None:
+    """Distinct partition values of a staged source, when few enough to list.
+
+    Reads one column of the stage and returns at most one value per table partition,
+    so the driver receives a bounded list; with it the target scan is pruned
+    statically (dynamic pruning does not fire for an unfiltered source).
+    """
+    values = source.select(PARTITION_COLUMN).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(values) > MAX_TOUCHED_PARTITIONS:
+        return None
+    return [v[0] for v in values]
+
+
 def merge_staged(spark: SparkSession, wh: Warehouse, name: str, source_path: str, pk: str, merged_path: str,
                  source_filter=None) -> dict[str, int]:
     """Step (2) of :func:`upsert`: write the merged touched partitions, return match counts."""
@@ -145,7 +163,7 @@ def merge_staged(spark: SparkSession, wh: Warehouse, name: str, source_path: str
         source = source.where(source_filter)
     target = spark.table(wh.table(name))
     source = source.select(*target.columns)
-    merged, origin = merge_plan(target, source, pk, PARTITION_COLUMN)
+    merged, origin = merge_plan(target, source, pk, PARTITION_COLUMN, touched_partitions(source))
     obs = Observation(f"upsert_{name}_{uuid.uuid4().hex[:8]}")
     observed = merged.observe(
         obs,
