@@ -612,10 +612,14 @@ def q_format_id(spark, sf_dir):
 
 @register("batch_index")
 def q_batch_index(spark, sf_dir):
-    """Batch of three per customer index, and the ceil-div number of batches."""
+    """Batch of three per customer index, and the ceil-div number of batches.
+
+    The total is one scalar count (an aggregate returning a single number), not a window
+    over all rows, so no task ever holds every customer.
+    """
     p = _plans(spark, sf_dir).select("cust_idx")
-    total = F.count(F.lit(1)).over(Window.partitionBy())
-    return p.select("cust_idx", C.batch_index("cust_idx").alias("batch"), C.batch_count(total).alias("batches"))
+    total = p.count()
+    return p.select("cust_idx", C.batch_index("cust_idx").alias("batch"), C.batch_count(F.lit(total)).alias("batches"))
 
 
 # ---------------------------------------------------------------------------------------
