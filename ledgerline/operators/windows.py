@@ -34,13 +34,18 @@ def lead_by_key(
     local = rows.withColumn(out, F.lead("_ll_val").over(run)).withColumn(
         "_ll_last", F.lead(F.lit(True)).over(run).isNull()
     )
-    firsts = rows.groupBy(key, "_ll_b").agg(
-        F.min(F.struct(*[F.col(c) for c in order], F.col("_ll_val").alias("v"))).alias("_ll_f")
-    )
+    if isinstance(value, str) and value == order[0]:
+        # the led value is the leading order column: a group's first value is its minimum
+        # (a hash aggregate on one column instead of a sort aggregate over a struct)
+        firsts = rows.groupBy(key, "_ll_b").agg(F.min("_ll_val").alias("_ll_fv"))
+    else:
+        firsts = rows.groupBy(key, "_ll_b").agg(
+            F.min(F.struct(*[F.col(c) for c in order], F.col("_ll_val").alias("v"))).alias("_ll_f")
+        ).select(key, "_ll_b", F.col("_ll_f.v").alias("_ll_fv"))
     following = firsts.select(
         F.col(key),
         F.col("_ll_b"),
-        F.lead(F.col("_ll_f.v")).over(Window.partitionBy(key).orderBy("_ll_b")).alias("_ll_nv"),
+        F.lead(F.col("_ll_fv")).over(Window.partitionBy(key).orderBy("_ll_b")).alias("_ll_nv"),
     )
     stitched = local.join(following, [key, "_ll_b"], "left")
     return stitched.withColumn(out, F.when(F.col("_ll_last"), F.col("_ll_nv")).otherwise(F.col(out))).drop(

@@ -146,3 +146,25 @@ def test_window_bound_is_checked(spark):
         metric.month_series(spark, "2026-05-01", "2025-11-01")
     with pytest.raises(ValueError):
         metric.window_months("1000-01-01", "2999-01-01")
+
+
+def test_pairs_with_a_hot_customer(spark):
+    # one customer owns a third of all subscriptions; pairs stay the exact set, no all-pairs blow-up
+    n = 6000
+    base = spark.range(n).select(
+        F.concat(F.lit("sub_"), F.col("id").cast("string")).alias("stripe_subscription_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("cus_hot")).otherwise(F.concat(F.lit("cus_"), (F.col("id") % 500).cast("string")))
+        .alias("stripe_customer_id"),
+        F.lit("canceled").alias("status"), F.lit(5000).cast("bigint").alias("unit_amount_cents"),
+        F.lit("month").alias("interval"), F.lit(1).cast("bigint").alias("interval_count"),
+        F.timestamp_seconds(F.lit(900000000) + F.col("id") * 3600).alias("start_date"),
+        F.timestamp_seconds(F.lit(900000000) + F.col("id") * 3600 + 86400).alias("canceled_at"),
+    )
+    pairs = reconcile.tier_change_pairs(base, "1998-01-01", "2002-01-01")
+    a, b = base.alias("a"), base.alias("b")
+    cd, sd = F.col("a.canceled_at").cast("date"), F.col("b.start_date").cast("date")
+    brute = a.join(b, (F.col("a.stripe_customer_id") == F.col("b.stripe_customer_id"))
+                   & (F.col("a.stripe_subscription_id") != F.col("b.stripe_subscription_id"))
+                   & (sd >= cd) & (sd <= F.date_add(cd, 1)) & (cd >= F.lit("1998-01-01").cast("date"))
+                   & (cd <= F.lit("2002-01-01").cast("date")))
+    assert pairs.count() == brute.count() > 0

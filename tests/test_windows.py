@@ -36,3 +36,34 @@ def test_first_by_key_is_deterministic(spark):
     b = first_by_key(df.repartition(13), "k", ["r"]).collect()
     assert sorted(a) == sorted(b) and len(a) == 50
     assert all(row["r"] == 0 for row in a)
+
+
+def test_lead_of_another_column(spark):
+    # generic path: the led value is not the leading order column
+    rows = spark.range(20000).select(
+        F.col("id"),
+        F.when(F.col("id") % 4 == 0, F.lit(3)).otherwise(F.col("id") % 300).alias("k"),
+        F.timestamp_seconds(F.lit(800000000) + (F.col("id") * 104729) % 9000000).alias("t"),
+    )
+    got = lead_by_key(rows, "k", ["t", "id"], "id", "nx", bucket=F.to_date("t"))
+    ref = rows.withColumn("nx2", F.lead("id").over(Window.partitionBy("k").orderBy("t", "id")))
+    assert got.join(ref, "id").where(~F.col("nx").eqNullSafe(F.col("nx2"))).count() == 0
+
+
+def test_dedupe_with_hot_id(spark):
+    from ledgerline.sources import raw
+
+    # one id on a third of the lines, listed in two scopes: exactly one row per id survives
+    lines = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("default")).otherwise(F.lit("clock_1")).alias("scope"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.lit(1)).alias("scope_rank"),
+        F.to_json(F.struct(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("x"), F.col("id").cast("string"))).alias("id"),
+            F.col("id").cast("string").alias("created"),
+        )).alias("value"),
+    )
+    parsed = raw.parse(lines, "id string, created string")
+    out = raw.dedupe_first_listed(parsed)
+    assert out.count() == 1 + 6000
+    hot = out.where(F.col("id") == "hot").collect()[0]
+    assert hot["scope"] == "default" and hot["created"] == "0"
