@@ -860,3 +860,23 @@ ORACLE["pct_floor"] = with_ctes(
        COUNT(*) FILTER (WHERE status = 'canceled') * 100 // COUNT(*) AS pct_canceled
 FROM plans GROUP BY 1""",
 )
+
+
+def _bigint(name: str, cols: list[str]) -> None:
+    """Report integer results of ``name`` as BIGINT (DuckDB sums give HUGEINT, literals INTEGER)."""
+    casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in cols)
+    ORACLE[name] = f"SELECT * REPLACE ({casts}) FROM ({ORACLE[name]}) AS q"
+
+
+for _name, _cols in {
+    "dry_run": ["fetched", "inserted", "updated", "rejected"],
+    "scope_union": ["listings"],
+    "skip_malformed": ["rows"],
+    "status_count_and_sum": ["total_cents"],
+    "status_distribution": ["pct"],
+    "sync_summary": ["fetched", "inserted", "updated", "rejected", "errors"],
+    "tier_price_lookup": ["amount_cents"],
+    "truncate_table": ["rows_after"],
+    "watermark_reset": ["written", "remaining"],
+}.items():
+    _bigint(_name, _cols)

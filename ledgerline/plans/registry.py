@@ -794,7 +794,8 @@ def q_price_resolution_count(spark, sf_dir):
 def q_order_by_month(spark, sf_dir):
     """O1: the strict series in month order, with its ordinal."""
     out = metric.mrr_monthly(_subs(spark, sf_dir), WINDOW_START, WINDOW_END)
-    return relational.with_ordinal(out.select("month", _money("mrr_amount").alias("mrr_amount")), "month")
+    out = relational.with_ordinal(out.select("month", _money("mrr_amount").alias("mrr_amount")), "month")
+    return out.withColumn("ordinal", F.col("ordinal").cast("bigint"))
 
 
 @register("first_by_key")
@@ -841,7 +842,8 @@ SEED_T0 = dt.datetime(2025, 11, 3)
 @register("lifecycle_plan")
 def q_lifecycle_plan(spark, sf_dir):
     """One lifecycle plan per supplied customer."""
-    return _plans(spark, sf_dir).drop("email", "name")
+    p = _plans(spark, sf_dir).drop("email", "name")
+    return p.select(*[F.col(c).cast("bigint").alias(c) if c.endswith("_month") else F.col(c) for c in p.columns])
 
 
 @register("lifecycle_to_subscriptions")
