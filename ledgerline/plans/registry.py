@@ -423,11 +423,7 @@ def q_watermark_read(spark, sf_dir):
     wh = _scratch(spark, "wm")
     listings = {"customers": raw.customer_listing(spark, sf_dir)}
     sync.sync(spark, wh, listings, dt.datetime.fromisoformat(RUN_TS))
-    got = tables.watermark_read(spark, wh, "customers")
-    missing = tables.watermark_read(spark, wh, "invoices")
-    return spark.createDataFrame(
-        [("customers", got), ("invoices", missing)], "sync_key string, last_synced_at timestamp_ntz"
-    )
+    return tables.watermarks(spark, wh, ["customers", "invoices"]).select("sync_key", _ntz("last_synced_at"))
 
 
 @register("incremental_upsert")
@@ -966,13 +962,14 @@ def q_truncate_table(spark, sf_dir):
 def _bookmarks_from_data(spark, sf_dir, wh):
     """Bookmark per entity = newest creation time among its accepted rows (derived from data)."""
     tables.ensure_tables(spark, wh)
-    newest = {
-        "customers": _accepted_customers(spark, sf_dir),
-        "subscriptions": flatten.accepted(flatten.flatten_subscriptions(_loaded_subs(spark, sf_dir), RUN_TS)),
-    }
-    for key, df in newest.items():
-        ts = df.agg(F.max("created_at")).first()[0]
-        tables.watermark_write(spark, wh, key, ts)
+    newest = [
+        _accepted_customers(spark, sf_dir).agg(F.max("created_at").alias("last_synced_at"))
+        .select(F.lit("customers").alias("sync_key"), "last_synced_at"),
+        flatten.accepted(flatten.flatten_subscriptions(_loaded_subs(spark, sf_dir), RUN_TS))
+        .agg(F.max("created_at").alias("last_synced_at"))
+        .select(F.lit("subscriptions").alias("sync_key"), "last_synced_at"),
+    ]
+    tables.write_watermarks(spark, wh, newest[0].unionByName(newest[1]))
     return spark.table(wh.table("_sync_watermarks")).select("sync_key", _ntz("last_synced_at"))
 
 

@@ -228,16 +228,33 @@ def watermark_read(spark: SparkSession, wh: Warehouse, sync_key: str) -> dt.date
 
 def watermark_write(spark: SparkSession, wh: Warehouse, sync_key: str, ts: dt.datetime) -> None:
     """Set one bookmark: overwrite the single partition ``sync_key=<key>``."""
+    row = spark.range(1).select(F.lit(ts).cast("timestamp").alias("last_synced_at"), F.lit(sync_key).alias("sync_key"))
+    write_watermarks(spark, wh, row)
+
+
+def write_watermarks(spark: SparkSession, wh: Warehouse, rows: DataFrame) -> None:
+    """B7 for any number of keys at once: ``rows`` has (sync_key, last_synced_at), one row per key.
+
+    Each key is its own partition, so dynamic overwrite replaces exactly the keys given.
+    Values stay Spark timestamps end to end (no trip through driver-side datetimes).
+    """
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        row = spark.range(1).select(F.lit(ts).cast("timestamp").alias("last_synced_at"), F.lit(sync_key).alias("sync_key"))
-        row.write.insertInto(wh.table(WATERMARK_TABLE), overwrite=True)
+        rows.select(F.col("last_synced_at").cast("timestamp"), "sync_key").write.insertInto(
+            wh.table(WATERMARK_TABLE), overwrite=True
+        )
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
     spark.sql(f"REFRESH TABLE {wh.table(WATERMARK_TABLE)}")
 
 
+def watermarks(spark: SparkSession, wh: Warehouse, keys: list[str]) -> DataFrame:
+    """A9 as a DataFrame: (sync_key, last_synced_at) for the asked keys, NULL where none is set."""
+    asked = spark.createDataFrame([(k,) for k in keys], "sync_key string")
+    return asked.join(spark.table(wh.table(WATERMARK_TABLE)), "sync_key", "left")
+
+
 def watermark_reset(spark: SparkSession, wh: Warehouse) -> None:
     """Clear all bookmarks."""
     truncate_table(spark, wh, WATERMARK_TABLE)
