@@ -34,10 +34,17 @@ PRIMARY_KEYS = {"customers": "stripe_customer_id", "subscriptions": "stripe_subs
 
 
 def stamp(run_ts: dt.datetime | str) -> Column:
-    """One constant run timestamp for every row of a run (replays reproduce it)."""
-    if isinstance(run_ts, str):
-        run_ts = dt.datetime.fromisoformat(run_ts)
-    return F.lit(run_ts).cast("timestamp")
+    """One constant run timestamp for every row of a run (replays reproduce it).
+
+    Passed as ISO text and parsed by Spark in the session zone (UTC), so the value does
+    not depend on the time zone of the driver process.
+    """
+    return ts_literal(run_ts)
+
+
+def ts_literal(ts: dt.datetime | str) -> Column:
+    text = ts.isoformat(sep=" ") if isinstance(ts, dt.datetime) else str(ts)
+    return F.to_timestamp(F.lit(text))
 
 
 def _reason(id_col: Column, created: Column, extra: Column | None = None) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
+from ledgerline.operators.flatten import ts_literal
 from ledgerline.operators.relational import TIER_AMOUNTS_CENTS, TIER_ORDER
 
 # Fixed values of the lifecycle model.
@@ -86,7 +87,7 @@ def lifecycle_to_subscriptions(plans: DataFrame, t0: dt.datetime) -> DataFrame:
     cancel in the start month gives a zero-length subscription.
     """
     def at(m: Column) -> Column:
-        return F.timestamp_add("DAY", m * DAYS_PER_MONTH, F.lit(t0))
+        return F.timestamp_add("DAY", m * DAYS_PER_MONTH, ts_literal(t0))
 
     start, change, cancel = F.col("start_month"), F.col("tier_change_month"), F.col("cancel_month")
     cancels = cancel.isNotNull() & (cancel >= start)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators.flatten import ts_literal
 from ledgerline.operators.upsert import merge_plan
 from ledgerline.schemas import TABLE_DDL, WATERMARK_TABLE
 from ledgerline.session import checkpoint_dir
@@ -228,7 +229,7 @@ def watermark_read(spark: SparkSession, wh: Warehouse, sync_key: str) -> dt.date
 
 def watermark_write(spark: SparkSession, wh: Warehouse, sync_key: str, ts: dt.datetime) -> None:
     """Set one bookmark: overwrite the single partition ``sync_key=<key>``."""
-    row = spark.range(1).select(F.lit(ts).cast("timestamp").alias("last_synced_at"), F.lit(sync_key).alias("sync_key"))
+    row = spark.range(1).select(ts_literal(ts).alias("last_synced_at"), F.lit(sync_key).alias("sync_key"))
     write_watermarks(spark, wh, row)
 
 
