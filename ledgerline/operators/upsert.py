@@ -21,12 +21,18 @@ def merge_plan(
         target = target.where(F.col(partition).isin(*touched))
     elif partition is not None:
         target = target.join(source.select(partition).distinct(), partition, "left_semi")
-    target_keys = target.select(pk).withColumn("_hit", F.lit(True))
-    marked = source.join(target_keys, pk, "left").select(
-        *source.columns, F.when(F.col("_hit"), F.lit("updated")).otherwise(F.lit("inserted")).alias("_origin")
+    # One full outer join on the key (each side shuffled once): the source row wins when
+    # both exist, the target row is kept when only it exists.
+    cols = source.columns
+    s = source.select(F.col(pk).alias("_k"), F.struct(*[F.col(c) for c in cols]).alias("_s"))
+    t = target.select(F.col(pk).alias("_k"), F.struct(*[F.col(c) for c in cols]).alias("_t"))
+    joined = s.join(t, "_k", "full_outer")
+    origin = (
+        F.when(F.col("_s").isNull(), F.lit("kept"))
+        .when(F.col("_t").isNull(), F.lit("inserted"))
+        .otherwise(F.lit("updated"))
     )
-    kept = target.join(source.select(pk), pk, "left_anti").select(*source.columns, F.lit("kept").alias("_origin"))
-    merged = kept.unionByName(marked)
+    merged = joined.select(F.coalesce("_s", "_t").alias("_row"), origin.alias("_origin")).select("_row.*", "_origin")
     return merged, F.col("_origin")
 
 
