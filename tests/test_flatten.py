@@ -87,3 +87,14 @@ def test_epoch_parsing(spark):
     df = spark.createDataFrame([("1609459200",), ("2021-01-01T00:00:00Z",), ("junk",), (None,)], "x string")
     got = [r[0] for r in df.select(C.epoch_to_ts("x").cast("string")).collect()]
     assert got[0] == got[1] == "2021-01-01 00:00:00" and got[2] is None and got[3] is None
+
+
+def test_read_listing_from_json_lines_folders(spark, tmp_root):
+    a = listing(spark, [dict(SUB, status="active"), dict(SUB, id="sub_2")])
+    b = listing(spark, [dict(SUB, status="past_due")], scope="clock_9")
+    a.select("value").write.text(f"{tmp_root}/default")
+    b.select("value").write.text(f"{tmp_root}/clock_9")
+    back = raw.read_listing(spark, tmp_root)
+    assert {(r["scope"], r["scope_rank"]) for r in back.collect()} == {("default", 0), ("clock_9", 1)}
+    loaded = {r["id"]: r for r in raw.load_subscriptions(back).collect()}
+    assert set(loaded) == {"sub_1", "sub_2"} and loaded["sub_1"]["status"] == "active"
