@@ -2,9 +2,9 @@
 
 Per entity, in order customers -> subscriptions -> invoices:
   1. parse + load rules (live mode, items, cross-listing de-duplication),
-  2. flatten; every row is staged once, partitioned by its reject reason, while an
+  2. flatten; every row is staged once with its reject reason as a column, while an
      observation of that same job counts fetched rows and rejects per reason,
-  3. accepted rows (the NULL-reason partition) are merged into the table.
+  3. accepted rows (reason ``accepted``) are merged into the table.
 Bookmarks for all entities are written only after every merge returned; an exception
 stops the run before any bookmark moves. ``dry_run`` runs 1-2 into the ``noop`` sink.
 """
@@ -55,7 +55,9 @@ def sync_entity(spark: SparkSession, wh: tables.Warehouse, entity: str, listing:
     counts = {"inserted": 0, "updated": 0}
     if not tables._complete(spark, f"{root}/merged"):
         staged = tables.with_partition(observed).withColumn("reject_reason", F.coalesce("reject_reason", F.lit(ACCEPTED)))
-        staged.write.mode("overwrite").partitionBy("reject_reason").parquet(f"{root}/source")
+        # one file set with the reason as a column (a partitioned write would sort every
+        # task's rows by reason first); the merge reads it back with a filter on the reason
+        staged.write.mode("overwrite").parquet(f"{root}/source")
         got = obs.get
         counts = tables.merge_staged(spark, wh, entity, f"{root}/source", pk, f"{root}/merged",
                                      source_filter=F.col("reject_reason") == ACCEPTED)
