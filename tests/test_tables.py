@@ -92,3 +92,21 @@ def test_streaming_incremental(spark, tmp_root):
     m = raw.numeric_id(F.col("stripe_subscription_id"))
     assert t.where(m % 3 == 0).where(F.col("unit_amount_cents") != 7).count() == 0
     assert t.where((m % 3 != 0)).where(F.col("unit_amount_cents") == 7).count() == 0
+
+
+def test_streaming_in_bounded_batches(spark, tmp_root):
+    # the same arrivals drained one file per micro-batch end in the same table
+    lst = raw.subscription_listing(spark, SF)
+    n = raw.numeric_id(F.get_json_object("value", "$.id"))
+    landing = f"{tmp_root}/landing"
+    incremental.write_arrival(lst.where(n % 2 == 0).repartition(3), landing)
+    incremental.write_arrival(lst.where(n % 2 == 1).repartition(2), landing)
+    small = tables.Warehouse("ll_t_stream_small", f"{tmp_root}/small")
+    stats = incremental.incremental_upsert(spark, small, "subscriptions", landing, max_files_per_trigger=1)
+    whole = tables.Warehouse("ll_t_stream_whole", f"{tmp_root}/whole")
+    incremental.incremental_upsert(spark, whole, "subscriptions", landing)
+    assert len(stats) >= 4
+    a = spark.table(small.table("subscriptions")).drop("synced_at")
+    b = spark.table(whole.table("subscriptions")).drop("synced_at")
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
