@@ -7,5 +7,5 @@ strict and zero-filled series differ (empty months at both ends).
 WINDOW_START = "1994-10-01"
 WINDOW_END = "2002-01-01"
 
-# Leave-one-out candidates: canceled in [first month + 1, last month) as the reference test does.
-# Tier-change pairs: v0 canceled inside the window.
+# Derived from the window: leave-one-out candidates are canceled in
+# [WINDOW_START + 1 month, WINDOW_END); tier-change pairs need v0 canceled in [WINDOW_START, WINDOW_END].
