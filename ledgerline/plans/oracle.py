@@ -880,3 +880,37 @@ for _name, _cols in {
     "watermark_reset": ["written", "remaining"],
 }.items():
     _bigint(_name, _cols)
+
+ORACLE["lifecycle_tier_change"] = "WITH " + ",".join([PLANS, GEN_SUBS]) + """
+, gmonths AS (
+  SELECT CAST(unnest(generate_series(DATE '2025-11-01', DATE '2026-05-01', INTERVAL 1 MONTH)) AS DATE) AS month_start
+),
+gpairs AS (
+  SELECT m.month_start, g.stripe_subscription_id, g.unit_amount_cents / 100.0 AS amt
+  FROM gmonths m JOIN gsubs g
+    ON CAST(g.start_date AS DATE) <= last_day(m.month_start)
+   AND (g.canceled_at IS NULL OR CAST(g.canceled_at AS DATE) > last_day(m.month_start))
+),
+gstrict AS (SELECT month_start, SUM(amt) AS mrr FROM gpairs GROUP BY month_start),
+gtc AS (
+  SELECT v0.stripe_subscription_id AS v0_sub_id, v1.stripe_subscription_id AS v1_sub_id,
+         CAST(date_trunc('month', CAST(v0.canceled_at AS DATE)) AS DATE) AS month,
+         v0.unit_amount_cents / 100.0 AS c0, v1.unit_amount_cents / 100.0 AS c1
+  FROM gsubs v0 JOIN gsubs v1
+    ON v0.stripe_customer_id = v1.stripe_customer_id
+   AND v0.stripe_subscription_id <> v1.stripe_subscription_id
+   AND v0.canceled_at IS NOT NULL
+   AND CAST(v1.start_date AS DATE) >= CAST(v0.canceled_at AS DATE)
+   AND CAST(v1.start_date AS DATE) <= CAST(v0.canceled_at AS DATE) + 1
+  WHERE CAST(v0.canceled_at AS DATE) >= DATE '2025-11-01' AND CAST(v0.canceled_at AS DATE) <= DATE '2026-05-01'
+)
+SELECT x.v0_sub_id, x.v1_sub_id, x.month,
+       COALESCE(ROUND(s.mrr, 2) = ROUND(x.excl + x.c1, 2), false) AS v1_only_ok,
+       COALESCE(ROUND(s.mrr, 2) <> ROUND(x.excl + x.c0 + x.c1, 2), false) AS no_double_count
+FROM (
+  SELECT t.v0_sub_id, t.v1_sub_id, t.month, t.c0, t.c1, COALESCE(SUM(p.amt), 0) AS excl
+  FROM gtc t
+  LEFT JOIN gpairs p ON p.month_start = t.month AND p.stripe_subscription_id NOT IN (t.v0_sub_id, t.v1_sub_id)
+  GROUP BY t.v0_sub_id, t.v1_sub_id, t.month, t.c0, t.c1
+) x
+LEFT JOIN gstrict s ON s.month_start = x.month"""

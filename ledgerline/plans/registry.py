@@ -996,3 +996,10 @@ def q_pct_floor(spark, sf_dir):
     per = p.groupBy("batch").agg(
         F.count(F.when(F.col("status") == "canceled", 1)).alias("canceled"), F.count(F.lit(1)).alias("n"))
     return per.select("batch", C.pct_floor("canceled", "n").alias("pct_canceled"))
+
+
+@register("lifecycle_tier_change")
+def q_lifecycle_tier_change(spark, sf_dir):
+    """C2 on generated lifecycles: in each tier-change month only v1 counts (seed window)."""
+    s = synth.lifecycle_to_subscriptions(_plans(spark, sf_dir), SEED_T0)
+    return checks.check_tier_change(s, "2025-11-01", "2026-05-01")
