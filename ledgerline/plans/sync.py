@@ -64,12 +64,21 @@ def sync_entity(spark: SparkSession, wh: tables.Warehouse, entity: str, listing:
     else:
         got = {"fetched": 0, **{r: 0 for r in REASONS}}
     tables.commit_stage(spark, wh.table(entity), f"{root}/merged", cluster_by=pk)
+    # keep the rejected rows (a small share) next to the tables, then drop the stage
+    spark.read.parquet(f"{root}/source").where(F.col("reject_reason") != ACCEPTED).write.mode("overwrite").parquet(
+        rejects_path(wh, entity, batch_id)
+    )
+    tables.discard_stage(spark, root)
     return {"fetched": got["fetched"], **counts, "rejected": sum(got[r] for r in REASONS)}
 
 
-def rejects(spark: SparkSession, entity: str, batch_id: str) -> DataFrame:
-    """F8 side table of one run: the staged rows that were kept out, with their reason."""
-    return spark.read.parquet(f"{tables.stage_root(spark, entity, batch_id)}/source").where(F.col("reject_reason") != ACCEPTED)
+def rejects_path(wh: tables.Warehouse, entity: str, batch_id: str) -> str:
+    return f"{wh.location('_rejects')}/{entity}/{batch_id}"
+
+
+def rejects(spark: SparkSession, wh: tables.Warehouse, entity: str, batch_id: str) -> DataFrame:
+    """F8 side table of one run: the rows that were kept out, with their reason."""
+    return spark.read.parquet(rejects_path(wh, entity, batch_id))
 
 
 def sync(spark: SparkSession, wh: tables.Warehouse, listings: dict[str, DataFrame], run_ts: dt.datetime | None = None,

@@ -101,6 +101,21 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(marker))
 
 
+def discard_stage(spark: SparkSession, root: str) -> None:
+    """Delete a batch's stage once its copy committed (the reference drops its staging table too).
+
+    Only paths under this module's stage folder are ever removed. If the job dies before
+    this call, the complete stage is re-copied on replay; after it, a replay recomputes
+    the merge against the already-updated table, which yields the same rows.
+    """
+    base = f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-stage/"
+    if not root.startswith(base) or root.rstrip("/") == base.rstrip("/"):
+        raise ValueError(f"refusing to delete {root!r}: not a stage folder")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage_root(spark: SparkSession, name: str, batch_id: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-stage/{name}/{batch_id}"
 
@@ -124,7 +139,7 @@ def upsert(
     staging table; the source is then read from parquet, not recomputed, by the three
     parts of the merge); (2) stage the merged partitions, counting inserted / updated
     with an observation of the same job; (3) copy the stage over the touched partitions.
-    A replayed ``batch_id`` whose merged stage is complete goes straight to (3).
+    A replayed ``batch_id`` whose merged stage is complete goes straight to (3); after (3) the stage is deleted.
     """
     batch_id = batch_id or uuid.uuid4().hex
     root = stage_root(spark, name, batch_id)
@@ -135,6 +150,7 @@ def upsert(
         with_partition(align_to_schema(rows, schema)).write.mode("overwrite").parquet(f"{root}/source")
         counts = merge_staged(spark, wh, name, f"{root}/source", pk, f"{root}/merged")
     commit_stage(spark, target_name, f"{root}/merged", cluster_by=pk)
+    discard_stage(spark, root)
     return counts
 
 

@@ -42,10 +42,20 @@ def test_replayed_batch_recommits_stage(spark, tmp_root):
     wh = tables.Warehouse("ll_t_replay", tmp_root)
     tables.ensure_tables(spark, wh)
     subs = _flat_subs(spark)
-    tables.upsert(spark, wh, "subscriptions", subs, "stripe_subscription_id", batch_id="b1")
-    again = tables.upsert(spark, wh, "subscriptions", subs, "stripe_subscription_id", batch_id="b1")
-    assert again == {"inserted": 0, "updated": 0}  # stage complete: copied again, not recomputed
-    assert spark.table(wh.table("subscriptions")).count() == subs.count()
+    n = subs.count()
+    # a crash after the merged stage was written but before it was copied: the replay copies it
+    root = tables.stage_root(spark, "subscriptions", "crashed")
+    tables.with_partition(subs).write.mode("overwrite").parquet(f"{root}/source")
+    tables.merge_staged(spark, wh, "subscriptions", f"{root}/source", "stripe_subscription_id", f"{root}/merged")
+    assert spark.table(wh.table("subscriptions")).count() == 0
+    assert tables.upsert(spark, wh, "subscriptions", subs, "stripe_subscription_id", batch_id="crashed") == {
+        "inserted": 0, "updated": 0}
+    assert spark.table(wh.table("subscriptions")).count() == n
+    assert not tables._complete(spark, f"{root}/merged")  # stage dropped after the copy
+    # a replay after the stage was dropped recomputes against the updated table: same rows
+    again = tables.upsert(spark, wh, "subscriptions", subs, "stripe_subscription_id", batch_id="crashed")
+    assert again == {"inserted": 0, "updated": n}
+    assert spark.table(wh.table("subscriptions")).count() == n
 
 
 def test_bookmarks(spark, tmp_root):
