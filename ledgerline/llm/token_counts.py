@@ -8,8 +8,8 @@ per-document frequencies and summed.
 
 The join has two halves, so that no key is hot. The most frequent pre-tokens (at most
 ``COMMON`` of at most ``COMMON_BYTES`` bytes: a table bounded by parameters, whatever the
-corpus) are broadcast; every other pre-token is joined by shuffle, and is rare by choice.
-Both halves are exact.
+corpus) are broadcast and joined before the shuffle; every other pre-token is joined by
+shuffle, and is rare by choice. Both halves are exact.
 
 Defined results: null text = empty text = 0 tokens; documents that repeat an id are
 counted row by row; other input columns are ignored.
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import map_batches, payload, written
 
-#: Rows of the broadcast half and their longest pre-token: 100,000 x 64 bytes at most.
-COMMON = 100_000
+#: Rows of the broadcast half and their longest pre-token: 200,000 x 64 bytes at most.
+COMMON = 200_000
 COMMON_BYTES = 64
 #: Distinct pre-tokens a task gathers before it passes their counts on.
 GATHERED = 200_000
@@ -63,22 +63,32 @@ def count_pieces(model, tokens: list[str]) -> list[int]:
     return [1 if t == " " else len(ids) - (t[0] != " ") for t, ids in zip(tokens, encoded, strict=True)]
 
 
-def frequencies(docs: DataFrame, model_file: str) -> DataFrame:
-    """(doc_id, _key, token, n): how often a row of the input has each pre-token."""
+def frequencies(docs: DataFrame, model_file: str, common) -> DataFrame:
+    """(doc_id, _key, token, n, n_bytes): how often a row of the input has each pre-token that
+    is not in the broadcast ``common``, and one row more, under a key that no pre-token has,
+    with its size and the pieces of all its common pre-tokens."""
 
     def batch(rows: pa.RecordBatch, tools) -> dict[str, list]:
+        known = common.value
         tokens: list[str] = []
         counts: list[int] = []
         sizes: list[int] = []
-        for text in rows.column("_bytes").to_pylist():
+        n_bytes: list[int] = []
+        for row, text in zip(rows.column("doc_id").to_pylist(), rows.column("_bytes").to_pylist(), strict=True):
             found = Counter(tools[1](text.decode("utf-8", "replace")))
-            tokens += found
-            counts += found.values()
-            sizes.append(len(found))
+            rest = [t for t in found if t not in known]
+            tokens.append(f"row {row}")
+            counts.append(sum(n * known[t] for t, n in found.items() if t in known))
+            tokens += rest
+            counts += map(found.__getitem__, rest)
+            sizes.append(len(rest) + 1)
+            n_bytes += [len(text)] + [0] * len(rest)
         at = np.repeat(np.arange(rows.num_rows), sizes)
-        return {"doc_id": rows.column("doc_id").take(at), "_key": rows.column("_key").take(at), "token": tokens, "n": counts}
+        ids = {c: rows.column(c).take(pa.array(at)) for c in ("doc_id", "_key")}
+        return ids | {"token": tokens, "n": counts, "n_bytes": n_bytes}
 
-    return map_batches(docs, batch, "doc_id long, _key long, token string, n int", lambda: cutter(model_file))
+    schema = "doc_id long, _key long, token string, n long, n_bytes long"
+    return map_batches(docs, batch, schema, lambda: cutter(model_file))
 
 
 def vocabulary(docs: DataFrame, model_file: str) -> DataFrame:
@@ -122,26 +132,15 @@ def count_tokens(
     )
     words = written(vocabulary(source, model_file), "token-vocabulary")
     short = words.where(F.octet_length("token") <= COMMON_BYTES)
-    common = written(
-        short.orderBy(F.desc("n"), "token").limit(COMMON).select("token", F.col("pieces").alias("known")),
-        "token-common",
-    )
+    top = short.orderBy(F.desc("n"), "token").limit(COMMON).select("token", "pieces").collect()
+    common = docs.sparkSession.sparkContext.broadcast({r.token: r.pieces for r in top})
 
-    used = frequencies(source, model_file).join(F.broadcast(common), "token", "left")
-    rare = (
-        used.where("known IS NULL")
-        .select("doc_id", "_key", "token", "n")
-        .join(words.join(F.broadcast(common), "token", "left_anti").select("token", "pieces"), "token")
-    )
-    size = F.octet_length("_bytes").cast("long")
-    parts = (
-        source.select("doc_id", "_key", size.alias("n_bytes"), F.lit(1).alias("copies"), F.lit(0).alias("tokens"))
-        .unionByName(per_document(used.where("known IS NOT NULL"), "known"))
-        .unionByName(per_document(rare, "pieces"))
-    )
+    used = frequencies(source, model_file, common).join(words.select("token", "pieces"), "token", "left")
     # Equal rows share a key: their sums are divided again, and each gets its own row.
-    totals = parts.groupBy("doc_id", "_key").agg(
-        F.max("n_bytes").alias("n_bytes"), F.sum("copies").alias("copies"), F.sum("tokens").alias("tokens")
+    totals = used.groupBy("doc_id", "_key").agg(
+        F.max("n_bytes").alias("n_bytes"),
+        F.count_if(F.col("pieces").isNull()).alias("copies"),
+        F.sum(F.col("n") * F.coalesce("pieces", F.lit(1))).alias("tokens"),
     )
     n_tokens = F.expr("tokens div copies")
     return totals.select(
@@ -151,11 +150,3 @@ def count_tokens(
         (n_tokens > limit).alias("over_limit"),
         F.explode(F.expr("array_repeat(0, int(copies))")).alias("_copy"),
     ).drop("_copy")
-
-
-def per_document(counts: DataFrame, pieces: str) -> DataFrame:
-    return (
-        counts.groupBy("doc_id", "_key")
-        .agg(F.sum(F.col("n") * F.col(pieces)).alias("tokens"))
-        .select("doc_id", "_key", F.lit(0).cast("long").alias("n_bytes"), F.lit(0).alias("copies"), "tokens")
-    )
