@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import byte_bpe, token_counts
+from ledgerline.llm import byte_bpe, importance, token_counts
 from ledgerline.llm.common import read_table
 
 
@@ -14,6 +14,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest_documents(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels")
+    return importance.classify(read_table(spark, sf_dir, "documents"), labels).drop("_key")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), model)
@@ -21,6 +26,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_quality_classifier": op2_quality_classifier,
     "op6_token_counts": op6_token_counts,
 }
 

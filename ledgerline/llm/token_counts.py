@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import map_batches, payload, written
 
-#: Rows of the broadcast half and their longest pre-token: 200,000 x 64 bytes at most.
-COMMON = 200_000
+#: Rows of the broadcast half and their longest pre-token: 150,000 x 64 bytes at most.
+COMMON = 150_000
 COMMON_BYTES = 64
 #: Distinct pre-tokens a task gathers before it passes their counts on.
 GATHERED = 200_000
