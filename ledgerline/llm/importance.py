@@ -1,7 +1,7 @@
 """Quality classifier by importance resampling.
 
-Two hashed n-gram models (words and word pairs, ``BUCKETS`` buckets) are fitted: one on
-target text (a bounded sample of documents labelled good and not toxic), one on the raw
+Two hashed n-gram models (words, word pairs, pairs of word shapes, repeated words;
+hashed into a fixed number of buckets) are fitted: one on target text (a bounded sample of documents labelled good and not toxic), one on the raw
 corpus (all documents). A bucket's log ratio compares its count in the target with the
 count that the raw model expects there, both plus one, so that rare n-grams stay near 0:
 
@@ -12,7 +12,8 @@ n-gram). Its ``log_weight`` sums what lies below ``-MARGIN``: n-grams that are f
 frequent in raw than in target text speak against it, however long the text around them.
 Documents are then sampled by Gumbel top-k on ``log_weight / TEMPERATURE``, the noise
 being a function of the id and the seed. k is the number of all documents whose weight
-is at or above the cut that separates labelled documents kept out of the fit best.
+is at or above the cut; the cut lets through all but SPARED of the good labelled
+documents that were kept out of the fit.
 
 Defined results: a null or empty text has weight 0 (nothing speaks against it); without
 usable labels every document is selected; rows that repeat an id share its noise; rows
@@ -22,6 +23,7 @@ tied at the threshold are all selected; other input columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +32,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import payload, written
 
-BUCKET_BITS = 17
-BUCKETS = 1 << BUCKET_BITS
+#: Each kind of n-gram has its own buckets: words, word pairs, and shape pairs with repeats.
+WORD_BITS, PAIR_BITS, SHAPE_BITS = 17, 16, 14
+BUCKETS = (1 << WORD_BITS) + (1 << PAIR_BITS) + (1 << SHAPE_BITS)
 #: Most labelled documents used, chosen by a hash of the id; one in HELD_OUT calibrates.
 LABEL_SAMPLE = 40_000
 HELD_OUT = 5
-MARGIN = 2.0
+MARGIN = 3.0
+#: Share of held-out good documents that may lie below the cut.
+SPARED = 0.005
 TEMPERATURE = 0.1
 SEED = 17
 #: Distinct words whose hashes a task keeps.
@@ -44,30 +49,53 @@ KEPT_WORDS = 500_000
 LAST_ROWS = 10_000
 
 
+def shape(word: str) -> str:
+    """Character classes of a word, runs of one class as one: ``Abc12--`` is ``Aa0-``."""
+    kinds = (
+        "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word
+    )
+    return "".join(kind for kind, _ in groupby(kinds))
+
+
 class Features:
-    """Bucket numbers of the n-grams of a batch of texts."""
+    """Bucket numbers of the n-grams of a batch of texts: words, pairs of words, pairs of word
+    shapes, and how often a word has just been repeated."""
 
     def __init__(self) -> None:
-        self.hashes: dict[str, int] = {}
+        self.known: dict[str, tuple[int, int]] = {}
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(buckets, document of each bucket)."""
         import xxhash
 
-        if len(self.hashes) > KEPT_WORDS:
-            self.hashes.clear()
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
         words = [t.decode("utf-8", "replace").split() for t in texts]
-        known = self.hashes
+        known, digest = self.known, xxhash.xxh64_intdigest
         for w in {w for ws in words for w in ws}.difference(known):
-            known[w] = xxhash.xxh64_intdigest(w, SEED)
+            known[w] = digest(w, SEED), digest(shape(w), SEED + 1)
         counts = np.array([len(ws) for ws in words])
-        single = np.fromiter((known[w] for ws in words for w in ws), np.uint64, counts.sum())
+        both = np.array([known[w] for ws in words for w in ws], np.uint64).reshape(-1, 2)
+        single, form = both[:, 0], both[:, 1]
         doc = np.repeat(np.arange(len(texts)), counts)
         same = doc[1:] == doc[:-1]
-        pair = (single[:-1] * np.uint64(0x9E3779B97F4A7C15) + (single[1:] ^ (single[1:] >> np.uint64(29))))[same]
-        pair = pair * np.uint64(0xBF58476D1CE4E5B9)
-        hashed = np.concatenate((single, pair)) >> np.uint64(64 - BUCKET_BITS)
-        return hashed.astype(np.int64), np.concatenate((doc, doc[1:][same]))
+        again = np.concatenate(([False], same & (single[1:] == single[:-1])))[: len(single)]
+        at = np.arange(len(single))
+        run = at - np.maximum.accumulate(np.where(again, 0, at))
+        repeated = run >= 2
+        runs = mixed(np.minimum(run[repeated], 4).astype(np.uint64), np.uint64(SEED))
+        pairs, forms = (mixed(x[:-1], x[1:])[same] for x in (single, form))
+        kinds = ((single, WORD_BITS), (pairs, PAIR_BITS), (np.concatenate((forms, runs)), SHAPE_BITS))
+        hashed, first = [], 0
+        for values, bits in kinds:
+            hashed.append((values >> np.uint64(64 - bits)).astype(np.int64) + first)
+            first += 1 << bits
+        return np.concatenate(hashed), np.concatenate((doc, doc[1:][same], doc[1:][same], doc[repeated]))
+
+
+def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    pair = left * np.uint64(0x9E3779B97F4A7C15) + (right ^ (right >> np.uint64(29)))
+    return (pair ^ (pair >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def label_sample(labels: DataFrame) -> DataFrame:
@@ -141,16 +169,11 @@ def score(labelled: DataFrame, ratios) -> DataFrame:
 
 
 def best_cut(scores: DataFrame) -> float | None:
-    """The weight that separates the held-out good from the bad with the highest balanced
-    accuracy; None without both kinds."""
-    held = scores.where("held_out").select("log_weight", "good").toPandas()  # LABEL_SAMPLE rows at most
-    good = np.sort(held.loc[held["good"] == 1, "log_weight"].to_numpy())
-    bad = np.sort(held.loc[held["good"] == 0, "log_weight"].to_numpy())
-    if not len(good) or not len(bad):
-        return None
-    cuts = np.unique(np.concatenate((good, bad)))
-    right = (len(good) - np.searchsorted(good, cuts)) / len(good) + np.searchsorted(bad, cuts) / len(bad)
-    return float(cuts[np.flatnonzero(right == right.max())[0]])
+    """The highest weight that lets through all but SPARED of the held-out good documents;
+    None without any."""
+    held = scores.where("held_out AND good = 1").select("log_weight").toPandas()  # LABEL_SAMPLE rows at most
+    good = np.sort(held["log_weight"].to_numpy())
+    return float(good[int(len(good) * SPARED)]) if len(good) else None
 
 
 def kth_largest(values: DataFrame, column: str, k: int) -> float:
