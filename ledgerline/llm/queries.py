@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, importance, token_counts
+from ledgerline.llm import byte_bpe, importance, simhash, token_counts
 from ledgerline.llm.common import read_table
 
 
@@ -19,6 +20,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.classify(read_table(spark, sf_dir, "documents"), labels).drop("_key")
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), model)
@@ -27,6 +33,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_classifier": op2_quality_classifier,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_token_counts": op6_token_counts,
 }
 
