@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, importance, simhash, token_counts
+from ledgerline.llm import byte_bpe, html_extract, importance, quality_rules, simhash, token_counts
 from ledgerline.llm.common import read_table
 
 
@@ -25,16 +25,26 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), model)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.measure(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_html_extraction": op5_html_extraction,
     "op6_token_counts": op6_token_counts,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}

@@ -41,6 +41,8 @@ SEED = 42
 #: Distinct fingerprints in a block, and bits of a variant's hash.
 BLOCK = 8192
 HASH_BITS = 44
+#: Most partitions that blocks are dealt to.
+MOST_TASKS = 10_000
 #: Variants in a range, about.
 RANGE = 1 << 21
 #: Fingerprints whose variants are compared at a time when a block emits them again.
@@ -123,7 +125,10 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     blocks = max(1, math.ceil(n / BLOCK))
     range_bits = max(0, math.ceil(math.log2(max(1, n * len(masks) / RANGE))))
     shift = np.uint64(HASH_BITS - range_bits)
-    by_block = distinct.select("fp", F.pmod(F.xxhash64("fp"), F.lit(blocks)).cast("int").alias("block"))
+    # Few bytes but much work: a partition for each block, up to a point.
+    tasks = min(blocks, MOST_TASKS)
+    block = F.pmod(F.xxhash64("fp"), F.lit(blocks)).cast("int").alias("block")
+    by_block = distinct.select("fp", block).repartition(tasks, "block")
     mask_values = spark.sparkContext.broadcast(masks)
 
     def emit(group: pd.DataFrame) -> pd.DataFrame:
@@ -176,7 +181,7 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
         return pd.DataFrame(np.concatenate(out), columns=["kind", "x", "fp"])
 
     packed = by_block.groupBy("block").applyInPandas(emit, "range int, block int, data binary")
-    named = packed.groupBy("range").applyInPandas(repeated, "block int, data binary")
+    named = packed.groupBy("range").applyInPandas(repeated, "block int, data binary").repartition(tasks, "block")
     again = written(
         by_block.groupBy("block").cogroup(named.groupBy("block")).applyInPandas(emit_again, "kind long, x long, fp long"),
         "simhash-variants",
