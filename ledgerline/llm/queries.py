@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, html_extract, importance, quality_rules, simhash, token_counts
+from ledgerline.llm import byte_bpe, html_extract, importance, merkle, packing, quality_rules, simhash, token_counts
 from ledgerline.llm.common import read_table
 
 
@@ -34,17 +34,27 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), model)
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(read_table(spark, sf_dir, "documents"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_html_extraction": op5_html_extraction,
     "op6_token_counts": op6_token_counts,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op9_quality_rules": op9_quality_rules,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {}
