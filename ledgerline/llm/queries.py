@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, html_extract, importance, merkle, packing, quality_rules, simhash, token_counts, warc
+from ledgerline.llm import byte_bpe, html_extract, importance, merkle, packing, quality_rules, simhash, suffix_dedup, token_counts, warc
 from ledgerline.llm.common import SPACE_CLASS, read_table
 
 
@@ -20,6 +20,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.classify(read_table(spark, sf_dir, "documents"), labels).drop("_key")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.measure(read_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -53,6 +57,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_html_extraction": op5_html_extraction,
     "op6_token_counts": op6_token_counts,
