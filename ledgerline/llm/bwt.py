@@ -11,21 +11,24 @@ from __future__ import annotations
 
 import numpy as np
 
-BLOCK = 64
+BLOCK = 16
 
 
 class RangeMinimum:
-    """Minima of ranges of one sequence, by prefix and suffix minima of blocks and a table of
-    block minima."""
+    """Minima of ranges of one sequence: whole blocks by a table of block minima, the ends cell
+    by cell."""
 
     def __init__(self, values: np.ndarray):
-        n = -(-len(values) // BLOCK) * BLOCK
+        n = (-(-len(values) // BLOCK) + 2) * BLOCK
         self.values = np.full(n, 255, np.uint8)
         self.values[: len(values)] = values
-        grid = self.values.reshape(-1, BLOCK)
-        self.prefix = np.minimum.accumulate(grid, axis=1).ravel()
-        self.suffix = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-        self.table = [self.prefix[BLOCK - 1 :: BLOCK]]
+        part, width = self.values, n // BLOCK
+        grid = part.reshape(width, BLOCK)
+        half = BLOCK // 2
+        while half:
+            grid = np.minimum(grid[:, :half], grid[:, half : 2 * half])
+            half //= 2
+        self.table = [grid.ravel()]
         step = 1
         while 2 * step <= len(self.table[0]):
             last = self.table[-1]
@@ -34,23 +37,20 @@ class RangeMinimum:
 
     def __call__(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Minima of values[first..last], both included, first <= last."""
-        a, b = first // BLOCK, last // BLOCK
-        out = np.minimum(self.suffix[first], self.prefix[last])
-        between = np.flatnonzero(b - a > 1)
-        if len(between):
-            low, high = a[between] + 1, b[between] - 1
-            level = np.frexp((high - low + 1).astype(float))[1] - 1
-            for k in np.unique(level):
-                at = between[level == k]
-                table = self.table[k]
-                out[at] = np.minimum(out[at], np.minimum(table[a[at] + 1], table[b[at] - (1 << int(k))]))
-        inside = np.flatnonzero(a == b)
-        for part in range(0, len(inside), 1 << 14):
-            at = inside[part : part + (1 << 14)]
-            wide = int((last[at] - first[at]).max()) + 1
-            index = first[at][:, None] + np.arange(wide)
-            cells = np.where(index <= last[at][:, None], self.values[np.minimum(index, len(self.values) - 1)], 255)
-            out[at] = cells.min(axis=1)
+        low = -(-first // BLOCK)  # whole blocks low .. high - 1
+        high = (last + 1) // BLOCK
+        cells = np.arange(BLOCK)
+        at = np.minimum(first[:, None] + cells, last[:, None])
+        out = self.values[at].min(axis=1)
+        at = np.maximum(last[:, None] - cells, first[:, None])
+        out = np.minimum(out, self.values[at].min(axis=1))
+        span = high - low
+        whole = np.flatnonzero(span > 0)
+        level = np.frexp(span[whole].astype(float))[1] - 1
+        for k in np.unique(level):
+            here = whole[level == k]
+            table = self.table[k]
+            out[here] = np.minimum(out[here], np.minimum(table[low[here]], table[high[here] - (1 << int(k))]))
         return out
 
 

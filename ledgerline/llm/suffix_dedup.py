@@ -7,17 +7,18 @@ them; all strings are judged on the input.
 Spark deals the work out so that no task needs the whole corpus:
 
 1. Anchors. In every SPAN-byte window the GRAM-byte string of least hash is its anchor
-   (winnowing), so equal windows have an anchor in common. Anchor hashes are counted over
-   the corpus; only anchors that occur twice or more go on.
-2. Segments. A segment is what the windows of one anchor cover. Equal segments are grouped
-   by a hash of their content: all but the first are removed whole, and only the first
-   goes on, so copies never pile up.
+   (winnowing), so equal windows have an anchor in common. A segment is what a run of
+   windows with one anchor covers. Anchor hashes are counted over the corpus; only anchors
+   that occur twice or more go on.
+2. Copies. Equal segments are grouped by a hash of their content: all but the first are
+   removed whole, and only the first goes on, so copies never pile up.
 3. Suffix arrays. Different segments with one anchor are collected into buckets of
-   bounded size. A bucket's Burrows-Wheeler transform and common prefixes are built column
-   by column (``bwt``); runs of suffixes that share SPAN bytes are equal windows, and all
-   but the earliest are removed. An anchor with more than HOT different segments is not
-   collected: its segments are cut into their single windows, which are grouped by content
-   as in step 2.
+   bounded size. Windows that hold their anchor at nearly the same offset share a core;
+   where a core occurs once, nothing can be equal. The Burrows-Wheeler transform and common
+   prefixes of the rest are built column by column (``bwt``); runs of suffixes that share
+   SPAN bytes are equal windows, and all but the earliest are removed. An anchor with more
+   than HOT different segments is not collected: its segments are cut into their single
+   windows, which are grouped by content as in step 2.
 4. The removed ranges meet their documents again.
 
 Defined results: null text = empty text; documents under SPAN bytes stay whole; rows that
@@ -52,6 +53,10 @@ PART = 1 << 20
 #: Segments in a bucket, about; more different segments of one anchor are split by window.
 BUCKET = 4096
 HOT = 4096
+#: Strings in one suffix array, about.
+COLLECTION = 1024
+#: Offsets of the anchor in a window that are treated alike; their windows share the rest.
+OFFSETS = 17
 #: A place is a position in a document, below 16 bits of its text's hash.
 PLACE_BITS = 40
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -61,12 +66,11 @@ NO_ID = -(2**63)
 class Hasher:
     """Polynomial hashes of all windows of a byte array, modulo 2**64."""
 
-    def __init__(self) -> None:
+    def __init__(self, size: int = 2 * PART + 2 * SPAN) -> None:
         rng = np.random.default_rng(SEED)
         self.symbol = rng.integers(1, 2**63, 256, np.uint64)
         base = np.uint64(0xD6E8FEB86659FD93)
         inverse = np.uint64(pow(int(base), -1, 2**64))
-        size = 2 * PART + SPAN
         self.power = np.cumprod(np.full(size, base, np.uint64))
         self.inverse = np.cumprod(np.full(size, inverse, np.uint64))
 
@@ -98,55 +102,47 @@ def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     return pick(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def thinned(marks: np.ndarray, values: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Without marks that their equals nearby stand in for (repetitive text): between two kept
-    marks of a run of equal hashes there is never a whole window."""
-    same = (values[marks[1:]] == values[marks[:-1]]) & (np.diff(marks) <= WIDE) & (doc[1:] == doc[:-1])
-    inner = np.flatnonzero(same[1:] & same[:-1]) + 1
-    if not len(inner):
-        return marks
-    keep = np.ones(len(marks), bool)
-    place = marks.tolist()
-    last_kept = -2
-    before = -2
-    for i in inner.tolist():
-        if i != before + 1:
-            last_kept = place[i - 1]
-        if place[i + 1] - last_kept <= WIDE:
-            keep[i] = False
-        else:
-            last_kept = place[i]
-        before = i
-    return marks[keep]
-
-
 def anchors(hasher: Hasher, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple:
-    """(anchor hash, segment hash, document, segment start, segment length) over documents
-    that lie at starts:ends in ``data``."""
+    """(anchor hash, segment hash, document, segment start, segment length, whether its anchor
+    stands in it twice) over documents that lie at starts:ends in ``data``. A segment is a run of windows with one anchor hash,
+    at most WIDE of them."""
     n = len(data)
     if n < SPAN:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, bool))
     sums = hasher.sums(np.frombuffer(data, np.uint8))
     grams = hasher.windows(sums, slice(0, n - GRAM + 1), slice(GRAM, n + 1))
     least = sliding(grams, WIDE, np.minimum)  # a window each
     inside = np.zeros(n + 1, np.int32)
     fits = ends - starts >= SPAN
-    np.add.at(inside, starts[fits], 1)
-    np.add.at(inside, ends[fits] - SPAN + 1, -1)
-    least[np.cumsum(inside[: len(least)]) == 0] = 0  # windows across documents
+    inside[starts[fits]] += 1
+    inside[ends[fits] - SPAN + 1] -= 1
+    inside = np.cumsum(inside[: len(least)]) > 0  # not across documents
+    begins = np.ones(len(least), bool)
+    begins[1:] = (least[1:] != least[:-1]) | ~inside[:-1]
+    run = np.flatnonzero(begins)
+    length = np.diff(run, append=len(least))
+    # Runs of repetitive text are long: they go in parts.
+    pieces = -(-length // WIDE)
+    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    first = np.repeat(run, pieces) + nth * WIDE
+    windows = np.minimum(np.repeat(length, pieces) - nth * WIDE, WIDE)
+    first, windows = first[inside[first]], windows[inside[first]]
+    doc = np.searchsorted(ends, first, side="right")
+    windows = np.minimum(windows, ends[doc] - SPAN + 1 - first)
+    last = first + windows - 1 + SPAN
+    # Anchors that stand twice in a segment: it may repeat a window within itself.
     padded = np.zeros(len(least) + 2 * (WIDE - 1), np.uint64)
     padded[WIDE - 1 : WIDE - 1 + len(least)] = least
     marks = np.flatnonzero(sliding(padded, WIDE, np.maximum) == grams)
-    marks = thinned(marks, grams, np.searchsorted(ends, marks, side="right"))
-    doc = np.searchsorted(ends, marks, side="right")
-    first = np.maximum(marks + GRAM - SPAN, starts[doc])
-    last = np.minimum(marks + SPAN, ends[doc])
-    return grams[marks], hasher.windows(sums, first, last), doc, first - starts[doc], last - first
+    near = np.flatnonzero((grams[marks[1:]] == grams[marks[:-1]]) & (np.diff(marks) <= WIDE))
+    left, right = np.append(marks[near], n), np.append(marks[near + 1], 2 * n)
+    again = right[np.searchsorted(left, first)] <= last - GRAM
+    return least[first], hasher.windows(sums, first, last), doc, first - starts[doc], last - first, again
 
 
 def parts(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Texts joined to about PART bytes: data, starts, ends, row, offset in the row. Long texts
-    come in parts that overlap by what windows need to be whole in one of them."""
+    come in parts that overlap by less than a window, so each window is in one of them."""
     held: list[tuple[int, int, bytes]] = []
     size = 0
 
@@ -158,10 +154,8 @@ def parts(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, n
 
     for row, text in enumerate(texts):
         for offset in range(0, max(len(text) - SPAN + 1, 0), PART):
-            # Segments reach beyond their windows: the overlap gives them their whole context.
-            begin = max(0, offset - SPAN)
-            piece = text[begin : offset + PART + 2 * SPAN]
-            held.append((row, begin, piece))
+            piece = text[offset : offset + PART + SPAN - 1]
+            held.append((row, offset, piece))
             size += len(piece)
             if size >= PART:
                 yield joined()
@@ -178,41 +172,114 @@ def key_columns(id_col: str, text_col: str) -> list[Column]:
 
 
 def anchor_rows(keyed: DataFrame, all_columns: bool) -> DataFrame:
-    """(h) or (h, g, _order, place, len) of every anchor."""
+    """(h, n) or (h, g, _order, place, len) of every segment; n is 2 where the anchor stands in
+    it twice, and len is negative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for rows in batches:
             order, part = rows.column("_order").to_numpy(), rows.column("_part").to_numpy().astype(np.int64)
             for data, starts, ends, row, offset in parts(rows.column("_bytes").to_pylist()):
-                h, g, doc, first, size = anchors(hasher, data, starts, ends)
+                h, g, doc, first, size, again = anchors(hasher, data, starts, ends)
                 if all_columns:
                     place = (part[row[doc]] << PLACE_BITS) + offset[doc] + first
-                    columns = [h.view(np.int64), g.view(np.int64), order[row[doc]], place, size.astype(np.int16)]
+                    columns = [h.view(np.int64), g.view(np.int64), order[row[doc]], place, np.where(again, -size, size).astype(np.int16)]
                 else:
-                    columns = [h.view(np.int64)]
+                    columns = [h.view(np.int64), 1 + again.astype(np.int8)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    names = ["h", "g", "_order", "place", "len"] if all_columns else ["h"]
-    schema = "h long, g long, _order long, place long, len short" if all_columns else "h long"
+    names = ["h", "g", "_order", "place", "len"] if all_columns else ["h", "n"]
+    schema = "h long, g long, _order long, place long, len short" if all_columns else "h long, n byte"
     return keyed.mapInArrow(run, schema)
 
 
+def cores(bucket: pd.DataFrame) -> tuple:
+    """Cuts the segments of a bucket into sub-segments: neighbouring windows that hold their
+    anchor at nearly the same offset, and so have a long core in common. Returns, for each,
+    the row of the bucket, first and last byte, hash of anchor, offset and core, and hash of
+    the whole. Equal windows have equal cores, wherever their segments were cut."""
+    lengths = bucket["segment"].str.len().to_numpy()
+    ends = np.cumsum(lengths)
+    data = np.frombuffer(b"".join(bucket["segment"]), np.uint8)
+    hasher = Hasher(len(data) + 1)
+    sums = hasher.sums(data)
+    grams = hasher.windows(sums, slice(0, len(data) - GRAM + 1), slice(GRAM, len(data) + 1))
+    row = np.repeat(np.arange(len(bucket)), lengths)
+    is_anchor = grams == bucket["h"].to_numpy().view(np.uint64)[row[: len(grams)]]
+    follows = np.where(is_anchor, np.arange(len(grams)), len(data))
+    follows = np.minimum.accumulate(follows[::-1])[::-1]  # the next anchor from here on
+    first = np.arange(len(data))
+    first = first[first + SPAN <= ends[row]]
+    anchor = follows[first]
+    kind = (anchor - first) // OFFSETS
+    new = np.ones(len(first), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (kind[1:] != kind[:-1]) | (row[first[1:]] != row[first[:-1]])
+    begin = np.flatnonzero(new)
+    end = np.concatenate((begin[1:], [len(first)])) - 1
+    a, b = first[begin], first[end] + SPAN
+    core = anchor[begin] - kind[begin] * OFFSETS
+    shared = hasher.windows(sums, core, core + SPAN - OFFSETS + 1)
+    shared ^= grams[anchor[begin]] + kind[begin].astype(np.uint64) * ODD
+    return row[a], a - (ends - lengths)[row[a]], b - (ends - lengths)[row[a]], shared, hasher.windows(sums, a, b)
+
+
+def twice(values: np.ndarray) -> np.ndarray:
+    """Which values occur more than once."""
+    _, at, n = np.unique(values, return_inverse=True, return_counts=True)
+    return n[at] > 1
+
+
 def equal_windows(bucket: pd.DataFrame) -> pd.DataFrame:
-    """Ranges of a bucket's segments that also stand earlier, by suffix order."""
-    bucket = bucket.sort_values(["_order", "place"], kind="stable")
-    order, place = bucket["_order"].to_numpy(), bucket["place"].to_numpy()
-    string, start, prefix = build(bucket["segment"].tolist())
+    """Ranges of a bucket's segments that also stand earlier."""
+    bucket = bucket.sort_values(["_order", "place"], kind="stable").reset_index(drop=True)
+    row, begin, end, core, whole = cores(bucket)
+    kept = twice(core)  # other sub-segments cannot hold a window of another one
+    row, begin, end, core, whole = (x[kept] for x in (row, begin, end, core, whole))
+    at = bucket["place"].to_numpy()[row] + begin
+    order = bucket["_order"].to_numpy()[row]
+    by = np.lexsort((at, order))
+    row, begin, end, core, whole, at, order = (x[by] for x in (row, begin, end, core, whole, at, order))
+    _, first, same = np.unique(whole, return_index=True, return_inverse=True)
+    head = first[same]
+    copies = (at != at[head]) | (order != order[head])
+    out = [pd.DataFrame({"_order": order[copies], "place": at[copies], "size": (end - begin)[copies]})]
+    first = np.sort(first)
+    first = first[twice(core[first])]
+    segment = bucket["segment"].to_numpy()
+    for part in buckets_of(core[first]):
+        chosen = first[part]
+        strings = [segment[r][a:b] for r, a, b in zip(row[chosen], begin[chosen], end[chosen], strict=True)]
+        out.append(by_suffixes(strings, order[chosen], at[chosen]))
+    return pd.concat(out, ignore_index=True)
+
+
+def buckets_of(keys: np.ndarray) -> Iterator[np.ndarray]:
+    """Whole groups of equal keys, gathered to about COLLECTION strings."""
+    by = np.argsort(keys, kind="stable")
+    ordered = keys[by]
+    start = 0
+    while start < len(by):
+        end = min(start + COLLECTION, len(by))
+        if end < len(by):
+            end = int(np.searchsorted(ordered, ordered[end - 1], side="right"))
+        yield by[start:end]
+        start = end
+
+
+def by_suffixes(strings: list[bytes], owner: np.ndarray, place: np.ndarray) -> pd.DataFrame:
+    """Ranges of strings, which stand at (owner, place), that also stand earlier in another."""
+    string, start, prefix = build(strings)
     with_before = prefix >= SPAN
     group = np.cumsum(~with_before)
     member = with_before.copy()
     member[:-1] |= with_before[1:]
     string, start, group = string[member], start[member], group[member]
     at = place[string] + start
-    by = np.lexsort((at, order[string], group))
-    group, owner, at = group[by], order[string][by], at[by]
-    first = np.concatenate(([True], group[1:] != group[:-1])) if len(group) else np.zeros(0, bool)
-    head = np.maximum.accumulate(np.where(first, np.arange(len(group)), 0)) if len(group) else first
+    by = np.lexsort((at, owner[string], group))
+    group, owner, at = group[by], owner[string][by], at[by]
+    first = np.ones(len(group), bool)
+    first[1:] = group[1:] != group[:-1]
+    head = np.maximum.accumulate(np.where(first, np.arange(len(group)), 0))
     later = (owner != owner[head]) | (at != at[head])
     return ranges(owner[later], at[later])
 
@@ -279,7 +346,7 @@ def later_than(rows: DataFrame, first: DataFrame, keys: list[str]) -> DataFrame:
 def removed_ranges(docs: DataFrame) -> DataFrame:
     """(_order, place, size) of all byte ranges to remove. ``docs``: _order, _part, _bytes."""
     repeated = written(
-        anchor_rows(docs, False).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"),
+        anchor_rows(docs, False).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"),
         "dedup-anchors",
     )
     found = written(anchor_rows(docs, True).join(repeated, "h"), "dedup-segments")
@@ -289,10 +356,12 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
         ),
         "dedup-first",
     )
-    copies = later_than(found, first, ["h", "g"]).select("_order", "place", F.col("len").cast("long").alias("size"))
+    copies = later_than(found, first, ["h", "g"]).select("_order", "place", F.abs("len").cast("long").alias("size"))
 
-    kinds = first.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    wanted = first.join(kinds, "h").select("h", F.col("kinds").alias("n"), "first.*")
+    kinds = first.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("first.len").alias("least"))
+    wanted = first.join(kinds.where("kinds > 1 OR least < 0"), "h").select(
+        "h", F.col("kinds").alias("n"), "first._order", "first.place", F.abs("first.len").alias("len")
+    )
     segments = written(fetch_segments(docs, wanted), "dedup-different")
     few = segments.where(F.col("n") <= HOT)
     buckets = max(1, math.ceil(few.count() / BUCKET))
