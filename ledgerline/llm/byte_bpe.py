@@ -30,7 +30,7 @@ MATRIX_WIDTH = 256
 #: Cells of one matrix; bounds memory.
 MATRIX_CELLS = 1 << 20
 #: Encoded pieces a task keeps; a full store is emptied (pieces are then encoded again).
-KEPT_PIECES = 400_000
+KEPT_PIECES = 250_000
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 

@@ -44,6 +44,19 @@ def payload(text: str | Column, name: str = "_bytes") -> Column:
     return F.coalesce(col.cast("binary"), F.lit(b"")).alias(name)
 
 
+#: Arrow batches handed to Python: rows and bytes at most (one longer text is a batch alone).
+BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, for ``mapInArrow``: whole texts go to Python, so batches are kept small."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def map_batches(
     df: DataFrame, per_batch: Callable[[pa.RecordBatch], dict[str, list]], schema: str, setup: Callable | None = None
 ) -> DataFrame:
@@ -64,7 +77,7 @@ def map_batches(
                         [c if isinstance(c := out[f.name], pa.Array) else pa.array(c, type=f.type) for f in arrow], schema=arrow
                     )
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def replaced(docs: DataFrame, **columns: Column) -> DataFrame:

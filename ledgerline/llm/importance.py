@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import payload, written
+from ledgerline.llm.common import in_small_batches, payload, written
 
 #: Each kind of n-gram has its own buckets: words, word pairs, and shape pairs with repeats.
 WORD_BITS, PAIR_BITS, SHAPE_BITS = 17, 16, 14
@@ -44,7 +44,7 @@ SPARED = 0.005
 TEMPERATURE = 0.1
 SEED = 17
 #: Distinct words whose hashes a task keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 150_000
 #: Select the threshold exactly once so few rows are left to look at.
 LAST_ROWS = 10_000
 
@@ -129,7 +129,7 @@ def bucket_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_pydict({"bucket": used, "raw": raw[used], "target": target[used]})
 
     sums = (
-        labelled.select("_bytes", F.expr("coalesce(good = 1 AND NOT held_out, false)").alias("fits"))
+        in_small_batches(labelled).select("_bytes", F.expr("coalesce(good = 1 AND NOT held_out, false)").alias("fits"))
         .mapInArrow(count, "bucket long, raw long, target long")
         .groupBy("bucket")
         .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
@@ -165,7 +165,7 @@ def score(labelled: DataFrame, ratios) -> DataFrame:
     uniform = (F.xxhash64(F.lit(SEED), F.coalesce("doc_id", F.lit(-1))).cast("double") / F.lit(2.0**64)) + F.lit(0.5)
     inside = F.greatest(F.least(uniform, F.lit(1 - 1e-12)), F.lit(1e-12))
     gumbel = -F.log(-F.log(inside))
-    return labelled.mapInArrow(run, schema).withColumn("gumbel_key", F.col("log_weight") / TEMPERATURE + gumbel)
+    return in_small_batches(labelled).mapInArrow(run, schema).withColumn("gumbel_key", F.col("log_weight") / TEMPERATURE + gumbel)
 
 
 def best_cut(scores: DataFrame) -> float | None:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import payload
+from ledgerline.llm.common import in_small_batches, payload
 
 SECTION = 4
 #: Longest piece, in characters.
@@ -209,4 +209,4 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double, n_edits long"
     )
-    return with_next(docs, id_col, text_col).mapInArrow(run, schema)
+    return in_small_batches(with_next(docs, id_col, text_col)).mapInArrow(run, schema)

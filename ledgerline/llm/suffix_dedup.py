@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.llm.bwt import build
-from ledgerline.llm.common import payload, written
+from ledgerline.llm.common import in_small_batches, payload, written
 
 SPAN = 100
 GRAM = 32
@@ -190,7 +190,7 @@ def anchor_rows(keyed: DataFrame, all_columns: bool) -> DataFrame:
 
     names = ["h", "g", "_order", "place", "len"] if all_columns else ["h", "n"]
     schema = "h long, g long, _order long, place long, len short" if all_columns else "h long, n byte"
-    return keyed.mapInArrow(run, schema)
+    return in_small_batches(keyed).mapInArrow(run, schema)
 
 
 def cores(bucket: pd.DataFrame) -> tuple:

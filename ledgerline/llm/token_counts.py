@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import map_batches, payload, written
+from ledgerline.llm.common import in_small_batches, map_batches, payload, written
 
 #: Rows of the broadcast half and their longest pre-token: 150,000 x 64 bytes at most.
 COMMON = 150_000
@@ -119,7 +119,7 @@ def vocabulary(docs: DataFrame, model_file: str) -> DataFrame:
             "pieces": count_pieces(tools[0], rows.column("token").to_pylist()),
         }
 
-    distinct = docs.mapInArrow(gather, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    distinct = in_small_batches(docs).mapInArrow(gather, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     return map_batches(distinct, batch, "token string, n long, pieces int", lambda: cutter(model_file))
 
 

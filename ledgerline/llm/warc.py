@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fresh_path, payload, written
+from ledgerline.llm.common import fresh_path, in_small_batches, payload, written
 
 REVISIT_BYTES = 100
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -194,7 +194,7 @@ def write_archives(
             yield closed()
 
     rows = references(pages, id_col, url_col, html_col)
-    return written(rows.mapInArrow(run, "path string, records long, bytes long"), "warc-manifest")
+    return written(in_small_batches(rows).mapInArrow(run, "path string, records long, bytes long"), "warc-manifest")
 
 
 def frames(stream: io.RawIOBase) -> Iterator[bytes]:
