@@ -23,7 +23,7 @@ tied at the threshold are all selected; other input columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -44,16 +44,21 @@ SPARED = 0.005
 TEMPERATURE = 0.1
 SEED = 17
 #: Distinct words whose hashes a task keeps.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 300_000
 #: Select the threshold exactly once so few rows are left to look at.
 LAST_ROWS = 10_000
 
 
 def shape(word: str) -> str:
     """Character classes of a word, runs of one class as one: ``Abc12--`` is ``Aa0-``."""
-    kinds = (
-        "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word
-    )
+    if word.isalpha():
+        if word.islower():
+            return "a"
+        if word.isupper():
+            return "A"
+        if word.istitle() and len(word) > 1:
+            return "Aa"
+    kinds = ("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return "".join(kind for kind, _ in groupby(kinds))
 
 
@@ -62,25 +67,35 @@ class Features:
     shapes, and how often a word has just been repeated."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, int] = {}
+        self.hashes = np.zeros((2, 1024), np.uint64)  # of words and of their shapes
 
-    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(buckets, document of each bucket)."""
+    def add(self, words: set[str]) -> None:
         import xxhash
 
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
+        new = [w for w in words if w not in self.known]
+        first, last = len(self.known), len(self.known) + len(new)
+        if last > self.hashes.shape[1]:
+            self.hashes = np.concatenate((self.hashes, np.zeros((2, last), np.uint64)), axis=1)
+        digest = xxhash.xxh64_intdigest
+        self.known.update(zip(new, range(first, last)))
+        self.hashes[0, first:last] = np.fromiter((digest(w, SEED) for w in new), np.uint64, len(new))
+        self.hashes[1, first:last] = np.fromiter((digest(shape(w), SEED + 1) for w in new), np.uint64, len(new))
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(buckets, document of each bucket)."""
         words = [t.decode("utf-8", "replace").split() for t in texts]
-        known, digest = self.known, xxhash.xxh64_intdigest
-        for w in {w for ws in words for w in ws}.difference(known):
-            known[w] = digest(w, SEED), digest(shape(w), SEED + 1)
+        self.add(set(chain.from_iterable(words)))
         counts = np.array([len(ws) for ws in words])
-        both = np.array([known[w] for ws in words for w in ws], np.uint64).reshape(-1, 2)
-        single, form = both[:, 0], both[:, 1]
+        number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, counts.sum())
+        single, form = self.hashes[0, number], self.hashes[1, number]
         doc = np.repeat(np.arange(len(texts)), counts)
         same = doc[1:] == doc[:-1]
-        again = np.concatenate(([False], same & (single[1:] == single[:-1])))[: len(single)]
         at = np.arange(len(single))
+        again = np.zeros(len(single), bool)
+        again[1:] = same & (number[1:] == number[:-1])
         run = at - np.maximum.accumulate(np.where(again, 0, at))
         repeated = run >= 2
         runs = mixed(np.minimum(run[repeated], 4).astype(np.uint64), np.uint64(SEED))

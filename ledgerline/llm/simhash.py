@@ -10,9 +10,10 @@ fingerprints (by hash). It emits its variants as sorted hashes of HASH_BITS bits
 ranges and stored as compressed gaps, about 2.7 bytes a variant. The task of a range finds
 the hashes that occur twice or more and names them to their blocks. These emit the
 variants again, exactly, for the named hashes only: inside a block equal variants become
-links at once, and one row for each variant and block is compared between blocks. Links
-are stars around the least fingerprint of a variant, never all pairs; each is verified by
-its bit distance. Components follow by large-star and small-star steps.
+links at once, and one owner of each variant is compared between blocks, packed again.
+Links are stars around the least fingerprint of a variant, never all pairs; each is
+verified by its bit distance, and what closes a circle is left out. Components follow by
+large-star and small-star steps.
 
 Defined results: null text = empty text = no words = fingerprint zero, linked like any
 other; equal texts share a fingerprint; rows that repeat an id count as documents of that
@@ -116,15 +117,43 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(gaps.view("<u8").ravel())
 
 
+def forest(variant: np.ndarray, fp: np.ndarray, distance: int) -> np.ndarray:
+    """Edges that connect fingerprints with equal variants: stars around the least one of a
+    variant, verified by bit distance, without edges that close a circle. Shape (n, 2)."""
+    by = np.lexsort((fp, variant))
+    variant, fp = variant[by], fp[by]
+    first = np.ones(len(fp), bool)
+    first[1:] = variant[1:] != variant[:-1]
+    least = fp[np.maximum.accumulate(np.where(first, np.arange(len(fp)), 0))]
+    near = ~first & (least != fp) & (np.bitwise_count(least ^ fp) <= distance)
+    ids, ends = np.unique(np.stack((least[near], fp[near])), return_inverse=True)
+    a, b = np.unique(ends.reshape(2, -1), axis=1)
+    label = np.arange(len(ids))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    joined = label != np.arange(len(ids))
+    return np.stack((ids[label[joined]], ids[joined]), axis=1)
+
+
 def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Edges (a, b) among distinct fingerprints (column fp) that connect all pairs within
-    ``distance`` bits."""
+    ``distance`` bits, and no others."""
+    import zstandard
+
     spark = distinct.sparkSession
     masks = ball((distance + 1) // 2)
     n = distinct.count()
     blocks = max(1, math.ceil(n / BLOCK))
     range_bits = max(0, math.ceil(math.log2(max(1, n * len(masks) / RANGE))))
     shift = np.uint64(HASH_BITS - range_bits)
+    slot_shift = np.uint64(HASH_BITS - max(0, range_bits - 2))
     # Few bytes but much work: a partition for each block, up to a point.
     tasks = min(blocks, MOST_TASKS)
     block = F.pmod(F.xxhash64("fp"), F.lit(blocks)).cast("int").alias("block")
@@ -145,21 +174,26 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
         values = np.concatenate(parts)
         values.sort()
         twice = np.unique(values[1:][values[1:] == values[:-1]])
+        own = [np.unique(part) for part in parts]
+        shared = np.concatenate(own)
+        shared.sort()
+        across = np.unique(shared[1:][shared[1:] == shared[:-1]])
         named = []
-        for block, part in zip(group["block"], parts, strict=True):
-            here = np.unique(part)
-            if len(twice) and len(here := here[np.isin(here, twice, assume_unique=True)]):
-                named.append((block, pack(here)))
-        return pd.DataFrame(named, columns=["block", "data"])
+        for block, here in zip(group["block"], own, strict=True):
+            between = here[np.isin(here, across, assume_unique=True)]
+            inside = np.setdiff1d(here[np.isin(here, twice, assume_unique=True)], between, assume_unique=True)
+            named += [(block, kind, pack(x)) for kind, x in enumerate((inside, between)) if len(x)]
+        return pd.DataFrame(named, columns=["block", "kind", "data"])
 
     def emit_again(fps: pd.DataFrame, named: pd.DataFrame) -> pd.DataFrame:
-        """Links inside the block, and for each variant (kind 1) the least fingerprint with it."""
-        out = [np.zeros((0, 3), np.int64)]
+        """Links inside the block, and packed variants to compare between blocks."""
+        out = []
         if len(fps) and len(named):
-            wanted = np.sort(np.concatenate([unpack(d) for d in named["data"]]))
+            lists = [[unpack(d) for d in named["data"][named["kind"] == k]] for k in (0, 1)]
+            between = np.sort(np.concatenate([*lists[1], np.zeros(0, np.uint64)]))
+            wanted = np.sort(np.concatenate([*lists[0], between]))
             own = fps["fp"].to_numpy().view(np.uint64)
-            own = own[np.argsort(own.view(np.int64))]
-            variants, owners = [], []
+            variants, owners, places = [], [], []
             for start in range(0, len(own), SLICE):
                 part = own[start : start + SLICE]
                 made = np.bitwise_xor.outer(part, mask_values.value).ravel()
@@ -167,31 +201,39 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
                 at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
                 hit = np.flatnonzero(wanted[at] == found)
                 variants.append(made[hit])
-                owners.append((start + hit // len(mask_values.value)).astype(np.int32))
-            variant, owner = np.concatenate(variants), np.concatenate(owners)
-            order = np.argsort(variant, kind="stable")  # owners of a variant stay in order
-            variant, owner = variant[order], owner[order]
-            first = np.concatenate(([True], variant[1:] != variant[:-1]))
-            least = owner[np.maximum.accumulate(np.where(first, np.arange(len(owner)), 0))]
-            inside = np.unique(np.stack((least[~first], owner[~first]), 1), axis=0)
-            signed = own.view(np.int64)
-            out.append(np.stack((np.zeros(len(inside), np.int64), signed[inside[:, 0]], signed[inside[:, 1]]), 1))
-            head = np.flatnonzero(first)
-            out.append(np.stack((np.ones(len(head), np.int64), variant[head].view(np.int64), signed[least[head]]), 1))
-        return pd.DataFrame(np.concatenate(out), columns=["kind", "x", "fp"])
+                owners.append(part[hit // len(mask_values.value)])
+                places.append(found[hit])
+            variant, owner, place = (np.concatenate(x) for x in (variants, owners, places))
+            out += [(-1, a, b, None) for a, b in forest(variant, owner, distance).view(np.int64).tolist()]
+            order = np.lexsort((owner, variant))  # one owner of a variant speaks for the block
+            head = order[np.concatenate(([True], variant[order][1:] != variant[order][:-1]))]
+            if len(between):
+                at = np.minimum(np.searchsorted(between, place[head]), len(between) - 1)
+                head = head[between[at] == place[head]]
+                slot = (place[head] >> slot_shift).astype(np.int64)
+                for s in np.unique(slot):
+                    chosen = head[slot == s]
+                    data = np.stack((variant[chosen], owner[chosen])).tobytes()
+                    out.append((int(s), 0, 0, zstandard.ZstdCompressor(level=1).compress(data)))
+        return pd.DataFrame(out, columns=["slot", "a", "b", "data"])
+
+    def between_blocks(group: pd.DataFrame) -> pd.DataFrame:
+        decode = zstandard.ZstdDecompressor().decompress
+        parts = [np.frombuffer(decode(d), np.uint64).reshape(2, -1) for d in group["data"]]
+        variant, owner = np.concatenate(parts, axis=1)
+        return pd.DataFrame(forest(variant, owner, distance).view(np.int64), columns=["a", "b"])
 
     packed = by_block.groupBy("block").applyInPandas(emit, "range int, block int, data binary")
-    named = packed.groupBy("range").applyInPandas(repeated, "block int, data binary").repartition(tasks, "block")
+    named = packed.groupBy("range").applyInPandas(repeated, "block int, kind int, data binary")
+    named = named.repartition(tasks, "block")
     again = written(
-        by_block.groupBy("block").cogroup(named.groupBy("block")).applyInPandas(emit_again, "kind long, x long, fp long"),
+        by_block.groupBy("block")
+        .cogroup(named.groupBy("block"))
+        .applyInPandas(emit_again, "slot int, a long, b long, data binary"),
         "simhash-variants",
     )
-    between = again.where("kind = 1").select("x", "fp")
-    least = between.groupBy("x").agg(F.min("fp").alias("a"), F.max("fp").alias("most")).where("a != most")
-    across = between.join(least, "x").select("a", F.col("fp").alias("b"))
-    links = again.where("kind = 0").select(F.col("x").alias("a"), F.col("fp").alias("b")).unionByName(across)
-    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return links.where("a != b").distinct().where(apart <= distance)
+    across = again.where("slot >= 0").select("slot", "data").groupBy("slot").applyInPandas(between_blocks, "a long, b long")
+    return again.where("slot < 0").select("a", "b").unionByName(across).distinct()
 
 
 def near_duplicates(
