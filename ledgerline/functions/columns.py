@@ -101,7 +101,9 @@ def cast_int(x: str | Column) -> Column:
 def epoch_to_ts(x: str | Column) -> Column:
     """Unix seconds (number or numeric text) or ISO text -> TIMESTAMP; anything else -> NULL."""
     s = F.trim(_c(x).cast("string"))
-    as_epoch = F.timestamp_seconds(s.try_cast("bigint"))
+    seconds = s.try_cast("bigint")
+    # Years 1 to 9999; other numbers are as unusable as text that is no time.
+    as_epoch = F.timestamp_seconds(F.when(seconds.between(-62135596800, 253402300799), seconds))
     as_text = F.try_to_timestamp(s)
     return F.coalesce(as_epoch, as_text)
 

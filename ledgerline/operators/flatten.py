@@ -2,7 +2,7 @@
 
 Each transform returns the parsed rows with a ``reject_reason`` column: NULL for rows
 that load, otherwise why the row is kept out (``not_json``, ``invalid_status``,
-``bad_created``). ``accepted`` / ``rejected`` split on it, so a malformed object costs
+``bad_created``, ``missing_required``). ``accepted`` / ``rejected`` split on it, so a malformed object costs
 one row, never the batch.
 """
 
@@ -47,11 +47,13 @@ def ts_literal(ts: dt.datetime | str) -> Column:
     return F.to_timestamp(F.lit(text))
 
 
-def _reason(id_col: Column, created: Column, extra: Column | None = None) -> Column:
+def _reason(id_col: Column, created: Column, extra: Column | None = None, required: Column | None = None) -> Column:
+    """Why a row does not load; ``required`` is a column that the table declares NOT NULL."""
     r = F.when(id_col.isNull(), F.lit("not_json"))
     if extra is not None:
         r = r.when(extra, F.lit("invalid_status"))
-    return r.when(created.isNull(), F.lit("bad_created"))
+    r = r.when(created.isNull(), F.lit("bad_created"))
+    return r if required is None else r.when(required.isNull(), F.lit("missing_required"))
 
 
 def flatten_customers(raw: DataFrame, run_ts) -> DataFrame:
@@ -96,7 +98,7 @@ def flatten_subscriptions(raw: DataFrame, run_ts) -> DataFrame:
         C.metadata_get("metadata", "idempotency_key").alias("idempotency_key"),
         C.metadata_json("metadata").alias("metadata"),
         stamp(run_ts).alias("synced_at"),
-        _reason(F.col("id"), created, invalid).alias("reject_reason"),
+        _reason(F.col("id"), created, invalid, F.col("customer")).alias("reject_reason"),
     )
 
 
@@ -119,7 +121,7 @@ def flatten_invoices(raw: DataFrame, run_ts) -> DataFrame:
         F.coalesce("livemode", F.lit(False)).alias("livemode"),
         C.metadata_json("metadata").alias("metadata"),
         stamp(run_ts).alias("synced_at"),
-        _reason(F.col("id"), created).alias("reject_reason"),
+        _reason(F.col("id"), created, required=F.col("customer")).alias("reject_reason"),
     )
 
 

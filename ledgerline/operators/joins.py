@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def restrict_to_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -21,16 +20,6 @@ def new_only(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return rows.join(existing.select(key), key, "left_anti")
 
 
-# Largest dimension this module will broadcast on the caller's word.
-BROADCAST_ROW_LIMIT = 10_000
-
-
-def lookup_small_dimension(rows: DataFrame, dim: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """Equi-join to a dimension whose row count is bounded by construction.
-
-    ``max_rows`` is the caller's bound (e.g. three price tiers built from a literal
-    list). Only a bound under ``BROADCAST_ROW_LIMIT`` broadcasts; otherwise the join is
-    left to the planner (shuffle join, or AQE's size-checked runtime broadcast).
-    """
-    side = F.broadcast(dim) if max_rows <= BROADCAST_ROW_LIMIT else dim
-    return rows.join(side, key, "left")
+def lookup_dimension(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Equi-join to a dimension. The planner broadcasts it by its checked size or not at all."""
+    return rows.join(dim, key, "left")

@@ -26,10 +26,6 @@ from ledgerline.functions import columns as C
 END_OF_MONTH = "end_of_month"  # canceled date > LAST_DAY(M)  (the rule in force)
 ANY_PART_OF_MONTH = "any_part"  # canceled date >= first day of M (retired rule, regression guard)
 
-# Upper bound on the number of months a window may span. The month table is the only
-# thing ever broadcast by this module, and this bound is what makes that safe.
-MAX_WINDOW_MONTHS = 12 * 200
-
 
 def _month(d) -> dt.date:
     d = dt.date.fromisoformat(d) if isinstance(d, str) else d
@@ -41,8 +37,6 @@ def window_months(start, end) -> int:
     n = (b.year - a.year) * 12 + (b.month - a.month) + 1
     if n < 1:
         raise ValueError(f"empty month window {start}..{end}")
-    if n > MAX_WINDOW_MONTHS:
-        raise ValueError(f"window of {n} months exceeds {MAX_WINDOW_MONTHS}")
     return n
 
 

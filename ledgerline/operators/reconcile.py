@@ -36,7 +36,7 @@ def exact_contribution(month: Column, start_date: Column, cancel_date: Column, s
 def monthly_totals(subs: DataFrame, start, end) -> DataFrame:
     """(month, total decimal(38,10)) for every month of the window, 0 when empty.
 
-    At most ``metric.MAX_WINDOW_MONTHS`` rows, which is what makes broadcasting it safe.
+    One row a month; joins to it are left to the planner, which checks its size.
     """
     per_group = (
         metric.contributions(subs, start, end)
@@ -110,7 +110,7 @@ def leave_one_out(subs: DataFrame, start, end) -> DataFrame:
         amount.alias("contribution"),
         C.month_floor("s_cancel_date").alias("cancel_month"),
     ).withColumn("month", F.explode(F.array(C.prev_month("cancel_month"), F.col("cancel_month"))))
-    totals = F.broadcast(monthly_totals(subs, start, end))
+    totals = monthly_totals(subs, start, end)
     own = exact_contribution(F.col("month"), F.col("s_start_date"), F.col("s_cancel_date"), F.col("s_status"),
                              F.col("contribution"))
     return cand.join(totals, "month").select(
@@ -137,7 +137,7 @@ def excluding_pair(subs: DataFrame, start, end) -> DataFrame:
     pairs = pairs.withColumn("c0", c0).withColumn("c1", c1)
     own0 = exact_contribution(F.col("month"), F.col("v0_start_date"), F.col("v0_cancel_date"), F.col("v0_status"), F.col("c0"))
     own1 = exact_contribution(F.col("month"), F.col("v1_start_date"), F.col("v1_cancel_date"), F.col("v1_status"), F.col("c1"))
-    totals = F.broadcast(monthly_totals(subs, start, end))
+    totals = monthly_totals(subs, start, end)
     return pairs.join(totals, "month").select(
         "stripe_customer_id", "v0_sub_id", "v1_sub_id", "month", "c0", "c1",
         (F.col("total") - own0 - own1).alias("mrr_excluding_pair"),

@@ -63,7 +63,8 @@ def _orderable(dtype: T.DataType) -> bool:
     return True
 
 
-def first_by_key(df: DataFrame, key: str | list[str], rank: list[Column | str], payload: list[str] | None = None) -> DataFrame:
+def first_by_key(df: DataFrame, key: str | list[str], rank: list[Column | str], payload: list[str] | None = None,
+                 count_as: str | None = None) -> DataFrame:
     """Keep one row per key: the one with the smallest ``rank`` tuple.
 
     Expressed as ``groupBy(key).agg(min_by(row, rank))``: an aggregate with a map-side
@@ -78,6 +79,7 @@ def first_by_key(df: DataFrame, key: str | list[str], rank: list[Column | str],
     tie = [F.col(c) for c in cols if _orderable(types[c])]
     order = F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(rank_cols + tie)])
     packed = F.struct(*[F.col(c) for c in cols])
-    return df.groupBy(*keys).agg(F.min_by(packed, order).alias("_fk")).select(
-        *keys, *[F.col(f"_fk.{c}").alias(c) for c in cols]
+    counted = [F.count(F.lit(1)).alias(count_as)] if count_as else []
+    return df.groupBy(*keys).agg(F.min_by(packed, order).alias("_fk"), *counted).select(
+        *keys, *[F.col(f"_fk.{c}").alias(c) for c in cols], *([count_as] if count_as else [])
     )

@@ -442,7 +442,8 @@ WHERE r <> 5 AND customer IN (SELECT id FROM lcust WHERE r <> 5)""",
 
 LOADS = """
 loads AS (
-  SELECT stripe_subscription_id, status, unit_amount_cents, CAST(substr(stripe_subscription_id, 5) AS BIGINT) AS n
+  SELECT stripe_subscription_id, status, unit_amount_cents, created_at,
+         CAST(substr(stripe_subscription_id, 5) AS BIGINT) AS n
   FROM subs
 )"""
 
@@ -455,21 +456,23 @@ ORACLE["staged_append"] = with_ctes(
 ORACLE["upsert_by_key"] = with_ctes(
     SUBS, LOADS,
     body="""SELECT stripe_subscription_id, status,
-       CASE WHEN n % 3 = 0 THEN unit_amount_cents + 100 ELSE unit_amount_cents END AS unit_amount_cents
-FROM loads WHERE n % 2 = 0 OR n % 3 = 0""",
+       CASE WHEN n % 3 <> 0 THEN unit_amount_cents + 100 ELSE unit_amount_cents END AS unit_amount_cents,
+       CAST(date_trunc('month', CAST(created_at AS TIMESTAMP)
+            + CASE WHEN n % 3 <> 0 AND n % 2 = 0 THEN INTERVAL 40 DAY ELSE INTERVAL 0 DAY END) AS DATE) AS created_month
+FROM loads""",
 )
 
 ORACLE["upsert_counts"] = with_ctes(
     SUBS, LOADS,
-    body="""SELECT COUNT(*) FILTER (WHERE n % 3 = 0 AND n % 2 <> 0) AS inserted,
-       COUNT(*) FILTER (WHERE n % 6 = 0) AS updated FROM loads""",
+    body="""SELECT 1 AS load, COUNT(*) FILTER (WHERE n % 3 <> 2) AS inserted, 0::BIGINT AS updated FROM loads
+UNION ALL SELECT 2, COUNT(*) FILTER (WHERE n % 3 = 2), COUNT(*) FILTER (WHERE n % 3 = 1) FROM loads""",
 )
 
 ORACLE["upsert_match"] = with_ctes(
     SUBS, LOADS,
     body="""SELECT stripe_subscription_id,
-       CASE WHEN n % 6 = 0 THEN 'matched' WHEN n % 3 = 0 THEN 'source_only' ELSE 'target_only' END AS side
-FROM loads WHERE n % 2 = 0 OR n % 3 = 0""",
+       CASE WHEN n % 3 = 1 THEN 'matched' WHEN n % 3 = 2 THEN 'source_only' ELSE 'target_only' END AS side
+FROM loads""",
 )
 
 ENTITY_COUNTS = """
@@ -512,9 +515,9 @@ UNION ALL SELECT 'invoices', CAST(NULL AS TIMESTAMP)"""
 ORACLE["incremental_upsert"] = with_ctes(
     SUBS, RSUBS,
     body="""SELECT stripe_subscription_id, status,
-       CASE WHEN n % 3 = 0 THEN CAST('1' || unit_amount_cents AS BIGINT) ELSE unit_amount_cents END AS unit_amount_cents
+       CASE WHEN n % 3 <> 0 THEN CAST('1' || unit_amount_cents AS BIGINT) ELSE unit_amount_cents END AS unit_amount_cents
 FROM lsubs
-WHERE (n % 2 = 0 OR n % 3 = 0) AND r <> 5
+WHERE r <> 5
   AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')""",
 )
 
@@ -847,13 +850,15 @@ UNION ALL SELECT '_sync_watermarks', 3""",
 ORACLE["truncate_table"] = with_ctes(
     RCUST, body="SELECT 'customers' AS table_name, COUNT(*) AS rows_before, 0 AS rows_after FROM lcust WHERE r <> 5")
 ORACLE["watermark_write"] = with_ctes(
-    SUBS, RSUBS, RCUST,
+    SUBS, RSUBS, RCUST, RINV,
     body="""SELECT 'customers' AS sync_key, MAX(created_ts) AS last_synced_at FROM lcust WHERE r <> 5
 UNION ALL
 SELECT 'subscriptions', MAX(created_at) FROM lsubs
-WHERE r <> 5 AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')""",
+WHERE r <> 5 AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'incomplete')
+UNION ALL
+SELECT 'invoices', MAX(created_at) FROM linv WHERE r <> 5""",
 )
-ORACLE["watermark_reset"] = "SELECT 2 AS written, 0 AS remaining"
+ORACLE["watermark_reset"] = "SELECT 3 AS written, 0 AS remaining"
 ORACLE["pct_floor"] = with_ctes(
     PLANS,
     body="""SELECT CAST(floor(cust_idx / 3) AS BIGINT) AS batch,

@@ -342,18 +342,37 @@ def q_invoices_of_known_customers(spark, sf_dir):
 
 
 def _batches(spark, sf_dir):
-    """Two loads cut from the derived subscriptions by key parity.
+    """Two loads that cover the derived subscriptions together and overlap.
 
-    First load: even ids. Second load: ids divisible by 3 with a price 100 cents higher
-    (ids divisible by 6 are in both, so they update; odd multiples of 3 insert).
+    First load: ids that are not 2 modulo 3. Second load: ids not divisible by 3, with a
+    price 100 cents higher and, where the id is even, a creation time 40 days later, which
+    moves it to another month (1 modulo 3: in both, update; 2 modulo 3: insert).
     """
     subs = _subs(spark, sf_dir)
     n = raw.numeric_id(F.col("stripe_subscription_id"))
-    first = subs.where(n % 2 == 0)
-    second = subs.where(n % 3 == 0).withColumn("unit_amount_cents", F.col("unit_amount_cents") + 100)
+    later = F.when(n % 2 == 0, F.col("created_at") + F.expr("INTERVAL 40 DAYS")).otherwise(F.col("created_at"))
+    first = subs.where(n % 3 != 2)
+    second = subs.where(n % 3 != 0).withColumns(
+        {"unit_amount_cents": F.col("unit_amount_cents") + 100, "created_at": later}
+    )
     return first, second
 
 
+def _merged(spark, sf_dir, tag):
+    """The two loads through the table path: warehouse and the counts of both."""
+    wh = _scratch(spark, tag)
+    tables.ensure_tables(spark, wh)
+    counts = [
+        tables.upsert(spark, wh, "subscriptions", _with_zone(load), "stripe_subscription_id")
+        for load in _batches(spark, sf_dir)
+    ]
+    return wh, counts
+
+
+def _with_zone(df):
+    return df.select(*[F.col(c).cast("timestamp").alias(c) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes])
+
+
 def _scratch(spark, tag: str) -> tables.Warehouse:
     import uuid
 
@@ -374,16 +393,17 @@ def q_staged_append(spark, sf_dir):
 @register("upsert_by_key")
 def q_upsert_by_key(spark, sf_dir):
     """Table content after merging the second load into the first, by key."""
-    first, second = _batches(spark, sf_dir)
-    out = upsert_ops.upsert_state(first, second, "stripe_subscription_id")
-    return out.select("stripe_subscription_id", "status", "unit_amount_cents")
+    wh, _ = _merged(spark, sf_dir, "upsert")
+    out = spark.table(wh.table("subscriptions"))
+    return out.select("stripe_subscription_id", "status", "unit_amount_cents", "created_month")
 
 
 @register("upsert_counts")
 def q_upsert_counts(spark, sf_dir):
-    """Inserted / updated counts of that merge."""
-    first, second = _batches(spark, sf_dir)
-    return upsert_ops.upsert_counts(first, second, "stripe_subscription_id")
+    """Inserted / updated counts that the two upserts report."""
+    _, counts = _merged(spark, sf_dir, "counts")
+    rows = [(i + 1, c["inserted"], c["updated"]) for i, c in enumerate(counts)]
+    return spark.createDataFrame(rows, "load int, inserted bigint, updated bigint")
 
 
 @register("upsert_match")
@@ -433,14 +453,14 @@ def q_incremental_upsert(spark, sf_dir):
     raw_root = f"{wh.root}/raw/subscriptions"
     listing = raw.subscription_listing(spark, sf_dir)
     n = raw.numeric_id(F.get_json_object("value", "$.id"))
-    first = listing.where(n % 2 == 0)
-    # second arrival: multiples of 3 with a changed price (text edit of the JSON line)
-    second = listing.where(n % 3 == 0).withColumn(
+    first = listing.where(n.isNull() | (n % 3 != 2))
+    # second arrival: ids not divisible by 3 with a changed price (text edit of the JSON line)
+    second = listing.where(n % 3 != 0).withColumn(
         "value", F.regexp_replace("value", r'"unit_amount":(\d+)', '"unit_amount":1$1')
     )
-    incremental.write_arrival(first, raw_root)
-    incremental.incremental_upsert(spark, wh, "subscriptions", raw_root)
-    incremental.write_arrival(second, raw_root)
+    # both are drained together: the later arrival must win inside one micro-batch
+    incremental.write_arrival(first, raw_root, 1)
+    incremental.write_arrival(second, raw_root, 2)
     incremental.incremental_upsert(spark, wh, "subscriptions", raw_root)
     incremental.incremental_upsert(spark, wh, "subscriptions", raw_root)
     return spark.table(wh.table("subscriptions")).select("stripe_subscription_id", "status", "unit_amount_cents")
@@ -501,7 +521,7 @@ def q_month_series(spark, sf_dir):
 @register("unnest_literal_dates")
 def q_unnest_literal_dates(spark, sf_dir):
     """A two-date array (previous month, cancel month) to rows, per canceled subscription."""
-    c = relational.canceled_in_range(_subs(spark, sf_dir), "1995-01-01", "2002-01-01")
+    c = relational.canceled_in_range(_subs(spark, sf_dir), "0001-01-01", "9999-12-31")
     cm = C.month_floor(C.nullable_ts_to_date("canceled_at"))
     return c.select("stripe_subscription_id", F.explode(F.array(C.prev_month(cm), cm)).alias("month_start"))
 
@@ -725,7 +745,7 @@ def q_tier_price_lookup(spark, sf_dir):
     """Plan tier -> monthly price, through the three-row tier dimension."""
     plans = _plans(spark, sf_dir).select("cust_idx", F.col("initial_tier").alias("tier"))
     dim = relational.tier_dimension(spark)
-    return joins.lookup_small_dimension(plans, dim, "tier", max_rows=len(relational.TIER_ORDER))
+    return joins.lookup_dimension(plans, dim, "tier")
 
 
 @register("status_count_and_sum")
@@ -968,8 +988,11 @@ def _bookmarks_from_data(spark, sf_dir, wh):
         flatten.accepted(flatten.flatten_subscriptions(_loaded_subs(spark, sf_dir), RUN_TS))
         .agg(F.max("created_at").alias("last_synced_at"))
         .select(F.lit("subscriptions").alias("sync_key"), "last_synced_at"),
+        flatten.accepted(flatten.flatten_invoices(_loaded_invoices(spark, sf_dir), RUN_TS))
+        .agg(F.max("created_at").alias("last_synced_at"))
+        .select(F.lit("invoices").alias("sync_key"), "last_synced_at"),
     ]
-    tables.write_watermarks(spark, wh, newest[0].unionByName(newest[1]))
+    tables.write_watermarks(spark, wh, newest[0].unionByName(newest[1]).unionByName(newest[2]))
     return spark.table(wh.table("_sync_watermarks")).select("sync_key", _ntz("last_synced_at"))
 
 

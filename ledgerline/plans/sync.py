@@ -28,7 +28,7 @@ LOADERS = {
     "invoices": (raw.load_invoices, flatten.flatten_invoices),
 }
 ENTITY_ORDER = ["customers", "subscriptions", "invoices"]
-REASONS = ["not_json", "invalid_status", "bad_created"]
+REASONS = ["not_json", "invalid_status", "bad_created", "missing_required"]
 ACCEPTED = "accepted"  # stage partition value of rows that load
 
 SUMMARY_SCHEMA = "entity string, fetched bigint, inserted bigint, updated bigint, rejected bigint, errors bigint"

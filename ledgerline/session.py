@@ -39,7 +39,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Read from ``spark.checkpoint.dir`` (or the context's setting). Only when nothing is
-    set -- as in local tests -- a fresh folder is created and registered.
+    set and driver and executors are one process -- as in local tests -- a fresh folder is
+    created and registered; on a cluster a machine-local folder would lose data, so that
+    is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -48,6 +50,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local

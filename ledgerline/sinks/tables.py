@@ -15,6 +15,7 @@ written only after the copy returned.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -60,6 +61,7 @@ def ensure_tables(spark: SparkSession, wh: Warehouse) -> None:
     key, so writing one bookmark replaces one partition.
     """
     ensure_database(spark, wh)
+    known = {t.name for t in spark.catalog.listTables(wh.database)}
     for name, ddl in TABLE_DDL.items():
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {wh.table(name)} ({ddl}, {PARTITION_COLUMN} DATE) "
@@ -70,6 +72,8 @@ def ensure_tables(spark: SparkSession, wh: Warehouse) -> None:
         f"USING parquet PARTITIONED BY (sync_key) LOCATION '{wh.location(WATERMARK_TABLE)}'"
     )
     for name in [*TABLE_DDL, WATERMARK_TABLE]:
+        if name not in known and _exists(spark, wh.location(name)):  # a catalog that is new to the folder learns the partitions in it
+            spark.sql(f"ALTER TABLE {wh.table(name)} RECOVER PARTITIONS")
         spark.sql(f"REFRESH TABLE {wh.table(name)}")
 
 
@@ -95,10 +99,12 @@ def with_partition(df: DataFrame) -> DataFrame:
 
 def _complete(spark: SparkSession, path: str) -> bool:
     """True when a Spark write to ``path`` committed (its ``_SUCCESS`` marker exists)."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(marker))
+    return _exists(spark, f"{path}/_SUCCESS")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found))
 
 
 def discard_stage(spark: SparkSession, root: str) -> None:
@@ -130,10 +136,11 @@ def upsert(
 ) -> dict[str, int]:
     """B4 + B5: MERGE ``rows`` into table ``name`` on ``pk``; returns inserted / updated counts.
 
-    ``rows`` must be unique on ``pk`` (the loaders de-duplicate first). Matched target
-    rows are replaced whole, unmatched source rows inserted, other rows untouched; only
-    partitions holding source rows are rewritten. Creation dates do not change for a
-    given key, so a key's old row is always in a touched partition.
+    ``rows`` must be unique on ``pk`` and fill the required columns, else nothing is
+    written (ValueError). Matched target rows are replaced whole, unmatched source rows
+    inserted, other rows untouched. Keys alone match: a key whose creation month changed
+    leaves its old month, which is rewritten too. Only partitions that hold source rows or
+    their old versions are rewritten.
 
     Steps (each a single Spark job): (1) stage the aligned source (the reference's
     staging table; the source is then read from parquet, not recomputed, by the three
@@ -154,22 +161,26 @@ def upsert(
     return counts
 
 
-# Most partition values one upsert lists explicitly (one per touched month: bounded by
-# the table's partition count). Above it, pruning is left to the semi join.
-MAX_TOUCHED_PARTITIONS = 50_000
+def touched_partitions(source: DataFrame, target: DataFrame, pk: str) -> DataFrame:
+    """Partition values of a staged source and of the target rows its keys match.
 
+    One row a table partition at most. The target side reads its key and partition columns
+    only; listing the values prunes the merge's scan statically.
+    """
+    old = target.select(pk, PARTITION_COLUMN).join(source.select(pk), pk, "left_semi").select(PARTITION_COLUMN)
+    return source.select(PARTITION_COLUMN).unionByName(old).distinct()
 
-def touched_partitions(source: DataFrame) -> list | None:
-    """Distinct partition values of a staged source, when few enough to list.
 
-    Reads one column of the stage and returns at most one value per table partition,
-    so the driver receives a bounded list; with it the target scan is pruned
-    statically (dynamic pruning does not fire for an unfiltered source).
-    """
-    values = source.select(PARTITION_COLUMN).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(values) > MAX_TOUCHED_PARTITIONS:
-        return None
-    return [v[0] for v in values]
+def validate_source(source: DataFrame, name: str, pk: str) -> None:
+    """Stop before anything is written when keys repeat or a required column is empty."""
+    required = re.findall(r"(\w+) \w+ NOT NULL", TABLE_DDL[name])
+    empty = F.sum(F.greatest(*[F.col(c).isNull().cast("long") for c in required])).alias("empty")
+    per_key = source.groupBy(pk).agg(F.count(F.lit(1)).alias("n"), empty)
+    got = per_key.agg(F.count(F.when(F.col("n") > 1, 1)).alias("repeated"), F.sum("empty").alias("empty")).first()
+    if got["repeated"]:
+        raise ValueError(f"{name}: {got['repeated']} keys occur more than once in the source")
+    if got["empty"]:
+        raise ValueError(f"{name}: {got['empty']} rows lack a required column ({', '.join(required)})")
 
 
 def merge_staged(spark: SparkSession, wh: Warehouse, name: str, source_path: str, pk: str, merged_path: str,
@@ -180,7 +191,10 @@ def merge_staged(spark: SparkSession, wh: Warehouse, name: str, source_path: str
         source = source.where(source_filter)
     target = spark.table(wh.table(name))
     source = source.select(*target.columns)
-    merged, origin = merge_plan(target, source, pk, PARTITION_COLUMN, touched_partitions(source))
+    validate_source(source, name, pk)
+    touched_partitions(source, target, pk).write.mode("overwrite").parquet(touched_path(merged_path))
+    touched = [r[0] for r in spark.read.parquet(touched_path(merged_path)).collect()]
+    merged, origin = merge_plan(target, source, pk, PARTITION_COLUMN, touched)
     obs = Observation(f"upsert_{name}_{uuid.uuid4().hex[:8]}")
     observed = merged.observe(
         obs,
@@ -192,6 +206,24 @@ def merge_staged(spark: SparkSession, wh: Warehouse, name: str, source_path: str
     return {"inserted": int(got.get("inserted", 0)), "updated": int(got.get("updated", 0))}
 
 
+def touched_path(merged_path: str) -> str:
+    return f"{merged_path}-touched"
+
+
+def drop_emptied(spark: SparkSession, target_name: str, stage: str) -> None:
+    """Remove the partitions whose rows all moved away (an overwrite cannot empty one)."""
+    staged = spark.read.parquet(stage).select(PARTITION_COLUMN).distinct()
+    emptied = spark.read.parquet(touched_path(stage)).join(staged, PARTITION_COLUMN, "left_anti").collect()
+    schema = spark.table(target_name).schema
+    for (month,) in emptied:  # a row a table partition at most
+        spec = f"PARTITION ({PARTITION_COLUMN} = DATE'{month}')"
+        if spark.sql(f"SHOW PARTITIONS {target_name} {spec}").count():
+            # overwritten with nothing first: dropping an external partition leaves its files
+            none = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in schema if f.name != PARTITION_COLUMN)
+            spark.sql(f"INSERT OVERWRITE {target_name} {spec} SELECT {none} WHERE false")
+            spark.sql(f"ALTER TABLE {target_name} DROP IF EXISTS {spec}")
+
+
 def commit_stage(spark: SparkSession, target_name: str, stage: str, cluster_by: str | None = None) -> None:
     """Copy a complete stage over the partitions it covers (dynamic partition overwrite).
 
@@ -211,6 +243,7 @@ def commit_stage(spark: SparkSession, target_name: str, stage: str, cluster_by:
         out.write.insertInto(target_name, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    drop_emptied(spark, target_name, stage)
     spark.sql(f"REFRESH TABLE {target_name}")
 
 

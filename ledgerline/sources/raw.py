@@ -197,7 +197,7 @@ def invoice_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_listing(spark: SparkSession, root: str) -> DataFrame:
     """JSON-lines files under ``root/<scope>/``; scope 'default' ranks first."""
-    lines = spark.read.text(f"{root.rstrip('/')}/*/").withColumn("_path", F.input_file_name())
+    lines = spark.read.text(f"{root.rstrip('/')}/*/").withColumn("_path", F.col("_metadata.file_path"))
     scope = F.regexp_extract("_path", r"/([^/]+)/[^/]+$", 1)
     return lines.select(
         scope.alias("scope"), F.when(scope == "default", 0).otherwise(1).alias("scope_rank"), "value"
@@ -212,7 +212,8 @@ def parse(listing: DataFrame, schema: str) -> DataFrame:
     into each of them, so every line is parsed exactly once.
     """
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE"})
-    return listing.select("scope", "scope_rank", F.inline(F.array(parsed)))
+    carried = [c for c in ("scope", "scope_rank", "arrival") if c in listing.columns]
+    return listing.select(*carried, F.inline(F.array(parsed)))
 
 
 def skip_livemode(df: DataFrame) -> DataFrame:
@@ -229,14 +230,20 @@ def skip_no_items(df: DataFrame) -> DataFrame:
 def dedupe_first_listed(df: DataFrame, key: str = "id", tie_break: list[Column] | None = None) -> DataFrame:
     """Union of listings, one row per id, the first-listed scope wins.
 
-    Rows without an id (non-JSON lines) each get a group of their own, so they pass
-    through untouched (the flatten step counts them as rejects) within the same single
-    aggregation -- the input is read once.
+    Where lines carry an ``arrival`` number, the latest arrival wins before the scope does.
+    Rows without an id (non-JSON lines) are grouped by their content and counted, and each
+    is given back, so they pass through (the flatten step counts them as rejects) within
+    the same single aggregation; the group is a function of the row alone, so a recomputed
+    task deals it the same way.
     """
-    group = F.coalesce(F.col(key), F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string")))
-    keyed = df.withColumn("_dk", group)
-    first = first_by_key(keyed, "_dk", [F.col("scope_rank"), F.col("scope"), *(tie_break or [])], payload=df.columns)
-    return first.drop("_dk")
+    content = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    keyed = df.withColumn("_dk", F.coalesce(F.col(key), F.concat(F.lit("\u0000"), content)))
+    latest = [-F.col("arrival")] if "arrival" in df.columns else []
+    rank = [*latest, F.col("scope_rank"), F.col("scope"), *(tie_break or [])]
+    first = first_by_key(keyed, "_dk", rank, payload=df.columns, count_as="_n")
+    copies = F.when(F.col(key).isNull(), F.col("_n")).otherwise(1).cast("int")
+    kept = [c for c in df.columns if c != "arrival"]
+    return first.select(*kept, F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")).drop("_copy")
 
 
 def load_customers(listing: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import threading
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,21 +27,22 @@ from ledgerline.plans import sync
 from ledgerline.sinks import tables
 from ledgerline.session import checkpoint_dir
 
-LANDING_SCHEMA = "scope STRING, scope_rank INT, value STRING"
+LANDING_SCHEMA = "scope STRING, scope_rank INT, arrival BIGINT, value STRING"
 
 
-def write_arrival(listing: DataFrame, landing: str) -> None:
-    """Append one arrival of raw lines to the landing folder."""
-    listing.select("scope", F.col("scope_rank").cast("int").alias("scope_rank"), "value").write.mode("append").parquet(
+def write_arrival(listing: DataFrame, landing: str, arrival: int | None = None) -> None:
+    """Append one arrival of raw lines to the landing folder.
+
+    ``arrival`` orders arrivals (default: the time in microseconds). Of lines with one id
+    the latest arrival wins, however many arrivals one micro-batch drains.
+    """
+    arrival = time.time_ns() // 1000 if arrival is None else arrival
+    rank = F.col("scope_rank").cast("int").alias("scope_rank")
+    listing.select("scope", rank, F.lit(arrival).cast("bigint").alias("arrival"), "value").write.mode("append").parquet(
         landing
     )
 
 
-def read_landing(spark: SparkSession, landing: str) -> DataFrame:
-    """Batch read of everything that arrived."""
-    return spark.read.schema(LANDING_SCHEMA).parquet(landing)
-
-
 def stream_checkpoint(spark: SparkSession, wh: tables.Warehouse, entity: str, landing: str) -> str:
     """One checkpoint per (warehouse location, entity, landing folder)."""
     tag = hashlib.sha1(f"{wh.root}|{landing}".encode()).hexdigest()[:12]

@@ -98,3 +98,9 @@ def test_read_listing_from_json_lines_folders(spark, tmp_root):
     assert {(r["scope"], r["scope_rank"]) for r in back.collect()} == {("default", 0), ("clock_9", 1)}
     loaded = {r["id"]: r for r in raw.load_subscriptions(back).collect()}
     assert set(loaded) == {"sub_1", "sub_2"} and loaded["sub_1"]["status"] == "active"
+
+
+def test_epochs_out_of_range_are_null(spark):
+    rows = spark.createDataFrame([("99999999999999999",), ("253402300800",), ("253402300799",), ("-62135596801",)], "x string")
+    got = [r[0] for r in rows.select(C.epoch_to_ts("x").cast("string")).collect()]
+    assert got[0] is None and got[1] is None and got[2].startswith("9999-12-31") and got[3] is None

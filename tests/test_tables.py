@@ -120,3 +120,66 @@ def test_streaming_in_bounded_batches(spark, tmp_root):
     b = spark.table(whole.table("subscriptions")).drop("synced_at")
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0
+
+
+def _raises(message, call, *args):
+    try:
+        call(*args)
+    except ValueError as e:
+        assert message in str(e)
+    else:
+        raise AssertionError("nothing raised")
+
+
+def test_existing_folder_keeps_its_rows(spark, tmp_root):
+    subs = _flat_subs(spark)
+    n = subs.count()
+    old = tables.Warehouse("ll_t_attach_a", tmp_root)
+    tables.ensure_tables(spark, old)
+    tables.upsert(spark, old, "subscriptions", subs, "stripe_subscription_id")
+    new = tables.Warehouse("ll_t_attach_b", tmp_root)
+    tables.ensure_tables(spark, new)
+    assert spark.table(new.table("subscriptions")).count() == n
+    got = tables.upsert(spark, new, "subscriptions", subs.limit(1), "stripe_subscription_id")
+    assert got == {"inserted": 0, "updated": 1}
+    assert spark.table(new.table("subscriptions")).count() == n
+
+
+def test_a_key_that_changes_month_stays_one_row(spark, tmp_root):
+    wh = tables.Warehouse("ll_t_moved", tmp_root)
+    tables.ensure_tables(spark, wh)
+    one = _flat_subs(spark).orderBy("stripe_subscription_id").limit(1)
+    tables.upsert(spark, wh, "subscriptions", one, "stripe_subscription_id")
+    moved = one.withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 60 DAYS"))
+    got = tables.upsert(spark, wh, "subscriptions", moved, "stripe_subscription_id")
+    assert got == {"inserted": 0, "updated": 1}
+    assert spark.table(wh.table("subscriptions")).count() == 1
+    again = tables.Warehouse("ll_t_moved_again", tmp_root)  # nor do files of the emptied month come back
+    tables.ensure_tables(spark, again)
+    assert spark.table(again.table("subscriptions")).count() == 1
+
+
+def test_bad_sources_write_nothing(spark, tmp_root):
+    wh = tables.Warehouse("ll_t_bad", tmp_root)
+    tables.ensure_tables(spark, wh)
+    one = _flat_subs(spark).limit(1)
+    key = "stripe_subscription_id"
+    _raises("more than once", tables.upsert, spark, wh, "subscriptions", one.unionByName(one), key)
+    empty = one.withColumn("stripe_customer_id", F.lit(None).cast("string"))
+    _raises("required", tables.upsert, spark, wh, "subscriptions", empty, key)
+    assert spark.table(wh.table("subscriptions")).count() == 0
+
+
+def test_latest_arrival_wins_for_every_batch_size(spark, tmp_root):
+    listing = raw.subscription_listing(spark, SF).where(F.get_json_object("value", "$.id").isNotNull())
+    changed = listing.withColumn("value", F.regexp_replace("value", r'"unit_amount":(\d+)', '"unit_amount":1$1'))
+    totals = []
+    for files in (None, 1):
+        wh = tables.Warehouse(f"ll_t_latest_{files}", f"{tmp_root}/{files}")
+        landing = f"{wh.root}/raw"
+        incremental.write_arrival(listing.coalesce(2), landing, 1)
+        incremental.write_arrival(changed.coalesce(2), landing, 2)
+        incremental.incremental_upsert(spark, wh, "subscriptions", landing, max_files_per_trigger=files)
+        t = spark.table(wh.table("subscriptions"))
+        totals.append(t.agg(F.count(F.lit(1)), F.sum("unit_amount_cents")).first())
+    assert totals[0] == totals[1]
