@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import checkpoint_dir
+
 #: Word separators of the contracts: space and U+0009 to U+000D.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
@@ -17,16 +19,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return folder.rstrip("/")
-
-
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -172,10 +172,10 @@ def score(labelled: DataFrame, ratios) -> DataFrame:
             n = rows.num_rows
             size = np.maximum(np.bincount(doc, minlength=n), 1)
             mean = np.bincount(doc, table[buckets], n) / size
-            weight = np.bincount(doc, against[buckets], n)
+            weight = np.bincount(doc, against[buckets], n).astype(float)  # integers without n-grams
             kept = [rows.column(c) for c in ("doc_id", "_key", "good", "held_out")]
             names = ["doc_id", "_key", "good", "held_out", "log_ratio", "log_weight"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(mean), pa.array(weight)], names=names)
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(mean, pa.float64()), pa.array(weight, pa.float64())], names=names)
 
     uniform = (F.xxhash64(F.lit(SEED), F.coalesce("doc_id", F.lit(-1))).cast("double") / F.lit(2.0**64)) + F.lit(0.5)
     inside = F.greatest(F.least(uniform, F.lit(1 - 1e-12)), F.lit(1e-12))
