@@ -117,12 +117,15 @@ def label_sample(labels: DataFrame) -> DataFrame:
     """(doc_id, good, held_out) of at most LABEL_SAMPLE labelled documents, one row an id."""
     good = F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int"))
     order = F.xxhash64("doc_id", F.lit(SEED))
+    usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
+    # About twice the sample by hash first, so that no task has to sort all labels.
+    share = min(1.0, 2.0 * LABEL_SAMPLE / max(usable.count(), 1))
     return (
-        labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
+        usable.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000_007)) < share * 1_000_000_007)
         .select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
         .groupBy("doc_id")
         .agg(good.alias("good"))
-        .orderBy(order, "doc_id")
+        .orderBy(F.pmod(order, F.lit(1_000_000_007)), "doc_id")
         .limit(LABEL_SAMPLE)
         .withColumn("held_out", F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(HELD_OUT)) == 0)
     )

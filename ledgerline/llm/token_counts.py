@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import in_small_batches, map_batches, payload, written
+from ledgerline.llm.importance import kth_largest
 
 #: Rows of the broadcast half and their longest pre-token: 150,000 x 64 bytes at most.
 COMMON = 150_000
@@ -132,7 +133,10 @@ def count_tokens(
     )
     words = written(vocabulary(source, model_file), "token-vocabulary")
     short = words.where(F.octet_length("token") <= COMMON_BYTES)
-    top = short.orderBy(F.desc("n"), "token").limit(COMMON).select("token", "pieces").collect()
+    # By a threshold, so that no more than these rows go to the driver.
+    if short.count() > COMMON:
+        short = short.where(F.col("n") > kth_largest(short, "n", COMMON))
+    top = short.select("token", "pieces").collect()
     common = docs.sparkSession.sparkContext.broadcast({r.token: r.pieces for r in top})
 
     used = frequencies(source, model_file, common).join(words.select("token", "pieces"), "token", "left")

@@ -125,8 +125,12 @@ def train_dictionary(pages: DataFrame, html_col: str) -> bytes:
     import zstandard
 
     data = F.substring(F.col(f"`{html_col}`"), 1, SAMPLE_CHARS)
-    sample = pages.select(data.alias("t")).where("length(t) > 0").orderBy(F.xxhash64("t"), "t").limit(SAMPLE_PAGES)
-    texts = [r.t.encode() for r in sample.collect()]
+    sample = pages.select(data.alias("t")).where("length(t) > 0").withColumn("h", F.xxhash64("t"))
+    # The least hashes first and their texts then: every task sends its own least ones.
+    least = [r.h for r in sample.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
+    if not least:
+        return b""
+    texts = sorted(r.t.encode() for r in sample.where(F.col("h") <= max(least)).dropDuplicates(["h"]).collect())
     size = min(DICTIONARY_BYTES, sum(map(len, texts)) // 8)
     if len(texts) < 16 or size < 1024:
         return b""
