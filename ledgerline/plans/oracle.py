@@ -231,9 +231,9 @@ LEFT JOIN strict s ON s.month_start = x.month""",
 ORACLE["check_total_reconciles"] = with_ctes(
     SUBS, MONTHS, ACTIVE, PAIRS, STRICT,
     body=f"""
-SELECT {money('(SELECT SUM(ROUND(mrr, 9)) FROM strict)')} AS months_sum,
-       {money('(SELECT SUM(amt) FROM pairs WHERE amt IS NOT NULL)')} AS window_total,
-       true AS reconciles""",
+SELECT months_sum, window_total, months_sum = window_total AS reconciles FROM (
+  SELECT {money('(SELECT SUM(ROUND(mrr, 9)) FROM strict)')} AS months_sum,
+         {money('(SELECT SUM(amt) FROM pairs WHERE amt IS NOT NULL)')} AS window_total)""",
 )
 
 # ---------------------------------------------------------------------------------------

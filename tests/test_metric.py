@@ -168,3 +168,22 @@ def test_pairs_with_a_hot_customer(spark):
                    & (sd >= cd) & (sd <= F.date_add(cd, 1)) & (cd >= F.lit("1998-01-01").cast("date"))
                    & (cd <= F.lit("2002-01-01").cast("date")))
     assert pairs.count() == brute.count() > 0
+
+
+def test_checks_fail_on_a_wrong_series(spark):
+    subs = golden(spark)
+    wrong = metric.mrr_monthly(subs, W0, W1).withColumn("mrr_amount", F.col("mrr_amount") * 3 + 12345)
+    right, bad = checks.check_cancel_month(subs, W0, W1), checks.check_cancel_month(subs, W0, W1, wrong)
+    assert all(r.prev_ok and r.cancel_ok for r in right.collect()) and right.count() == 4
+    assert not any(r.prev_ok or r.cancel_ok for r in bad.collect())
+    assert checks.check_tier_change(subs, W0, W1).where("v1_only_ok AND no_double_count").count() == 1
+    assert checks.check_tier_change(subs, W0, W1, wrong).where("v1_only_ok").count() == 0
+    assert checks.check_total_reconciles(subs, W0, W1).first().reconciles
+    assert not checks.check_total_reconciles(subs, W0, W1, wrong).first().reconciles
+
+
+def test_swept_totals_equal_the_series(spark):
+    subs = golden(spark)
+    swept = {r.month: round(r.total, 2) for r in reconcile.swept_totals(subs, W0, W1).collect()}
+    filled = {r.month: round(r.mrr_amount, 2) for r in metric.mrr_monthly_filled(subs, W0, W1).collect()}
+    assert swept == filled
