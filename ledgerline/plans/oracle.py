@@ -542,7 +542,9 @@ ORACLE["scan_subscriptions"] = with_ctes(
        it AS interval_type, interval_count FROM active""",
 )
 ORACLE["dataset_param"] = ORACLE["mrr_monthly"]
-ORACLE["month_series"] = with_ctes(MONTHS, body="SELECT month_start FROM months")
+ORACLE["month_series"] = """SELECT CAST(unnest(generate_series(
+  (SELECT date_trunc('month', MIN(o_orderdate)) FROM orders), (SELECT date_trunc('month', MAX(o_orderdate)) FROM orders),
+  INTERVAL 1 MONTH)) AS DATE) AS month_start"""
 
 ORACLE["unnest_literal_dates"] = with_ctes(
     SUBS,
@@ -551,8 +553,7 @@ ORACLE["unnest_literal_dates"] = with_ctes(
          unnest([date_trunc('month', CAST(canceled_at AS DATE)) - INTERVAL 1 MONTH,
                  date_trunc('month', CAST(canceled_at AS DATE))]) AS m
   FROM subs
-  WHERE status = 'canceled' AND canceled_at IS NOT NULL
-    AND CAST(canceled_at AS DATE) >= DATE '1995-01-01' AND CAST(canceled_at AS DATE) < DATE '2002-01-01')""",
+  WHERE status = 'canceled' AND canceled_at IS NOT NULL)""",
 )
 
 _SUB_TYPES = {
@@ -565,9 +566,12 @@ _SUB_COLUMNS = [
     "interval", "interval_count", "billing_cycle_anchor", "current_period_start", "current_period_end", "start_date",
     "canceled_at", "ended_at", "created_at", "livemode", "idempotency_key", "metadata", "synced_at",
 ]
-ORACLE["table_schema"] = "SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, '{c}', '{_SUB_TYPES.get(c, 'string')}')" for i, c in enumerate(_SUB_COLUMNS)
-) + ") AS t(ordinal, column_name, data_type)"
+_SUB_FILLED = {"interval": "bill_interval", "canceled_at": "canceled_at", "ended_at": "canceled_at"}
+ORACLE["table_schema"] = with_ctes(SUBS, body=" UNION ALL ".join(
+    f"SELECT {i} AS ordinal, '{c}' AS column_name, '{_SUB_TYPES.get(c, 'string')}' AS data_type, "
+    f"COUNT({_SUB_FILLED.get(c, '*')}) AS non_null FROM subs"
+    for i, c in enumerate(_SUB_COLUMNS)
+))
 
 ORACLE["ts_to_date"] = with_ctes(SUBS, body="SELECT stripe_subscription_id, CAST(start_date AS DATE) AS sub_start_date FROM subs")
 ORACLE["nullable_ts_to_date"] = with_ctes(
@@ -626,14 +630,15 @@ plans AS (
   FROM p2
 )"""
 
+CUSTOMERS = "custs AS (SELECT c_custkey - 1 AS cust_idx FROM customer)"
 ORACLE["format_id"] = with_ctes(
-    PLANS,
+    CUSTOMERS,
     body="""SELECT cust_idx, printf('mrr-seed-%03d@example.com', cust_idx + 1) AS email,
        printf('Test Customer %03d', cust_idx + 1) AS name,
-       'seed-sub-cus_seed_' || cust_idx || '-v0' AS idempotency_key FROM plans""",
+       'seed-sub-cus_seed_' || cust_idx || '-v0' AS idempotency_key FROM custs""",
 )
 ORACLE["batch_index"] = with_ctes(
-    PLANS, body="SELECT cust_idx, CAST(floor(cust_idx / 3) AS BIGINT) AS batch, (COUNT(*) OVER () + 2) // 3 AS batches FROM plans")
+    CUSTOMERS, body="SELECT cust_idx, CAST(floor(cust_idx / 3) AS BIGINT) AS batch, (COUNT(*) OVER () + 2) // 3 AS batches FROM custs")
 
 ORACLE["ever_activated"] = with_ctes(
     SUBS, body="SELECT stripe_subscription_id, status FROM subs WHERE status NOT IN ('incomplete', 'incomplete_expired')")
@@ -662,13 +667,19 @@ ORACLE["exclude_ids"] = with_ctes(
     body="""SELECT stripe_subscription_id FROM subs
 WHERE stripe_subscription_id NOT IN (SELECT v0_sub_id FROM tc UNION SELECT v1_sub_id FROM tc)""",
 )
-ORACLE["name_pattern"] = with_ctes(
-    PLANS,
-    body="""SELECT email FROM (
-  SELECT printf('mrr-seed-%03d@example.com', cust_idx + 1) AS email FROM plans
-  UNION ALL SELECT lower(c_name) || '@example.com' FROM customer
-) WHERE contains(email, 'mrr-seed-') OR contains(email, 'smoke-test-')""",
-)
+ORACLE["name_pattern"] = """
+SELECT 'customer' AS kind, email AS name FROM (
+  SELECT CASE WHEN c_custkey % 5 = 0 THEN printf('mrr-seed-%03d@example.com', c_custkey)
+              WHEN c_custkey % 7 = 0 THEN 'smoke-test-' || lower(c_name) || '@example.com'
+              ELSE lower(c_name) || '@example.com' END AS email FROM customer
+) WHERE email LIKE '%mrr-seed-%' OR email LIKE '%smoke-test-%'
+UNION ALL
+SELECT 'clock', clock FROM (
+  SELECT CASE WHEN c_custkey % 11 = 0 THEN 'mrr-seed-clock-' || c_custkey
+              WHEN c_custkey % 13 = 0 THEN 'mrr-smoke-clock-' || c_custkey
+              WHEN c_custkey = 17 THEN 'mrr-seed-smoke-clock'
+              ELSE 'old-mrr-seed-clock-' || c_custkey END AS clock FROM customer
+) WHERE clock LIKE 'mrr-seed-clock-%' OR clock LIKE 'mrr-smoke-clock-%' OR clock = 'mrr-seed-smoke-clock'"""
 ORACLE["metadata_predicate"] = """SELECT event_id, user_id FROM events
 WHERE json_extract_string(props, '$.k') = '7' AND event_type = 'purchase'"""
 
@@ -701,11 +712,15 @@ FROM customer
 WHERE lower(c_name) || '@example.com' NOT IN (
   SELECT lower(c_name) || '@example.com' FROM customer WHERE CAST(floor(c_custkey / 3) AS BIGINT) % 2 = 0)"""
 
+TIERS = """
+tiers AS (
+  SELECT stripe_subscription_id, ['basic', 'pro', 'enterprise'][CAST(substr(current_price_id, 7) AS INTEGER) + 1] AS tier
+  FROM subs
+)"""
 ORACLE["tier_price_lookup"] = with_ctes(
-    PLANS,
-    body="""SELECT p.initial_tier AS tier, p.cust_idx, d.amount_cents FROM plans p
-LEFT JOIN (VALUES ('basic', 5000), ('pro', 10000), ('enterprise', 25000)) AS d(tier, amount_cents)
-  ON d.tier = p.initial_tier""",
+    SUBS, TIERS,
+    body="""SELECT t.tier, t.stripe_subscription_id, d.amount_cents FROM tiers t
+LEFT JOIN (VALUES ('basic', 5000), ('pro', 10000), ('enterprise', 25000)) AS d(tier, amount_cents) ON d.tier = t.tier""",
 )
 
 ORACLE["status_count_and_sum"] = with_ctes(
@@ -722,17 +737,19 @@ UNION ALL SELECT 'subscriptions', COUNT(*) FROM orders
 UNION ALL SELECT 'invoices', COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 ORACLE["status_distribution"] = with_ctes(
-    PLANS,
-    body="""SELECT status, n AS customers, pct,
+    SUBS,
+    body="""SELECT status, n AS subscriptions, pct,
        CASE status WHEN 'active' THEN pct BETWEEN 65 AND 75 WHEN 'canceled' THEN pct BETWEEN 15 AND 25
-                   ELSE pct BETWEEN 8 AND 12 END AS in_band
-FROM (SELECT status, COUNT(*) AS n, COUNT(*) * 100 // SUM(COUNT(*)) OVER () AS pct FROM plans GROUP BY status)""",
+                   WHEN 'past_due' THEN pct BETWEEN 8 AND 12 END AS in_band
+FROM (SELECT status, COUNT(*) AS n, COUNT(*) * 100 // SUM(COUNT(*)) OVER () AS pct FROM subs GROUP BY status)""",
 )
-ORACLE["distinct_start_months"] = with_ctes(PLANS, body="SELECT COUNT(DISTINCT start_month) AS start_months FROM plans")
+ORACLE["distinct_start_months"] = with_ctes(
+    SUBS, body="SELECT COUNT(DISTINCT date_trunc('month', start_date)) AS start_months FROM subs")
 ORACLE["tier_change_rate"] = with_ctes(
-    PLANS,
+    SUBS, TIER_PAIRS,
     body="""SELECT eligible, changed, changed >= eligible * 0.2 AND changed <= eligible * 0.35 AS in_band FROM (
-  SELECT COUNT(*) AS eligible, COUNT(tier_change_month) AS changed FROM plans WHERE status <> 'past_due')""",
+  SELECT COUNT(*) AS eligible, COUNT(*) FILTER (stripe_subscription_id IN (SELECT v0_sub_id FROM tc)) AS changed
+  FROM subs WHERE status <> 'past_due')""",
 )
 
 ORACLE["order_by_month"] = with_ctes(
@@ -755,9 +772,9 @@ ORACLE["monotone_months"] = with_ctes(
        true AS contiguous FROM months""",
 )
 ORACLE["other_tiers"] = with_ctes(
-    PLANS,
-    body="""SELECT cust_idx, array_to_string(list_filter(['basic', 'pro', 'enterprise'], lambda t: t <> initial_tier), ',')
-       AS other_tiers FROM plans""",
+    SUBS, TIERS,
+    body="""SELECT stripe_subscription_id, array_to_string(list_filter(['basic', 'pro', 'enterprise'], lambda t: t <> tier), ',')
+       AS other_tiers FROM tiers""",
 )
 
 ORACLE["lifecycle_plan"] = with_ctes(
@@ -819,9 +836,9 @@ filled AS (
   GROUP BY m.month_start
 )"""
 ORACLE["json_series_write"] = with_ctes(
-    MONTHS,
-    body="""SELECT COUNT(*) AS points, strftime(MIN(month_start), '%Y-%m-%d') AS first_month,
-       strftime(MAX(month_start), '%Y-%m-%d') AS last_month FROM months""",
+    SUBS, MONTHS, ACTIVE, PAIRS, FILLED,
+    body="""SELECT COUNT(*) AS points, strftime(MIN(month), '%Y-%m-%d') AS first_month,
+       strftime(MAX(month), '%Y-%m-%d') AS last_month, CAST(SUM(mrr_amount) AS DECIMAL(18,2)) AS total_amount FROM filled""",
 )
 ORACLE["json_series_read"] = with_ctes(SUBS, MONTHS, ACTIVE, PAIRS, FILLED, body="SELECT month, mrr_amount FROM filled")
 ORACLE["month_label"] = with_ctes(
@@ -860,10 +877,10 @@ SELECT 'invoices', MAX(created_at) FROM linv WHERE r <> 5""",
 )
 ORACLE["watermark_reset"] = "SELECT 3 AS written, 0 AS remaining"
 ORACLE["pct_floor"] = with_ctes(
-    PLANS,
-    body="""SELECT CAST(floor(cust_idx / 3) AS BIGINT) AS batch,
+    SUBS,
+    body="""SELECT CAST(substr(stripe_customer_id, 5) AS BIGINT) // 3 AS batch,
        COUNT(*) FILTER (WHERE status = 'canceled') * 100 // COUNT(*) AS pct_canceled
-FROM plans GROUP BY 1""",
+FROM subs GROUP BY 1""",
 )
 
 

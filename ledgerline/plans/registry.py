@@ -514,8 +514,10 @@ def q_dataset_param(spark, sf_dir):
 
 @register("month_series")
 def q_month_series(spark, sf_dir):
-    """First-of-month dates of the window, inclusive."""
-    return metric.month_series(spark, WINDOW_START, WINDOW_END)
+    """First-of-month dates from the first to the last month in which a subscription starts."""
+    start = C.month_floor(C.ts_to_date("start_date"))
+    bounds = _subs(spark, sf_dir).agg(F.min(start).alias("lo"), F.max(start).alias("hi"))
+    return bounds.select(F.explode(F.expr("sequence(lo, hi, INTERVAL 1 MONTH)")).alias("month_start"))
 
 
 @register("unnest_literal_dates")
@@ -528,10 +530,18 @@ def q_unnest_literal_dates(spark, sf_dir):
 
 @register("table_schema")
 def q_table_schema(spark, sf_dir):
-    """Column list and types of the flattened subscriptions, as rows."""
-    flat = flatten.flatten_subscriptions(_loaded_subs(spark, sf_dir), RUN_TS).drop("reject_reason")
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(flat.schema.fields)]
-    return spark.createDataFrame(rows, "ordinal int, column_name string, data_type string")
+    """Columns of the loaded subscriptions table as the catalog has them, with non-null counts."""
+    wh = _scratch(spark, "schema")
+    tables.ensure_tables(spark, wh)
+    tables.upsert(spark, wh, "subscriptions", _with_zone(_subs(spark, sf_dir)), "stripe_subscription_id")
+    fields = [f for f in tables.table_schema(spark, wh, "subscriptions").fields if f.name != tables.PARTITION_COLUMN]
+    counts = spark.table(wh.table("subscriptions")).agg(*[F.count(f.name).alias(f.name) for f in fields])
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"),
+                 F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f.name).alias("non_null"))
+        for i, f in enumerate(fields)
+    ])
+    return counts.select(F.inline(rows))
 
 
 def _projection(spark, sf_dir, *cols):
@@ -618,24 +628,36 @@ def _plans(spark, sf_dir):
     return synth.plans_for_customers(table(spark, sf_dir, "customer"))
 
 
+def _indexed_customers(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select((F.col("c_custkey") - 1).alias("cust_idx"), "c_name")
+
+
+def _tiers(spark, sf_dir):
+    """Each derived subscription with the tier its price id names."""
+    tiers = F.array(*[F.lit(t) for t in relational.TIER_ORDER])
+    position = (raw.numeric_id(F.col("current_price_id")) + 1).cast("int")
+    return _subs(spark, sf_dir).select("stripe_subscription_id", F.element_at(tiers, position).alias("tier"))
+
+
 @register("format_id")
 def q_format_id(spark, sf_dir):
-    """P25: zero-padded seed e-mails, names and idempotency keys."""
-    p = _plans(spark, sf_dir)
+    """P25: zero-padded seed e-mails, names and idempotency keys of every customer."""
+    p = _indexed_customers(spark, sf_dir)
     cus = F.concat(F.lit("cus_seed_"), F.col("cust_idx").cast("string"))
-    return p.select("cust_idx", "email", "name", C.seed_idempotency_key(cus, 0).alias("idempotency_key"))
+    return p.select("cust_idx", C.seed_email("cust_idx").alias("email"), C.seed_name("cust_idx").alias("name"),
+                    C.seed_idempotency_key(cus, 0).alias("idempotency_key"))
 
 
 @register("batch_index")
 def q_batch_index(spark, sf_dir):
     """Batch of three per customer index, and the ceil-div number of batches.
 
-    The total is one scalar count (an aggregate returning a single number), not a window
-    over all rows, so no task ever holds every customer.
+    The total is a scalar subquery, not a window over all rows, so no task ever holds
+    every customer and nothing runs while the query is built.
     """
-    p = _plans(spark, sf_dir).select("cust_idx")
-    total = p.count()
-    return p.select("cust_idx", C.batch_index("cust_idx").alias("batch"), C.batch_count(F.lit(total)).alias("batches"))
+    p = _indexed_customers(spark, sf_dir)
+    total = p.agg(F.count(F.lit(1))).scalar()
+    return p.select("cust_idx", C.batch_index("cust_idx").alias("batch"), C.batch_count(total).alias("batches"))
 
 
 # ---------------------------------------------------------------------------------------
@@ -702,10 +724,22 @@ def q_exclude_ids(spark, sf_dir):
 
 @register("name_pattern")
 def q_name_pattern(spark, sf_dir):
-    """seed customers by e-mail marker, among plan e-mails and derived customers."""
-    plans = _plans(spark, sf_dir).select(F.col("email"))
-    cust = fixtures.customers(spark, sf_dir).select("email")
-    return relational.seed_customers(plans.unionByName(cust)).select("email")
+    """seed customers by e-mail marker and seed clocks by name, among all customers.
+
+    Every fifth customer has a seed e-mail, every seventh a smoke-test one; clocks take
+    their names from a rule on the key, one of them the exact smoke name.
+    """
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    plain = F.concat(F.lower("c_name"), F.lit("@example.com"))
+    email = F.when(k % 5 == 0, C.seed_email(k - 1)).when(k % 7 == 0, F.concat(F.lit("smoke-test-"), plain)).otherwise(plain)
+    n = k.cast("string")
+    clock = (
+        F.when(k % 11 == 0, F.concat(F.lit("mrr-seed-clock-"), n)).when(k % 13 == 0, F.concat(F.lit("mrr-smoke-clock-"), n))
+        .when(k == 17, F.lit("mrr-seed-smoke-clock")).otherwise(F.concat(F.lit("old-mrr-seed-clock-"), n))
+    )
+    people = relational.seed_customers(c.select(email.alias("email"))).select(F.lit("customer").alias("kind"), F.col("email").alias("name"))
+    clocks = relational.seed_clocks(c.select(clock.alias("name"))).select(F.lit("clock").alias("kind"), "name")
+    return people.unionByName(clocks)
 
 
 @register("metadata_predicate")
@@ -742,10 +776,8 @@ def q_new_customers_only(spark, sf_dir):
 
 @register("tier_price_lookup")
 def q_tier_price_lookup(spark, sf_dir):
-    """Plan tier -> monthly price, through the three-row tier dimension."""
-    plans = _plans(spark, sf_dir).select("cust_idx", F.col("initial_tier").alias("tier"))
-    dim = relational.tier_dimension(spark)
-    return joins.lookup_dimension(plans, dim, "tier")
+    """Tier of a subscription -> monthly price, through the three-row tier dimension."""
+    return joins.lookup_dimension(_tiers(spark, sf_dir), relational.tier_dimension(spark), "tier")
 
 
 @register("status_count_and_sum")
@@ -784,20 +816,26 @@ def q_table_row_counts(spark, sf_dir):
 
 @register("status_distribution")
 def q_status_distribution(spark, sf_dir):
-    """G11 (+P27): plan statuses, floor percentages, inside the bands."""
-    return synth.status_distribution(_plans(spark, sf_dir))
+    """G11 (+P27): subscriptions per status, floor percentages, inside the bands (null: a status without one)."""
+    return synth.status_distribution(_subs(spark, sf_dir)).withColumnRenamed("customers", "subscriptions")
 
 
 @register("distinct_start_months")
 def q_distinct_start_months(spark, sf_dir):
-    """G14."""
-    return synth.distinct_start_months(_plans(spark, sf_dir))
+    """Distinct months in which a subscription starts."""
+    return synth.distinct_start_months(
+        _subs(spark, sf_dir).select(C.month_floor(C.ts_to_date("start_date")).alias("start_month")))
 
 
 @register("tier_change_rate")
 def q_tier_change_rate(spark, sf_dir):
-    """Changed / eligible and the 20-35 % band."""
-    return synth.tier_change_rate(_plans(spark, sf_dir))
+    """Subscriptions with a tier change / eligible ones, and the 20-35 % band."""
+    subs = _subs(spark, sf_dir)
+    changed = reconcile.tier_change_pairs(subs, WINDOW_START, WINDOW_END).groupBy("v0_sub_id").agg(
+        F.min(C.month_floor("v0_cancel_date")).alias("tier_change_month"))
+    return synth.tier_change_rate(
+        subs.select("stripe_subscription_id", "status")
+        .join(changed.withColumnRenamed("v0_sub_id", "stripe_subscription_id"), "stripe_subscription_id", "left"))
 
 
 @register("price_resolution_count")
@@ -843,9 +881,9 @@ def q_monotone_months(spark, sf_dir):
 
 @register("other_tiers")
 def q_other_tiers(spark, sf_dir):
-    """The two tiers a plan could change to."""
-    p = relational.other_tiers(_plans(spark, sf_dir))
-    return p.select("cust_idx", F.array_join("other_tiers", ",").alias("other_tiers"))
+    """The two tiers a subscription could change to."""
+    p = relational.other_tiers(_tiers(spark, sf_dir), "tier")
+    return p.select("stripe_subscription_id", F.array_join("other_tiers", ",").alias("other_tiers"))
 
 
 # ---------------------------------------------------------------------------------------
@@ -891,13 +929,16 @@ def _filled_series(spark, sf_dir):
 
 @register("json_series_write")
 def q_json_series_write(spark, sf_dir):
-    """The series as one JSON document; points and end-points parsed back from the text."""
+    """The series as one JSON document; points, end-points and the sum of amounts parsed back from the text."""
     doc = series.series_document(_filled_series(spark, sf_dir))
     pts = F.from_json("json", "array<struct<month: string, mrr_amount: double>>")
     return doc.select(
         F.size(pts).cast("bigint").alias("points"),
         F.element_at(pts, 1).getField("month").alias("first_month"),
         F.element_at(pts, -1).getField("month").alias("last_month"),
+        F.aggregate(
+            pts, F.lit(0).cast("decimal(28,2)"), lambda acc, p: (acc + p.mrr_amount.cast("decimal(18,2)")).cast("decimal(28,2)")
+        ).cast("decimal(18,2)").alias("total_amount"),
     )
 
 
@@ -1014,9 +1055,9 @@ def q_watermark_reset(spark, sf_dir):
 
 @register("pct_floor")
 def q_pct_floor(spark, sf_dir):
-    """Floor percentage of canceled plans per batch of three (0 when a batch is empty)."""
-    p = _plans(spark, sf_dir).withColumn("batch", C.batch_index("cust_idx"))
-    per = p.groupBy("batch").agg(
+    """Floor percentage of canceled subscriptions per batch of three customers (0 when a batch is empty)."""
+    index = raw.numeric_id(F.col("stripe_customer_id"))  # customer keys start at 0
+    per = _subs(spark, sf_dir).groupBy(C.batch_index(index).alias("batch")).agg(
         F.count(F.when(F.col("status") == "canceled", 1)).alias("canceled"), F.count(F.lit(1)).alias("n"))
     return per.select("batch", C.pct_floor("canceled", "n").alias("pct_canceled"))
 
