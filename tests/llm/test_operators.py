@@ -212,6 +212,29 @@ def test_quality_classifier_on_held_out_labels(spark):
     assert both[both["quality"] == 0]["selected"].mean() < 0.1
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_quality_classifier_rejects_marked_toxic_documents_at_any_size(spark, sf):
+    data = f"/root/testdata/{sf}"
+    scores = entry.queries()["op2_quality_classifier"](spark, data).toPandas()
+    texts = pd.read_parquet(f"{data}/documents.parquet", columns=["doc_id", "text"])
+    both = scores.merge(pd.read_parquet(f"{data}/labels.parquet"), on="doc_id").merge(texts, on="doc_id")
+    words = both["text"].fillna("").str.split().map(set)
+    good = (both["quality"] == 1) & (both["toxic"] == 0)
+    toxic = (both["quality"] == 1) & (both["toxic"] == 1)  # never in the target model
+    often = Counter(w for ws in words[toxic] for w in ws)
+    marks = {w for w, n in often.items() if n > 0.2 * toxic.sum()} - set().union(*words[good])
+    marked = toxic & words.map(lambda ws: bool(ws & marks))
+    assert marked.sum() > 0.5 * toxic.sum()
+    assert both[marked]["selected"].mean() < 0.05
+    assert both[good]["selected"].mean() > 0.99
+    assert both[both["quality"] == 0]["selected"].mean() < 0.05
+
+
+def test_classifier_ratios_do_not_depend_on_the_number_of_documents():
+    raw, target = np.array([30.0, 500, 1000]), np.array([0.0, 150, 300])
+    assert importance.log_ratios(raw, target) == pytest.approx(importance.log_ratios(raw * 50, target * 50))
+
+
 def test_quality_classifier_awkward(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(2, 1, 0), (None, 1, 0), (3, None, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
