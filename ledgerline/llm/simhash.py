@@ -243,7 +243,8 @@ def near_duplicates(
     shingle: int = SHINGLE,
     distance: int = DISTANCE,
 ) -> DataFrame:
-    """One row a document: doc_id, _key, fp, component_id (least id reachable over links)."""
+    """One row a document: doc_id, _key, fp, component_id (least id reachable over links) and root
+    (least fingerprint of the component: its own name, whatever ids its documents have)."""
     prints = written(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = written(components(near_links(distinct, distance)), "simhash-roots")
@@ -252,18 +253,18 @@ def near_duplicates(
     )
     ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))
     # Only fingerprints whose id is not their own least document's are looked up by component.
-    merged = labelled.join(ids.where("members > 1"), "root").select("fp", "component_id")
+    merged = labelled.join(ids.where("members > 1"), "root").select("fp", "component_id", "root")
     classes = distinct.join(merged, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")
+        "fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "fp").alias("root")
     )
-    return prints.join(classes, "fp").select("doc_id", "_key", "fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "_key", "fp", "component_id", "root")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of least id (then least text hash) of every group, with their own columns.
-    Of rows with equal id and text one stays."""
+    """The documents of least id (then least text hash) of every component, with their own
+    columns. Components that share an id, or have none, stay apart. Of rows with equal id and text one stays."""
     groups = near_duplicates(docs, id_col, text_col)
-    stays = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("s")).select("s.*")
+    stays = groups.groupBy("root").agg(F.min(F.struct("doc_id", "_key")).alias("s")).select("s.*")
     mine = docs.withColumn("__id", F.col(f"`{id_col}`").cast("long")).withColumn("__key", F.xxhash64(payload(text_col)))
     match = F.col("__id").eqNullSafe(F.col("s.doc_id")) & (F.col("__key") == F.col("s._key"))
     kept = mine.join(stays.alias("s"), match, "left_semi")

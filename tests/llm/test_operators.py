@@ -187,6 +187,15 @@ def test_simhash(spark, monkeypatch):
     assert rows(table, "doc_id", "fingerprint", "component_id") == brute_simhash(plain)
 
 
+def test_keep_first_keeps_unrelated_texts_without_an_id_or_of_one_id(spark):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(80)) for _ in range(5)]
+    table = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[4]), (9, texts[4])]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    kept = simhash.keep_first(docs)
+    assert rows(kept, "doc_id", "text") == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[4])], key=repr)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randint(-90, 90), rng.randint(-90, 90)) for _ in range(120)] + [(i, i + 1) for i in range(200, 260)]
