@@ -6,8 +6,9 @@ menus, footers, adverts, forms, reader comments ...) are left out. Over the othe
 text length and punctuation are summed and divided by the path's number of nodes; both
 ratios are written back to the nodes in page order, smoothed by a Gaussian, fused by
 multiplication, and nodes at or above THRESHOLD times the standard deviation form the
-core. The content is the element that holds nearly all of the core: every node in it that
-is not left out, so headings and short paragraphs of the article stay.
+core. The content is the innermost element (of article and main, else of CONTAINERS) that
+holds the whole core: every node in it that is not left out, so headings and short
+paragraphs of the article stay and no node of the core is lost.
 
 Defined results: null or empty html, or html without text, gives an empty text; markup
 that is never closed ends with the page; rows that repeat an id are treated alone; other
@@ -27,8 +28,6 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import map_batches, payload
 
 THRESHOLD = 0.8
-#: Share of the core's text that the content element must hold.
-HELD = 0.7
 #: Half width of the smoothing window, in nodes.
 RADIUS = 2
 
@@ -62,7 +61,7 @@ CLOSES = {
 }
 #: No element is closed through one of these.
 SCOPES = frozenset("html body article aside main section div nav footer header table ul ol dl form td th".split())
-CONTAINERS = frozenset("html body article main section div td tr table tbody blockquote".split())
+CONTAINERS = frozenset("html body article main section div".split())
 
 NEVER_TAGS = RAW | frozenset("head nav footer aside form button select menu dialog input canvas audio video".split())
 NEVER_ROLES = frozenset(
@@ -174,14 +173,9 @@ def main_text(page: str) -> str:
     if not texts:
         return ""
     core = core_nodes(texts, paths)
-    held: dict[int, int] = {}
-    for text, above, is_core in zip(texts, parents, core, strict=True):
-        if is_core:
-            for element in above:
-                held[element] = held.get(element, 0) + len(text)
-    whole = sum(len(t) for t, is_core in zip(texts, core, strict=True) if is_core)
-    named = [e for e in held if tags[e] in ("article", "main") and held[e] >= HELD * whole]
-    others = [e for e in held if tags[e] in CONTAINERS and held[e] >= HELD * whole]
+    shared = set.intersection(*(set(above) for above, is_core in zip(parents, core, strict=True) if is_core))
+    named = [e for e in shared if tags[e] in ("article", "main")]
+    others = [e for e in shared if tags[e] in CONTAINERS]
     content = max(named or others, default=None)  # elements are numbered as they open
     blocks: list[str] = []
     for text, above, fresh in zip(texts, parents, breaks, strict=True):

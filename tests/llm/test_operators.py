@@ -313,6 +313,20 @@ def test_html():
     assert html_extract.main_text("<p>a < b <c d='") != ""
 
 
+STORY = "The river rose in March, and nobody slept; the mill, as it was told, went first. "
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div><div><h2>One</h2>" + f"<p>{STORY * 3}</p>" * 6 + "</div><div><h2>Two</h2>" + f"<p>{STORY * 3}</p>" * 2 + "</div></div></body>",
+    "<body>" + "".join(f"<div><h2>Part {i}</h2><p>{STORY * 2}</p><p>{STORY * 3}</p></div>" for i in range(9)) + "</body>",
+    "<main><article>" + f"<p>{STORY * 3}</p>" * 3 + f"</article><section><h2>More</h2><p>{STORY * 3}</p></section></main>",
+    f"<body><p>Short one.</p><blockquote><p>{STORY * 30}</p></blockquote><p>They said so, and left.</p></body>",
+    f"<body><div><h1>Table</h1><table><tr><td>{STORY * 30}</td><td>Small cell.</td></tr></table><p>After it.</p></div></body>",
+])
+def test_html_loses_no_part_of_a_story_to_its_container(page):
+    assert html_extract.main_text(page) == " ".join(re.sub("<[^>]*>", " ", page).split())
+
+
 def test_html_pages(spark):
     import html
 
