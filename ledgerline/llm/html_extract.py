@@ -36,7 +36,7 @@ TOKEN = re.compile(
     r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|(?P<text>[^<]+|<)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe title textarea svg object".split())
@@ -74,24 +74,45 @@ NEVER_WORDS = frozenset(
     "notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related "
     "recommended widget toolbar pagination pager skip search form".split()
 )
+#: Words that may stand beside them in a compound (``share-buttons``, ``site-footer``).
+BESIDE_WORDS = frozenset(
+    "site page main top bottom left right primary secondary global inner outer container wrapper wrap box bar block list "
+    "item items link links button buttons icon icons area slot unit content post posts article articles".split()
+)
+#: Elements of text: one word of a longer class or id says nothing here, nor does their id.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 section pre blockquote table td th dl dt dd".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
-def never(tag: str, attrs: str, stack: list) -> bool:
-    if tag in NEVER_TAGS:
+def attributes(attrs: str) -> dict[str, str]:
+    """Lower-case names and values; of a repeated name the first."""
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(attrs):
+        found.setdefault(name.lower(), value.strip("\"'"))
+    return found
+
+
+def never(tag: str, attrs: dict[str, str], stack: list) -> bool:
+    if tag in NEVER_TAGS or "hidden" in attrs:
         return True
     inside = any(t in ("article", "main") for t, _, _ in stack)
     if tag == "header" and not inside:
         return True
-    for name, value in ATTRIBUTE.findall(attrs):
-        words = set(re.split(r"[^a-z]+", value.strip("\"'").lower()))
-        if name.lower() == "role" and words & NEVER_ROLES:
-            return True
+    if set(re.split(r"[^a-z]+", attrs.get("role", "").lower())) & NEVER_ROLES:
+        return True
+    if tag in ("html", "body", "article", "main"):
+        return False
+    classes = attrs.get("class", "").lower().split()
+    # Ids of headings and sections are made from their titles.
+    ids = [] if tag in TEXTUAL or "section" in classes else attrs.get("id", "").lower().split()
+    for token in classes + ids:
+        words = set(re.split(r"[^a-z]+", token)) - {""}
         marked = words & NEVER_WORDS
-        if name.lower() in ("class", "id") and marked and not (tag in ("html", "body", "article", "main")):
-            if not (inside and marked <= {"header"}):
-                return True
-    return "hidden" in attrs.lower().split()
+        if inside or tag in TEXTUAL:  # only whole tokens and known compounds
+            marked = marked - {"header"} if words <= NEVER_WORDS | BESIDE_WORDS else None
+        if marked:
+            return True
+    return False
 
 
 def text_nodes(page: str) -> tuple[list[str], list[str], list[tuple[int, ...]], list[bool], dict[int, str]]:
@@ -141,12 +162,12 @@ def text_nodes(page: str) -> tuple[list[str], list[str], list[tuple[int, ...]],
                 close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
                 at = close.end() if close else size
                 continue
-            out = bool(stack and stack[-1][2]) or never(tag, attrs, stack)
+            given = attributes(attrs)
+            out = bool(stack and stack[-1][2]) or never(tag, given, stack)
             element = len(tags)
             tags[element] = tag
-            classes = next((v.strip("\"'") for k, v in ATTRIBUTE.findall(attrs) if k.lower() == "class"), "")
             stack.append((tag, element, out))
-            names.append(tag + "".join("." + c for c in classes.split()))
+            names.append(tag + "".join("." + c for c in given.get("class", "").split()))
     return texts, paths, parents, breaks, tags
 
 

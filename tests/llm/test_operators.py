@@ -327,6 +327,19 @@ def test_html_loses_no_part_of_a_story_to_its_container(page):
     assert html_extract.main_text(page) == " ".join(re.sub("<[^>]*>", " ", page).split())
 
 
+def test_html_words_inside_longer_names_do_not_drop_article_text():
+    body = (
+        f"<h2 id='related-work'>Work</h2><p>{STORY}</p><section id='search-forms'><h2 id=search>Forms</h2><p>{STORY}</p></section>"
+        f"<p class='social-history'>{STORY}</p><p data-id='comment' title='a class=ad'>{STORY}</p><div class='section' id='notices'><p>{STORY}</p></div>"
+    )
+    text = " ".join(re.sub("<[^>]*>", " ", body).split())
+    for page in (f"<article>{body}</article>", f"<main>{body}</main>", f"<body><div>{body}</div></body>"):
+        assert html_extract.main_text(page) == text
+    left_out = "".join(f"<div {a}><p>{STORY}</p></div>" for a in ("class='ad'", "class='share-buttons'", "id=related-posts", "hidden", "role=search"))
+    assert html_extract.main_text(f"<article>{body}{left_out}</article>") == text
+    assert html_extract.main_text(f"<body><div>{body}</div><div class='my-footer-x'>{STORY}</div>{left_out}</body>") == text
+
+
 def test_html_pages(spark):
     import html
 
