@@ -197,10 +197,10 @@ def score(labelled: DataFrame, ratios) -> DataFrame:
 
 
 def best_cut(scores: DataFrame) -> float | None:
-    """The highest weight that lets through all but SPARED of the held-out good documents;
-    None without any."""
-    held = scores.where("held_out AND good = 1").select("log_weight").toPandas()  # LABEL_SAMPLE rows at most
-    good = np.sort(held["log_weight"].to_numpy())
+    """The highest weight that lets through all but SPARED of the held-out good ids, each at
+    the lowest weight of its rows; None without any."""
+    lowest = scores.where("held_out AND good = 1").groupBy("doc_id").agg(F.min("log_weight").alias("log_weight"))
+    good = np.sort(lowest.toPandas()["log_weight"].to_numpy())  # LABEL_SAMPLE rows at most
     return float(good[int(len(good) * SPARED)]) if len(good) else None
 
 

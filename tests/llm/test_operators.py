@@ -252,6 +252,13 @@ def test_quality_classifier_awkward(spark):
     assert got.columns == docs.columns and got.count() <= docs.count()
 
 
+def test_a_repeated_id_counts_once_in_the_cut(spark):
+    table = [(i, 1, True, -float(i)) for i in range(400)] + [(7, 1, True, -1000.0)] * 3000 + [(500, 1, False, -9e9), (501, 0, True, -9e9)]
+    scores = spark.createDataFrame(table, "doc_id long, good int, held_out boolean, log_weight double")
+    assert importance.best_cut(scores) == -398.0
+    assert importance.best_cut(scores.limit(0)) is None
+
+
 def test_kth_largest(spark):
     values = [random.Random(6).choice([0.0, -1e9, 3.5, 1e-7 * i]) for i in range(3000)]
     table = spark.createDataFrame([(v,) for v in values], "v double")
