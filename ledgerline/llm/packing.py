@@ -7,7 +7,8 @@ its length upwards whose bitmaps do not meet the document's: the tightest compat
 without any it opens a bin. A document longer than a bin fills whole bins, and its rest is
 packed like the others.
 
-Documents are dealt to shards by a hash of id and text, so every source and cluster is
+Documents are dealt to shards by a hash of id, text, source and, of rows equal in all of
+them, the number of the copy (a few copies at a time), so every source and cluster is
 spread evenly over the shards and a shard stays at about SHARD documents however many
 there are. Bins do not cross shards. Only ids, lengths, sources and cluster ids travel.
 
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 #: UTF-8 bytes in a bin, documents in a shard.
 CAPACITY = 16_384
 SHARD = 4096
+#: Copies of equal rows that go to one shard together: this part of a shard.
+TOGETHER = 64
 #: Bins looked at together in the successor search.
 SCAN = 512
 
@@ -77,7 +80,8 @@ class Bins:
 
 
 def pack_shard(items: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    """Bins of one shard. Items: doc_id, length, source, cluster, _key."""
+    """Bins of one shard. Items: doc_id, length, source, cluster, _key, copies."""
+    items = items.loc[items.index.repeat(items["copies"])].reset_index(drop=True)
     items = items.sort_values(["length", "doc_id", "_key"], ascending=[False, True, True], kind="stable")
     source = pd.factorize(items["source"], use_na_sentinel=False)[0]
     again = items["cluster"].duplicated(keep=False).to_numpy()
@@ -113,13 +117,21 @@ def pack(
     data = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
     digest = F.xxhash64(data)
     shards = max(1, math.ceil(docs.count() / shard_size))
-    items = docs.select(
+    together = max(1, shard_size // TOGETHER)
+    equal = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.octet_length(data).cast("long").alias("length"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         digest.alias("cluster"),
         digest.alias("_key"),
-        F.pmod(F.xxhash64(F.lit(7), F.col(f"`{id_col}`"), digest), F.lit(shards)).cast("int").alias("shard"),
+    )
+    columns = equal.columns
+    counted = equal.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    parts = counted.select(*columns, "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(together))).alias("first"))
+    items = parts.select(
+        *columns,
+        F.least(F.lit(together), F.col("n") - F.col("first")).cast("int").alias("copies"),
+        F.pmod(F.xxhash64(F.lit(7), "doc_id", "_key", "source", "first"), F.lit(shards)).cast("int").alias("shard"),
     )
 
     def run(group: pd.DataFrame) -> pd.DataFrame:

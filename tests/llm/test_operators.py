@@ -424,6 +424,15 @@ def test_packing(spark):
         assert (b["offset"].to_numpy() == np.cumsum(b["length"].to_numpy()) - b["length"].to_numpy()).all()
 
 
+def test_packing_spreads_equal_rows_over_the_shards(spark):
+    table = [(None, None, "s")] * 700 + [(1, "same", f"s{i}") for i in range(300)] + [(i, f"text {i}", "s") for i in range(1000)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string")
+    got = packing.pack(docs, shard_size=200).toPandas()
+    assert len(got) == 2000 and got["doc_id"].isna().sum() == 700 and (got["doc_id"] == 1).sum() == 301
+    assert got.groupby("shard").size().max() < 320
+    assert got["shard"].nunique() == 10
+
+
 def brute_best_fit(items, capacity):
     """The tightest bin without the source and cluster, by looking at all bins."""
     bins = []
