@@ -13,7 +13,8 @@ spread evenly over the shards and a shard stays at about SHARD documents however
 there are. Bins do not cross shards. Only ids, lengths, sources and cluster ids travel.
 
 Defined results: a null or empty text has length 0 and still gets a place; a null source
-is a source of its own; equal texts are one cluster; rows that repeat an id are packed
+is a source of its own; equal texts are one cluster, or the documents of one component where the
+caller names its column; rows that repeat an id are packed
 row by row; other columns are ignored.
 """
 
@@ -112,8 +113,10 @@ def pack(
     source_col: str = "source",
     capacity: int = CAPACITY,
     shard_size: int = SHARD,
+    cluster_col: str | None = None,
 ) -> DataFrame:
-    """One row for each piece of a document: doc_id, piece, start, length, shard, bin, offset."""
+    """One row for each piece of a document: doc_id, piece, start, length, shard, bin, offset.
+    ``cluster_col`` names the near-duplicate component (``root`` of simhash.near_duplicates)."""
     data = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
     digest = F.xxhash64(data)
     shards = max(1, math.ceil(docs.count() / shard_size))
@@ -122,7 +125,7 @@ def pack(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.octet_length(data).cast("long").alias("length"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
-        digest.alias("cluster"),
+        (F.when(F.col(f"`{cluster_col}`").isNull(), digest).otherwise(F.xxhash64(F.lit(3), F.col(f"`{cluster_col}`"))) if cluster_col else digest).alias("cluster"),
         digest.alias("_key"),
     )
     columns = equal.columns

@@ -424,6 +424,15 @@ def test_packing(spark):
         assert (b["offset"].to_numpy() == np.cumsum(b["length"].to_numpy()) - b["length"].to_numpy()).all()
 
 
+def test_near_copies_share_no_bin_where_a_component_is_given(spark):
+    texts = [PHRASE * 4 + x for x in ("one", "two", "three")] + [f"Something else, number {i}, stands here." for i in range(3)]
+    docs = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    roots = simhash.near_duplicates(docs).select("doc_id", "root")
+    got = packing.pack(docs.join(roots, "doc_id"), cluster_col="root").toPandas().set_index("doc_id")
+    assert got.loc[[0, 1, 2], "bin"].nunique() == roots.where("doc_id < 3").select("root").distinct().count() + 2 == 3
+    assert got["bin"].nunique() == 3 and packing.pack(docs).select("bin").distinct().count() == 1
+
+
 def test_packing_spreads_equal_rows_over_the_shards(spark):
     table = [(None, None, "s")] * 700 + [(1, "same", f"s{i}") for i in range(300)] + [(i, f"text {i}", "s") for i in range(1000)]
     docs = spark.createDataFrame(table, "doc_id long, text string, source string")
