@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, html_extract, importance, merkle, packing, quality_rules, simhash, suffix_dedup, token_counts, warc
+from ledgerline.llm import (
+    byte_bpe, html_extract, importance, lexical_search, merkle, packing, quality_rules, ranking_sql, sharding, simhash, spelling,
+    suffix_dedup, token_counts, warc,
+)
 from ledgerline.llm.common import SPACE_CLASS, read_table
 
 
@@ -54,6 +57,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read_table(spark, sf_dir, "documents"), sharding.layout(8), sharding.layout(8, opened=1))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "benchmark"), read_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_classifier": op2_quality_classifier,
@@ -65,6 +80,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_sharding": op11_sharding,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -121,4 +139,7 @@ ORACLE: dict[str, str] = {
         ), q2 AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM q)
         SELECT * EXCLUDE (lost), NOT base_failed AND lost * 100 <= word_chars * 30 AS kept FROM q2
     """,
+    "op11_sharding": ranking_sql.SHARDING,
+    "op12_lexical_search": ranking_sql.SEARCH,
+    "op13_spelling_variants": ranking_sql.SPELLING,
 }
