@@ -56,6 +56,11 @@ def _reason(id_col: Column, created: Column, extra: Column | None = None, requir
     return r if required is None else r.when(required.isNull(), F.lit("missing_required"))
 
 
+def _carried(raw: DataFrame) -> list[Column]:
+    """What the transform passes on beside the table's columns, where the listing has it."""
+    return [F.col(c) for c in ("_order", "corrupt_line") if c in raw.columns]
+
+
 def flatten_customers(raw: DataFrame, run_ts) -> DataFrame:
     """9-column customer rows plus ``reject_reason``."""
     created = C.epoch_to_ts("created")
@@ -70,6 +75,7 @@ def flatten_customers(raw: DataFrame, run_ts) -> DataFrame:
         C.metadata_json("metadata").alias("metadata"),
         stamp(run_ts).alias("synced_at"),
         _reason(F.col("id"), created).alias("reject_reason"),
+        *_carried(raw),
     )
 
 
@@ -99,6 +105,7 @@ def flatten_subscriptions(raw: DataFrame, run_ts) -> DataFrame:
         C.metadata_json("metadata").alias("metadata"),
         stamp(run_ts).alias("synced_at"),
         _reason(F.col("id"), created, invalid, F.col("customer")).alias("reject_reason"),
+        *_carried(raw),
     )
 
 
@@ -122,11 +129,12 @@ def flatten_invoices(raw: DataFrame, run_ts) -> DataFrame:
         C.metadata_json("metadata").alias("metadata"),
         stamp(run_ts).alias("synced_at"),
         _reason(F.col("id"), created, required=F.col("customer")).alias("reject_reason"),
+        *_carried(raw),
     )
 
 
 def accepted(flat: DataFrame) -> DataFrame:
-    return flat.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return flat.where(F.col("reject_reason").isNull()).drop("reject_reason", "corrupt_line")
 
 
 def rejected(flat: DataFrame) -> DataFrame:

@@ -433,7 +433,7 @@ ORACLE["skip_malformed"] = with_ctes(
 ORACLE["invoices_of_known_customers"] = with_ctes(
     RCUST, RINV,
     body="""SELECT id AS stripe_invoice_id, customer AS stripe_customer_id FROM linv
-WHERE r <> 5 AND customer IN (SELECT id FROM lcust WHERE r <> 5)""",
+WHERE r <> 5 AND (CAST(split_part(id, '_', 2) AS BIGINT) % 3 <> 0 OR customer IN (SELECT id FROM lcust WHERE r <> 5))""",
 )
 
 # ---------------------------------------------------------------------------------------

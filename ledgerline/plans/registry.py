@@ -14,7 +14,6 @@ from ledgerline.operators import relational, sqlform
 from ledgerline.operators import upsert as upsert_ops
 from ledgerline.plans import checks, series, synth, sync
 from ledgerline.plans.params import WINDOW_END, WINDOW_START
-from ledgerline.schemas import SUBSCRIPTIONS_DDL
 from ledgerline.session import checkpoint_dir, configure
 from ledgerline.sinks import tables
 from ledgerline.streaming import incremental
@@ -155,16 +154,38 @@ def _ntz(c):
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
+#: Folders of exported objects, by session, data and entity: the supplied tables hold none, so
+#: they are written once, and every query reads the files.
+_EXPORTS: dict[tuple, str] = {}
+
+_LISTED = {
+    "customers": raw.customer_listing,
+    "subscriptions": raw.subscription_listing,
+    "invoices": raw.invoice_listing,
+    "invoices by customer": lambda spark, sf_dir: raw.invoice_listing(spark, sf_dir, by_customer=True),
+}
+
+
+def _listing(spark, sf_dir, entity):
+    """Lines of the exported objects of an entity, read from files."""
+    key = (spark.sparkContext.applicationId, sf_dir, entity)
+    if key not in _EXPORTS:
+        root = f"{_scratch(spark, 'export').root}/{entity.replace(' ', '-')}"
+        raw.write_listing(_LISTED[entity](spark, sf_dir), root)
+        _EXPORTS[key] = root
+    return raw.read_listing(spark, _EXPORTS[key])
+
+
 def _loaded_subs(spark, sf_dir):
-    return raw.load_subscriptions(raw.subscription_listing(spark, sf_dir))
+    return raw.load_subscriptions(_listing(spark, sf_dir, "subscriptions"))
 
 
 def _loaded_customers(spark, sf_dir):
-    return raw.load_customers(raw.customer_listing(spark, sf_dir))
+    return raw.load_customers(_listing(spark, sf_dir, "customers"))
 
 
 def _loaded_invoices(spark, sf_dir):
-    return raw.load_invoices(raw.invoice_listing(spark, sf_dir))
+    return raw.load_invoices(_listing(spark, sf_dir, "invoices"))
 
 
 def _flat(df, columns):
@@ -201,7 +222,7 @@ def q_load_invoices(spark, sf_dir):
 @register("scope_union")
 def q_scope_union(spark, sf_dir):
     """A4: default listing union clock listings: winning scope and number of listings per customer id."""
-    listed = raw.parse(raw.customer_listing(spark, sf_dir), raw.RAW_CUSTOMER).where(F.col("id").isNotNull())
+    listed = raw.parse(_listing(spark, sf_dir, "customers"), raw.RAW_CUSTOMER).where(F.col("id").isNotNull())
     return listed.groupBy("id").agg(
         F.min_by("scope", F.struct("scope_rank", "scope")).alias("scope"),
         F.min_by("name", F.struct("scope_rank", "scope")).alias("name"),
@@ -312,7 +333,7 @@ def q_skip_livemode(spark, sf_dir):
 @register("skip_no_items")
 def q_skip_no_items(spark, sf_dir):
     """subscriptions dropped at load because they carry no item."""
-    p = raw.skip_livemode(raw.parse(raw.subscription_listing(spark, sf_dir), raw.RAW_SUBSCRIPTION))
+    p = raw.skip_livemode(raw.parse(_listing(spark, sf_dir, "subscriptions"), raw.RAW_SUBSCRIPTION))
     empty = p.where(F.col("id").isNotNull() & (F.coalesce(F.size("items.data"), F.lit(0)) == 0))
     return empty.select("id").distinct()
 
@@ -330,10 +351,11 @@ def q_skip_malformed(spark, sf_dir):
 
 @register("invoices_of_known_customers")
 def q_invoices_of_known_customers(spark, sf_dir):
-    """Accepted invoices whose customer was collected (left semi join)."""
-    cust = flatten.accepted(flatten.flatten_customers(_loaded_customers(spark, sf_dir), RUN_TS))
-    inv = flatten.accepted(flatten.flatten_invoices(_loaded_invoices(spark, sf_dir), RUN_TS))
-    return joins.restrict_to_known(inv, cust, "stripe_customer_id").select("stripe_invoice_id", "stripe_customer_id")
+    """The default listing's invoices whoever their customer is, and of the listings by
+    customer those of collected customers (left semi join on lines)."""
+    listing = raw.of_known_customers(_listing(spark, sf_dir, "invoices by customer"), _accepted_customers(spark, sf_dir), "stripe_customer_id")
+    inv = flatten.accepted(flatten.flatten_invoices(raw.load_invoices(listing), RUN_TS))
+    return inv.select("stripe_invoice_id", "stripe_customer_id")
 
 
 # ---------------------------------------------------------------------------------------
@@ -382,10 +404,15 @@ def _scratch(spark, tag: str) -> tables.Warehouse:
 
 @register("staged_append")
 def q_staged_append(spark, sf_dir):
-    """A partial batch cast to the full subscriptions schema (missing columns NULL)."""
-    subs = _subs(spark, sf_dir).select("stripe_subscription_id", "status", "unit_amount_cents", "created_at")
-    schema = spark.createDataFrame([], SUBSCRIPTIONS_DDL.replace(" NOT NULL", "")).schema
-    out = tables.align_to_schema(subs, schema)
+    """A partial batch staged in the full subscriptions schema (missing columns NULL), after
+    the check that its keys are unique and its required columns filled."""
+    wh = _scratch(spark, "stage")
+    tables.ensure_tables(spark, wh)
+    subs = _with_zone(_subs(spark, sf_dir)).select(
+        "stripe_subscription_id", "stripe_customer_id", "status", "unit_amount_cents", "created_at", "livemode", "synced_at")
+    path = tables.stage_source(spark, wh, "subscriptions", subs, tables.stage_root(spark, "subscriptions", wh.database))
+    out = spark.read.parquet(path)
+    tables.validate_source(out, "subscriptions", "stripe_subscription_id")
     return out.select("stripe_subscription_id", "status", "unit_amount_cents", "current_price_id",
                       _ntz("created_at"), _ntz("ended_at"))
 
@@ -414,11 +441,7 @@ def q_upsert_match(spark, sf_dir):
 
 
 def _listings(spark, sf_dir):
-    return {
-        "customers": raw.customer_listing(spark, sf_dir),
-        "subscriptions": raw.subscription_listing(spark, sf_dir),
-        "invoices": raw.invoice_listing(spark, sf_dir),
-    }
+    return {entity: _listing(spark, sf_dir, entity) for entity in sync.ENTITY_ORDER}
 
 
 @register("dry_run")
@@ -441,27 +464,28 @@ def q_sync_summary(spark, sf_dir):
 def q_watermark_read(spark, sf_dir):
     """A9 (after B7): the bookmarks a completed sync left, read back per key."""
     wh = _scratch(spark, "wm")
-    listings = {"customers": raw.customer_listing(spark, sf_dir)}
+    listings = {"customers": _listing(spark, sf_dir, "customers")}
     sync.sync(spark, wh, listings, dt.datetime.fromisoformat(RUN_TS))
     return tables.watermarks(spark, wh, ["customers", "invoices"]).select("sync_key", _ntz("last_synced_at"))
 
 
 @register("incremental_upsert")
 def q_incremental_upsert(spark, sf_dir):
-    """Two arrivals of raw subscriptions streamed in (availableNow) plus an empty re-run."""
+    """Two arrivals of raw subscriptions streamed in out of order (availableNow) plus an empty re-run."""
     wh = _scratch(spark, "inc")
     raw_root = f"{wh.root}/raw/subscriptions"
-    listing = raw.subscription_listing(spark, sf_dir)
+    listing = _listing(spark, sf_dir, "subscriptions")
     n = raw.numeric_id(F.get_json_object("value", "$.id"))
     first = listing.where(n.isNull() | (n % 3 != 2))
     # second arrival: ids not divisible by 3 with a changed price (text edit of the JSON line)
     second = listing.where(n % 3 != 0).withColumn(
         "value", F.regexp_replace("value", r'"unit_amount":(\d+)', '"unit_amount":1$1')
     )
-    # both are drained together: the later arrival must win inside one micro-batch
-    incremental.write_arrival(first, raw_root, 1)
+    # the later arrival is drained first and must stay in force when the earlier one comes
     incremental.write_arrival(second, raw_root, 2)
     incremental.incremental_upsert(spark, wh, "subscriptions", raw_root)
+    incremental.write_arrival(first, raw_root, 1)
+    incremental.incremental_upsert(spark, wh, "subscriptions", raw_root)
     incremental.incremental_upsert(spark, wh, "subscriptions", raw_root)
     return spark.table(wh.table("subscriptions")).select("stripe_subscription_id", "status", "unit_amount_cents")
 
@@ -470,11 +494,13 @@ def q_incremental_upsert(spark, sf_dir):
 def q_check_resync_idempotent(spark, sf_dir):
     """C4: subscriptions per customer are unchanged by a second sync of the same objects."""
     wh = _scratch(spark, "resync")
-    listings = {"subscriptions": raw.subscription_listing(spark, sf_dir)}
-    sync.sync(spark, wh, listings, dt.datetime.fromisoformat(RUN_TS), full_refresh=True)
-    before = checkpoint_table(spark, wh, "subscriptions").groupBy("stripe_customer_id").agg(
+    listings = {"subscriptions": _listing(spark, sf_dir, "subscriptions")}
+    first = dt.datetime.fromisoformat(RUN_TS)
+    sync.sync(spark, wh, listings, first, full_refresh=True)
+    # a version's table keeps its rows while the table moves on
+    before = spark.table(tables.attach(spark, wh, "subscriptions")).groupBy("stripe_customer_id").agg(
         F.count(F.lit(1)).alias("subs_before"))
-    sync.sync(spark, wh, listings, dt.datetime.fromisoformat(RUN_TS))
+    sync.sync(spark, wh, listings, first + dt.timedelta(days=1))  # a run of its own, not a replay
     after = spark.table(wh.table("subscriptions")).groupBy("stripe_customer_id").agg(F.count(F.lit(1)).alias("subs_after"))
     return before.join(after, "stripe_customer_id", "full_outer").select(
         "stripe_customer_id", "subs_before", "subs_after",
@@ -482,12 +508,6 @@ def q_check_resync_idempotent(spark, sf_dir):
     )
 
 
-def checkpoint_table(spark, wh, name):
-    """Snapshot of a table that survives its later overwrite (reliable checkpoint, not local)."""
-    checkpoint_dir(spark)
-    return spark.table(wh.table(name)).checkpoint(eager=True)
-
-
 # ---------------------------------------------------------------------------------------
 # Scans and scalar projections
 # ---------------------------------------------------------------------------------------
@@ -1013,7 +1033,7 @@ def q_ensure_tables(spark, sf_dir):
 def q_truncate_table(spark, sf_dir):
     """Rows before and after emptying the customers table (other tables untouched)."""
     wh = _scratch(spark, "trunc")
-    sync.sync(spark, wh, {"customers": raw.customer_listing(spark, sf_dir)}, dt.datetime.fromisoformat(RUN_TS))
+    sync.sync(spark, wh, {"customers": _listing(spark, sf_dir, "customers")}, dt.datetime.fromisoformat(RUN_TS))
     before = spark.table(wh.table("customers")).count()
     tables.truncate_table(spark, wh, "customers")
     after = spark.table(wh.table("customers")).count()

@@ -25,6 +25,14 @@ WATERMARK_TABLE = "_sync_watermarks"
 
 TABLE_DDL = {"customers": CUSTOMERS_DDL, "subscriptions": SUBSCRIPTIONS_DDL, "invoices": INVOICES_DDL}
 
+# What orders the versions of one object, all ascending (the first one is in force): the arrival,
+# negated so that the latest comes first; the scope that listed it; a tie-break of the entity;
+# a digest of the line.
+VERSION_ORDER = {
+    "arrival": "BIGINT", "scope_rank": "INT", "scope": "STRING", "tie_number": "BIGINT", "tie_amount": "BIGINT", "tie_text": "STRING",
+    "digest": "BIGINT",
+}
+
 # Result of the metric and of the exported series.
 MRR_RESULT_DDL = "month DATE, mrr_amount DECIMAL(38,9)"
 SERIES_JSON_DDL = "month DATE, mrr_amount DECIMAL(38,9)"

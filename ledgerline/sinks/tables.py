@@ -1,46 +1,64 @@
-"""Warehouse tables: create, upsert by key, truncate, bookmarks.
-
-Tables are ordinary Spark catalog tables ``USING parquet`` at a shared location,
-partitioned by creation month (the reference partitions ``created_at`` by day; see
-``PARTITION_COLUMN``). An upsert never rewrites the table: it rewrites only the partitions its source
-rows fall in, with dynamic partition overwrite.
-
-Replay safety: the merged rows of the touched partitions are first written to a
-staging folder named after the batch id (overwrite, so a retried batch rewrites the
-same stage), then copied over the touched partitions. If the job dies during that
-copy, running the same batch again copies the complete stage again. A bookmark is
-written only after the copy returned.
+"""Warehouse tables: create, upsert by key, change feed, truncate, bookmarks.
+
+Tables are versioned folders (see ``versions``): parquet, partitioned by creation month and
+clustered by the primary key inside a month. An upsert writes the months it touches into a
+new commit folder with one job, and then moves the table to the next version in one step.
+No session setting is changed, nothing is overwritten in place, and a reader never sees a
+mix of two versions.
+
+The merge joins the staged source, dealt to the table's buckets, with the touched months of
+the table: the table's side is read bucket by bucket and not shuffled. The same job finds
+for every row whether it was inserted, updated, unchanged or stale, and keeps with a changed
+row its old image; ``changes`` reads these back as the change feed of a version.
+
+A batch that is replayed finds the version it published and reports that version's counts.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.flatten import ts_literal
-from ledgerline.operators.upsert import merge_plan
-from ledgerline.schemas import TABLE_DDL, WATERMARK_TABLE
+from ledgerline.operators.flatten import PRIMARY_KEYS, ts_literal
+from ledgerline.schemas import TABLE_DDL, VERSION_ORDER, WATERMARK_TABLE
 from ledgerline.session import checkpoint_dir
+from ledgerline.sinks import versions
+from ledgerline.sinks.versions import Version
 
 # Partition grain: the creation month. The reference partitions by day; with years of
-# history that is thousands of partitions, each upsert commit renames every touched
-# one, and small days make small files. Months keep the partition count in the
-# hundreds while ``rebalance`` still splits a big month into advisory-size files.
+# history that is thousands of partitions and small files. Months keep the count in the
+# hundreds, and a month is cut further into the table's buckets.
 PARTITION_COLUMN = "created_month"
+WATERMARK_DDL = "last_synced_at TIMESTAMP, sync_key STRING"
+
+#: Columns beside those of the schema, hidden by the view: what orders versions of a key
+#: (smaller is newer), and for rows that the latest commit of their month changed, how.
+ORDER = "_order"
+ORDER_TYPE = "STRUCT<" + ", ".join(f"{n}: {t}" for n, t in VERSION_ORDER.items()) + ">"
+OP, BEFORE = "_op", "_before"
+#: The old image is one JSON column: a file per month and bucket pays for each column it has.
+IMAGE = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+COUNTED = ["inserted", "updated", "unchanged", "stale"]
+
+#: A commit that others overtake starts again so often.
+ATTEMPTS = 10
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """A database name plus the shared folder its tables live in."""
+    """A database name, the shared folder its tables live in, and the buckets a new table's
+    months are cut into: the largest month divided by the size wanted for a file."""
 
     database: str
     root: str
+    buckets: int = 4
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -49,32 +67,42 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def _stored_ddl(name: str) -> str:
+    return f"{TABLE_DDL[name]}, {ORDER} {ORDER_TYPE}, {OP} STRING, {BEFORE} STRING"
+
+
+def schema_columns(name: str) -> list[str]:
+    return [c.split()[0].strip("`") for c in TABLE_DDL[name].split(", ")]
+
+
 def ensure_database(spark: SparkSession, wh: Warehouse) -> None:
     """B1: create the database if absent (idempotent)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {wh.database} LOCATION '{wh.root}'")
 
 
 def ensure_tables(spark: SparkSession, wh: Warehouse) -> None:
-    """B2: create the three entity tables and the bookmark table if absent.
-
-    Entity tables are partitioned by the UTC creation month; the bookmark table by its
-    key, so writing one bookmark replaces one partition.
-    """
+    """B2: create the three entity tables and the bookmark table if absent, and show their
+    current versions in the catalog (a folder that exists already keeps its rows)."""
     ensure_database(spark, wh)
-    known = {t.name for t in spark.catalog.listTables(wh.database)}
-    for name, ddl in TABLE_DDL.items():
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {wh.table(name)} ({ddl}, {PARTITION_COLUMN} DATE) "
-            f"USING parquet PARTITIONED BY ({PARTITION_COLUMN}) LOCATION '{wh.location(name)}'"
-        )
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {wh.table(WATERMARK_TABLE)} (last_synced_at TIMESTAMP, sync_key STRING) "
-        f"USING parquet PARTITIONED BY (sync_key) LOCATION '{wh.location(WATERMARK_TABLE)}'"
-    )
     for name in [*TABLE_DDL, WATERMARK_TABLE]:
-        if name not in known and _exists(spark, wh.location(name)):  # a catalog that is new to the folder learns the partitions in it
-            spark.sql(f"ALTER TABLE {wh.table(name)} RECOVER PARTITIONS")
-        spark.sql(f"REFRESH TABLE {wh.table(name)}")
+        if versions.current(spark, wh.location(name)) is None:
+            versions.publish(spark, wh.location(name), Version(0, buckets=wh.buckets))
+        attach(spark, wh, name)
+
+
+def attach(spark: SparkSession, wh: Warehouse, name: str, at: Version | None = None) -> str:
+    """Show the current version under the table's name; returns the name of that version's table."""
+    at = at or versions.current(spark, wh.location(name))
+    if name == WATERMARK_TABLE:
+        return versions.attach(spark, wh.table(name), wh.location(name), WATERMARK_DDL, None, None, ["sync_key", "last_synced_at"], at)
+    shown = [*schema_columns(name), PARTITION_COLUMN]
+    return versions.attach(spark, wh.table(name), wh.location(name), _stored_ddl(name), PARTITION_COLUMN, PRIMARY_KEYS[name], shown, at)
+
+
+def read(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame:
+    """The table as its newest version has it, whoever published that."""
+    attach(spark, wh, name)
+    return spark.table(wh.table(name))
 
 
 def table_schema(spark: SparkSession, wh: Warehouse, name: str) -> T.StructType:
@@ -97,33 +125,25 @@ def with_partition(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.trunc(F.col("created_at").cast("date"), "MM"))
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    """True when a Spark write to ``path`` committed (its ``_SUCCESS`` marker exists)."""
-    return _exists(spark, f"{path}/_SUCCESS")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found))
+def stage_root(spark: SparkSession, name: str, batch_id: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-stage/{name}/{batch_id}"
 
 
 def discard_stage(spark: SparkSession, root: str) -> None:
-    """Delete a batch's stage once its copy committed (the reference drops its staging table too).
-
-    Only paths under this module's stage folder are ever removed. If the job dies before
-    this call, the complete stage is re-copied on replay; after it, a replay recomputes
-    the merge against the already-updated table, which yields the same rows.
-    """
+    """Delete a batch's staged source once its version is published (the reference drops its
+    staging table too). Only paths under this module's stage folder are ever removed."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-stage/"
     if not root.startswith(base) or root.rstrip("/") == base.rstrip("/"):
         raise ValueError(f"refusing to delete {root!r}: not a stage folder")
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    versions.delete(spark, root)
 
 
-def stage_root(spark: SparkSession, name: str, batch_id: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-stage/{name}/{batch_id}"
+def stage_source(spark: SparkSession, wh: Warehouse, name: str, rows: DataFrame, root: str) -> str:
+    """Write a batch in the table's schema (missing columns NULL, extra ones dropped) to its stage."""
+    schema = T.StructType([f for f in table_schema(spark, wh, name).fields if f.name != PARTITION_COLUMN])
+    ordered = T.StructType([*schema.fields, *T.StructType.fromDDL(f"{ORDER} {ORDER_TYPE}").fields])
+    with_partition(align_to_schema(rows, ordered)).write.mode("overwrite").parquet(f"{root}/source")
+    return f"{root}/source"
 
 
 def upsert(
@@ -137,38 +157,22 @@ def upsert(
     """B4 + B5: MERGE ``rows`` into table ``name`` on ``pk``; returns inserted / updated counts.
 
     ``rows`` must be unique on ``pk`` and fill the required columns, else nothing is
-    written (ValueError). Matched target rows are replaced whole, unmatched source rows
-    inserted, other rows untouched. Keys alone match: a key whose creation month changed
-    leaves its old month, which is rewritten too. Only partitions that hold source rows or
-    their old versions are rewritten.
-
-    Steps (each a single Spark job): (1) stage the aligned source (the reference's
-    staging table; the source is then read from parquet, not recomputed, by the three
-    parts of the merge); (2) stage the merged partitions, counting inserted / updated
-    with an observation of the same job; (3) copy the stage over the touched partitions.
-    A replayed ``batch_id`` whose merged stage is complete goes straight to (3); after (3) the stage is deleted.
-    """
-    batch_id = batch_id or uuid.uuid4().hex
-    root = stage_root(spark, name, batch_id)
-    target_name = wh.table(name)
-    counts = {"inserted": 0, "updated": 0}
-    if not _complete(spark, f"{root}/merged"):
-        schema = T.StructType([f for f in spark.table(target_name).schema.fields if f.name != PARTITION_COLUMN])
-        with_partition(align_to_schema(rows, schema)).write.mode("overwrite").parquet(f"{root}/source")
-        counts = merge_staged(spark, wh, name, f"{root}/source", pk, f"{root}/merged")
-    commit_stage(spark, target_name, f"{root}/merged", cluster_by=pk)
-    discard_stage(spark, root)
-    return counts
-
-
-def touched_partitions(source: DataFrame, target: DataFrame, pk: str) -> DataFrame:
-    """Partition values of a staged source and of the target rows its keys match.
-
-    One row a table partition at most. The target side reads its key and partition columns
-    only; listing the values prunes the merge's scan statically.
+    written (ValueError). Matched target rows are replaced whole (unless the row carries an
+    ``_order`` and the table holds a newer one), unmatched source rows inserted, other rows
+    untouched. Keys alone match: a key whose creation month changed leaves its old month.
+    ``last_counts`` has the finer counts, ``changes`` the changed rows.
     """
-    old = target.select(pk, PARTITION_COLUMN).join(source.select(pk), pk, "left_semi").select(PARTITION_COLUMN)
-    return source.select(PARTITION_COLUMN).unionByName(old).distinct()
+    done = versions.of_batch(spark, wh.location(name), batch_id) if batch_id else None
+    if done is None:
+        root = stage_root(spark, name, batch_id or uuid.uuid4().hex)
+        done = merge(spark, wh, name, stage_source(spark, wh, name, rows, root), pk, batch_id)
+        discard_stage(spark, root)
+    return {k: done.counts[k] for k in ("inserted", "updated")}
+
+
+def last_counts(spark: SparkSession, wh: Warehouse, name: str) -> dict[str, int]:
+    """Counts of the newest version: inserted, updated (of these unchanged), stale."""
+    return versions.current(spark, wh.location(name)).counts
 
 
 def validate_source(source: DataFrame, name: str, pk: str) -> None:
@@ -183,101 +187,119 @@ def validate_source(source: DataFrame, name: str, pk: str) -> None:
         raise ValueError(f"{name}: {got['empty']} rows lack a required column ({', '.join(required)})")
 
 
-def merge_staged(spark: SparkSession, wh: Warehouse, name: str, source_path: str, pk: str, merged_path: str,
-                 source_filter=None) -> dict[str, int]:
-    """Step (2) of :func:`upsert`: write the merged touched partitions, return match counts."""
+def merge(spark: SparkSession, wh: Warehouse, name: str, source_path: str, pk: str, batch_id: str | None = None,
+          source_filter: Column | None = None, also: dict[str, int] | None = None) -> Version:
+    """Merge a staged source and publish the result; starts again when another writer was first.
+    ``also`` are counts of the caller's that the version keeps for a replay."""
     source = spark.read.parquet(source_path)
     if source_filter is not None:
         source = source.where(source_filter)
-    target = spark.table(wh.table(name))
-    source = source.select(*target.columns)
     validate_source(source, name, pk)
-    touched_partitions(source, target, pk).write.mode("overwrite").parquet(touched_path(merged_path))
-    touched = [r[0] for r in spark.read.parquet(touched_path(merged_path)).collect()]
-    merged, origin = merge_plan(target, source, pk, PARTITION_COLUMN, touched)
-    obs = Observation(f"upsert_{name}_{uuid.uuid4().hex[:8]}")
-    observed = merged.observe(
-        obs,
-        F.count(F.when(origin == "inserted", 1)).alias("inserted"),
-        F.count(F.when(origin == "updated", 1)).alias("updated"),
-    ).drop("_origin")
-    observed.write.mode("overwrite").parquet(merged_path)
-    got = obs.get
-    return {"inserted": int(got.get("inserted", 0)), "updated": int(got.get("updated", 0))}
-
-
-def touched_path(merged_path: str) -> str:
-    return f"{merged_path}-touched"
-
-
-def drop_emptied(spark: SparkSession, target_name: str, stage: str) -> None:
-    """Remove the partitions whose rows all moved away (an overwrite cannot empty one)."""
-    staged = spark.read.parquet(stage).select(PARTITION_COLUMN).distinct()
-    emptied = spark.read.parquet(touched_path(stage)).join(staged, PARTITION_COLUMN, "left_anti").collect()
-    schema = spark.table(target_name).schema
-    for (month,) in emptied:  # a row a table partition at most
-        spec = f"PARTITION ({PARTITION_COLUMN} = DATE'{month}')"
-        if spark.sql(f"SHOW PARTITIONS {target_name} {spec}").count():
-            # overwritten with nothing first: dropping an external partition leaves its files
-            none = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in schema if f.name != PARTITION_COLUMN)
-            spark.sql(f"INSERT OVERWRITE {target_name} {spec} SELECT {none} WHERE false")
-            spark.sql(f"ALTER TABLE {target_name} DROP IF EXISTS {spec}")
-
-
-def commit_stage(spark: SparkSession, target_name: str, stage: str, cluster_by: str | None = None) -> None:
-    """Copy a complete stage over the partitions it covers (dynamic partition overwrite).
-
-    ``rebalance`` on the partition column lets AQE cut the write into advisory-size
-    tasks (a hot day is split, small days are packed) instead of one file per task and
-    day; rows are sorted by ``cluster_by`` inside each file so parquet min/max
-    statistics skip row groups on key lookups.
-    """
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged = spark.read.parquet(stage)
-        cols = [c for c in spark.table(target_name).columns]
-        out = staged.select(*cols).hint("rebalance", PARTITION_COLUMN)
-        if cluster_by:
-            out = out.sortWithinPartitions(PARTITION_COLUMN, cluster_by)
-        out.write.insertInto(target_name, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    drop_emptied(spark, target_name, stage)
-    spark.sql(f"REFRESH TABLE {target_name}")
+    for _ in range(ATTEMPTS):
+        base = versions.current(spark, wh.location(name))
+        commit = f"c{uuid.uuid4().hex[:12]}"
+        new = merged_version(spark, wh, name, source, pk, base, commit, batch_id)
+        new = dataclasses.replace(new, counts=new.counts | (also or {}))
+        if versions.publish(spark, wh.location(name), new):
+            attach(spark, wh, name, new)
+            return new
+        versions.delete(spark, f"{wh.location(name)}/data/{commit}")
+    raise RuntimeError(f"{name}: {ATTEMPTS} commits in a row were overtaken by other writers")
+
+
+def touched_months(source: DataFrame, target: DataFrame, pk: str) -> DataFrame:
+    """Months of a staged source and of the target rows its keys match: a row a month at most.
+    The target's side reads its key and month columns only."""
+    old = target.select(pk, PARTITION_COLUMN).join(source.select(pk), pk, "left_semi").select(PARTITION_COLUMN)
+    return source.select(PARTITION_COLUMN).unionByName(old).distinct()
 
 
-def truncate_table(spark: SparkSession, wh: Warehouse, name: str) -> None:
-    """Remove every row (full refresh).
+def merge_rows(target: DataFrame, source: DataFrame, pk: str, columns: list[str], buckets: int) -> DataFrame:
+    """The touched months after the merge, with ``_outcome`` (kept or one of COUNTED), ``_op``
+    and ``_before``. Only the source is shuffled: to the table's buckets."""
+    held = [*columns, ORDER, PARTITION_COLUMN]
+    old = target.select(F.col(pk).alias("_key"), F.struct(*held).alias("_old"))
+    new = source.select(F.col(pk).alias("_key"), F.struct(*held).alias("_new")).repartition(buckets, "_key")
+    both = old.join(new, "_key", "full_outer")
+    compared = [c for c in columns if c != "synced_at"]
+    same = F.struct(*[F.col(f"_old.{c}") for c in compared]).eqNullSafe(F.struct(*[F.col(f"_new.{c}") for c in compared]))
+    stale = F.coalesce(F.col(f"_new.{ORDER}") > F.col(f"_old.{ORDER}"), F.lit(False))
+    outcome = (
+        F.when(F.col("_new").isNull(), "kept").when(F.col("_old").isNull(), "inserted").when(stale, "stale")
+        .when(same, "unchanged").otherwise("updated")
+    )
+    from_old = F.col("_outcome").isin("kept", "stale")
+    changed = F.col("_outcome").isin("inserted", "updated")
+    marked = both.withColumn("_outcome", outcome)
+    return marked.select(
+        *[F.when(from_old, F.col(f"_old.{c}")).otherwise(F.col(f"_new.{c}")).alias(c) for c in held],
+        F.when(changed, F.col("_outcome")).alias(OP),
+        F.when(F.col("_outcome") == "updated", F.to_json(F.struct(*[F.col(f"_old.{c}").alias(c) for c in columns]), IMAGE)).alias(BEFORE),
+        "_outcome",
+    )
+
+
+def merged_version(spark: SparkSession, wh: Warehouse, name: str, source: DataFrame, pk: str, base: Version, commit: str,
+                   batch_id: str | None) -> Version:
+    """Write the months that ``source`` touches under ``commit``; returns the version that takes them over."""
+    target = spark.table(attach(spark, wh, name, base))
+    touched = [r[0] for r in touched_months(source, target, pk).collect()]
+    counts = dict.fromkeys(COUNTED, 0)
+    months = dict(base.months)
+    if touched:
+        target = target.where(F.col(PARTITION_COLUMN).isin(*touched))  # static: prunes the scan
+        rows = merge_rows(target, source, pk, schema_columns(name), base.buckets)
+        seen = Observation(f"merge_{name}_{commit}")
+        outcome = F.col("_outcome")
+        counted = rows.observe(seen, *[F.count(F.when(outcome == c, 1)).alias(c) for c in COUNTED])
+        written = versions.write_commit(
+            spark, counted, wh.table(name), wh.location(name), _stored_ddl(name), PARTITION_COLUMN, pk, base.buckets, commit
+        )
+        counts = {c: int(seen.get.get(c, 0)) for c in COUNTED}
+        counts["updated"] += counts["unchanged"]
+        for month in touched:  # a month whose rows all moved away has no folder any more
+            months.pop(str(month), None)
+        months |= dict.fromkeys(written, commit)
+    return Version(base.number + 1, months, base.buckets, "merged", commit if touched else None, batch_id, counts)
+
+
+def changes(spark: SparkSession, wh: Warehouse, name: str, number: int | None = None) -> DataFrame:
+    """B5 row by row: (op, before, after) of the version ``number`` (default: the newest).
 
-    The tables are external (they live at the warehouse location), where ``TRUNCATE``
-    is refused; an overwrite with no rows in static mode clears every partition.
+    ``op`` is ``inserted`` (``before`` is null) or ``updated``; rows equal to their old image
+    but for ``synced_at`` are not changes. Only the version's own commit is read. A version
+    that truncated the table has no rows here: its ``kind`` says so.
     """
-    target = wh.table(name)
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-    try:
-        empty = spark.createDataFrame([], spark.table(target).schema)
-        empty.write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    spark.sql(f"REFRESH TABLE {target}")
+    location = wh.location(name)
+    at = versions.current(spark, location) if number is None else versions.version(spark, location, number)
+    columns, image = schema_columns(name), T.StructType.fromDDL(re.sub(r" NOT NULL", "", TABLE_DDL[name]))
+    schema = T.StructType.fromDDL(re.sub(r" NOT NULL", "", _stored_ddl(name)))
+    if at.commit is None or at.kind != "merged":
+        rows = spark.createDataFrame([], schema)
+    else:
+        rows = spark.read.schema(schema).parquet(f"{location}/data/{at.commit}")
+    return rows.where(F.col(OP).isNotNull()).select(F.col(OP).alias("op"), F.from_json(BEFORE, image, IMAGE).alias("before"), F.struct(*columns).alias("after"))
+
+
+def truncate_table(spark: SparkSession, wh: Warehouse, name: str) -> None:
+    """Remove every row (full refresh): a version without folders."""
+    for _ in range(ATTEMPTS):
+        base = versions.current(spark, wh.location(name))
+        new = Version(base.number + 1, {}, base.buckets, "truncated")
+        if versions.publish(spark, wh.location(name), new):
+            attach(spark, wh, name, new)
+            return
+    raise RuntimeError(f"{name}: {ATTEMPTS} commits in a row were overtaken by other writers")
 
 
 def watermark_read(spark: SparkSession, wh: Warehouse, sync_key: str) -> dt.datetime | None:
     """Last successful sync time for ``sync_key``; None when there is none."""
-    rows = (
-        spark.table(wh.table(WATERMARK_TABLE))
-        .where(F.col("sync_key") == F.lit(sync_key))
-        .select("last_synced_at")
-        .limit(1)
-        .collect()
-    )
+    rows = read(spark, wh, WATERMARK_TABLE).where(F.col("sync_key") == F.lit(sync_key)).select("last_synced_at").limit(1).collect()
     return rows[0][0] if rows else None
 
 
 def watermark_write(spark: SparkSession, wh: Warehouse, sync_key: str, ts: dt.datetime) -> None:
-    """Set one bookmark: overwrite the single partition ``sync_key=<key>``."""
+    """Set one bookmark."""
     row = spark.range(1).select(ts_literal(ts).alias("last_synced_at"), F.lit(sync_key).alias("sync_key"))
     write_watermarks(spark, wh, row)
 
@@ -285,24 +307,28 @@ def watermark_write(spark: SparkSession, wh: Warehouse, sync_key: str, ts: dt.da
 def write_watermarks(spark: SparkSession, wh: Warehouse, rows: DataFrame) -> None:
     """B7 for any number of keys at once: ``rows`` has (sync_key, last_synced_at), one row per key.
 
-    Each key is its own partition, so dynamic overwrite replaces exactly the keys given.
-    Values stay Spark timestamps end to end (no trip through driver-side datetimes).
+    All bookmarks move together, in one version. Values stay Spark timestamps end to end (no
+    trip through driver-side datetimes).
     """
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        rows.select(F.col("last_synced_at").cast("timestamp"), "sync_key").write.insertInto(
-            wh.table(WATERMARK_TABLE), overwrite=True
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    spark.sql(f"REFRESH TABLE {wh.table(WATERMARK_TABLE)}")
+    location = wh.location(WATERMARK_TABLE)
+    rows = rows.select(F.col("last_synced_at").cast("timestamp").alias("last_synced_at"), "sync_key")
+    for _ in range(ATTEMPTS):
+        base = versions.current(spark, location)
+        commit = f"c{uuid.uuid4().hex[:12]}"
+        kept = spark.table(attach(spark, wh, WATERMARK_TABLE, base)).join(rows.select("sync_key"), "sync_key", "left_anti")
+        kept.select(*rows.columns).unionByName(rows).coalesce(1).write.parquet(f"{location}/data/{commit}")  # a row a key
+        new = Version(base.number + 1, {"all": commit}, kind="replaced", commit=commit)
+        if versions.publish(spark, location, new):
+            attach(spark, wh, WATERMARK_TABLE, new)
+            return
+        versions.delete(spark, f"{location}/data/{commit}")
+    raise RuntimeError(f"{WATERMARK_TABLE}: {ATTEMPTS} commits in a row were overtaken by other writers")
 
 
 def watermarks(spark: SparkSession, wh: Warehouse, keys: list[str]) -> DataFrame:
     """A9 as a DataFrame: (sync_key, last_synced_at) for the asked keys, NULL where none is set."""
     asked = spark.createDataFrame([(k,) for k in keys], "sync_key string")
-    return asked.join(spark.table(wh.table(WATERMARK_TABLE)), "sync_key", "left")
+    return asked.join(read(spark, wh, WATERMARK_TABLE), "sync_key", "left")
 
 
 def watermark_reset(spark: SparkSession, wh: Warehouse) -> None:

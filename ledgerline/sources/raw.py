@@ -14,10 +14,10 @@ listings grow with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.windows import first_by_key
+from ledgerline.schemas import VERSION_ORDER
 from ledgerline.sources import fixtures
 
 # ------------------------------------------------------------------------------------------
@@ -163,8 +163,9 @@ def item_type() -> str:
     )
 
 
-def invoice_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw invoice lines; ids repeat (see fixtures), so dedupe has real work."""
+def invoice_listing(spark: SparkSession, sf_dir: str, by_customer: bool = False) -> DataFrame:
+    """Raw invoice lines; ids repeat (see fixtures), so dedupe has real work. With ``by_customer``
+    every third order's invoices are listed for their customer only, the others by default."""
     inv = fixtures.invoices(spark, sf_dir)
     r = numeric_id(F.col("stripe_invoice_id")) % RULE_MOD
 
@@ -187,7 +188,11 @@ def invoice_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(False).alias("livemode"),
         F.create_map().cast("map<string,string>").alias("metadata"),
     )
-    return inv.select(F.lit("default").alias("scope"), F.lit(0).alias("scope_rank"), _as_line(obj, r).alias("value"))
+    scoped = (numeric_id(F.col("stripe_invoice_id")) % 3 == 0) & F.lit(by_customer)
+    return inv.select(
+        F.when(scoped, F.col("stripe_customer_id")).otherwise("default").alias("scope"), scoped.cast("int").alias("scope_rank"),
+        _as_line(obj, r).alias("value"),
+    )
 
 
 # ------------------------------------------------------------------------------------------
@@ -195,25 +200,41 @@ def invoice_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------------------------------
 
 
-def read_listing(spark: SparkSession, root: str) -> DataFrame:
-    """JSON-lines files under ``root/<scope>/``; scope 'default' ranks first."""
-    lines = spark.read.text(f"{root.rstrip('/')}/*/").withColumn("_path", F.col("_metadata.file_path"))
-    scope = F.regexp_extract("_path", r"/([^/]+)/[^/]+$", 1)
-    return lines.select(
-        scope.alias("scope"), F.when(scope == "default", 0).otherwise(1).alias("scope_rank"), "value"
-    )
+#: Folder of a listing root whose lines name their own scope (scope, tab, object): there can be
+#: thousands of scopes with a few objects each.
+MIXED = "mixed"
+
+
+def write_listing(listing: DataFrame, root: str) -> None:
+    """Export a listing (scope, value) as text files: a folder for the default scope, one for all others."""
+    default = F.col("scope") == "default"
+    listing.where(default).select("value").write.text(f"{root.rstrip('/')}/default")
+    listing.where(~default).select(F.concat("scope", F.lit("\t"), "value").alias("value")).write.text(f"{root.rstrip('/')}/{MIXED}")
+
+
+def read_listing(spark: SparkSession, root: str, modified_after: str | None = None) -> DataFrame:
+    """Lines of the files under ``root/<scope>/`` (scope 'default' ranks first), and of
+    ``root/mixed/``. ``modified_after`` (a timestamp's text) leaves out files that are older."""
+    reader = spark.read.option("modifiedAfter", modified_after) if modified_after else spark.read
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    lines = reader.text(f"{root.rstrip('/')}/*/").select(folder.alias("folder"), "value")
+    mixed = F.col("folder") == MIXED
+    scope = F.when(mixed, F.substring_index("value", "\t", 1)).otherwise(F.col("folder"))
+    line = F.when(mixed, F.regexp_replace("value", r"^[^\t]*\t", "")).otherwise(F.col("value"))
+    return lines.select(scope.alias("scope"), F.when(scope == "default", 0).otherwise(1).alias("scope_rank"), line.alias("value"))
 
 
 def parse(listing: DataFrame, schema: str) -> DataFrame:
-    """One typed row per line (``schema`` is a DDL string); non-JSON lines give an all-NULL object.
+    """One typed row per line (``schema`` is a DDL string); non-JSON lines give an all-NULL object
+    with the line itself in ``corrupt_line``.
 
     The parsed struct is emitted through a generator (``inline``): predicates on parsed
     fields then stay above it instead of being pushed below with ``from_json`` inlined
     into each of them, so every line is parsed exactly once.
     """
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE"})
+    parsed = F.from_json("value", f"{schema}, corrupt_line string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt_line"})
     carried = [c for c in ("scope", "scope_rank", "arrival") if c in listing.columns]
-    return listing.select(*carried, F.inline(F.array(parsed)))
+    return listing.select(*carried, F.xxhash64("value").alias("line_digest"), F.inline(F.array(parsed)))
 
 
 def skip_livemode(df: DataFrame) -> DataFrame:
@@ -227,23 +248,29 @@ def skip_no_items(df: DataFrame) -> DataFrame:
     return df.where(F.col("id").isNull() | has_items)
 
 
+def version_order(df: DataFrame, tie_break: list[Column] | None = None) -> Column:
+    """What orders the lines of one object (see ``schemas.VERSION_ORDER``)."""
+    arrival = -F.col("arrival") if "arrival" in df.columns else F.lit(None)
+    ties = [*(tie_break or []), *[F.lit(None)] * 3][:3]
+    values = [arrival, F.col("scope_rank"), F.col("scope"), *ties, F.col("line_digest")]
+    return F.struct(*[v.cast(t).alias(n) for v, (n, t) in zip(values, VERSION_ORDER.items(), strict=True)])
+
+
 def dedupe_first_listed(df: DataFrame, key: str = "id", tie_break: list[Column] | None = None) -> DataFrame:
     """Union of listings, one row per id, the first-listed scope wins.
 
-    Where lines carry an ``arrival`` number, the latest arrival wins before the scope does.
-    Rows without an id (non-JSON lines) are grouped by their content and counted, and each
-    is given back, so they pass through (the flatten step counts them as rejects) within
-    the same single aggregation; the group is a function of the row alone, so a recomputed
-    task deals it the same way.
+    Where lines carry an ``arrival`` number, the latest arrival wins before the scope does,
+    and the order stays with the row (``_order``) so that a merge can hold it against the
+    table's. The first row of an id is found by ``row_number() = 1``, of which Spark keeps one
+    row an id in every map task before the shuffle: a row travels once, and a hot id is
+    reduced where it is read. Rows without an id (non-JSON lines) all pass through; the
+    flatten step counts them as rejects.
     """
-    content = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
-    keyed = df.withColumn("_dk", F.coalesce(F.col(key), F.concat(F.lit("\u0000"), content)))
-    latest = [-F.col("arrival")] if "arrival" in df.columns else []
-    rank = [*latest, F.col("scope_rank"), F.col("scope"), *(tie_break or [])]
-    first = first_by_key(keyed, "_dk", rank, payload=df.columns, count_as="_n")
-    copies = F.when(F.col(key).isNull(), F.col("_n")).otherwise(1).cast("int")
-    kept = [c for c in df.columns if c != "arrival"]
-    return first.select(*kept, F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")).drop("_copy")
+    ordered = df.withColumn("_order", version_order(df, tie_break))
+    first = ordered.where(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy("_order")))
+    kept = first.where(F.col("_rn") == 1).drop("_rn").unionByName(ordered.where(F.col(key).isNull()))
+    dropped = ["arrival", "line_digest"] if "arrival" in df.columns else ["line_digest", "_order"]
+    return kept.drop(*dropped)
 
 
 def load_customers(listing: DataFrame) -> DataFrame:
@@ -256,6 +283,14 @@ def load_subscriptions(listing: DataFrame) -> DataFrame:
     return dedupe_first_listed(skip_no_items(skip_livemode(parse(listing, RAW_SUBSCRIPTION))))
 
 
+def of_known_customers(listing: DataFrame, customers: DataFrame, key: str = "id") -> DataFrame:
+    """The default listing whoever its customers are, and the listings by customer (their
+    scope is the customer's id) of those in ``customers``. Lines are chosen before they are parsed."""
+    default = F.col("scope") == "default"
+    known = customers.select(F.col(key).alias("scope"))
+    return listing.where(default).unionByName(listing.where(~default).join(known, "scope", "left_semi").select(*listing.columns))
+
+
 def load_invoices(listing: DataFrame) -> DataFrame:
     """A3: invoices, live mode skipped, de-duplicated by id."""
     # ids repeat inside one scope: ties break on the earlier period, then the total, then status

@@ -2,18 +2,24 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.plans import sync
-from ledgerline.sinks import tables
+from ledgerline.sinks import tables, versions
 from ledgerline.sources import fixtures, raw
 from ledgerline.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
 
 
+def _few_lines(listing):
+    """Lines of objects of the first months: commits take time for every month they write."""
+    return listing.where(F.get_json_object("value", "$.created").try_cast("bigint") < 804556800)
+
+
 def _flat_subs(spark):
-    s = fixtures.subscriptions(spark, SF)
+    s = fixtures.subscriptions(spark, SF).where("created_at < '1995-07-01'")
     return s.select(*[F.col(c).cast("timestamp").alias(c) if t.startswith("timestamp") else F.col(c)
                       for c, t in s.dtypes])
 
@@ -38,24 +44,167 @@ def test_upsert_counts_and_state(spark, tmp_root):
     assert spark.table(wh.table("subscriptions")).count() == 0
 
 
-def test_replayed_batch_recommits_stage(spark, tmp_root):
+def test_a_writer_that_stops_before_it_publishes_changes_nothing(spark, tmp_root, monkeypatch):
     wh = tables.Warehouse("ll_t_replay", tmp_root)
     tables.ensure_tables(spark, wh)
     subs = _flat_subs(spark)
-    n = subs.count()
-    # a crash after the merged stage was written but before it was copied: the replay copies it
-    root = tables.stage_root(spark, "subscriptions", "crashed")
-    tables.with_partition(subs).write.mode("overwrite").parquet(f"{root}/source")
-    tables.merge_staged(spark, wh, "subscriptions", f"{root}/source", "stripe_subscription_id", f"{root}/merged")
-    assert spark.table(wh.table("subscriptions")).count() == 0
-    assert tables.upsert(spark, wh, "subscriptions", subs, "stripe_subscription_id", batch_id="crashed") == {
-        "inserted": 0, "updated": 0}
-    assert spark.table(wh.table("subscriptions")).count() == n
-    assert not tables._complete(spark, f"{root}/merged")  # stage dropped after the copy
-    # a replay after the stage was dropped recomputes against the updated table: same rows
-    again = tables.upsert(spark, wh, "subscriptions", subs, "stripe_subscription_id", batch_id="crashed")
-    assert again == {"inserted": 0, "updated": n}
-    assert spark.table(wh.table("subscriptions")).count() == n
+    n, key = subs.count(), "stripe_subscription_id"
+    half = subs.where(F.abs(F.xxhash64(key)) % 2 == 0)
+    inserted = tables.upsert(spark, wh, "subscriptions", half, key)["inserted"]
+    before = versions.current(spark, wh.location("subscriptions"))
+
+    def stop(*_):
+        raise InterruptedError
+
+    for step in ("write_commit", "publish"):  # before the data, between data and pointer
+        with monkeypatch.context() as m:
+            m.setattr(versions, step, stop)
+            with pytest.raises(InterruptedError):
+                tables.upsert(spark, wh, "subscriptions", subs, key, "stopped")
+        assert versions.current(spark, wh.location("subscriptions")) == before
+        assert tables.read(spark, wh, "subscriptions").count() == inserted
+    got = tables.upsert(spark, wh, "subscriptions", subs, key, "stopped")
+    assert got == {"inserted": n - inserted, "updated": inserted}
+    number = versions.current(spark, wh.location("subscriptions")).number
+    # a replay of what was published reports the same and writes nothing
+    assert tables.upsert(spark, wh, "subscriptions", subs, key, "stopped") == got
+    assert versions.current(spark, wh.location("subscriptions")).number == number
+    assert tables.read(spark, wh, "subscriptions").count() == n
+    # the folders of stopped commits are not listed by anyone; vacuum removes them
+    used = set(versions.current(spark, wh.location("subscriptions")).months.values())
+    assert set(versions.children(spark, f"{wh.location('subscriptions')}/data")) > used
+    versions.vacuum(spark, wh.location("subscriptions"), keep=1)
+    assert set(versions.children(spark, f"{wh.location('subscriptions')}/data")) == used
+    assert tables.read(spark, wh, "subscriptions").count() == n
+
+
+def test_of_two_writers_one_starts_again(spark, tmp_root, monkeypatch):
+    wh = tables.Warehouse("ll_t_two", tmp_root)
+    tables.ensure_tables(spark, wh)
+    subs, key = _flat_subs(spark), "stripe_subscription_id"
+    a, b = subs.where(F.abs(F.xxhash64(key)) % 2 == 0), subs.where(F.abs(F.xxhash64(key)) % 3 == 0).withColumn("unit_amount_cents", F.lit(7))
+    publish, calls = versions.publish, []
+
+    def other_first(spark_, location, new):
+        calls.append(new.number)
+        if len(calls) == 1:  # while this writer merges, another one publishes the same number
+            monkeypatch.setattr(versions, "publish", publish)
+            tables.upsert(spark, wh, "subscriptions", a, key)
+            monkeypatch.setattr(versions, "publish", other_first)
+        return publish(spark_, location, new)
+
+    monkeypatch.setattr(versions, "publish", other_first)
+    got = tables.upsert(spark, wh, "subscriptions", b, key)
+    both = a.join(b.select(key), key, "left_semi").count()
+    assert calls == [1, 2] and got == {"inserted": b.count() - both, "updated": both}
+    t = tables.read(spark, wh, "subscriptions")
+    assert t.count() == a.count() + b.count() - both == t.select(key).distinct().count()
+    assert t.where("unit_amount_cents = 7").count() == b.count()
+
+
+def test_a_reader_keeps_its_version_while_the_table_moves_on(spark, tmp_root):
+    wh = tables.Warehouse("ll_t_reader", tmp_root)
+    tables.ensure_tables(spark, wh)
+    subs, key = _flat_subs(spark), "stripe_subscription_id"
+    settings = dict(spark.sparkContext.getConf().getAll()) | {"mode": spark.conf.get("spark.sql.sources.partitionOverwriteMode")}
+    tables.upsert(spark, wh, "subscriptions", subs.where("unit_amount_cents = 5000"), key)
+    reader = spark.table(wh.table("subscriptions"))
+    held = reader.agg(F.count("*"), F.sum("unit_amount_cents"))
+    first = held.first()
+    tables.upsert(spark, wh, "subscriptions", subs.withColumn("unit_amount_cents", F.lit(1)), key)
+    assert reader.agg(F.count("*"), F.sum("unit_amount_cents")).first() == first  # planned before the commit
+    assert spark.table(wh.table("subscriptions")).agg(F.sum("unit_amount_cents")).first()[0] == subs.count()
+    assert settings == dict(spark.sparkContext.getConf().getAll()) | {"mode": spark.conf.get("spark.sql.sources.partitionOverwriteMode")}
+
+
+def test_the_merge_does_not_shuffle_the_table(spark, tmp_root):
+    wh = tables.Warehouse("ll_t_plan", tmp_root)
+    tables.ensure_tables(spark, wh)
+    subs, key = _flat_subs(spark), "stripe_subscription_id"
+    tables.upsert(spark, wh, "subscriptions", subs, key)
+    target = spark.table(tables.attach(spark, wh, "subscriptions"))
+    path = tables.stage_source(spark, wh, "subscriptions", subs, tables.stage_root(spark, "subscriptions", "plan"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = tables.merge_rows(target, spark.read.parquet(path), key, tables.schema_columns("subscriptions"), wh.buckets)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan and "Bucketed: true" in plan
+
+
+def test_changes_are_what_differs_between_two_versions(spark, tmp_root):
+    wh = tables.Warehouse("ll_t_feed", tmp_root)
+    tables.ensure_tables(spark, wh)
+    subs, key = _flat_subs(spark), "stripe_subscription_id"
+    n = raw.numeric_id(F.col(key))
+    tables.upsert(spark, wh, "subscriptions", subs.where(n % 4 != 0), key)
+    assert tables.changes(spark, wh, "subscriptions").where("op != 'inserted' OR before IS NOT NULL").count() == 0
+    old = tables.read(spark, wh, "subscriptions").drop("created_month", "synced_at").collect()
+    second = subs.where(n % 3 != 0).withColumns({
+        "unit_amount_cents": F.when(n % 2 == 0, F.col("unit_amount_cents") + 1).otherwise(F.col("unit_amount_cents")),
+        "created_at": F.when(n % 5 == 0, F.col("created_at") + F.expr("INTERVAL 70 DAYS")).otherwise(F.col("created_at")),
+        "synced_at": F.lit("2027-01-01").cast("timestamp"),
+    })
+    tables.upsert(spark, wh, "subscriptions", second, key)
+    new = tables.read(spark, wh, "subscriptions").drop("created_month", "synced_at").collect()
+    feed = tables.changes(spark, wh, "subscriptions").withColumns({
+        "before": F.col("before").dropFields("synced_at"), "after": F.col("after").dropFields("synced_at")}).collect()
+    a, b = {r[key]: r for r in old}, {r[key]: r for r in new}
+    want = {k: (a.get(k), r) for k, r in b.items() if a.get(k) != r}
+    assert {r["after"][key]: (r["before"], r["after"]) for r in feed} == want and len(feed) == len(want)
+    counts = tables.last_counts(spark, wh, "subscriptions")
+    assert counts["inserted"] == sum(v[0] is None for v in want.values())
+    assert counts["updated"] - counts["unchanged"] == sum(v[0] is not None for v in want.values()) and counts["unchanged"] > 0
+
+
+def test_any_order_of_arrivals_gives_one_table(spark, tmp_root):
+    listing = _few_lines(raw.subscription_listing(spark, SF))
+    n = raw.numeric_id(F.get_json_object("value", "$.id"))
+    results = []
+    for k, order in enumerate(([1, 2, 3], [3, 1, 2], [2, 3, 1])):
+        wh = tables.Warehouse(f"ll_t_order_{k}", f"{tmp_root}/{k}")
+        landing = f"{wh.root}/raw"
+        for arrival in order:  # drained one by one, older ones after newer ones
+            lines = listing.where(n % 4 != arrival).withColumn("value", F.regexp_replace("value", r'"unit_amount":(\d+)', f'"unit_amount":{arrival}$1'))
+            incremental.write_arrival(lines.coalesce(2), landing, arrival)
+            incremental.incremental_upsert(spark, wh, "subscriptions", landing, max_files_per_trigger=1 + k)
+        results.append(sorted(tuple(r) for r in tables.read(spark, wh, "subscriptions").select("stripe_subscription_id", "unit_amount_cents").collect()))
+    assert results[0] == results[1] == results[2] and len(results[0]) > 50
+    assert {str(r[1])[0] for r in results[0]} == {"2", "3"}
+
+
+def test_an_entity_that_fails_is_counted_and_keeps_its_bookmark(spark, tmp_root):
+    wh = tables.Warehouse("ll_t_errors", tmp_root)
+    listings = {"customers": raw.customer_listing(spark, SF), "subscriptions": raw.subscription_listing(spark, SF).drop("value")
+                .withColumn("value", F.raise_error(F.lit("unreadable")).cast("string"))}
+    got = {r["entity"]: r for r in sync.sync(spark, wh, listings).collect()}
+    assert got["subscriptions"]["errors"] == 1 and "unreadable" in got["subscriptions"]["error"] and got["total"]["errors"] == 1
+    assert got["customers"]["errors"] == 0 and got["customers"]["inserted"] > 0
+    assert tables.watermark_read(spark, wh, "customers") is not None and tables.watermark_read(spark, wh, "subscriptions") is None
+    assert tables.read(spark, wh, "subscriptions").count() == 0
+
+
+def test_a_run_started_again_reports_the_same_counts(spark, tmp_root):
+    wh = tables.Warehouse("ll_t_again", f"{tmp_root}/wh")
+    raw.write_listing(raw.customer_listing(spark, SF), f"{tmp_root}/customers")
+    listings, ts = {"customers": raw.read_listing(spark, f"{tmp_root}/customers")}, dt.datetime(2026, 1, 1)
+    first = sync.sync(spark, wh, listings, ts).drop("duration_s").collect()
+    assert sync.sync(spark, wh, listings, ts).drop("duration_s").collect() == first and first[0]["inserted"] > 0
+    later = sync.sync(spark, wh, listings, dt.datetime(2026, 1, 2)).collect()
+    assert (later[0]["inserted"], later[0]["updated"]) == (0, first[0]["inserted"])
+
+
+def test_invoices_of_unknown_customers_stay_in_the_default_listing(spark, tmp_root):
+    wh = tables.Warehouse("ll_t_scopes", tmp_root)
+    customers = raw.customer_listing(spark, SF).where(raw.numeric_id(F.get_json_object("value", "$.id")) % 2 == 0)
+    invoices = _few_lines(raw.invoice_listing(spark, SF, by_customer=True))
+    sync.sync(spark, wh, {"customers": customers, "invoices": invoices})
+    t, known = tables.read(spark, wh, "invoices"), tables.read(spark, wh, "customers")
+    unknown = t.join(known, "stripe_customer_id", "left_anti")
+    scoped = raw.numeric_id(F.col("stripe_invoice_id")) % 3 == 0
+    assert unknown.count() > 0 and unknown.where(scoped).count() == 0 and t.where(scoped).count() > 0
 
 
 def test_bookmarks(spark, tmp_root):
@@ -74,7 +223,7 @@ def test_bookmarks(spark, tmp_root):
 
 def test_sync_and_dry_run(spark, tmp_root):
     wh = tables.Warehouse("ll_t_sync", tmp_root)
-    listings = {"customers": raw.customer_listing(spark, SF), "subscriptions": raw.subscription_listing(spark, SF)}
+    listings = {"customers": raw.customer_listing(spark, SF), "subscriptions": _few_lines(raw.subscription_listing(spark, SF))}
     dry = {r["entity"]: r for r in sync.sync(spark, wh, listings, dry_run=True).collect()}
     real = {r["entity"]: r for r in sync.sync(spark, wh, listings, full_refresh=True).collect()}
     assert dry["total"]["fetched"] == real["total"]["fetched"] and dry["total"]["inserted"] == 0
@@ -88,7 +237,7 @@ def test_sync_and_dry_run(spark, tmp_root):
 def test_streaming_incremental(spark, tmp_root):
     wh = tables.Warehouse("ll_t_stream", tmp_root)
     landing = f"{tmp_root}/landing"
-    lst = raw.subscription_listing(spark, SF)
+    lst = _few_lines(raw.subscription_listing(spark, SF))
     n = raw.numeric_id(F.get_json_object("value", "$.id"))
     incremental.write_arrival(lst.where(n % 2 == 0), landing)
     s1 = incremental.incremental_upsert(spark, wh, "subscriptions", landing)
@@ -106,7 +255,7 @@ def test_streaming_incremental(spark, tmp_root):
 
 def test_streaming_in_bounded_batches(spark, tmp_root):
     # the same arrivals drained one file per micro-batch end in the same table
-    lst = raw.subscription_listing(spark, SF)
+    lst = _few_lines(raw.subscription_listing(spark, SF))
     n = raw.numeric_id(F.get_json_object("value", "$.id"))
     landing = f"{tmp_root}/landing"
     incremental.write_arrival(lst.where(n % 2 == 0).repartition(3), landing)
@@ -171,7 +320,7 @@ def test_bad_sources_write_nothing(spark, tmp_root):
 
 
 def test_latest_arrival_wins_for_every_batch_size(spark, tmp_root):
-    listing = raw.subscription_listing(spark, SF).where(F.get_json_object("value", "$.id").isNotNull())
+    listing = _few_lines(raw.subscription_listing(spark, SF))
     changed = listing.withColumn("value", F.regexp_replace("value", r'"unit_amount":(\d+)', '"unit_amount":1$1'))
     totals = []
     for files in (None, 1):
