@@ -69,6 +69,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # no checksum file beside every file: without Hadoop's native library each one created forks a chmod
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -58,7 +58,7 @@ class Warehouse:
 
     database: str
     root: str
-    buckets: int = 4
+    buckets: int = 8
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"

@@ -261,16 +261,24 @@ def dedupe_first_listed(df: DataFrame, key: str = "id", tie_break: list[Column]
 
     Where lines carry an ``arrival`` number, the latest arrival wins before the scope does,
     and the order stays with the row (``_order``) so that a merge can hold it against the
-    table's. The first row of an id is found by ``row_number() = 1``, of which Spark keeps one
-    row an id in every map task before the shuffle: a row travels once, and a hot id is
-    reduced where it is read. Rows without an id (non-JSON lines) all pass through; the
-    flatten step counts them as rejects.
+    table's. Without, what is left equal is ordered by the row's own columns.
+
+    The first row of an id is found by ``row_number() = 1``, of which Spark keeps one row an
+    id in every map task before the shuffle: a row travels once, and a hot id is reduced where
+    it is read. Rows without an id (non-JSON lines) all pass through, for the flatten step to
+    count as rejects: a number keeps equal ones apart (of rows that are read from files, the
+    same one whenever a task is run again).
     """
-    ordered = df.withColumn("_order", version_order(df, tie_break))
-    first = ordered.where(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy("_order")))
-    kept = first.where(F.col("_rn") == 1).drop("_rn").unionByName(ordered.where(F.col(key).isNull()))
-    dropped = ["arrival", "line_digest"] if "arrival" in df.columns else ["line_digest", "_order"]
-    return kept.drop(*dropped)
+    arrivals = "arrival" in df.columns
+    apart = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    ordered = df.withColumns({"_order": version_order(df, tie_break), "_apart": apart})
+    order = ["_order"] if arrivals else [F.col("_order").dropFields("digest"), *[c for c in _orderable(df) if c != "line_digest"]]
+    numbered = ordered.withColumn("_rn", F.row_number().over(Window.partitionBy(key, "_apart").orderBy(*order)))
+    return numbered.where(F.col("_rn") == 1).drop("_rn", "_apart", "line_digest", "arrival" if arrivals else "_order")
+
+
+def _orderable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 
 
 def load_customers(listing: DataFrame) -> DataFrame:
