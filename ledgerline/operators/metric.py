@@ -179,3 +179,26 @@ def contribution_in_month(month: Column, start_date: Column, cancel_date: Column
         alive = cancel_date.isNull() | (cancel_date >= month)
     activated = ~status.isin(*C.NEVER_ACTIVATED)
     return F.when(activated & started & alive, F.coalesce(amount, F.lit(0.0))).otherwise(F.lit(0.0))
+
+
+def signed_contributions(changes: DataFrame, start, end) -> DataFrame:
+    """What a change feed (before, after) adds to each (month, divisor): cents, signed."""
+    both = changes.select(F.inline(F.array(
+        F.struct(F.lit(-1).alias("sign"), F.col("before").alias("row")), F.struct(F.lit(1).alias("sign"), F.col("after").alias("row")))))
+    rows = both.where(F.col("row").isNotNull()).select("sign", "row.*")
+    # the sign goes through the metric's own rule as the amount's sign
+    signed = rows.withColumn("unit_amount_cents", F.col("unit_amount_cents") * F.col("sign"))
+    return contributions(signed, start, end).groupBy("month", "divisor").agg(F.sum("unit_amount_cents").alias("cents"))
+
+
+def advance(state: DataFrame | None, changes: DataFrame, start, end) -> DataFrame:
+    """State (month, divisor, cents) after a change feed; without a state, of an empty table."""
+    deltas = signed_contributions(changes, start, end).select("month", "divisor", "cents")
+    rows = deltas if state is None else state.select("month", "divisor", "cents").unionByName(deltas)
+    return rows.groupBy("month", "divisor").agg(F.sum("cents").alias("cents"))
+
+
+def mrr_of_state(state: DataFrame) -> DataFrame:
+    """G1 from a kept state: (month, mrr_amount)."""
+    dollars = F.sum(_exact_dollars(F.col("cents"), F.col("divisor"))).cast("decimal(38,9)")
+    return state.groupBy("month").agg(dollars.alias("mrr_amount")).orderBy("month")

@@ -936,3 +936,61 @@ FROM (
   GROUP BY t.v0_sub_id, t.v1_sub_id, t.month, t.c0, t.c1
 ) x
 LEFT JOIN gstrict s ON s.month_start = x.month"""
+
+# ---------------------------------------------------------------------------------------
+# Change feed, differences, irregular calendars, filtered anti joins, marker tables
+# ---------------------------------------------------------------------------------------
+
+ORACLE["upsert_changes"] = with_ctes(
+    SUBS, LOADS,
+    body="""SELECT stripe_subscription_id, CASE WHEN n % 3 = 1 THEN 'updated' ELSE 'inserted' END AS op,
+       CASE WHEN n % 3 = 1 THEN unit_amount_cents END AS cents_before, unit_amount_cents + 100 AS cents_after
+FROM loads WHERE n % 3 <> 0""",
+)
+
+ORACLE["mrr_from_changes"] = with_ctes(
+    SUBS.replace("subs AS (", "base AS ("),
+    """
+subs AS (
+  SELECT * REPLACE (CASE WHEN CAST(substr(stripe_subscription_id, 5) AS BIGINT) % 3 <> 0 THEN unit_amount_cents + 100
+                         ELSE unit_amount_cents END AS unit_amount_cents) FROM base
+)""",
+    MONTHS, ACTIVE, PAIRS,
+    body=f"""
+SELECT month_start AS month, {money('SUM(amt)')} AS mrr_amount
+FROM pairs WHERE amt IS NOT NULL
+GROUP BY month_start""",
+)
+
+ORACLE["mrr_by_period"] = with_ctes(
+    SUBS, ACTIVE,
+    """
+periods AS (
+  SELECT o_custkey AS period_id, CAST(MAX(o_orderdate) AS DATE) AS last_day FROM orders GROUP BY o_custkey
+)""",
+    body=f"""
+SELECT period_id, COUNT(s.stripe_subscription_id) AS active, {money('COALESCE(SUM(COALESCE(s.amt, 0)), 0)')} AS mrr_amount
+FROM periods LEFT JOIN active s ON s.sd <= last_day AND (s.cd IS NULL OR s.cd > last_day)
+GROUP BY period_id""",
+)
+
+ORACLE["resync_difference"] = with_ctes(
+    SUBS, LOADS,
+    body="""SELECT stripe_subscription_id, unit_amount_cents AS cents_before, unit_amount_cents + 1 AS cents_after
+FROM loads WHERE n % 500 = 7""",
+)
+
+ORACLE["subscriptions_without_paid_invoice"] = with_ctes(
+    SUBS,
+    body="""SELECT stripe_subscription_id, status FROM subs
+WHERE stripe_subscription_id NOT IN (
+  SELECT 'sub_' || l_orderkey FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber <> 1)""",
+)
+
+ORACLE["marker_table_scan"] = """
+WITH listed AS (
+  SELECT c_name AS marker FROM customer UNION SELECT substr(text, 50, 12) FROM documents
+), found AS (
+  SELECT doc_id, marker FROM documents JOIN listed ON marker <> '' AND contains(text, marker)
+)
+SELECT doc_id, array_to_string(list(marker ORDER BY encode(marker)), chr(10)) AS markers FROM found GROUP BY doc_id"""

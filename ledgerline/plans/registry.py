@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
-from ledgerline.operators import flatten, joins, metric, reconcile
+from ledgerline.operators import bitmap, difference, flatten, joins, markers, metric, periods, reconcile
 from ledgerline.operators import relational, sqlform
 from ledgerline.operators import upsert as upsert_ops
 from ledgerline.plans import checks, series, synth, sync
@@ -1087,3 +1087,73 @@ def q_lifecycle_tier_change(spark, sf_dir):
     """C2 on generated lifecycles: in each tier-change month only v1 counts (seed window)."""
     s = synth.lifecycle_to_subscriptions(_plans(spark, sf_dir), SEED_T0)
     return checks.check_tier_change(s, "2025-11-01", "2026-05-01")
+
+
+# ---------------------------------------------------------------------------------------
+# Change feed, differences, irregular calendars, filtered anti joins, marker tables
+# ---------------------------------------------------------------------------------------
+
+
+@register("upsert_changes")
+def q_upsert_changes(spark, sf_dir):
+    """B5 row by row: what the second load inserted or updated, with the cents before and after."""
+    wh, _ = _merged(spark, sf_dir, "feed")
+    feed = tables.changes(spark, wh, "subscriptions")
+    return feed.select(
+        F.col("after.stripe_subscription_id").alias("stripe_subscription_id"), "op",
+        F.col("before.unit_amount_cents").alias("cents_before"), F.col("after.unit_amount_cents").alias("cents_after"))
+
+
+@register("mrr_from_changes")
+def q_mrr_from_changes(spark, sf_dir):
+    """G1 kept current from the change feeds of two loads, without reading the table."""
+    wh, _ = _merged(spark, sf_dir, "delta")
+    state = None
+    for number in (1, 2):
+        state = metric.advance(state, tables.changes(spark, wh, "subscriptions", number), WINDOW_START, WINDOW_END)
+    out = metric.mrr_of_state(state)
+    return out.select("month", _money("mrr_amount").alias("mrr_amount"))
+
+
+@register("mrr_by_period")
+def q_mrr_by_period(spark, sf_dir):
+    """J1/J3 over a calendar given as a table: a period a customer, which ends on the day of their last order."""
+    ends = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("period_id")).agg(
+        F.max("o_orderdate").cast("date").alias("last_day"))
+    out = periods.mrr_by_period(_subs(spark, sf_dir), ends)
+    return out.select("period_id", "active", _money("mrr_amount").alias("mrr_amount"))
+
+
+@register("resync_difference")
+def q_resync_difference(spark, sf_dir):
+    """C4: two versions of a table of which the second has one cent more on every 500th subscription: the rows found."""
+    wh = _scratch(spark, "diff")
+    tables.ensure_tables(spark, wh)
+    subs = _with_zone(_subs(spark, sf_dir))
+    every = raw.numeric_id(F.col("stripe_subscription_id")) % 500 == 7
+    cents = F.col("unit_amount_cents") + every.cast("bigint")
+    for load in (subs, subs.withColumn("unit_amount_cents", cents)):
+        tables.upsert(spark, wh, "subscriptions", load, "stripe_subscription_id")
+    old, new = (spark.table(tables.attach(spark, wh, "subscriptions", tables.version(spark, wh, "subscriptions", n))) for n in (1, 2))
+    columns = [c for c in tables.schema_columns("subscriptions") if c != "synced_at"]
+    found = difference.differences(old, new, "stripe_subscription_id", columns, tables.PARTITION_COLUMN)
+    return found.select(
+        F.col("key").alias("stripe_subscription_id"), F.col("before.unit_amount_cents").alias("cents_before"),
+        F.col("after.unit_amount_cents").alias("cents_after"))
+
+
+@register("subscriptions_without_paid_invoice")
+def q_subscriptions_without_paid_invoice(spark, sf_dir):
+    """F10/J7 at scale: subscriptions that no paid invoice names, by an anti join behind a bitmap of keys."""
+    paid = fixtures.invoices(spark, sf_dir).where(F.col("status") == "paid").select("stripe_subscription_id")
+    return bitmap.anti_join(_subs(spark, sf_dir).select("stripe_subscription_id", "status"), paid, "stripe_subscription_id")
+
+
+@register("marker_table_scan")
+def q_marker_table_scan(spark, sf_dir):
+    """F14 with a table of markers: names of all customers, and of every document the twelve
+    characters from its 50th on; documents that contain any, whole texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = table(spark, sf_dir, "customer").select(F.col("c_name").alias("marker"))
+    listed = names.unionByName(docs.select(F.substring("text", 50, 12).alias("marker")))
+    return markers.marker_scan(docs, listed, "text", "marker").select("doc_id", F.array_join("markers", "\n").alias("markers"))

@@ -58,7 +58,7 @@ class Warehouse:
 
     database: str
     root: str
-    buckets: int = 8
+    buckets: int = 4
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -105,6 +105,11 @@ def read(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame:
     return spark.table(wh.table(name))
 
 
+def version(spark: SparkSession, wh: Warehouse, name: str, number: int) -> Version:
+    """A version by its number (0: the empty table)."""
+    return versions.version(spark, wh.location(name), number)
+
+
 def table_schema(spark: SparkSession, wh: Warehouse, name: str) -> T.StructType:
     """The target's column list, read from the catalog."""
     return spark.table(wh.table(name)).schema
