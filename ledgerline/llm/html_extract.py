@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -95,7 +97,7 @@ def attributes(attrs: str) -> dict[str, str]:
 def never(tag: str, attrs: dict[str, str], stack: list) -> bool:
     if tag in NEVER_TAGS or "hidden" in attrs:
         return True
-    inside = any(t in ("article", "main") for t, _, _ in stack)
+    inside = bool(stack) and stack[-1].inside
     if tag == "header" and not inside:
         return True
     if set(re.split(r"[^a-z]+", attrs.get("role", "").lower())) & NEVER_ROLES:
@@ -115,46 +117,74 @@ def never(tag: str, attrs: dict[str, str], stack: list) -> bool:
     return False
 
 
-def text_nodes(page: str) -> tuple[list[str], list[str], list[tuple[int, ...]], list[bool], dict[int, str]]:
-    """Texts, tag paths, open elements, whether a block begins before the text, and the tag of
-    each element, of what may be content."""
-    stack: list[tuple[str, int, bool]] = []  # tag, element, left out
-    names: list[str] = []
-    texts, paths, parents, breaks = [], [], [], []
-    tags: dict[int, str] = {}
+class Open(NamedTuple):
+    """An element that is open: its number, that of its tag path, whether it is left out, and
+    whether it is an article or main or stands in one."""
+
+    tag: str
+    element: int
+    path: int
+    out: bool
+    inside: bool
+
+
+class Page:
+    """Text nodes of a page in order: text, number of the tag path, element, whether a block
+    begins before it; and of each element its tag and the one it stands in (-1: none).
+    Elements are numbered as they open, tag paths as a trie."""
+
+    def __init__(self) -> None:
+        self.texts: list[str] = []
+        self.paths: list[int] = []
+        self.elements: list[int] = []
+        self.breaks: list[bool] = []
+        self.tags: list[str] = []
+        self.above: list[int] = []
+
+
+def text_nodes(page: str) -> Page:
+    """What may be content of a page."""
+    found, stack, trie = Page(), [], {}
+    opened: Counter[str] = Counter()  # how many elements of a tag are open
     new_block, at, size = True, 0, len(page)
+
+    def close_from(i: int) -> None:
+        for e in stack[i:]:
+            opened[e.tag] -= 1
+        del stack[i:]
+
     while at < size:
         m = TOKEN.match(page, at)
         at = m.end()
         kind = m.lastgroup
         if kind == "text":
-            if not (stack and stack[-1][2]):
+            if not (stack and stack[-1].out):
                 text = m.group()
                 if text.strip():
-                    texts.append(text)
-                    paths.append(">".join(names))
-                    parents.append(tuple(e for _, e, _ in stack))
-                    breaks.append(new_block)
+                    found.texts.append(text)
+                    found.paths.append(stack[-1].path if stack else -1)
+                    found.elements.append(stack[-1].element if stack else -1)
+                    found.breaks.append(new_block)
                     new_block = False
-                elif texts and not new_block:
-                    texts[-1] += " "
+                elif found.texts and not new_block:
+                    found.texts[-1] += " "
         elif m.group("end"):
             tag = m.group("end").lower()
             new_block |= tag not in INLINE
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:], names[i:]
+            for i in range(len(stack) - 1, -1, -1) if opened[tag] else ():
+                if stack[i].tag == tag:
+                    close_from(i)
                     break
-                if stack[i][0] in SCOPES and tag not in SCOPES:
+                if stack[i].tag in SCOPES and tag not in SCOPES:
                     break
         elif m.group("start"):
             tag, attrs = m.group("start").lower(), m.group("attrs")
             new_block |= tag not in INLINE
             if ends := CLOSES.get(tag):
                 for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ends:
-                        del stack[i:], names[i:]
-                    elif stack[i][0] in SCOPES:
+                    if stack[i].tag in ends:
+                        close_from(i)
+                    elif stack[i].tag in SCOPES:
                         break
             if tag in VOID or attrs.endswith("/") and tag in INLINE:
                 continue
@@ -163,17 +193,20 @@ def text_nodes(page: str) -> tuple[list[str], list[str], list[tuple[int, ...]],
                 at = close.end() if close else size
                 continue
             given = attributes(attrs)
-            out = bool(stack and stack[-1][2]) or never(tag, given, stack)
-            element = len(tags)
-            tags[element] = tag
-            stack.append((tag, element, out))
-            names.append(tag + "".join("." + c for c in given.get("class", "").split()))
-    return texts, paths, parents, breaks, tags
+            over = stack[-1] if stack else Open("", -1, -1, False, False)
+            name = tag + "".join("." + c for c in given.get("class", "").split())
+            path = trie.setdefault((over.path, name), len(trie))
+            inside = over.inside or tag in ("article", "main")
+            stack.append(Open(tag, len(found.tags), path, over.out or never(tag, given, stack), inside))
+            opened[tag] += 1
+            found.tags.append(tag)
+            found.above.append(over.element)
+    return found
 
 
-def core_nodes(texts: list[str], paths: list[str]) -> np.ndarray:
+def core_nodes(texts: list[str], paths: list[int]) -> np.ndarray:
     """Which nodes stand out by their smoothed and fused tag-path ratios."""
-    _, path = np.unique(np.array(paths, object).astype(str), return_inverse=True)
+    _, path = np.unique(np.array(paths, np.int64), return_inverse=True)
     length = np.array([len(t.strip()) for t in texts], float)
     marks = np.array([len(PUNCTUATION.findall(t)) for t in texts], float)
     nodes = np.bincount(path)
@@ -188,19 +221,37 @@ def core_nodes(texts: list[str], paths: list[str]) -> np.ndarray:
     return fused >= min(THRESHOLD * fused.std(), fused.max())
 
 
+def container(found: Page, first: int, last: int) -> int | None:
+    """The innermost article or main, else the innermost other container, that holds the
+    elements ``first`` and ``last`` and with them all that opened between them."""
+    while first != last:  # to the innermost element that holds both
+        if first > last:
+            first = found.above[first]
+        else:
+            last = found.above[last]
+    other = None
+    while first >= 0:
+        if found.tags[first] in ("article", "main"):
+            return first
+        if other is None and found.tags[first] in CONTAINERS:
+            other = first
+        first = found.above[first]
+    return other
+
+
 def main_text(page: str) -> str:
     """The main text of one page."""
-    texts, paths, parents, breaks, tags = text_nodes(page)
-    if not texts:
+    found = text_nodes(page)
+    if not found.texts:
         return ""
-    core = core_nodes(texts, paths)
-    shared = set.intersection(*(set(above) for above, is_core in zip(parents, core, strict=True) if is_core))
-    named = [e for e in shared if tags[e] in ("article", "main")]
-    others = [e for e in shared if tags[e] in CONTAINERS]
-    content = max(named or others, default=None)  # elements are numbered as they open
+    core = [e for e, is_core in zip(found.elements, core_nodes(found.texts, found.paths), strict=True) if is_core]
+    content = container(found, min(core), max(core))
+    within = [content is None] * len(found.tags)  # an element opens after the one it stands in
+    for e, over in enumerate(found.above):
+        within[e] |= e == content or over >= 0 and within[over]
     blocks: list[str] = []
-    for text, above, fresh in zip(texts, parents, breaks, strict=True):
-        if content is None or content in above:
+    for text, element, fresh in zip(found.texts, found.elements, found.breaks, strict=True):
+        if content is None or element >= 0 and within[element]:
             if fresh or not blocks:
                 blocks.append(text)
             else:

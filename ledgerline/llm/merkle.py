@@ -40,6 +40,8 @@ PIECE = 200
 #: Bytes of text in a range of ids, about, and the most ranges.
 RANGE_BYTES = 8 << 20
 MOST_RANGES = 100_000
+#: Rows that are looked at for a bound.
+SAMPLED = 32
 SENTENCE = re.compile(r"[^.!?]*[.!?]+\s*|[^.!?]+")
 #: Sorts below every id.
 NO_ID = -(2**63)
@@ -139,6 +141,17 @@ def edited(text: str, other: str) -> str:
     return text[: len(text) - half] + other[:half]
 
 
+def bounds_of(rows: DataFrame, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds (id, text hash) of about equal ranges, from SAMPLED different rows a range, chosen by hash."""
+    if ranges == 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    every = max(1, rows.count() // (ranges * SAMPLED))
+    some = rows.where(F.pmod(F.xxhash64(F.lit(11), "_order", "_key"), F.lit(every)) == 0).distinct().collect()
+    some = sorted((r[0], r[1]) for r in some)
+    cut = sorted({some[len(some) * i // ranges] for i in range(1, ranges)}) if some else []
+    return np.array([b[0] for b in cut], np.int64), np.array([b[1] for b in cut], np.int64)
+
+
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, range, copy, _key, _bytes), in order inside each partition: rows of a range by
     descending id, then a copy of the row that follows the range's last."""
@@ -147,15 +160,20 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), order.alias("_order"), payload(text_col))
     total = source.agg(F.sum(F.octet_length("_bytes").cast("long"))).first()[0] or 0
     ranges = min(MOST_RANGES, max(1, math.ceil(total / RANGE_BYTES)))
-    marks = [i / ranges for i in range(1, ranges)]
-    found = source.approxQuantile("_order", marks, 1 / (4 * ranges)) if marks else []
-    bounds = np.unique(np.array(found, np.float64)).astype(np.int64)
+    hashed = source.withColumn("_key", F.xxhash64("_bytes"))
+    ids, keys = bounds_of(hashed.select("_order", "_key"), ranges)
 
     @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="right").astype(np.int32))
-
-    ranged = source.withColumn("range", range_of("_order")).withColumn("_key", F.xxhash64("_bytes"))
+    def range_of(order: pd.Series, key: pd.Series) -> pd.Series:
+        order, key = order.to_numpy(), key.to_numpy()
+        at, end = np.searchsorted(ids, order, "left"), np.searchsorted(ids, order, "right")
+        for one in np.unique(order[end > at]):  # ids at which ranges are cut by the text's hash
+            rows = order == one
+            lo, hi = np.searchsorted(ids, one, "left"), np.searchsorted(ids, one, "right")
+            at[rows] = lo + np.searchsorted(keys[lo:hi], key[rows], "right")
+        return pd.Series(at.astype(np.int32))
+
+    ranged = hashed.withColumn("range", range_of("_order", "_key"))
     first = F.max(F.struct("_order", "_key")).alias("first")
     heads = sorted(ranged.groupBy("range").agg(first).collect(), key=lambda r: r["range"])  # a row a range
     schema = "_order long, _key long, target int"

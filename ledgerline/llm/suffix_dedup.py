@@ -22,7 +22,7 @@ Spark deals the work out so that no task needs the whole corpus:
 4. The removed ranges meet their documents again.
 
 Defined results: null text = empty text; documents under SPAN bytes stay whole; rows that
-repeat an id with other text come in the order of a text hash; of rows equal in id and
+repeat an id with other text come in the order of their numbers (``keyed``); of rows equal in id and
 text one stays and the others count as later; a null id comes first; other columns are
 ignored, or passed on by ``remove``.
 """
@@ -42,6 +42,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.llm.bwt import build
 from ledgerline.llm.common import in_small_batches, payload, written
+from ledgerline.llm.sharding import numbered
 
 SPAN = 100
 GRAM = 32
@@ -57,10 +58,12 @@ HOT = 4096
 COLLECTION = 1024
 #: Offsets of the anchor in a window that are treated alike; their windows share the rest.
 OFFSETS = 17
-#: A place is a position in a document, below 16 bits of its text's hash.
-PLACE_BITS = 40
+#: A place is a position in a document, below the number of its text among those of its id.
+PLACE_BITS = 32
 ODD = np.uint64(0x9E3779B97F4A7C15)
 NO_ID = -(2**63)
+#: Buckets in which the texts of one id are numbered.
+NUMBERED = 4096
 
 
 class Hasher:
@@ -164,11 +167,28 @@ def parts(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, n
         yield joined()
 
 
-def key_columns(id_col: str, text_col: str) -> list[Column]:
-    data = payload(text_col)
-    fragment = F.xxhash64(F.lit(SEED), payload(text_col)).bitwiseAND(F.lit(0xFFFF))
-    order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
-    return [order.alias("_order"), fragment.cast("int").alias("_part"), data]
+def keyed(docs: DataFrame, id_col: str, text_col: str, *others: Column) -> DataFrame:
+    """``docs`` as (_order, _part, _bytes, others). ``_order`` is the id and ``_part`` numbers the
+    different texts of an id, by 128 bits of hash; it is 0 where ids do not repeat, and only
+    the texts of ids that do are hashed. Texts of one id are numbered in buckets, so that an
+    id (or null) with a third of all rows is not numbered by one task."""
+    order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("_order")
+    rows = docs.select(order, payload(text_col), *others)
+    counts = docs.select(order).groupBy("_order").agg(F.count(F.lit(1)).alias("n"))
+    repeated = written(counts.where("n > 1").select("_order"), "dedup-ids")
+    if repeated.isEmpty():
+        return rows.select("_order", F.lit(0).alias("_part"), "_bytes", *others_of(rows))
+    hashes = [F.xxhash64(F.lit(SEED + i), "_bytes").alias(f"_hash{i}") for i in (0, 1)]
+    hashed = docs.select(order, payload(text_col)).join(repeated, "_order", "left_semi").select("_order", *hashes)
+    texts = hashed.distinct().withColumns({"bucket": F.pmod("_hash0", F.lit(NUMBERED)).cast("int"), "n": F.lit(1)})
+    numbers = numbered(written(texts, "dedup-texts"), "_order", ["_hash0", "_hash1"])
+    numbers = written(numbers.select("_order", "_hash0", "_hash1", F.col("first").cast("int").alias("_part")), "dedup-numbers")
+    found = rows.select("*", *hashes).join(numbers, ["_order", "_hash0", "_hash1"], "left")
+    return found.select("_order", F.coalesce("_part", F.lit(0)).alias("_part"), "_bytes", *others_of(rows))
+
+
+def others_of(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c not in ("_order", "_bytes")]
 
 
 def anchor_rows(keyed: DataFrame, all_columns: bool) -> DataFrame:
@@ -371,18 +391,18 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     return copies.unionByName(inside).unionByName(later_windows(segments.where(F.col("n") > HOT)))
 
 
-def cut(keyed: DataFrame) -> DataFrame:
-    """``keyed`` (_order, _part, _bytes and more) with the ranges to remove from each row, as
-    pairs; the pair (-1, -1) tells that another row has its id and text hash."""
-    lost = removed_ranges(keyed.select("_order", "_part", "_bytes"))
+def cut(rows: DataFrame) -> DataFrame:
+    """``rows`` (_order, _part, _bytes and more) with the ranges to remove from each row, as
+    pairs; the pair (-1, -1) tells that another row has its id and text."""
+    lost = removed_ranges(rows.select("_order", "_part", "_bytes"))
     part = F.shiftright("place", PLACE_BITS).cast("int").alias("_part")
     start = F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     none = F.lit(-1).cast("long")
-    equal = keyed.groupBy("_order", "_part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    equal = rows.groupBy("_order", "_part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     marks = lost.select("_order", part, F.struct(start.alias("a"), (start + F.col("size")).alias("b")).alias("r"))
     marks = marks.unionByName(equal.select("_order", "_part", F.struct(none.alias("a"), none.alias("b")).alias("r")))
     lists = marks.groupBy("_order", "_part").agg(F.collect_set("r").alias("_ranges"))
-    return keyed.join(lists.hint("shuffle_hash"), ["_order", "_part"], "left")
+    return rows.join(lists.hint("shuffle_hash"), ["_order", "_part"], "left")
 
 
 def kept_spans(data: bytes, found: list[dict] | None, seen: set, key: tuple) -> tuple[int, int, bytes]:
@@ -426,7 +446,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), types)], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return cut(docs.select(*key_columns(id_col, text_col))).mapInArrow(run, schema)
+    return cut(keyed(docs, id_col, text_col)).mapInArrow(run, schema)
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
@@ -438,7 +458,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         F.col(f"`{text_col}`").isNull().alias("gone"),
         *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)],
     )
-    keyed = docs.select(*key_columns(id_col, text_col), row.alias("_row"))
+    rows_of = keyed(docs, id_col, text_col, row.alias("_row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -450,7 +470,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
                 texts.append(kept.decode("utf-8", "replace" if kept == data else "ignore"))
             yield pa.RecordBatch.from_arrays([rows.column("_row"), pa.array(texts, pa.string())], names=["_row", "_text"])
 
-    cleaned = cut(keyed).mapInArrow(run, StructType([keyed.schema["_row"], StructField("_text", StringType())]))
+    cleaned = cut(rows_of).mapInArrow(run, StructType([rows_of.schema["_row"], StructField("_text", StringType())]))
     new = {f"`{c}`": F.col(f"_row.c{i}") for i, c in enumerate(others)}
     new[f"`{text_col}`"] = F.when(~F.col("_row.gone"), F.col("_text"))
     if length_col in docs.columns:

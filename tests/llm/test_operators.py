@@ -114,7 +114,7 @@ def test_suffix_dedup(spark, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     docs = awkward(spark)
     plain = [(r.doc_id, r.text) for r in docs.collect()]
-    keys = {(r._order, bytes(r._bytes)): r._part for r in docs.select(*suffix_dedup.key_columns("doc_id", "text")).collect()}
+    keys = {(r._order, bytes(r._bytes)): r._part for r in suffix_dedup.keyed(docs, "doc_id", "text").collect()}
     order = lambda x: (-(2**63) if x[0] is None else x[0])
     plain.sort(key=lambda x: (order(x), keys[(order(x), (x[1] or "").encode())]))
     assert rows(suffix_dedup.measure(docs), *COLUMNS) == sorted(brute_cut(plain), key=repr)
@@ -123,6 +123,20 @@ def test_suffix_dedup(spark, monkeypatch, hot):
     assert [r.text for r in left.where("doc_id = 0 OR doc_id = 7 OR doc_id = 2").orderBy("doc_id").collect()][0] is None
 
 
+def test_suffix_dedup_of_many_rows_of_one_id(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 9))) for _ in range(400)]
+    passages = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(20)]
+    texts = [" ".join(rng.choice(words) for _ in range(25)) + " " + rng.choice(passages) for _ in range(3000)]
+    plain = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(plain, "doc_id long, text string")
+    numbers = {(r._order, bytes(r._bytes)): r._part for r in suffix_dedup.keyed(docs, "doc_id", "text").collect()}
+    order = lambda x: (-(2**63) if x[0] is None else x[0])
+    assert sorted(v for k, v in numbers.items() if k[0] == 7) == list(range(1000))
+    plain.sort(key=lambda x: (order(x), numbers[(order(x), x[1].encode())]))
+    assert rows(suffix_dedup.measure(docs), *COLUMNS) == sorted(brute_cut(plain), key=repr)
+
+
 def test_suffix_dedup_on_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plain = sorted((r.doc_id, r.text) for r in docs.collect())
@@ -141,6 +155,35 @@ def test_long_documents_in_parts(monkeypatch):
     assert windows == {(1, k) for k in range(4901)} | {(3, k) for k in range(51)}
 
 
+def test_merkle_ranges_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "RANGE_BYTES", 4000)
+    rng = random.Random(2)
+    texts = [f"{i} " + " ".join(rng.choice(["red", "blue", "green"]) for _ in range(rng.randint(0, 30))) for i in range(3000)]
+    plain = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(plain, "doc_id long, text string")
+    sizes = [r["count"] for r in merkle.with_next(docs, "doc_id", "text").where("copy = 0").groupBy("range").count().collect()]
+    assert max(sizes) <= 4 * sorted(sizes)[len(sizes) // 2] and sum(sizes) == 3000
+    got = {(r.doc_id, r.fingerprint): (r.edited_sha256, r.near_next) for r in merkle.compare(docs).collect()}
+    keys = {r.text: r.k for r in docs.selectExpr("text", "xxhash64(cast(text as binary)) AS k").collect()}
+    plain.sort(key=lambda x: (-(2**63) if x[0] is None else x[0], keys[x[1]]), reverse=True)
+    for (i, t), (_, after) in zip(plain, plain[1:] + plain[:1], strict=True):
+        root, next_root = merkle.tree(t), merkle.tree(after)
+        sha, near = got[(i, root.digest.hex())]
+        assert sha == hashlib.sha256(merkle.edited(t, after).encode()).hexdigest()
+        assert near == merkle.likeness(root, next_root)
+
+
+def test_html_of_great_depth():
+    import resource
+    import time
+
+    used, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    text = html_extract.main_text("<div>x" * 100_000)
+    assert text == " ".join(["x"] * 100_000)
+    assert html_extract.main_text("<section><div>" * 30_000 + "<p>Some words, and more." + "</b></section>" * 30_000) == "Some words, and more."
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - used < 500_000 and time.time() - began < 60
+
+
 def test_collection_bwt():
     rng = random.Random(3)
     for _ in range(40):
