@@ -16,5 +16,3 @@ def test_other_queries_survive_a_missing_import(missing):
     code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.splitlines()
     assert set(QUERIES) <= set(out[0].split()) and set(QUERIES) <= set(out[1].split())
-    assert ("pipeline" in out[0].split()) == (missing == "public_tokenizers")
-    assert ("op1_byte_bpe" in out[0].split()) == (missing == "corpus_pipeline")
