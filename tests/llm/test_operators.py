@@ -390,6 +390,47 @@ def test_html_words_inside_longer_names_do_not_drop_article_text():
     assert html_extract.main_text(f"<body><div>{body}</div><div class='my-footer-x'>{STORY}</div>{left_out}</body>") == text
 
 
+LINE = "It was a long day, and the rain fell; nobody, not even the old man, had expected so much of it in one week."
+PARAGRAPHS = f"<p>{LINE}</p>" * 3
+LINES = " ".join([LINE] * 3)
+WITHOUT_ARTICLE = {
+    "menu": (f"<ul class=menu><li><a href=x>Home</a><li><a>About</a></ul><div id='social-history'><h2>Past</h2>{PARAGRAPHS}</div>", f"Past {LINES}"),
+    "odd name": (f"<div class='article-form'>{PARAGRAPHS}</div>", LINES),
+    "marked whole": (f"<div class='search-results-page menu'>{PARAGRAPHS}</div><div class=footer>Imprint</div>", LINES),
+    "form": (f"<form action=x><input name=q><label>Find</label><div>{PARAGRAPHS}</div></form>", LINES),
+    "bare line": (f"<div><div>{PARAGRAPHS}<h2>Then</h2><p>Short.</p></div><div>All rights reserved</div></div>", f"{LINES} Then Short."),
+    "comments": (f"<div><h1>T</h1>{PARAGRAPHS}</div><div class='comments'><p>{LINE}</p><p>I agree.</p></div>", f"T {LINES}"),
+    "notice": (f"<div class='cookie-notice'><p>We use cookies, and more of them. Accept all, or some.</p></div><div>{PARAGRAPHS}</div>", LINES),
+    "divs": (f"<div class=story>{PARAGRAPHS.replace('p>', 'div>')}<div>Short one.</div></div><div>Copyright</div>", f"{LINES} Short one."),
+    "inline": (f"<div><div>{LINE} And <b>bold</b> too; {LINE}</div></div><div>Log in</div>", f"{LINE} And bold too; {LINE}"),
+}
+
+
+@pytest.mark.parametrize("name", WITHOUT_ARTICLE)
+def test_html_without_article(name):
+    page, text = WITHOUT_ARTICLE[name]
+    assert html_extract.main_text(f"<html><body>{page}</body></html>") == text
+
+
+def test_html_comments_inside_an_article():
+    page = f"<article><h1>T</h1>{PARAGRAPHS}<div class='replies'><p>Great read, thanks!</p><p>{LINE}</p></div></article>"
+    assert html_extract.main_text(page) == f"T {LINES}"
+
+
+def test_html_ratios_choose_the_nodes(monkeypatch):
+    """Another core gives another text: with all nodes, and with the least of them."""
+    def all_nodes(texts, paths, marks):
+        return np.ones(len(texts), bool)
+
+    def shortest(texts, paths, marks):
+        return np.arange(len(texts)) == np.argmin([len(t.strip()) for t in texts])
+
+    for core in (all_nodes, shortest):
+        monkeypatch.setattr(html_extract, "core_nodes", core)
+        differ = [n for n, (page, text) in WITHOUT_ARTICLE.items() if html_extract.main_text(page) != text]
+        assert len(differ) >= 4, (core.__name__, differ)
+
+
 def test_html_pages(spark):
     import html
 
