@@ -9,10 +9,14 @@ same in a corpus of any size:
 
     ratio(b) = log((target(b) / target_documents + SMOOTH) / (raw(b) / documents + SMOOTH))
 
-A document's ``log_ratio`` is the mean over its n-grams (the plain importance weight per
-n-gram). Its ``log_weight`` sums, over the n-grams with a ratio below 0, minus its size to
-the power POWER: n-grams that are far more frequent in raw than in target text speak
-against it, however long the text around them, and the many faint ones add up to little.
+A document's ``log_ratio`` is the mean over its n-grams, repeats included. Its
+``log_weight``, the importance weight that it is sampled by, is the sum of log ratios over
+its n-grams, repeats included, in a target model that backs off to the raw model (ratio 0)
+for a bucket unless the labels show that target text holds it less often: by a factor of
+exp(FAR) at least, or by SURE standard errors of the fitted sample. It backs off above 0
+too: raw text holds the target text, so a ratio above 0 is the share of the other text and
+nearly the same for all of target text, however long a document is.
+
 Documents are then sampled by Gumbel top-k on ``log_weight / TEMPERATURE``, the noise
 being a function of the id and the seed. k is the number of all documents whose weight
 is at or above the cut; the cut lets through all but SPARED of the good labelled
@@ -43,10 +47,11 @@ LABEL_SAMPLE = 40_000
 HELD_OUT = 5
 #: Share of documents added to both shares of a ratio.
 SMOOTH = 0.01
-POWER = 8
+#: Where the target model does not back off: this log ratio, or as many standard errors.
+FAR, SURE = 0.8, 3.0
 #: Share of held-out good documents that may lie below the cut.
 SPARED = 0.005
-TEMPERATURE = 0.1
+TEMPERATURE = 0.25
 SEED = 17
 #: Distinct words whose hashes a task keeps.
 KEPT_WORDS = 300_000
@@ -124,7 +129,8 @@ def label_sample(labels: DataFrame) -> DataFrame:
     order = F.xxhash64("doc_id", F.lit(SEED))
     usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
     # About twice the sample by hash first, so that no task has to sort all labels.
-    share = min(1.0, 2.0 * LABEL_SAMPLE / max(usable.count(), 1))
+    ids = usable.agg(F.approx_count_distinct("doc_id", 0.02)).first()[0]
+    share = min(1.0, 2.0 * LABEL_SAMPLE / max(ids, 1))
     return (
         usable.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000_007)) < share * 1_000_000_007)
         .select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
@@ -173,19 +179,29 @@ def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.log((target_share + SMOOTH) / (raw_share + SMOOTH))
 
 
-def score(labelled: DataFrame, ratios) -> DataFrame:
+def model_weights(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log ratio of each bucket in the target model that backs off to the raw one."""
+    ratios = log_ratios(raw, target)
+    share, fitted = raw[:-1] / max(raw[-1], 1), target[-1]
+    error = np.sqrt(fitted * share * (1 - share))
+    missing = fitted * share - target[:-1]  # documents of the fitted sample short of the raw share
+    told = (ratios <= -FAR) | (missing > SURE * error) & (error > 0)
+    return np.where(told, np.minimum(ratios, 0), 0.0)
+
+
+def score(labelled: DataFrame, models) -> DataFrame:
     """doc_id, _key, log_ratio, log_weight, gumbel_key, good, held_out of every document."""
     schema = "doc_id long, _key long, good int, held_out boolean, log_ratio double, log_weight double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, table = Features(), ratios.value
-        against = -(np.maximum(-table, 0) ** POWER)
+        features = Features()
+        table, weights = models.value
         for rows in batches:
             buckets, doc = features(rows.column("_bytes").to_pylist())
             n = rows.num_rows
             size = np.maximum(np.bincount(doc, minlength=n), 1)
             mean = np.bincount(doc, table[buckets], n) / size
-            weight = np.bincount(doc, against[buckets], n).astype(float)  # integers without n-grams
+            weight = np.bincount(doc, weights[buckets], n).astype(float)  # integers without n-grams
             kept = [rows.column(c) for c in ("doc_id", "_key", "good", "held_out")]
             names = ["doc_id", "_key", "good", "held_out", "log_ratio", "log_weight"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(mean, pa.float64()), pa.array(weight, pa.float64())], names=names)
@@ -237,8 +253,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sample = written(label_sample(labels), "importance-labels")
     labelled = source.withColumn("_key", F.xxhash64("_bytes")).join(F.broadcast(sample), "doc_id", "left")
     raw, target = bucket_counts(labelled)
-    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(raw, target) if target.any() else np.zeros(BUCKETS))
-    scores = written(score(labelled, ratios), "importance-scores")
+    models = (log_ratios(raw, target), model_weights(raw, target)) if target.any() else (np.zeros(BUCKETS),) * 2
+    scores = written(score(labelled, docs.sparkSession.sparkContext.broadcast(models)), "importance-scores")
     cut = best_cut(scores)
     selected = F.lit(True)
     if cut is not None:

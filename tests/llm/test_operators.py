@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -280,6 +281,9 @@ def test_quality_classifier_rejects_marked_toxic_documents_at_any_size(spark, sf
     assert both[marked]["selected"].mean() < 0.05
     assert both[good]["selected"].mean() > 0.99
     assert both[both["quality"] == 0]["selected"].mean() < 0.05
+    weights = scores.sort_values("log_weight", ascending=False)
+    if sf == "sf0.1":  # the noise decides, not a threshold on the weight
+        assert scores["selected"].sum() < len(scores) and weights["selected"].iloc[: scores["selected"].sum()].mean() < 1
 
 
 def test_classifier_ratios_do_not_depend_on_the_number_of_documents():
@@ -287,6 +291,51 @@ def test_classifier_ratios_do_not_depend_on_the_number_of_documents():
     assert importance.log_ratios(raw, target) == pytest.approx(importance.log_ratios(raw * 50, target * 50))
 
 
+def brute_models(texts, fits):
+    """Buckets of each text, and the two tables of the models, with sets and plain loops."""
+    held = [set(importance.Features()([t.encode()])[0].tolist()) for t in texts]
+    raw, target = Counter(b for h in held for b in h), Counter(b for h, f in zip(held, fits) if f for b in h)
+    n, m = len(texts), sum(fits)
+    ratio, weight = {}, {}
+    for b, docs in raw.items():
+        share, wanted = docs / n, target[b] / m
+        ratio[b] = math.log((wanted + importance.SMOOTH) / (share + importance.SMOOTH))
+        error = math.sqrt(m * share * (1 - share))
+        sure = error > 0 and m * share - target[b] > importance.SURE * error
+        weight[b] = min(ratio[b], 0.0) if sure or ratio[b] <= -importance.FAR else 0.0
+    return ratio, weight
+
+
+def test_classifier_weights_and_top_k_by_brute_force(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(60)]
+    table, labelled = [], []
+    for i in range(900):
+        bad = i % 4 == 0
+        text = rng.choices(words, k=rng.randint(0, 60)) + ["rotten"] * (bad and rng.random() < 0.8) + ["meh"] * (rng.random() < (0.5 if bad else 0.3))
+        rng.shuffle(text)
+        table.append((i, " ".join(text)))
+        labelled += [(i, 1, int(bad))] * (i % 2 == 0)
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    labels = spark.createDataFrame(labelled, "doc_id long, quality int, toxic int")
+    sample = {r.doc_id: r for r in importance.label_sample(labels).collect()}
+    fits = [i in sample and sample[i].good == 1 and not sample[i].held_out for i, _ in table]
+    ratio, weight = brute_models([t for _, t in table], fits)
+    got = importance.classify(docs, labels).toPandas().set_index("doc_id").sort_index()
+    for i, text in table:
+        buckets = importance.Features()([text.encode()])[0].tolist()
+        assert got["log_weight"][i] == pytest.approx(sum(weight[b] for b in buckets), abs=1e-9)
+        assert got["log_ratio"][i] == pytest.approx(sum(ratio[b] for b in buckets) / max(len(buckets), 1), abs=1e-9)
+    spared = sorted(got["log_weight"][i] for i, r in sample.items() if r.held_out and r.good == 1)
+    k = int((got["log_weight"] >= spared[int(len(spared) * importance.SPARED)]).sum())
+    top = set(got.sort_values("gumbel_key", ascending=False).index[:k])
+    assert set(got.index[got["selected"]]) == top and 0 < k < len(got)
+    noise = got["gumbel_key"] - got["log_weight"] / importance.TEMPERATURE
+    assert noise.mean() == pytest.approx(0.5772, abs=0.2) and noise.std() == pytest.approx(1.2825, abs=0.2)
+    rotten = np.array(["rotten" in t for _, t in table])
+    assert got["selected"][rotten].mean() < 0.1 < 0.9 < got["selected"][~rotten].mean()
+
+
 def test_quality_classifier_awkward(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(2, 1, 0), (None, 1, 0), (3, None, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
