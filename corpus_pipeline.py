@@ -3,6 +3,12 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a
 DataFrame that is written as Parquet and read again as the next one's ``docs``. All but
 the last return the columns of ``documents``; each works on every row it is given.
+
+Defined results, beside those that each operator states: a null text has no words, so the
+quality rules reject it, as they do an empty one; a null id is an id like any other, and
+rows that share an id, or have none, are told apart by their texts; of rows equal in id and
+text one is left after the near-duplicate stage; an empty table gives no bins; columns that
+``documents`` does not have pass through the filtering stages, whatever their names.
 """
 
 from __future__ import annotations

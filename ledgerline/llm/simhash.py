@@ -265,7 +265,12 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     columns. Components that share an id, or have none, stay apart. Of rows with equal id and text one stays."""
     groups = near_duplicates(docs, id_col, text_col)
     stays = groups.groupBy("root").agg(F.min(F.struct("doc_id", "_key")).alias("s")).select("s.*")
-    mine = docs.withColumn("__id", F.col(f"`{id_col}`").cast("long")).withColumn("__key", F.xxhash64(payload(text_col)))
-    match = F.col("__id").eqNullSafe(F.col("s.doc_id")) & (F.col("__key") == F.col("s._key"))
+    # Names that no column of the documents has.
+    taken, mark = {c.lower() for c in docs.columns}, "__"
+    while {mark + "id", mark + "key"} & taken:
+        mark += "_"
+    own_id, own_key = mark + "id", mark + "key"
+    mine = docs.withColumns({own_id: F.col(f"`{id_col}`").cast("long"), own_key: F.xxhash64(payload(text_col))})
+    match = F.col(own_id).eqNullSafe(F.col("s.doc_id")) & (F.col(own_key) == F.col("s._key"))
     kept = mine.join(stays.alias("s"), match, "left_semi")
-    return kept.dropDuplicates(["__id", "__key"]).drop("__id", "__key")
+    return kept.dropDuplicates([own_id, own_key]).drop(own_id, own_key)

@@ -630,9 +630,25 @@ def test_pipeline(spark):
 def test_pipeline_awkward(spark):
     import corpus_pipeline
 
-    labels = SF
     for empty in (False, True):
-        docs = awkward(spark, empty)
-        for name, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, labels)
-            docs = spark.createDataFrame(docs.collect(), docs.schema)
+        docs = awkward(spark, empty).selectExpr("*", "4 AS __id", "'k' AS __key")
+        if not empty:
+            stories = [(20, STORY * 9), (20, STORY[::-1] * 9), (None, STORY.upper()[3:] * 7), (None, STORY.replace("e", "u") * 8), (21, STORY * 9)]
+            more = [(i, t, "en", "src1", len(t), 1, "x", 2, 3, 4, "k") for i, t in stories] * 2
+            docs = docs.union(spark.createDataFrame(more, docs.schema))
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before, columns = [r.asDict() for r in docs.collect()], docs.columns
+            docs = stage(spark, docs, SF)
+            assert docs.columns == columns, name
+            after = [r.asDict() for r in docs.collect()]
+            assert {r["doc_id"] for r in after} <= {r["doc_id"] for r in before} and len(after) <= len(before), name
+            assert all(r["__id"] == 4 and r["__key"] == "k" and r["h"] == 3 for r in after), name
+            if name == "quality_rules":
+                assert not any(r["text"] is None or not r["text"].split() for r in after)
+            if name == "simhash_near_dedup":
+                assert len({(r["doc_id"], r["text"]) for r in after}) == len(after) and all(r in before for r in after)
+            docs = spark.createDataFrame(after, docs.schema)
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+        size = docs.selectExpr("coalesce(sum(octet_length(text)), 0)").first()[0]
+        assert packed.selectExpr("coalesce(sum(length), 0)").first()[0] == size
+        assert not empty or packed.count() == 0
