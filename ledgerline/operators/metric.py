@@ -168,19 +168,6 @@ def theta_pairs_per_month(subs: DataFrame, start, end) -> DataFrame:
     )
 
 
-def contribution_in_month(month: Column, start_date: Column, cancel_date: Column, status: Column, amount: Column,
-                          rule: str = END_OF_MONTH) -> Column:
-    """Predicate form of the rule for one (subscription, month): amount if active else 0."""
-    eom = F.last_day(month)
-    started = start_date <= eom
-    if rule == END_OF_MONTH:
-        alive = cancel_date.isNull() | (cancel_date > eom)
-    else:
-        alive = cancel_date.isNull() | (cancel_date >= month)
-    activated = ~status.isin(*C.NEVER_ACTIVATED)
-    return F.when(activated & started & alive, F.coalesce(amount, F.lit(0.0))).otherwise(F.lit(0.0))
-
-
 def signed_contributions(changes: DataFrame, start, end) -> DataFrame:
     """What a change feed (before, after) adds to each (month, divisor): cents, signed."""
     both = changes.select(F.inline(F.array(

@@ -509,8 +509,11 @@ ORACLE["sync_summary"] = with_ctes(
 UNION ALL SELECT 'total', SUM(fetched), SUM(accepted), 0, SUM(rejected), 0 FROM ecounts""",
 )
 
-ORACLE["watermark_read"] = f"""SELECT 'customers' AS sync_key, {RUN_TS} AS last_synced_at
-UNION ALL SELECT 'invoices', CAST(NULL AS TIMESTAMP)"""
+ORACLE["watermark_read"] = with_ctes(
+    RCUST,
+    body=f"""SELECT 'customers' AS sync_key, {RUN_TS} AS last_synced_at, COUNT(*) AS rows_synced FROM lcust WHERE r <> 5
+UNION ALL SELECT 'invoices', CAST(NULL AS TIMESTAMP), 0""",
+)
 
 ORACLE["incremental_upsert"] = with_ctes(
     SUBS, RSUBS,
@@ -875,7 +878,8 @@ WHERE r <> 5 AND raw_status IN ('active', 'past_due', 'canceled', 'trialing', 'i
 UNION ALL
 SELECT 'invoices', MAX(created_at) FROM linv WHERE r <> 5""",
 )
-ORACLE["watermark_reset"] = "SELECT 3 AS written, 0 AS remaining"
+ORACLE["watermark_reset"] = f"""SELECT sync_key, last_synced_at AS before_reset, CAST(NULL AS TIMESTAMP) AS after_reset
+FROM ({ORACLE["watermark_write"]}) AS written"""
 ORACLE["pct_floor"] = with_ctes(
     SUBS,
     body="""SELECT CAST(substr(stripe_customer_id, 5) AS BIGINT) // 3 AS batch,
@@ -899,7 +903,7 @@ for _name, _cols in {
     "sync_summary": ["fetched", "inserted", "updated", "rejected", "errors"],
     "tier_price_lookup": ["amount_cents"],
     "truncate_table": ["rows_after"],
-    "watermark_reset": ["written", "remaining"],
+    "watermark_read": ["rows_synced"],
 }.items():
     _bigint(_name, _cols)
 

@@ -462,11 +462,21 @@ def q_sync_summary(spark, sf_dir):
 
 @register("watermark_read")
 def q_watermark_read(spark, sf_dir):
-    """A9 (after B7): the bookmarks a completed sync left, read back per key."""
+    """A9 (after B7): the bookmarks a completed sync left, read back per key, and the rows of the
+    entity's table that carry the time of its bookmark."""
     wh = _scratch(spark, "wm")
     listings = {"customers": _listing(spark, sf_dir, "customers")}
     sync.sync(spark, wh, listings, dt.datetime.fromisoformat(RUN_TS))
-    return tables.watermarks(spark, wh, ["customers", "invoices"]).select("sync_key", _ntz("last_synced_at"))
+    marks = tables.watermarks(spark, wh, ["customers", "invoices"])
+    stamped = [
+        spark.table(wh.table(entity)).groupBy("synced_at").agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(entity).alias("entity"), "synced_at", "n")
+        for entity in ("customers", "invoices")
+    ]
+    rows = stamped[0].unionByName(stamped[1])
+    of_mark = (F.col("entity") == F.col("sync_key")) & (F.col("synced_at") == F.col("last_synced_at"))
+    return marks.join(rows, of_mark, "left").select(
+        "sync_key", _ntz("last_synced_at"), F.coalesce("n", F.lit(0)).cast("bigint").alias("rows_synced"))
 
 
 @register("incremental_upsert")
@@ -492,19 +502,27 @@ def q_incremental_upsert(spark, sf_dir):
 
 @register("check_resync_idempotent")
 def q_check_resync_idempotent(spark, sf_dir):
-    """C4: subscriptions per customer are unchanged by a second sync of the same objects."""
+    """C4: the subscriptions of each customer, whole rows but for the time of the sync, are unchanged
+    by a second sync of the same objects."""
     wh = _scratch(spark, "resync")
     listings = {"subscriptions": _listing(spark, sf_dir, "subscriptions")}
     first = dt.datetime.fromisoformat(RUN_TS)
     sync.sync(spark, wh, listings, first, full_refresh=True)
     # a version's table keeps its rows while the table moves on
-    before = spark.table(tables.attach(spark, wh, "subscriptions")).groupBy("stripe_customer_id").agg(
-        F.count(F.lit(1)).alias("subs_before"))
+    columns = [c for c in tables.schema_columns("subscriptions") if c != "synced_at"]
+    row = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+
+    def per_customer(df, side):
+        return df.groupBy("stripe_customer_id").agg(
+            F.count(F.lit(1)).alias(f"subs_{side}"), F.bit_xor(row).alias(f"rows_{side}"))
+
+    before = per_customer(spark.table(tables.attach(spark, wh, "subscriptions")), "before")
     sync.sync(spark, wh, listings, first + dt.timedelta(days=1))  # a run of its own, not a replay
-    after = spark.table(wh.table("subscriptions")).groupBy("stripe_customer_id").agg(F.count(F.lit(1)).alias("subs_after"))
+    after = per_customer(spark.table(wh.table("subscriptions")), "after")
+    same = (F.col("subs_before") == F.col("subs_after")) & (F.col("rows_before") == F.col("rows_after"))
     return before.join(after, "stripe_customer_id", "full_outer").select(
         "stripe_customer_id", "subs_before", "subs_after",
-        F.coalesce(F.col("subs_before") == F.col("subs_after"), F.lit(False)).alias("unchanged"),
+        F.coalesce(same, F.lit(False)).alias("unchanged"),
     )
 
 
@@ -1065,12 +1083,14 @@ def q_watermark_write(spark, sf_dir):
 
 @register("watermark_reset")
 def q_watermark_reset(spark, sf_dir):
-    """Bookmarks written then cleared; what remains (nothing)."""
+    """Bookmarks written then cleared: what each key reads before and after (nothing)."""
     wh = _scratch(spark, "wmr")
-    written = _bookmarks_from_data(spark, sf_dir, wh).count()
+    written = _bookmarks_from_data(spark, sf_dir, wh).withColumnRenamed("last_synced_at", "before_reset").collect()  # one an entity
+    before = spark.createDataFrame(written, "sync_key string, before_reset timestamp_ntz")
     tables.watermark_reset(spark, wh)
-    left = spark.table(wh.table("_sync_watermarks")).count()
-    return spark.createDataFrame([(written, left)], "written bigint, remaining bigint")
+    after = tables.watermarks(spark, wh, [r.sync_key for r in written])
+    return before.join(after, "sync_key", "left").select(
+        "sync_key", "before_reset", _ntz("last_synced_at").alias("after_reset"))
 
 
 @register("pct_floor")
