@@ -6,9 +6,13 @@ for 64 bits and radius 4), variants are shuffled, and fingerprints that emit one
 are linked; by the triangle inequality all of them are within the radius of each other.
 
 The variants are many, so they travel packed. A block is a few thousand distinct
-fingerprints (by hash). It emits its variants as sorted hashes of HASH_BITS bits, cut into
-ranges and stored as compressed gaps, about 2.7 bytes a variant. The task of a range finds
-the hashes that occur twice or more and names them to their blocks. These emit the
+fingerprints (by hash). It emits its variants as sorted hashes (of HASH_BITS bits, or more
+where the variants are so many that most hashes would be taken), cut into ranges and stored
+as compressed gaps, about 2.7 bytes a variant. Where a block has less than PIECE variants a
+range it cuts them into wider ranges, and a second shuffle brings these of SUPER blocks
+together, which are then cut into ranges with the block of each variant (about 1.5 bytes
+more): so rows grow with the variants, not with blocks times ranges. The task of a range
+finds the hashes that occur twice or more and names them to their blocks. These emit the
 variants again, exactly, for the named hashes only: inside a block equal variants become
 links at once, and one owner of each variant is compared between blocks, packed again.
 Links are stars around the least fingerprint of a variant, never all pairs; each is
@@ -39,13 +43,19 @@ from ledgerline.llm.components import components
 SHINGLE = 4
 DISTANCE = 4
 SEED = 42
-#: Distinct fingerprints in a block, and bits of a variant's hash.
+#: Distinct fingerprints in a block, and least bits of a variant's hash.
 BLOCK = 8192
 HASH_BITS = 44
+#: Bits by which hashes outnumber variants at least, as far as 64 bits go.
+SPARE_BITS = 7
 #: Most partitions that blocks are dealt to.
 MOST_TASKS = 10_000
 #: Variants in a range, about.
 RANGE = 1 << 21
+#: Variants that a block sends to a range at least, about; and blocks that are brought together
+#: where ranges are too many for that.
+PIECE = 512
+SUPER = 1024
 #: Fingerprints whose variants are compared at a time when a block emits them again.
 SLICE = 512
 
@@ -91,13 +101,30 @@ def ball(radius: int) -> np.ndarray:
     return np.array(masks, np.uint64)
 
 
-def hashed(variants: np.ndarray) -> np.ndarray:
-    """HASH_BITS-bit hashes, in place."""
+def hashed(variants: np.ndarray, bits: int) -> np.ndarray:
+    """Hashes of ``bits`` bits, in place."""
     variants *= np.uint64(0x9E3779B97F4A7C15)
-    variants >>= np.uint64(64 - HASH_BITS)
+    variants >>= np.uint64(64 - bits)
     return variants
 
 
+def bits_of(fingerprints: int, masks: int) -> tuple[int, int, int]:
+    """Bits of a variant's hash, of its range, and of the ranges that a block cuts."""
+    variants = max(1, fingerprints * masks)
+    ranges = max(0, math.ceil(math.log2(variants / RANGE)))
+    coarse = max(0, math.floor(math.log2(max(1, min(fingerprints, BLOCK) * masks / PIECE))))
+    return min(64, max(HASH_BITS, math.ceil(math.log2(variants)) + SPARE_BITS)), ranges, min(ranges, coarse)
+
+
+def pieces(values: np.ndarray, bits: int, ranges: int) -> Iterator[tuple[int, slice]]:
+    """Sorted hashes of ``bits`` bits cut by their leading ``ranges`` bits: (range, where)."""
+    if len(values):
+        range_of = values >> np.uint64(bits - ranges) if ranges else np.zeros(len(values), np.uint64)
+        begin = np.flatnonzero(np.diff(range_of, prepend=~range_of[0]))
+        for a, b in zip(begin, np.append(begin[1:], len(values)), strict=True):
+            yield int(range_of[a]), slice(a, b)
+
+
 def pack(values: np.ndarray) -> bytes:
     """Sorted values as compressed gaps, one plane for each byte of a gap."""
     import zstandard
@@ -151,9 +178,8 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     masks = ball((distance + 1) // 2)
     n = distinct.count()
     blocks = max(1, math.ceil(n / BLOCK))
-    range_bits = max(0, math.ceil(math.log2(max(1, n * len(masks) / RANGE))))
-    shift = np.uint64(HASH_BITS - range_bits)
-    slot_shift = np.uint64(HASH_BITS - max(0, range_bits - 2))
+    bits, range_bits, coarse_bits = bits_of(n, len(masks))
+    slot_shift = np.uint64(bits - max(0, range_bits - 2))
     # Few bytes but much work: a partition for each block, up to a point.
     tasks = min(blocks, MOST_TASKS)
     block = F.pmod(F.xxhash64("fp"), F.lit(blocks)).cast("int").alias("block")
@@ -162,27 +188,59 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     def emit(group: pd.DataFrame) -> pd.DataFrame:
         fps = group["fp"].to_numpy().view(np.uint64)
-        values = hashed(np.bitwise_xor.outer(fps, mask_values.value).ravel())
+        values = hashed(np.bitwise_xor.outer(fps, mask_values.value).ravel(), bits)
         values.sort()
-        cuts = np.searchsorted(values, np.arange(1, 1 << range_bits, dtype=np.uint64) << shift)
-        parts = np.split(values, cuts)
-        rows = [(i, int(group["block"].iloc[0]), pack(p)) for i, p in enumerate(parts) if len(p)]
-        return pd.DataFrame(rows, columns=["range", "block", "data"])
+        block = int(group["block"].iloc[0])
+        rows = [(r, block, pack(values[here]), None) for r, here in pieces(values, bits, coarse_bits)]
+        return pd.DataFrame(rows, columns=["range", "block", "data", "owners"])
+
+    def gathered(group: pd.DataFrame) -> pd.DataFrame:
+        """Wide ranges of SUPER blocks at most, cut into ranges with the block of each variant."""
+        parts = [unpack(d) for d in group["data"]]
+        owner = np.repeat((group["block"] % SUPER).to_numpy(np.uint16), [len(p) for p in parts])
+        values = np.concatenate(parts)
+        by = np.argsort(values, kind="stable")
+        values, owner = values[by], owner[by]
+        first = int(group["block"].iloc[0]) // SUPER * SUPER
+        compress = zstandard.ZstdCompressor(level=1).compress
+        rows = [
+            (r, first, pack(values[here]), compress(owner[here].astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()))
+            for r, here in pieces(values, bits, range_bits)
+        ]
+        return pd.DataFrame(rows, columns=["range", "block", "data", "owners"])
+
+    def blocks_of(first: int, owners: bytes | None, here: np.ndarray) -> np.ndarray:
+        if owners is None:
+            return np.full(np.count_nonzero(here), first, np.int32)
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(owners), np.uint8).reshape(2, -1)
+        return first + np.ascontiguousarray(planes.T).view("<u2").ravel()[here].astype(np.int32)
 
     def repeated(group: pd.DataFrame) -> pd.DataFrame:
         parts = [unpack(d) for d in group["data"]]
         values = np.concatenate(parts)
         values.sort()
         twice = np.unique(values[1:][values[1:] == values[:-1]])
-        own = [np.unique(part) for part in parts]
-        shared = np.concatenate(own)
-        shared.sort()
-        across = np.unique(shared[1:][shared[1:] == shared[:-1]])
-        named = []
-        for block, here in zip(group["block"], own, strict=True):
-            between = here[np.isin(here, across, assume_unique=True)]
-            inside = np.setdiff1d(here[np.isin(here, twice, assume_unique=True)], between, assume_unique=True)
-            named += [(block, kind, pack(x)) for kind, x in enumerate((inside, between)) if len(x)]
+        del values
+        found = []
+        for part, first, owners in zip(parts, group["block"], group["owners"], strict=True):
+            at = np.searchsorted(twice, part)
+            here = at < len(twice)
+            here[here] = twice[at[here]] == part[here]
+            found.append((part[here], blocks_of(first, owners, here)))
+        value, owner = (np.concatenate(x) for x in zip(*found, strict=True))
+        by = np.lexsort((value, owner))
+        value, owner = value[by], owner[by]
+        new = np.ones(len(value), bool)
+        new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+        value, owner = value[new], owner[new]  # one a block
+        ordered = np.sort(value)
+        across = np.isin(value, ordered[1:][ordered[1:] == ordered[:-1]])
+        ends = np.append(np.flatnonzero(np.diff(owner)) + 1, len(owner))
+        named, start = [], 0
+        for end in ends[ends > 0]:
+            here, kind = value[start:end], across[start:end]
+            named += [(int(owner[start]), k, pack(x)) for k, x in enumerate((here[~kind], here[kind])) if len(x)]
+            start = end
         return pd.DataFrame(named, columns=["block", "kind", "data"])
 
     def emit_again(fps: pd.DataFrame, named: pd.DataFrame) -> pd.DataFrame:
@@ -197,7 +255,7 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
             for start in range(0, len(own), SLICE):
                 part = own[start : start + SLICE]
                 made = np.bitwise_xor.outer(part, mask_values.value).ravel()
-                found = hashed(made.copy())
+                found = hashed(made.copy(), bits)
                 at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
                 hit = np.flatnonzero(wanted[at] == found)
                 variants.append(made[hit])
@@ -223,7 +281,10 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
         variant, owner = np.concatenate(parts, axis=1)
         return pd.DataFrame(forest(variant, owner, distance).view(np.int64), columns=["a", "b"])
 
-    packed = by_block.groupBy("block").applyInPandas(emit, "range int, block int, data binary")
+    piece = "range int, block int, data binary, owners binary"
+    packed = by_block.groupBy("block").applyInPandas(emit, piece)
+    if coarse_bits < range_bits:
+        packed = packed.groupBy("range", F.floor(F.col("block") / SUPER)).applyInPandas(gathered, piece)
     named = packed.groupBy("range").applyInPandas(repeated, "block int, kind int, data binary")
     named = named.repartition(tasks, "block")
     again = written(
