@@ -10,11 +10,13 @@ Spark deals the work out so that no task needs the whole corpus:
    (winnowing), so equal windows have an anchor in common. A segment is what a run of
    windows with one anchor covers. Anchor hashes are counted over the corpus; only anchors
    that occur twice or more go on.
-2. Copies. Equal segments are grouped by a hash of their content: all but the first are
-   removed whole, and only the first goes on, so copies never pile up.
+2. Copies. Equal segments are grouped by 128 bits of hash of their content, beside the 64 of
+   their anchor: all but the first are removed whole, and only the first goes on, so copies
+   never pile up.
 3. Suffix arrays. Different segments with one anchor are collected into buckets of
    bounded size. Windows that hold their anchor at nearly the same offset share a core;
-   where a core occurs once, nothing can be equal. The Burrows-Wheeler transform and common
+   where a core occurs once, nothing can be equal. What is equal as a whole is found by its
+   bytes; the Burrows-Wheeler transform and common
    prefixes of the rest are built column by column (``bwt``); runs of suffixes that share
    SPAN bytes are equal windows, and all but the earliest are removed. An anchor with more
    than HOT different segments is not collected: its segments are cut into their single
@@ -49,6 +51,8 @@ GRAM = 32
 #: k-grams in a window.
 WIDE = SPAN - GRAM + 1
 SEED = 5
+#: Bases (odd) of the hash and of a second one, which confirms that segments are equal.
+BASE, SECOND_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 #: Bytes hashed at a time; longer documents are hashed in overlapping parts.
 PART = 1 << 20
 #: Segments in a bucket, about; more different segments of one anchor are split by window.
@@ -69,11 +73,10 @@ NUMBERED = 4096
 class Hasher:
     """Polynomial hashes of all windows of a byte array, modulo 2**64."""
 
-    def __init__(self, size: int = 2 * PART + 2 * SPAN) -> None:
-        rng = np.random.default_rng(SEED)
+    def __init__(self, size: int = 2 * PART + 2 * SPAN, base: int = BASE, seed: int = SEED) -> None:
+        rng = np.random.default_rng(seed)
         self.symbol = rng.integers(1, 2**63, 256, np.uint64)
-        base = np.uint64(0xD6E8FEB86659FD93)
-        inverse = np.uint64(pow(int(base), -1, 2**64))
+        base, inverse = np.uint64(base), np.uint64(pow(base, -1, 2**64))
         self.power = np.cumprod(np.full(size, base, np.uint64))
         self.inverse = np.cumprod(np.full(size, inverse, np.uint64))
 
@@ -192,32 +195,35 @@ def others_of(rows: DataFrame) -> list[str]:
 
 
 def anchor_rows(keyed: DataFrame, all_columns: bool) -> DataFrame:
-    """(h, n) or (h, g, _order, place, len) of every segment; n is 2 where the anchor stands in
-    it twice, and len is negative."""
+    """(h, n) or (h, g, sure, _order, place, len) of every segment; n is 2 where the anchor stands
+    in it twice, and len is negative. ``sure`` is a second hash of the segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
+        second = Hasher(base=SECOND_BASE, seed=SEED + 1) if all_columns else None
         for rows in batches:
             order, part = rows.column("_order").to_numpy(), rows.column("_part").to_numpy().astype(np.int64)
             for data, starts, ends, row, offset in parts(rows.column("_bytes").to_pylist()):
                 h, g, doc, first, size, again = anchors(hasher, data, starts, ends)
                 if all_columns:
                     place = (part[row[doc]] << PLACE_BITS) + offset[doc] + first
-                    columns = [h.view(np.int64), g.view(np.int64), order[row[doc]], place, np.where(again, -size, size).astype(np.int16)]
+                    at = starts[doc] + first
+                    sure = second.windows(second.sums(np.frombuffer(data, np.uint8)), at, at + size)
+                    signed = np.where(again, -size, size).astype(np.int16)
+                    columns = [h.view(np.int64), g.view(np.int64), sure.view(np.int64), order[row[doc]], place, signed]
                 else:
                     columns = [h.view(np.int64), 1 + again.astype(np.int8)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    names = ["h", "g", "_order", "place", "len"] if all_columns else ["h", "n"]
-    schema = "h long, g long, _order long, place long, len short" if all_columns else "h long, n byte"
+    names = ["h", "g", "sure", "_order", "place", "len"] if all_columns else ["h", "n"]
+    schema = "h long, g long, sure long, _order long, place long, len short" if all_columns else "h long, n byte"
     return in_small_batches(keyed).mapInArrow(run, schema)
 
 
 def cores(bucket: pd.DataFrame) -> tuple:
     """Cuts the segments of a bucket into sub-segments: neighbouring windows that hold their
     anchor at nearly the same offset, and so have a long core in common. Returns, for each,
-    the row of the bucket, first and last byte, hash of anchor, offset and core, and hash of
-    the whole. Equal windows have equal cores, wherever their segments were cut."""
+    the row of the bucket, first and last byte, and hash of anchor, offset and core. Equal windows have equal cores, wherever their segments were cut."""
     lengths = bucket["segment"].str.len().to_numpy()
     ends = np.cumsum(lengths)
     data = np.frombuffer(b"".join(bucket["segment"]), np.uint8)
@@ -240,7 +246,7 @@ def cores(bucket: pd.DataFrame) -> tuple:
     core = anchor[begin] - kind[begin] * OFFSETS
     shared = hasher.windows(sums, core, core + SPAN - OFFSETS + 1)
     shared ^= grams[anchor[begin]] + kind[begin].astype(np.uint64) * ODD
-    return row[a], a - (ends - lengths)[row[a]], b - (ends - lengths)[row[a]], shared, hasher.windows(sums, a, b)
+    return row[a], a - (ends - lengths)[row[a]], b - (ends - lengths)[row[a]], shared
 
 
 def twice(values: np.ndarray) -> np.ndarray:
@@ -252,24 +258,24 @@ def twice(values: np.ndarray) -> np.ndarray:
 def equal_windows(bucket: pd.DataFrame) -> pd.DataFrame:
     """Ranges of a bucket's segments that also stand earlier."""
     bucket = bucket.sort_values(["_order", "place"], kind="stable").reset_index(drop=True)
-    row, begin, end, core, whole = cores(bucket)
+    row, begin, end, core = cores(bucket)
     kept = twice(core)  # other sub-segments cannot hold a window of another one
-    row, begin, end, core, whole = (x[kept] for x in (row, begin, end, core, whole))
+    row, begin, end, core = (x[kept] for x in (row, begin, end, core))
     at = bucket["place"].to_numpy()[row] + begin
     order = bucket["_order"].to_numpy()[row]
     by = np.lexsort((at, order))
-    row, begin, end, core, whole, at, order = (x[by] for x in (row, begin, end, core, whole, at, order))
-    _, first, same = np.unique(whole, return_index=True, return_inverse=True)
-    head = first[same]
+    row, begin, end, core, at, order = (x[by] for x in (row, begin, end, core, at, order))
+    segment = bucket["segment"].to_numpy()
+    strings = [segment[r][a:b] for r, a, b in zip(row, begin, end, strict=True)]
+    seen: dict[bytes, int] = {}
+    head = np.array([seen.setdefault(x, i) for i, x in enumerate(strings)], np.int64)
     copies = (at != at[head]) | (order != order[head])
     out = [pd.DataFrame({"_order": order[copies], "place": at[copies], "size": (end - begin)[copies]})]
-    first = np.sort(first)
+    first = np.flatnonzero(head == np.arange(len(head)))
     first = first[twice(core[first])]
-    segment = bucket["segment"].to_numpy()
     for part in buckets_of(core[first]):
         chosen = first[part]
-        strings = [segment[r][a:b] for r, a, b in zip(row[chosen], begin[chosen], end[chosen], strict=True)]
-        out.append(by_suffixes(strings, order[chosen], at[chosen]))
+        out.append(by_suffixes([strings[i] for i in chosen], order[chosen], at[chosen]))
     return pd.concat(out, ignore_index=True)
 
 
@@ -371,12 +377,12 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     )
     found = written(anchor_rows(docs, True).join(repeated, "h"), "dedup-segments")
     first = written(
-        found.groupBy("h", "g").agg(
+        found.groupBy("h", "g", "sure").agg(
             F.min(F.struct("_order", "place", "len")).alias("first"), F.count(F.lit(1)).alias("n")
         ),
         "dedup-first",
     )
-    copies = later_than(found, first, ["h", "g"]).select("_order", "place", F.abs("len").cast("long").alias("size"))
+    copies = later_than(found, first, ["h", "g", "sure"]).select("_order", "place", F.abs("len").cast("long").alias("size"))
 
     kinds = first.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("first.len").alias("least"))
     wanted = first.join(kinds.where("kinds > 1 OR least < 0"), "h").select(
