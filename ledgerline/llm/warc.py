@@ -61,7 +61,7 @@ def page_record(page_id: int | None, url: str | None, body: bytes, refers_to: in
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n".encode()
     fields = {"WARC-Payload-Digest": "sha256:" + hashlib.sha256(body).hexdigest()}
     if url is not None:
-        fields["WARC-Target-URI"] = quote(url, safe="!#$&'()*+,/:;=?@[]~ ")
+        fields["WARC-Target-URI"] = quote(url, safe="!#$&'()*+,/:;=?@[]~")
     name = PAGE + ("" if page_id is None else str(page_id))
     fields["Content-Type"] = "application/http; msgtype=response"
     if refers_to is None:

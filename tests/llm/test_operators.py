@@ -224,11 +224,41 @@ def test_simhash(spark, monkeypatch):
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns
     assert kept.count() == len({r.component_id for r in got.collect()})
-    monkeypatch.setattr(simhash, "BLOCK", 16)  # many blocks
-    monkeypatch.setattr(simhash, "RANGE", 4096)
-    table = entry.queries()["op4_simhash_near_dedup"](spark, SF)
     plain = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    assert rows(table, "doc_id", "fingerprint", "component_id") == brute_simhash(plain)
+    want = brute_simhash(plain)
+    # many blocks; then ranges so many that the variants of four blocks are brought together first
+    for block, span, together in ((64, 1 << 16, 1024), (16, 2048, 4)):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        monkeypatch.setattr(simhash, "RANGE", span)
+        monkeypatch.setattr(simhash, "SUPER", together)
+        _, ranges, coarse = simhash.bits_of(len({f for _, f, _ in want}), len(simhash.ball(2)))
+        assert (coarse < ranges) == (block == 16)
+        table = entry.queries()["op4_simhash_near_dedup"](spark, SF)
+        assert rows(table, "doc_id", "fingerprint", "component_id") == want
+
+
+def test_packed_variants_do_not_get_fewer_a_row_with_more_blocks():
+    masks = len(simhash.ball(2))
+    assert simhash.bits_of(250_000, masks)[0] == simhash.HASH_BITS
+    for n in (10**4, 10**6, 10**8, 10**9, 10**10, 10**11):
+        bits, ranges, coarse = simhash.bits_of(n, masks)
+        held = min(n, simhash.BLOCK) * masks
+        assert held / 2**coarse >= simhash.PIECE and coarse <= ranges <= bits <= 64
+        assert n * masks / 2**ranges <= simhash.RANGE
+        assert coarse == ranges or simhash.SUPER * held / 2**ranges >= 64
+        assert bits == 64 or n * masks / 2**bits <= 1 / 64
+
+
+def test_segments_are_told_apart_by_two_independent_hashes():
+    data = np.random.default_rng(3).integers(0, 256, 3000, dtype=np.uint8)
+    data[2000:2200] = data[500:700]
+    found = []
+    for hasher in (suffix_dedup.Hasher(), suffix_dedup.Hasher(base=suffix_dedup.SECOND_BASE, seed=suffix_dedup.SEED + 1)):
+        at = np.arange(len(data) - 120)
+        found.append(hasher.windows(hasher.sums(data), at, at + 120))
+        assert found[-1][2000:2081].tolist() == found[-1][500:581].tolist()
+        assert len(set(found[-1].tolist())) == len(at) - 81
+    assert not (found[0] == found[1]).any()
 
 
 def test_keep_first_keeps_unrelated_texts_without_an_id_or_of_one_id(spark):
@@ -517,7 +547,7 @@ def test_edits_are_located():
 
 def test_warc(spark, tmp_root):
     body = "<p>" + "same " * 60
-    table = [(5, "http://a/\r\nx y%", body), (2, None, body), (None, "http://n", body), (7, "u", None), (8, "u", "tiny"), (9, "u", "tiny"), (2, "http://b", body)]
+    table = [(5, "http://a/\r\nx y%", body), (2, None, body), (None, "http://n", body), (7, " u  v ", None), (8, "u", "tiny"), (9, "u", "tiny"), (2, "http://b", body)]
     pages = spark.createDataFrame(table, "page_id long, url string, html string").selectExpr("*", "1 AS refers_to", "2 AS _digest")
     manifest = warc.write_archives(pages, tmp_root)
     got = warc.read_records(manifest, tmp_root).collect()
