@@ -332,3 +332,23 @@ def test_latest_arrival_wins_for_every_batch_size(spark, tmp_root):
         t = spark.table(wh.table("subscriptions"))
         totals.append(t.agg(F.count(F.lit(1)), F.sum("unit_amount_cents")).first())
     assert totals[0] == totals[1]
+
+
+def test_buckets_grow_with_the_table(spark, tmp_root, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_A_BUCKET", 20)
+    key, subs = "stripe_subscription_id", _flat_subs(spark)
+    n = raw.numeric_id(F.col(key))
+    rows, first = subs.count(), subs.where(n % 3 != 2)
+    second = subs.where(n % 3 != 0).withColumn("unit_amount_cents", F.col("unit_amount_cents") + 100)
+    wh = tables.Warehouse("ll_t_grow", tmp_root, 1)
+    tables.ensure_tables(spark, wh)
+    seen = []
+    for load in (first, second, second.limit(0)):
+        tables.upsert(spark, wh, "subscriptions", load, key)
+        seen.append(versions.current(spark, wh.location("subscriptions")).buckets)
+    assert seen[0] == -(-first.count() // 20) > 1 and seen[1] >= 2 * seen[0] and seen[2] == seen[1]
+    want = subs.select(key, (F.col("unit_amount_cents") + F.when(n % 3 != 0, 100).otherwise(0)).alias("cents"))
+    got = spark.table(wh.table("subscriptions")).select(key, "unit_amount_cents")
+    assert got.count() == rows and got.exceptAll(want).count() == 0
+    feed = tables.changes(spark, wh, "subscriptions", 2).groupBy("op").count().collect()
+    assert {r["op"]: r["count"] for r in feed} == {"inserted": subs.where(n % 3 == 2).count(), "updated": subs.where(n % 3 == 1).count()}
