@@ -30,3 +30,26 @@ def test_a_line_that_is_not_json_keeps_its_text_and_equal_ones_all_count(spark):
     out = raw.dedupe_first_listed(parsed)
     assert sorted((r["id"] or "", r["corrupt_line"] or "") for r in out.collect()) == [("", "{cut")] * 3 + [("a", "")]
     assert out.where(F.col("id").isNull()).count() == 3
+
+
+def test_a_listing_is_computed_once_and_compressed(spark, tmp_root):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for b in rows:
+            runs.add(b.num_rows)
+            yield b
+
+    rows = [("default", 0, '{"id": "a\\tb"}'), ("c", 1, "{cut"), (None, 1, "lost"), ("d", 1, '{"id":\t"c"}')]
+    listing = spark.createDataFrame(rows, raw.LISTING_SCHEMA).mapInArrow(counted, raw.LISTING_SCHEMA)
+    raw.write_listing(listing, tmp_root)
+    assert runs.value == len(rows)
+    read = raw.read_listing(spark, tmp_root)
+    assert all(f.endswith(".gz") for f in read.inputFiles())
+    assert sorted(tuple(r) for r in read.collect()) == sorted(r for r in rows if r[0])
+
+
+def test_no_order_column_is_shuffled(spark, tmp_root):
+    raw.write_listing(raw.subscription_listing(spark, SF), tmp_root)
+    plan = raw.load_subscriptions(raw.read_listing(spark, tmp_root))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_order" not in plan and "line_digest" not in plan
