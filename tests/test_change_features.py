@@ -112,3 +112,23 @@ def test_markers_equal_a_search_for_each(spark):
     want = sorted((i % 290, t, tuple(sorted(m for m in wanted if m in t))) for i, t in enumerate(texts) if t and any(m in t for m in wanted))
     assert got == want
     assert markers.marker_scan(docs, table.where("false"), "text", "marker").count() == 0
+
+
+def test_texts_meet_few_markers_that_they_do_not_hold(spark):
+    texts = ["the cat and the dog of the house" + c for c in "abcdefgh"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    listed = [f"cat and {w} of the" for w in ("one", "two", "six", "ten", "the dog")] + ["é" * 13, "dog"]
+    table = spark.createDataFrame([(m,) for m in listed], "marker string")
+    sizes = {r["marker"]: len(r["gram"]) for r in markers.index(table, "marker").collect()}
+    assert sizes == {m: 12 if len(m) >= 12 else len(m) for m in listed}  # whole short ones, the longest grams of others
+    got = markers.marker_scan(docs, table, "text", "marker").collect()
+    assert sorted((r["doc_id"], tuple(r["markers"])) for r in got) == [(i, ("cat and the dog of the", "dog")) for i in range(8)]
+
+
+def test_gram_hashes_of_pieces_equal_those_of_the_whole(spark, monkeypatch):
+    monkeypatch.setattr(markers, "PIECE", 5)
+    texts = ["x😀é" * 9 + "needle in the hay" + "é" * 20, "needle", "nothing"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    table = spark.createDataFrame([(m,) for m in ("needle in the", "needle", "é😀", "x😀éx😀é")], "marker string")
+    got = {r["doc_id"]: r["markers"] for r in markers.marker_scan(docs, table, "text", "marker").collect()}
+    assert got == {0: ["needle", "needle in the", "x😀éx😀é"], 1: ["needle"]}
