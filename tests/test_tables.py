@@ -352,3 +352,38 @@ def test_buckets_grow_with_the_table(spark, tmp_root, monkeypatch):
     assert got.count() == rows and got.exceptAll(want).count() == 0
     feed = tables.changes(spark, wh, "subscriptions", 2).groupBy("op").count().collect()
     assert {r["op"]: r["count"] for r in feed} == {"inserted": subs.where(n % 3 == 2).count(), "updated": subs.where(n % 3 == 1).count()}
+
+
+def _files_a_month(spark, wh, name):
+    """Files of each month of the newest version, and its buckets."""
+    at = versions.current(spark, wh.location(name))
+    folders = [f"{wh.location(name)}/data/{c}/{tables.PARTITION_COLUMN}={m}" for m, c in at.months.items()]
+    return [sum(f.endswith(".parquet") for f in versions.children(spark, folder)) for folder in folders], at.buckets
+
+
+def test_a_commit_writes_a_file_a_month_and_bucket_at_most(spark, tmp_root, monkeypatch):
+    """With fewer buckets than shuffle partitions too: each task of a merge has one bucket."""
+    key, subs = "stripe_subscription_id", _flat_subs(spark)
+    n = raw.numeric_id(F.col(key))
+    wh = tables.Warehouse("ll_t_files", tmp_root, 1)
+    tables.ensure_tables(spark, wh)
+    monkeypatch.setattr(tables, "ROWS_A_BUCKET", -(-subs.count() // 5))
+    for load in (subs.where(n % 2 == 0), subs):  # the second one deals the table anew
+        tables.upsert(spark, wh, "subscriptions", load, key)
+        files, buckets = _files_a_month(spark, wh, "subscriptions")
+        assert buckets in (3, 6) and max(files) <= buckets  # 8 shuffle partitions
+        assert tables.read(spark, wh, "subscriptions").count() == load.count()
+    assert buckets == 6
+
+
+def test_a_load_of_keys_that_are_there_does_not_deal_the_table_anew(spark, tmp_root, monkeypatch):
+    key, subs = "stripe_subscription_id", _flat_subs(spark)
+    wh = tables.Warehouse("ll_t_again", tmp_root, 1)
+    tables.ensure_tables(spark, wh)
+    monkeypatch.setattr(tables, "ROWS_A_BUCKET", -(-subs.count() // 3))
+    seen = []
+    for cents in (1, 2):
+        got = tables.upsert(spark, wh, "subscriptions", subs.withColumn("unit_amount_cents", F.lit(cents)), key)
+        seen.append(versions.current(spark, wh.location("subscriptions")).buckets)
+    assert got == {"inserted": 0, "updated": subs.count()} and seen == [3, 3]
+    assert tables.read(spark, wh, "subscriptions").agg(F.sum("unit_amount_cents")).first()[0] == 2 * subs.count()
