@@ -132,3 +132,15 @@ def test_gram_hashes_of_pieces_equal_those_of_the_whole(spark, monkeypatch):
     table = spark.createDataFrame([(m,) for m in ("needle in the", "needle", "é😀", "x😀éx😀é")], "marker string")
     got = {r["doc_id"]: r["markers"] for r in markers.marker_scan(docs, table, "text", "marker").collect()}
     assert got == {0: ["needle", "needle in the", "x😀éx😀é"], 1: ["needle"]}
+
+
+def test_few_ngrams_that_no_marker_has_are_shuffled(spark):
+    rng = random.Random(3)
+    listed = ["".join(rng.choices("abcdefgh", k=12)) for _ in range(2000)]
+    text = "".join(rng.choices("abcdefgh", k=20_000)) + listed[7]
+    entries = markers._keyed(markers.index(spark.createDataFrame([(m,) for m in listed], "marker string"), "marker"))
+    words = markers.bitmap(entries, len(listed))
+    texts = spark.createDataFrame([(1, text)], "_digest long, text string")
+    through = markers.looked_up(texts, [12], words)
+    assert through.join(entries, "key").select("marker").collect() == [(listed[7],)]
+    assert through.count() < 200  # of 20,001; one bit an entry lets some 1,200 through
